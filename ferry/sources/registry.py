@@ -33,7 +33,8 @@ def register_views(spark: SparkSession, sources: Mapping[str, Loader], required:
         except AnalysisException as exc:
             if required:
                 raise
-            detail = (getattr(exc, "getErrorClass", lambda: None)() or str(exc).split("\n")[0])[:200]
+            condition = exc.getCondition() if hasattr(exc, "getCondition") else None
+            detail = (condition or str(exc).split("\n")[0])[:200]
             rows.append((name, "missing", None, detail, None))
             continue
         df.createOrReplaceTempView(name)

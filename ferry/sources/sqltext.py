@@ -24,7 +24,7 @@ def statement_text(text: str) -> str:
 
 def read_sql_text(spark: SparkSession, path: str) -> str:
     """Whole text of a SQL file, read through Spark so that any Hadoop file system works."""
-    rows = spark.read.option("wholetext", "true").text(path).collect()
+    rows = spark.read.text(path, wholetext=True).collect()
     if len(rows) != 1:
         raise FileNotFoundError(f"expected one SQL file at {path}, found {len(rows)}")
     return rows[0][0]
