@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from ferry.constants import DOMAIN_ALIASES, DOMAIN_CANONICAL
 from ferry.functions.keys import email_match_key
 from ferry.functions.predicates import present
+from ferry.operators.salting import SALT, replicate_per_salt, salt_rows
 
 IDENTITY_COLUMNS = (
     "legacy_user_id", "legacy_isactive", "legacy_email", "legacy_username", "tfm_user_id",
@@ -48,8 +49,12 @@ def identity_match(legacy: DataFrame, target: DataFrame, id_col: str = "Id",
                    active_col: str = "IsActive", email_col: str = "Email",
                    username_col: str = "Username", aliases: Sequence[str] = DOMAIN_ALIASES,
                    canonical: str = DOMAIN_CANONICAL, case_insensitive: bool = False,
-                   with_candidates: bool = False) -> DataFrame:
-    """Best target per old user. ``with_candidates`` adds how many targets shared the keys."""
+                   with_candidates: bool = False, salt_buckets: int = 0) -> DataFrame:
+    """Best target per old user. ``with_candidates`` adds how many targets shared the keys.
+
+    ``salt_buckets > 1`` spreads old users sharing one key pair (e.g. thousands with an empty
+    e-mail) over that many tasks and replicates the reduced target table as often.
+    """
     old = _parsed(legacy, "legacy", id_col, active_col, email_col, username_col,
                   aliases, canonical, case_insensitive)
     new = _parsed(target, "tfm", id_col, active_col, email_col, username_col,
@@ -61,10 +66,13 @@ def identity_match(legacy: DataFrame, target: DataFrame, id_col: str = "Id",
             .agg(F.min(F.struct(F.col("tfm_user_id").isNotNull().alias("has_id"), "tfm_user_id",
                                 "tfm_isactive", "tfm_email", "tfm_username")).alias("t"),
                  F.count(F.lit(1)).alias("candidates")))
-    joined = old.join(
-        best,
-        (old["legacy_email_trimmed"] == best[keys[0]]) & (old["legacy_username_trimmed"] == best[keys[1]]),
-        "left")
+    cond = (old["legacy_email_trimmed"] == best[keys[0]]) & (old["legacy_username_trimmed"] == best[keys[1]])
+    if salt_buckets > 1:
+        old = salt_rows(old, salt_buckets)
+        best = replicate_per_salt(best, salt_buckets)
+        cond = ((old["legacy_email_trimmed"] == best[keys[0]]) & (old["legacy_username_trimmed"] == best[keys[1]])
+                & (old[SALT] == best[SALT]))
+    joined = old.join(best, cond, "left")
 
     # Rank: target id ascending with null first; remaining fields only make ties deterministic.
     ranked = F.struct(

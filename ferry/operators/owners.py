@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferry.functions.predicates import absent, present
+from ferry.operators.salting import SALT, replicate_per_salt, salt_rows
 
 REMAP_COLUMNS = ("id", "migration_id", "src_owner_id", "owner_id", "legacy_email", "legacy_username",
                  "legacy_isactive", "tfm_isactive", "tfm_email", "tfm_username")
@@ -22,7 +23,9 @@ REMAP_COLUMNS = ("id", "migration_id", "src_owner_id", "owner_id", "legacy_email
 
 def owner_remap(source: DataFrame, crosswalk: DataFrame, id_col: str = "Id",
                 owner_col: str = "OwnerId", trim_keys: bool = True,
-                dedupe_crosswalk: bool = False) -> DataFrame:
+                dedupe_crosswalk: bool = False, salt_buckets: int = 0) -> DataFrame:
+    """``salt_buckets > 1`` spreads each owner's records over that many tasks and replicates the
+    crosswalk as often (see ``ferry.operators.salting``); the result is the same."""
     src = source.select(F.col(id_col).alias("id"), F.col(owner_col).alias("src_owner_id"))
     users = crosswalk.select("legacy_user_id", "tfm_user_id", "legacy_email", "legacy_username",
                              "legacy_isactive", "tfm_isactive", "tfm_email", "tfm_username")
@@ -36,7 +39,12 @@ def owner_remap(source: DataFrame, crosswalk: DataFrame, id_col: str = "Id",
                                      "legacy_isactive", "tfm_isactive", "tfm_email",
                                      "tfm_username")).alias("u"))
                  .select("__ferry_key", "u.*").drop("no_id"))
-    joined = src.join(users, key(src["src_owner_id"]) == users["__ferry_key"], "left")
+    cond = key(src["src_owner_id"]) == users["__ferry_key"]
+    if salt_buckets > 1:
+        src = salt_rows(src, salt_buckets)
+        users = replicate_per_salt(users, salt_buckets)
+        cond = (key(src["src_owner_id"]) == users["__ferry_key"]) & (src[SALT] == users[SALT])
+    joined = src.join(users, cond, "left")
     return joined.select(
         F.col("id"), F.col("id").alias("migration_id"), F.col("src_owner_id"),
         F.col("tfm_user_id").alias("owner_id"), F.col("legacy_email"), F.col("legacy_username"),

@@ -209,6 +209,9 @@ ORACLE: dict[str, str] = {
         f"UNION SELECT {_v('o.o_orderkey')}, s.Migration_Id__c, s.sf__Id "
         "FROM orders o JOIN (SELECT DISTINCT Migration_Id__c, sf__Id FROM success_pairs) s "
         f"ON {_v('o.o_orderkey')} = s.Migration_Id__c WHERE o.o_orderdate >= TIMESTAMP '1996-01-01'",
+    "crosswalk_stream": _with(raw_order=RAW_ORDER, success_pairs=SUCCESS_PAIRS) +
+        "SELECT DISTINCT r.Id AS source_id, s.Migration_Id__c AS migration_id, s.sf__Id AS target_id "
+        "FROM raw_order r JOIN success_pairs s ON r.Id = s.Migration_Id__c",
     "outcome_split": _with(outcomes=OUTCOMES) + "SELECT object, outcome, source_id, job_id, target_id FROM outcomes",
     "outcome_by_job": _with(outcomes=OUTCOMES) +
         "SELECT job_id, outcome, count(*) AS records FROM outcomes GROUP BY job_id, outcome",

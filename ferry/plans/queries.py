@@ -52,6 +52,7 @@ from ferry.sinks.publish import (
 from ferry.sources.csv import read_csv, union_by_header
 from ferry.sources.headers import catalog_of_tables, header_catalog, header_drift
 from ferry.sources.registry import register_views
+from ferry.streaming.crosswalk import start_crosswalk_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -109,11 +110,12 @@ def q_id_crosswalk(spark, d):
 
 def q_crosswalk_accumulate(spark, d):
     """Two load runs with overlapping orders, each published as a run folder, read as one."""
-    orders = fx.raw_order(spark, d)
-    dates = fx.table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("Id"), "o_orderdate")
-    dated = orders.join(dates, "Id")
-    run1 = dated.where(F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp_ntz")).drop("o_orderdate")
-    run2 = dated.where(F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp_ntz")).drop("o_orderdate")
+    def raw_between(cond):
+        return fx.table(spark, d, "orders").where(cond).select(F.col("o_orderkey").cast("string").alias("Id"))
+
+    day = F.col("o_orderdate")
+    run1 = raw_between(day < F.lit("1997-01-01").cast("timestamp_ntz"))
+    run2 = raw_between(day >= F.lit("1996-01-01").cast("timestamp_ntz"))
     success = fx.success_pairs(spark, d)
     root = scratch_path(spark, "crosswalk")
     append_crosswalk(id_crosswalk(run1, success), root, "20250101_000000")
@@ -121,6 +123,18 @@ def q_crosswalk_accumulate(spark, d):
     return read_crosswalk(spark, root)
 
 
+def q_crosswalk_stream(spark, d):
+    """Success outcomes land as several CSV files; a file stream grows the crosswalk batch by
+    batch (one file per micro-batch); the published crosswalk is read back as one table."""
+    landing = scratch_path(spark, "landing")
+    write_csv(fx.success_pairs(spark, d).repartition(4), landing)
+    root = scratch_path(spark, "stream_crosswalk")
+    q = start_crosswalk_stream(spark, landing, fx.raw_order(spark, d), root,
+                               scratch_path(spark, "stream_ckpt"), max_files_per_trigger=1)
+    q.awaitTermination()
+    return read_crosswalk(spark, root)
+
+
 def q_outcome_split(spark, d):
     root = scratch_path(spark, "outcomes")
     write_outcomes(fx.outcomes(spark, d), root)
@@ -221,9 +235,9 @@ def q_source_availability(spark, d):
 
 def q_partition_slice(spark, d):
     root = scratch_path(spark, "by_year")
-    dated = fx.raw_order(spark, d).join(
-        fx.table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("Id"),
-                                            F.year("o_orderdate").alias("year")), "Id")
+    dated = fx.table(spark, d, "orders").select(
+        F.col("o_orderkey").cast("string").alias("Id"), F.col("o_custkey").cast("string").alias("OwnerId"),
+        "o_orderstatus", "o_totalprice", F.year("o_orderdate").alias("year"))
     dated.write.partitionBy("year").parquet(root)
     return spark.read.parquet(root).where(F.col("year") == 1997).select(
         "Id", "OwnerId", "o_orderstatus", "o_totalprice", "year")
@@ -358,6 +372,7 @@ QUERIES: dict[str, Query] = {
     "loaded_delta": q_loaded_delta,
     "id_crosswalk": q_id_crosswalk,
     "crosswalk_accumulate": q_crosswalk_accumulate,
+    "crosswalk_stream": q_crosswalk_stream,
     "outcome_split": q_outcome_split,
     "outcome_by_job": q_outcome_by_job,
     "run_reconciliation": q_run_reconciliation,
