@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferry.constants import OUTCOMES
+from ferry.operators.enrich import row_count_at_most
 
 
 def _distinct_keys(df: DataFrame, key: str, alias: str) -> DataFrame:
@@ -43,13 +44,18 @@ def duplicate_ids(df: DataFrame, key: str = "Id", count_name: str = "count") ->
 
 def loaded_delta(raw: DataFrame, success: DataFrame, raw_key: str = "Id",
                  success_key: str = "Migration_Id__c",
-                 migration_col: str = "Migration_Id__c") -> DataFrame:
+                 migration_col: str = "Migration_Id__c",
+                 broadcast_max_rows: int | None = None) -> DataFrame:
     """Raw rows that loaded successfully, with the migration id column set to the raw key.
 
     Multiplicity of the raw side is kept; a raw table that already holds ``migration_col`` gets
-    that column overwritten rather than duplicated.
+    that column overwritten rather than duplicated. ``broadcast_max_rows`` broadcasts the loaded
+    keys when the success outcomes hold at most that many rows (checked with a bounded count);
+    by default AQE decides from measured sizes.
     """
     keys = _distinct_keys(success, success_key, "__ferry_key")
+    if broadcast_max_rows is not None and row_count_at_most(success, broadcast_max_rows):
+        keys = F.broadcast(keys)
     loaded = raw.join(keys, raw[raw_key] == keys["__ferry_key"], "left_semi")
     return loaded.withColumn(migration_col, F.col(raw_key))
 

@@ -179,17 +179,18 @@ def line_links(spark: SparkSession, d: str) -> DataFrame:
 
 def document_links(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select(
-        F.concat(F.lit("C"), _s(F.pmod(F.col("doc_id"), F.lit(300)))).alias("LinkedEntityId"),
+        F.concat(F.lit("C"), _s(F.pmod(F.col("doc_id"), F.lit(25)))).alias("LinkedEntityId"),
         _s("doc_id").alias("ContentDocumentId"))
 
 
 def document_versions(spark: SparkSession, d: str) -> DataFrame:
     """Conversation turns as versions of the document with the conversation's id; the two last
-    turns are both flagged latest; titles are page urls, some null."""
+    turns are both flagged latest; titles are page urls (conversations 50 apart share one, so
+    two documents of one parent can get the same file name), some null."""
     conv = table(spark, d, "conversations")
     last = conv.groupBy("conv_id").agg(F.max("turn").alias("last_turn"))
     pages = table(spark, d, "pages").select(F.col("page_id"), F.col("url"))
-    v = conv.join(last, "conv_id").join(pages, conv["conv_id"] == pages["page_id"], "left")
+    v = conv.join(last, "conv_id").join(pages, F.pmod(conv["conv_id"], F.lit(50)) == pages["page_id"], "left")
     t = F.col("turn")
     ext = (F.when(F.pmod(t, F.lit(3)) == 0, F.lit("pdf")).when(F.pmod(t, F.lit(3)) == 1, F.lit(""))
            .otherwise(F.lit(None).cast("string")))

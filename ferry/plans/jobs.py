@@ -15,6 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ferry.constants import EXTRA_SUCCESS_COPY_OBJECTS, OBJECT_STEPS
 from ferry.functions.text import scrub_line_breaks
 from ferry.operators.documents import (
     attachment_parent_lookup,
@@ -28,10 +29,49 @@ from ferry.operators.identity import identity_match, identity_pairs
 from ferry.operators.owners import owner_matched, owner_remap, owner_unmatched_summary
 from ferry.operators.reconcile import duplicate_ids, id_crosswalk, loaded_delta, orphan_records
 from ferry.sinks.publish import publish_snapshot
+from ferry.sources.csv import read_csv
 from ferry.sources.registry import register_views
 from ferry.sources.sqltext import check_view_name, run_sql
 
 
+def object_steps(spark: SparkSession) -> DataFrame:
+    """The per-object step flags as a DataFrame ``(object_name, registered, orphan_checked,
+    stamped)``: which objects get a crosswalk view, an orphan check and a load stamp."""
+    return spark.createDataFrame(list(OBJECT_STEPS),
+                                 "object_name string, registered boolean, orphan_checked boolean, stamped boolean")
+
+
+def steps_for(object_name: str) -> dict[str, bool]:
+    for name, registered, orphan_checked, stamped in OBJECT_STEPS:
+        if name == object_name.lower():
+            return {"registered": registered, "orphan_checked": orphan_checked, "stamped": stamped}
+    return {"registered": False, "orphan_checked": False, "stamped": False}
+
+
+def crosswalk_sources(spark: SparkSession, root: str, partition_year: str | int | None = None,
+                      prefix: str = "master", objects=None) -> dict[str, Callable[[], DataFrame]]:
+    """Loaders of earlier crosswalks (or success copies with ``prefix="success"``) for every
+    registered object: view ``{prefix}_{object}`` reads ``{root}/{object}[/year=Y]``, all
+    files below it. Meant for ``transform_object(optional=...)``: a missing folder is reported,
+    not fatal."""
+    names = objects if objects is not None else [n for n, registered, _o, _s in OBJECT_STEPS if registered]
+    year = f"/year={partition_year}" if partition_year else ""
+    return {f"{prefix}_{n.lower()}": (lambda n=n: read_csv(spark, f"{root.rstrip('/')}/{n.lower()}{year}",
+                                                          recursive=True))
+            for n in names}
+
+
+def success_sources(spark: SparkSession, outcomes_root: str,
+                    objects=EXTRA_SUCCESS_COPY_OBJECTS) -> dict[str, Callable[[], DataFrame]]:
+    """Loaders of ``success_{object}`` views over the routed outcome table (the success
+    partition of each object), replacing the extra success copy the original uploaded for a
+    few objects. Partition pruning reads only that folder."""
+    root = outcomes_root.rstrip("/")
+    return {f"success_{o.lower()}": (lambda o=o: spark.read.parquet(root)
+                                     .where((F.col("object") == o.lower()) & (F.col("outcome") == "success")))
+            for o in objects}
+
+
 @dataclass
 class TransformResult:
     result: DataFrame
@@ -43,10 +83,14 @@ def transform_object(spark: SparkSession, object_name: str, sql_text: str, raw:
                      lookups: Mapping[str, Callable[[], DataFrame]] | None = None,
                      optional: Mapping[str, Callable[[], DataFrame]] | None = None,
                      source_key: str = "Id", result_key: str = "Migration_Id__c",
-                     orphan_check: bool = True, scrub: bool = True) -> TransformResult:
+                     orphan_check: bool | None = True, scrub: bool = True) -> TransformResult:
     """Register lookups (required) and earlier crosswalks (optional), register the raw object
-    under its own name, run the object's SQL, scrub line breaks, and find orphans."""
+    under its own name, run the object's SQL, scrub line breaks, and find orphans.
+
+    ``orphan_check=None`` takes the object's flag from the step config."""
     view = check_view_name(object_name.lower())
+    if orphan_check is None:
+        orphan_check = steps_for(object_name)["orphan_checked"]
     required_report = register_views(spark, lookups or {}, required=True)
     optional_report = register_views(spark, optional or {}, required=False)
     raw.createOrReplaceTempView(view)

@@ -79,7 +79,7 @@ CONTRACTS = (f"SELECT {_v('o_orderkey')} AS Id, {_v('o_custkey')} AS AccountId,
 ACCOUNTS = f"SELECT {_v('c_custkey')} AS Id, c_mktsegment AS Status FROM customer"
 LINE_LINKS = (f"SELECT {_v('l_orderkey')} AS LinkedEntityId, {_v('l_orderkey')} || '-' || {_v('l_linenumber')} "
               "AS ContentDocumentId FROM lineitem")
-DOCUMENT_LINKS = (f"SELECT 'C' || {_v('doc_id % 300')} AS LinkedEntityId, {_v('doc_id')} AS ContentDocumentId "
+DOCUMENT_LINKS = (f"SELECT 'C' || {_v('doc_id % 25')} AS LinkedEntityId, {_v('doc_id')} AS ContentDocumentId "
                   "FROM documents")
 DOCUMENT_VERSIONS = (
     f"SELECT {_v('c.conv_id')} || '-' || lpad({_v('c.turn')}, 3, '0') AS Id, {_v('c.conv_id')} AS ContentDocumentId, "
@@ -87,7 +87,7 @@ DOCUMENT_VERSIONS = (
     "CASE c.turn % 3 WHEN 0 THEN 'pdf' WHEN 1 THEN '' ELSE NULL END AS FileExtension, "
     "c.turn >= m.last_turn - 1 AS IsLatest "
     "FROM conversations c JOIN (SELECT conv_id, max(turn) AS last_turn FROM conversations GROUP BY conv_id) m "
-    "ON c.conv_id = m.conv_id LEFT JOIN pages p ON c.conv_id = p.page_id")
+    "ON c.conv_id = m.conv_id LEFT JOIN pages p ON c.conv_id % 50 = p.page_id")
 PAGE_ATTACHMENTS = (f"SELECT 'A' || {_v('page_id')} AS Id, {_v('page_id % 20')} AS ParentId, url AS Name FROM pages")
 CONTRACT_PARENTS = (f"SELECT 'P' || lpad({_v('c_custkey')}, 6, '0') AS Id, {_v('c_custkey % 17')} AS Migration_Id__c "
                     "FROM customer")

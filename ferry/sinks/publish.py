@@ -28,8 +28,14 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", quote_all: bool
 
 
 def publish_snapshot(df: DataFrame, root: str, run_id: str, fmt: str = "parquet",
-                     single_file: bool = False) -> str:
-    """Write ``df`` as run ``run_id`` below ``root``; refuses to overwrite an existing run."""
+                     single_file: bool = False, skip_if_empty: bool = False) -> str | None:
+    """Write ``df`` as run ``run_id`` below ``root``; refuses to overwrite an existing run.
+
+    ``skip_if_empty`` checks for a first row (a bounded job) and writes nothing, returning
+    ``None``, when there is none.
+    """
+    if skip_if_empty and df.isEmpty():
+        return None
     path = f"{root.rstrip('/')}/run_id={run_id}"
     out = df.repartition(1) if single_file else df
     writer = out.write.mode("errorifexists").format(fmt)

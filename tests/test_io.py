@@ -171,3 +171,32 @@ def test_metadata_from_schema(spark):
     df = spark.createDataFrame([(1, "a")], "x int, y string")
     m = metadata_from_schema(spark, df, compound={"y": "Addr"}, types={"x": "id"})
     assert [tuple(r) for r in m.collect()] == [(0, "x", "id", None), (1, "y", "string", "Addr")]
+
+
+def test_object_steps_and_sources(spark, tmp_dir):
+    from ferry.plans.jobs import crosswalk_sources, object_steps, steps_for, success_sources
+    steps = {r.object_name: r for r in object_steps(spark).collect()}
+    assert len(steps) == 38
+    assert sum(r.registered for r in steps.values()) == 36
+    assert sum(r.orphan_checked for r in steps.values()) == 36
+    assert sum(r.stamped for r in steps.values()) == 37
+    assert steps_for("Account") == {"registered": True, "orphan_checked": True, "stamped": True}
+    assert steps_for("zuora__product__c")["orphan_checked"] is False
+    write_csv(spark.createDataFrame([("1", "1", "A")], "Id string, Migration_Id__c string, sf__Id string"),
+              f"{tmp_dir}/prod/account/run1")
+    report = register_views(spark, crosswalk_sources(spark, f"{tmp_dir}/prod", objects=["account", "lead"]),
+                            required=False)
+    assert {r.name: r.status for r in report.collect()} == {"master_account": "registered", "master_lead": "missing"}
+    assert spark.table("master_account").count() == 1
+    out = spark.createDataFrame([("account", "success", "1"), ("account", "error", "2"), ("lead", "success", "3")],
+                                "object string, outcome string, source_id string")
+    write_outcomes(out, f"{tmp_dir}/outcomes")
+    register_views(spark, success_sources(spark, f"{tmp_dir}/outcomes"))
+    assert [r.source_id for r in spark.table("success_account").collect()] == ["1"]
+    assert spark.table("success_contact").count() == 0
+
+
+def test_publish_skip_if_empty(spark, tmp_dir):
+    empty = spark.createDataFrame([], "x int")
+    assert publish_snapshot(empty, f"{tmp_dir}/e", "r1", skip_if_empty=True) is None
+    assert not os.path.exists(f"{tmp_dir}/e")
