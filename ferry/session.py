@@ -43,7 +43,13 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, creating a private one only when none is set."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext; use the setting as it is
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -8,6 +8,7 @@ default options both null and ``''`` come back as null, and the writer strips ou
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,13 +65,29 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
     return read_csv(spark, path).columns
 
 
+def headers_of(spark: SparkSession, paths: Sequence[str], fmt: str = "csv",
+               threads: int = 16) -> list[list[str]]:
+    """Headers of many files (the first record of a CSV file, the footer of a Parquet file).
+    Each read is a small job; the jobs are submitted from a few driver threads at once so that
+    thousands of folders do not queue behind each other."""
+    def one(p: str) -> list[str]:
+        return header_of(spark, p) if fmt == "csv" else spark.read.format(fmt).load(p).columns
+
+    if len(paths) <= 1:
+        return [one(p) for p in paths]
+    with ThreadPoolExecutor(max_workers=min(threads, len(paths))) as pool:
+        return list(pool.map(one, paths))
+
+
 def union_by_header(spark: SparkSession, root: str, glob: str | None = "*.csv") -> DataFrame:
     """Read every CSV file below ``root`` as one table, matching columns by header name.
 
-    Files are grouped by directory (one writer, one header). Each group is read with the header of
-    its first file as the schema and with Spark's header check on, so a file whose columns are in
-    another order fails loudly instead of landing in the wrong columns. Groups are then combined
-    with ``unionByName(allowMissingColumns=True)``. Only the directory list reaches the driver.
+    Files are grouped by directory (one writer, one header): the header of each directory's first
+    file is read, and directories with the same header are read together by one scan, with the
+    header as schema and Spark's header check on, so a file whose columns are in another order
+    fails loudly instead of landing in the wrong columns. The scans (one per distinct header) are
+    combined with ``unionByName(allowMissingColumns=True)``. Only directory names and headers
+    reach the driver.
     """
     files = list_files(spark, root, glob)
     groups = (files.where(F.col("length") > 0)
@@ -79,10 +96,13 @@ def union_by_header(spark: SparkSession, root: str, glob: str | None = "*.csv")
               .orderBy("dir").collect())
     if not groups:
         raise FileNotFoundError(f"no CSV file below {root}")
+    headers = headers_of(spark, [g["first"] for g in groups])
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for g, names in zip(groups, headers):
+        by_header.setdefault(tuple(names), []).append(f"{g['dir']}/{glob or '*'}")
     out: DataFrame | None = None
-    for g in groups:
-        names = header_of(spark, g["first"])
+    for names, dirs in by_header.items():
         schema = StructType([StructField(n, StringType()) for n in names])
-        part = read_csv(spark, f"{g['dir']}/{glob or '*'}", schema=schema, check_header=True)
+        part = read_csv(spark, dirs, schema=schema, check_header=True)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out

@@ -12,7 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferry.sources.csv import list_files, read_csv
+from ferry.sources.csv import headers_of, list_files
 
 CATALOG_SCHEMA = "object_name string, position int, column_name string"
 
@@ -29,13 +29,8 @@ def header_catalog(spark: SparkSession, root: str, fmt: str = "csv",
         files = files.withColumn("folder", F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1))
     firsts = (files.groupBy("folder").agg(F.min("path").alias("first"))
               .orderBy("folder").collect())
-    rows = []
-    for r in firsts:
-        if fmt == "csv":
-            names = read_csv(spark, r["first"]).columns
-        else:
-            names = spark.read.format(fmt).load(r["first"]).columns
-        rows.extend((r["folder"], i + 1, n) for i, n in enumerate(names))
+    headers = headers_of(spark, [r["first"] for r in firsts], fmt)
+    rows = [(r["folder"], i + 1, n) for r, names in zip(firsts, headers) for i, n in enumerate(names)]
     if not rows:
         raise FileNotFoundError(f"no {fmt} header found below {root}")
     return spark.createDataFrame(rows, CATALOG_SCHEMA)
