@@ -37,8 +37,9 @@ def scrub_line_breaks(df: DataFrame, chars: str = LINE_BREAK_CHARS,
 
 
 def strip_extension(title: str | Column) -> Column:
-    """Drop a final ``.xyz`` / ``.wxyz`` (word characters, Unicode-aware), then outer white space."""
-    no_ext = F.regexp_replace(_col(title), r"(?U)\.\w{3,4}$", "")
+    """Drop a final ``.xyz`` / ``.wxyz`` (word characters, Unicode-aware; ``$`` also before a
+    final line feed, and only a line feed), then outer white space."""
+    no_ext = F.regexp_replace(_col(title), r"(?dU)\.\w{3,4}$", "")
     return F.regexp_replace(no_ext, r"(?U)^\s+|\s+$", "")
 
 
