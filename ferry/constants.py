@@ -37,26 +37,51 @@ LINE_BREAK_CHARS = "\n\r"
 LINE_BREAK_REPLACEMENT = " "
 
 # --- fixed values: objects and the steps that apply to them --------------------------------
-# One row per object: (name, registered as a crosswalk view, orphan-checked, stamped at load).
-# The three lists of the original jobs differ slightly; the flags keep those differences.
-_COMMON = (
+# Objects whose earlier crosswalk is registered as a view for the transforms.
+REGISTERED_OBJECTS = (
     "account", "contact", "opportunity", "lead", "product2", "opportunitylineitem",
     "partnercommissionsummary__c", "store__c", "storecontactrole__c", "salesreferral__c",
-    "opportunitystoreassociation__c", "task", "case", "ironclad__ironclad_contract__c", "event",
-    "campaign", "certification__c", "invoicetransaction__c", "deal_registration__c", "project__c",
-    "projectrole__c", "getfeedback_aut__survey__c", "getfeedback_aut__response__c",
-    "projectproduct__c", "campaignmember", "ironclad__ironclad_workflow__c",
-    "ironclad__ironclad_signature__c", "billingaccount__c", "emailmessage", "partnerapp__c",
-    "partnercommissionpayment__c", "partnerpayment__c", "partnercommissioninvoicetransaction__c",
-    "product_account__c", "subscription__c",
+    "zuora__product__c", "opportunitystoreassociation__c", "task", "case",
+    "ironclad__ironclad_contract__c", "event", "campaign", "certification__c",
+    "invoicetransaction__c", "deal_registration__c", "project__c", "projectrole__c",
+    "getfeedback_aut__survey__c", "getfeedback_aut__response__c", "projectproduct__c",
+    "campaignmember", "ironclad__ironclad_workflow__c", "ironclad__ironclad_signature__c",
+    "billingaccount__c", "emailmessage", "partnerapp__c", "partnercommissionpayment__c",
+    "partnerpayment__c", "partnercommissioninvoicetransaction__c", "product_account__c",
+    "subscription__c",
 )
+# Objects whose transform is checked for orphaned source records.
+ORPHAN_CHECKED_OBJECTS = (
+    "account", "contact", "opportunity", "lead", "product2", "opportunitylineitem",
+    "partnercommissionsummary__c", "accountteammember", "store__c", "storecontactrole__c",
+    "salesreferral__c", "opportunitystoreassociation__c", "task", "case",
+    "ironclad__ironclad_contract__c", "event", "campaign", "certification__c",
+    "invoicetransaction__c", "deal_registration__c", "project__c", "projectrole__c",
+    "getfeedback_aut__survey__c", "getfeedback_aut__response__c", "projectproduct__c",
+    "campaignmember", "ironclad__ironclad_workflow__c", "ironclad__ironclad_signature__c",
+    "billingaccount__c", "emailmessage", "partnerapp__c", "partnercommissionpayment__c",
+    "partnerpayment__c", "partnercommissioninvoicetransaction__c", "product_account__c",
+    "subscription__c",
+)
+# Objects that get a load-time stamp.
+STAMPED_OBJECTS = (
+    "account", "lead", "opportunity", "contact", "product2", "opportunitylineitem",
+    "partnercommissionsummary__c", "accountteammember", "store__c", "storecontactrole__c",
+    "salesreferral__c", "opportunitystoreassociation__c", "task", "ironclad__ironclad_contract__c",
+    "event", "campaign", "certification__c", "invoicetransaction__c", "deal_registration__c",
+    "project__c", "getfeedback_aut__survey__c", "getfeedback_aut__answer__c",
+    "getfeedback_aut__response__c", "projectrole__c", "projectproduct__c",
+    "ironclad__ironclad_workflow__c", "ironclad__ironclad_signature__c", "campaignmember", "case",
+    "billingaccount__c", "emailmessage", "partnerapp__c", "partnercommissionpayment__c",
+    "partnerpayment__c", "partnercommissioninvoicetransaction__c", "product_account__c",
+    "subscription__c",
+)
+
+# One row per object with a flag for each step (derived from the three lists above):
+# (name, registered as a crosswalk view, orphan-checked, stamped at load).
 OBJECT_STEPS = tuple(
-    [(name, True, True, True) for name in _COMMON]
-    + [
-        ("zuora__product__c", True, False, False),
-        ("accountteammember", False, True, True),
-        ("getfeedback_aut__answer__c", False, False, True),
-    ]
+    (name, name in REGISTERED_OBJECTS, name in ORPHAN_CHECKED_OBJECTS, name in STAMPED_OBJECTS)
+    for name in dict.fromkeys(REGISTERED_OBJECTS + ORPHAN_CHECKED_OBJECTS + STAMPED_OBJECTS)
 )
 # Objects whose success outcomes get an extra copy for the next transform's lookups.
 EXTRA_SUCCESS_COPY_OBJECTS = ("account", "contact")

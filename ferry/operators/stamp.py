@@ -13,11 +13,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferry.constants import OBJECT_STEPS
+from ferry.constants import STAMPED_OBJECTS
 from ferry.functions.text import utc_millis_stamp
 
-STAMPED_OBJECTS = tuple(name for name, _reg, _orph, stamped in OBJECT_STEPS if stamped)
-
 
 def stamp_load_time(df: DataFrame, object_name: str, run_ts: datetime,
                     column: str = "Migrated_Date__c",

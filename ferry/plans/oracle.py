@@ -216,10 +216,11 @@ ORACLE: dict[str, str] = {
     "outcome_by_job": _with(outcomes=OUTCOMES) +
         "SELECT job_id, outcome, count(*) AS records FROM outcomes GROUP BY job_id, outcome",
     "run_reconciliation": _with(raw_order=RAW_ORDER, outcomes=OUTCOMES) +
-        "SELECT i.n AS input, o.s AS success, o.e AS errors, o.u AS unprocessed, i.n - o.s - o.e - o.u AS gap "
-        "FROM (SELECT count(*) AS n FROM raw_order) i, (SELECT count(*) FILTER (WHERE outcome = 'success') AS s, "
-        "count(*) FILTER (WHERE outcome = 'error') AS e, count(*) FILTER (WHERE outcome = 'unprocessed') AS u "
-        "FROM outcomes) o",
+        "SELECT t.input, t.success, t.errors, t.unprocessed, t.input - t.success - t.errors - t.unprocessed AS gap "
+        "FROM (SELECT (SELECT count(*) FROM raw_order) AS input, "
+        "(SELECT count(*) FROM outcomes WHERE outcome = 'success') AS success, "
+        "(SELECT count(*) FROM outcomes WHERE outcome = 'error') AS errors, "
+        "(SELECT count(*) FROM outcomes WHERE outcome = 'unprocessed') AS unprocessed) t",
     "batch_assignment":
         "SELECT o_orderkey, o_custkey, o_orderstatus, "
         "CAST((row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS BIGINT) AS batch_id FROM orders",

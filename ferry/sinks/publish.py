@@ -1,8 +1,9 @@
 """Writers: CSV dialects, run-versioned snapshots, routed outcomes, and an accumulating crosswalk.
 
-Publishing never deletes or overwrites the folder it may be reading: each run writes a new
+Publishing never deletes or overwrites the folder it may be reading: each run writes its own
 ``run_id=<id>`` partition, "current" is the highest run id and "previous" the one before it. A
-failed write therefore leaves the previous current in place. Files are not forced into one: a
+failed write therefore leaves the previous current in place, and re-running a run id (a retried
+job) replaces only that run's own folder, so a retry is idempotent. Files are not forced into one: a
 single output file (``single_file=True``) costs one task for the final stage; it uses a shuffle
 (``repartition(1)``) so that the upstream work keeps its parallelism, unlike ``coalesce(1)``.
 """
@@ -29,7 +30,8 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", quote_all: bool
 
 def publish_snapshot(df: DataFrame, root: str, run_id: str, fmt: str = "parquet",
                      single_file: bool = False, skip_if_empty: bool = False) -> str | None:
-    """Write ``df`` as run ``run_id`` below ``root``; refuses to overwrite an existing run.
+    """Write ``df`` as run ``run_id`` below ``root`` (replacing only that run's folder if a
+    retried job wrote it before).
 
     ``skip_if_empty`` checks for a first row (a bounded job) and writes nothing, returning
     ``None``, when there is none.
@@ -38,7 +40,7 @@ def publish_snapshot(df: DataFrame, root: str, run_id: str, fmt: str = "parquet"
         return None
     path = f"{root.rstrip('/')}/run_id={run_id}"
     out = df.repartition(1) if single_file else df
-    writer = out.write.mode("errorifexists").format(fmt)
+    writer = out.write.mode("overwrite").format(fmt)
     if fmt == "csv":
         writer = writer.options(**{k: v for k, v in QUOTED_DIALECT.items() if k != "multiLine"})
     writer.save(path)

@@ -111,15 +111,17 @@ def test_register_views_reports_missing(spark, tmp_dir):
         register_views(spark, {"absent_view": lambda: spark.read.parquet(f"{tmp_dir}/missing")})
 
 
-def test_snapshots_current_previous_and_no_overwrite(spark, tmp_dir):
+def test_snapshots_current_previous_and_idempotent_rerun(spark, tmp_dir):
     root = f"{tmp_dir}/snap"
     publish_snapshot(spark.createDataFrame([(1,)], "x int"), root, "20250101_000000")
     publish_snapshot(spark.createDataFrame([(2,), (3,)], "x int"), root, "20250102_000000")
     assert run_ids(spark, root) == ["20250101_000000", "20250102_000000"]
     assert sorted(r.x for r in read_run(spark, root, "current").collect()) == [2, 3]
     assert [r.x for r in read_run(spark, root, "previous").collect()] == [1]
-    with pytest.raises(AnalysisException):
-        publish_snapshot(spark.createDataFrame([(9,)], "x int"), root, "20250102_000000")
+    # a retried run replaces its own folder only
+    publish_snapshot(spark.createDataFrame([(2,), (3,)], "x int"), root, "20250102_000000")
+    assert sorted(r.x for r in read_run(spark, root, "current").collect()) == [2, 3]
+    assert [r.x for r in read_run(spark, root, "previous").collect()] == [1]
 
 
 def test_crosswalk_accumulates_across_runs(spark, tmp_dir):
