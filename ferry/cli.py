@@ -72,7 +72,8 @@ def run(args: argparse.Namespace, spark: SparkSession) -> dict:
     if args.job == "transform":
         text = read_sql_text(spark, args.sql if args.sql.endswith(".sql") else sql_path(args.sql, args.object))
         lookups = {n: (lambda p=p: _read(spark, p)) for n, p in _pairs(args.lookup).items()}
-        optional = crosswalk_sources(spark, args.crosswalk_root, args.year) if args.crosswalk_root else {}
+        optional = (crosswalk_sources(spark, args.crosswalk_root, args.year, fmt=args.crosswalk_format)
+                    if args.crosswalk_root else {})
         tr = transform_object(spark, args.object, text, _read(spark, args.raw, args.year),
                               lookups=lookups, optional=optional,
                               orphan_check={"auto": None, "yes": True, "no": False}[args.orphan_check])
@@ -130,7 +131,8 @@ def parser() -> argparse.ArgumentParser:
 
     t = job("transform", "object", "sql", "raw")
     t.add_argument("--lookup", action="append", help="view=path, repeatable")
-    t.add_argument("--crosswalk-root")
+    t.add_argument("--crosswalk-root", help="folder of earlier crosswalks, one sub-folder per object")
+    t.add_argument("--crosswalk-format", default="parquet", choices=["parquet", "csv"])
     t.add_argument("--year")
     t.add_argument("--orphan-check", default="auto", choices=["auto", "yes", "no"],
                    help="auto: as the object's step config says")

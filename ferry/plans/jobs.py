@@ -28,7 +28,7 @@ from ferry.operators.documents import (
 from ferry.operators.identity import identity_match, identity_pairs
 from ferry.operators.owners import owner_matched, owner_remap, owner_unmatched_summary
 from ferry.operators.reconcile import duplicate_ids, id_crosswalk, loaded_delta, orphan_records
-from ferry.sinks.publish import publish_snapshot
+from ferry.sinks.publish import publish_snapshot, read_crosswalk
 from ferry.sources.csv import read_csv
 from ferry.sources.registry import register_views
 from ferry.sources.sqltext import check_view_name, run_sql
@@ -49,16 +49,22 @@ def steps_for(object_name: str) -> dict[str, bool]:
 
 
 def crosswalk_sources(spark: SparkSession, root: str, partition_year: str | int | None = None,
-                      prefix: str = "master", objects=None) -> dict[str, Callable[[], DataFrame]]:
-    """Loaders of earlier crosswalks (or success copies with ``prefix="success"``) for every
-    registered object: view ``{prefix}_{object}`` reads ``{root}/{object}[/year=Y]``, all
-    files below it. Meant for ``transform_object(optional=...)``: a missing folder is reported,
-    not fatal."""
+                      prefix: str = "master", objects=None, fmt: str = "parquet") -> dict[str, Callable[[], DataFrame]]:
+    """Loaders of earlier crosswalks for every registered object: view ``{prefix}_{object}``
+    reads ``{root}/{object}[/year=Y]``. ``fmt="parquet"`` reads the run folders that
+    ``append_crosswalk`` publishes (all runs, one row per distinct pair); ``fmt="csv"`` reads
+    every CSV file below the folder. Meant for ``transform_object(optional=...)``: a missing
+    folder is reported, not fatal."""
     names = objects if objects is not None else [n for n, registered, _o, _s in OBJECT_STEPS if registered]
     year = f"/year={partition_year}" if partition_year else ""
-    return {f"{prefix}_{n.lower()}": (lambda n=n: read_csv(spark, f"{root.rstrip('/')}/{n.lower()}{year}",
-                                                          recursive=True))
-            for n in names}
+
+    def loader(name: str) -> Callable[[], DataFrame]:
+        path = f"{root.rstrip('/')}/{name.lower()}{year}"
+        if fmt == "parquet":
+            return lambda: read_crosswalk(spark, path)
+        return lambda: read_csv(spark, path, recursive=True)
+
+    return {f"{prefix}_{n.lower()}": loader(n) for n in names}
 
 
 def success_sources(spark: SparkSession, outcomes_root: str,

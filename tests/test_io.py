@@ -186,8 +186,8 @@ def test_object_steps_and_sources(spark, tmp_dir):
     assert steps_for("zuora__product__c")["orphan_checked"] is False
     write_csv(spark.createDataFrame([("1", "1", "A")], "Id string, Migration_Id__c string, sf__Id string"),
               f"{tmp_dir}/prod/account/run1")
-    report = register_views(spark, crosswalk_sources(spark, f"{tmp_dir}/prod", objects=["account", "lead"]),
-                            required=False)
+    report = register_views(spark, crosswalk_sources(spark, f"{tmp_dir}/prod", objects=["account", "lead"],
+                                                     fmt="csv"), required=False)
     assert {r.name: r.status for r in report.collect()} == {"master_account": "registered", "master_lead": "missing"}
     assert spark.table("master_account").count() == 1
     out = spark.createDataFrame([("account", "success", "1"), ("account", "error", "2"), ("lead", "success", "3")],
