@@ -24,6 +24,25 @@ DEFAULT_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized for a job reading ``input_bytes`` on ``total_cores`` executor cores.
+
+    Scan splits and post-shuffle partitions aim at ``target_partition_bytes`` (a size a task
+    sorts or hashes in memory without heavy spill); the initial shuffle partition count is large
+    enough for that and at least twice the cores, and AQE coalesces what turns out smaller. A
+    partition over 4x the median and over 1 GiB counts as skewed and is split.
+    """
+    partitions = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+    }
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "ferry", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
