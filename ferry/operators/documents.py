@@ -13,7 +13,7 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
+from pyspark.sql.types import BooleanType, DateType, TimestampNTZType, TimestampType
 
 from ferry.constants import (
     ATTACHMENT_CONTENT_TYPE,
@@ -43,6 +43,14 @@ def on_or_before_day(df: DataFrame, col_name: str, day: str | date) -> Column:
     return F.to_date(F.col(col_name)) <= F.lit(d)
 
 
+def _flag(df: DataFrame, col_name: str) -> Column:
+    """A boolean column as a predicate; text flags (as read from CSV) are true when they read
+    ``true`` in any case, with blanks around them ignored."""
+    if isinstance(df.schema[col_name].dataType, BooleanType):
+        return F.col(col_name)
+    return F.lower(F.trim(F.col(col_name).cast("string"))) == F.lit("true")
+
+
 def eligible_contracts(contracts: DataFrame, accounts: DataFrame, account_link_col: str,
                        account_id_col: str, account_status_col: str, created_col: str,
                        statuses: Sequence[str] = ELIGIBLE_ACCOUNT_STATUSES,
@@ -75,7 +83,7 @@ def latest_version_manifest(links: DataFrame, versions: DataFrame, link_entity_c
     ``status`` is ``failed`` when the title is null (the original failed on such a title) and
     ``ready`` otherwise.
     """
-    v = versions if latest_col is None else versions.where(F.col(latest_col))
+    v = versions if latest_col is None else versions.where(_flag(versions, latest_col))
     current = (v.groupBy(F.col(version_document_col).alias("content_document_id"))
                .agg(F.min(F.struct(F.col(version_id_col).alias("version_id"),
                                    F.col(title_col).alias("title"),

@@ -52,3 +52,32 @@ def test_cli_jobs(spark, tmp_dir):
     c = main(["batches", "--input", raw, "--order-by", "Id", "--size", "100", "--out", out, "--run-id", "r1",
               "--format", "parquet"], spark)
     assert c["rows"] == n_raw
+
+
+def test_cli_documents_and_reconcile(spark, tmp_dir):
+    from ferry.sinks.publish import write_outcomes
+    paths = {}
+    for name, fn in (("contracts", fx.contracts), ("accounts", fx.accounts), ("links", fx.document_links),
+                     ("versions", fx.document_versions), ("parents", fx.contract_parents)):
+        paths[name] = f"{tmp_dir}/{name}"
+        write_csv(fn(spark, SF), paths[name])
+    # the document links point at contract ids: make every other one eligible via its account
+    out = f"{tmp_dir}/out"
+    c = main(["manifest", "--contracts", paths["contracts"], "--accounts", paths["accounts"], "--links", paths["links"],
+              "--versions", paths["versions"], "--out", out, "--run-id", "r1"], spark)
+    assert c["documents"] >= 0
+
+    files = f"{tmp_dir}/files"
+    os.makedirs(files)
+    for name, body in (("3_a.pdf", b"%PDF-1"), ("19_b.pdf", b"%PDF-2"), ("nounderscore", b"x")):
+        with open(f"{files}/{name}", "wb") as fh:
+            fh.write(body)
+    c = main(["attachments", "--files", files, "--parents", paths["parents"], "--out", out, "--run-id", "r1"], spark)
+    assert c["payload"] == 1 and c["summary"] == {"ready": 1, "no_parent": 2}
+
+    raw = f"{tmp_dir}/raw"
+    write_csv(fx.raw_order(spark, SF), raw)
+    write_outcomes(fx.outcomes(spark, SF), f"{tmp_dir}/outcomes")
+    c = main(["reconcile", "--input", raw, "--outcomes", f"{tmp_dir}/outcomes", "--out", out], spark)
+    assert c["totals"]["gap"] == 0 and c["totals"]["input"] == fx.raw_order(spark, SF).count()
+    assert sum(r["records"] for r in c["by_job"]) == c["totals"]["input"]

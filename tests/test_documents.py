@@ -104,3 +104,16 @@ def test_attachment_payload_and_summary(spark):
     sfiles = spark.createDataFrame([("K1_t.txt", "hé")], "file_name string, content string")
     body = attachment_payload(attachment_parent_lookup(sfiles, parents, keep_cols=["content"])).first().Body
     assert body == "aMOp"
+
+
+def test_manifest_from_text_columns(spark):
+    # everything read from CSV is text: the latest flag and dates arrive as strings
+    versions = spark.createDataFrame([("V1", "D1", "A.pdf", "pdf", "TRUE"), ("V2", "D1", "B", "pdf", "false")],
+                                     "Id string, ContentDocumentId string, Title string, FileExtension string, IsLatest string")
+    links = spark.createDataFrame([("E1", "D1")], "LinkedEntityId string, ContentDocumentId string")
+    assert [r.file_name for r in latest_version_manifest(links, versions).collect()] == ["E1_A.pdf"]
+    contracts = spark.createDataFrame([("E1", "A1", "2025-11-20T23:00:00.000+0000"), ("E2", "A1", "2025-11-21T00:00:00.000+0000")],
+                                      "Id string, AccountId string, CreatedDate string")
+    accounts = spark.createDataFrame([("A1", "Migrated-PROD")], "Id string, Status string")
+    out = eligible_contracts(contracts, accounts, "AccountId", "Id", "Status", "CreatedDate")
+    assert [r.Id for r in out.collect()] == ["E1"]
