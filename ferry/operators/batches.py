@@ -3,17 +3,19 @@
 A global ``row_number()`` moves every row into one task. Instead:
 
 1. range-partition on the order keys plus a deterministic tie-break (a hot key value is split
-   over several ranges, because the tie-break takes part in the range bounds), sort inside each
-   range, and checkpoint that to the shared checkpoint folder. The checkpoint fixes which row
-   sits in which range at which position, for every later action and every task retry; two
-   independent evaluations of a range exchange could draw different bounds.
-2. count rows per range: one row per range, at most ``num_ranges`` values on the driver,
-3. global position = offset of the range (a literal array) + position inside the range
-   (``monotonically_increasing_id`` keeps the range index in its upper bits and the position
-   in the lower 33 bits); batch = position div batch_size.
-
-The order is total (keys, then a hash of the whole row; equal rows are interchangeable), so the
-numbering is deterministic.
+   over several ranges, because the tie-break takes part in the range bounds) and sort inside
+   each range. In the same task, each row gets its range index and its position inside the range
+   (``monotonically_increasing_id`` counts rows within a task), and the rows are written as a
+   Parquet table below the shared checkpoint folder. The written table fixes, for every later
+   action and every retry, which row sits where; two independent evaluations of a range exchange
+   could draw different bounds, so nothing downstream re-evaluates it.
+2. count rows per range from that table (only the range column is read): at most ``num_ranges``
+   numbers reach the driver and become offsets,
+3. global position = offset of the range (a literal array) + position inside the range;
+   batch = position div batch_size.
+
+The order is total (keys, then a hash of the whole row; equal rows are interchangeable), so a
+retried task writes the same positions.
 """
 
 from __future__ import annotations
@@ -24,39 +26,46 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferry.constants import BULK_BATCH_SIZE
-from ferry.session import ensure_checkpoint_dir
+from ferry.session import scratch_path
 
 _LOW_BITS = (1 << 33) - 1
 
 
 def assign_batches(df: DataFrame, order_cols: Sequence[str], batch_size: int = BULK_BATCH_SIZE,
                    num_ranges: int | None = None, batch_col: str = "batch_id",
-                   position_col: str | None = None) -> DataFrame:
+                   position_col: str | None = None, work_path: str | None = None) -> DataFrame:
+    """Add ``batch_col`` (0-based batch of ``batch_size`` rows in order of ``order_cols``) and
+    optionally ``position_col`` (1-based position). ``work_path`` is where the ranged rows are
+    written (default: a fresh folder below the session's checkpoint folder)."""
     if batch_size <= 0:
         raise ValueError("batch_size must be positive")
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     if num_ranges is None:
         num_ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = list(df.columns)
-    tie = F.xxhash64(*[F.col(f"`{c}`") for c in cols]).alias("__ferry_tie")
+    quoted = [F.col(f"`{c}`") for c in cols]
+    tie = F.xxhash64(*quoted).alias("__ferry_tie")
     order = [F.col(f"`{c}`") for c in order_cols] + [F.col("__ferry_tie")]
+    mid = F.monotonically_increasing_id()
     ranged = (df.select("*", tie)
               .repartitionByRange(num_ranges, *order)
               .sortWithinPartitions(*order)
-              .checkpoint(eager=True))
-    counts = dict(ranged.groupBy(F.spark_partition_id().alias("r"))
-                  .agg(F.count(F.lit(1)).alias("n")).collect())
+              .select(*quoted, F.spark_partition_id().alias("__ferry_range"),
+                      mid.bitwiseAND(F.lit(_LOW_BITS)).alias("__ferry_local")))
+    path = work_path or scratch_path(spark, "batches")
+    ranged.write.mode("overwrite").parquet(path)
+    written = spark.read.parquet(path)
+
+    counts = dict(written.groupBy("__ferry_range").agg(F.count(F.lit(1)).alias("n")).collect())
     offsets, running = [], 0
     for r in range(max(counts, default=-1) + 1):
         offsets.append(running)
         running += int(counts.get(r, 0))
-    mid = F.monotonically_increasing_id()
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets] or [F.lit(0).cast("long")]),
-                          (F.shiftright(mid, 33) + F.lit(1)).cast("int"))
-    pos = (offset + mid.bitwiseAND(F.lit(_LOW_BITS))).alias("__ferry_pos")
-    numbered = ranged.select(*[F.col(f"`{c}`") for c in cols], pos)
+    offset = F.element_at(F.array(*([F.lit(o).cast("long") for o in offsets] or [F.lit(0).cast("long")])),
+                          (F.col("__ferry_range") + F.lit(1)).cast("int"))
+    pos = (offset + F.col("__ferry_local")).alias("__ferry_pos")
+    numbered = written.select(*quoted, pos)
     extra = [F.expr(f"__ferry_pos div {int(batch_size)}").cast("long").alias(batch_col)]
     if position_col:
         extra.append((F.col("__ferry_pos") + F.lit(1)).cast("long").alias(position_col))
-    return numbered.select(*[F.col(f"`{c}`") for c in cols], *extra)
+    return numbered.select(*quoted, *extra)

@@ -2,8 +2,8 @@
 remap owners, build document manifests and attachment uploads.
 
 Each returns DataFrames (lazy); ``publish_*`` helpers write them with one evaluation of the
-expensive part (the result is persisted between the writes that share it, and row counts come
-from ``observe`` during the writes rather than from extra ``count()`` jobs).
+expensive part (a later output that depends on an earlier one reads the written table back, and
+row counts come from ``observe`` during the writes rather than from extra ``count()`` jobs).
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,6 +82,7 @@ class TransformResult:
     result: DataFrame
     orphans: DataFrame | None
     sources: DataFrame
+    raw: DataFrame
 
 
 def transform_object(spark: SparkSession, object_name: str, sql_text: str, raw: DataFrame,
@@ -108,28 +108,36 @@ def transform_object(spark: SparkSession, object_name: str, sql_text: str, raw:
         if result_key not in result.columns:
             raise ValueError(f"the SQL of {object_name} must return a {result_key} column")
         orphans = orphan_records(raw, result, source_key, result_key)
-    return TransformResult(result, orphans, required_report.unionByName(optional_report))
+    return TransformResult(result, orphans, required_report.unionByName(optional_report), raw)
 
 
 def publish_transform(tr: TransformResult, root: str, object_name: str, run_id: str,
-                      fmt: str = "csv") -> dict[str, int]:
-    """Write the transformed rows and the orphans as run ``run_id``; the SQL runs once."""
+                      fmt: str = "csv", source_key: str = "Id",
+                      result_key: str = "Migration_Id__c") -> dict[str, int]:
+    """Write the transformed rows, then the orphans, as run ``run_id``; the SQL runs once.
+
+    The orphan check reads the key column back from the table just written (in the shared
+    output folder) instead of evaluating the SQL a second time or caching it on executors.
+    Row counts come from ``observe`` during the writes.
+    """
     obj = object_name.lower()
-    result = tr.result.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        counts: dict[str, int] = {}
-        obs = Observation("transformed")
-        publish_snapshot(result.observe(obs, F.count(F.lit(1)).alias("rows")),
-                         f"{root}/transformed/{obj}", run_id, fmt)
-        counts["transformed"] = obs.get["rows"]
-        if tr.orphans is not None:
-            obs_o = Observation("orphaned")
-            publish_snapshot(tr.orphans.observe(obs_o, F.count(F.lit(1)).alias("rows")),
-                             f"{root}/orphaned/{obj}", run_id, fmt)
-            counts["orphaned"] = obs_o.get["rows"]
-        return counts
-    finally:
-        result.unpersist()
+    counts: dict[str, int] = {}
+    obs = Observation("transformed")
+    path = publish_snapshot(tr.result.observe(obs, F.count(F.lit(1)).alias("rows")),
+                            f"{root}/transformed/{obj}", run_id, fmt)
+    counts["transformed"] = obs.get["rows"]
+    if tr.orphans is not None:
+        written = read_csv(spark_of(tr.result), path) if fmt == "csv" else spark_of(tr.result).read.format(fmt).load(path)
+        orphans = orphan_records(tr.raw, written.select(result_key), source_key, result_key)
+        obs_o = Observation("orphaned")
+        publish_snapshot(orphans.observe(obs_o, F.count(F.lit(1)).alias("rows")),
+                         f"{root}/orphaned/{obj}", run_id, fmt)
+        counts["orphaned"] = obs_o.get["rows"]
+    return counts
+
+
+def spark_of(df: DataFrame) -> SparkSession:
+    return df.sparkSession
 
 
 def after_load(raw: DataFrame, success: DataFrame, source_key: str = "Id",

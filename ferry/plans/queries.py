@@ -125,12 +125,12 @@ def q_crosswalk_accumulate(spark, d):
 
 def q_crosswalk_stream(spark, d):
     """Success outcomes land as several CSV files; a file stream grows the crosswalk batch by
-    batch (one file per micro-batch); the published crosswalk is read back as one table."""
+    batch (two files per micro-batch); the published crosswalk is read back as one table."""
     landing = scratch_path(spark, "landing")
     write_csv(fx.success_pairs(spark, d).repartition(4), landing)
     root = scratch_path(spark, "stream_crosswalk")
     q = start_crosswalk_stream(spark, landing, fx.raw_order(spark, d), root,
-                               scratch_path(spark, "stream_ckpt"), max_files_per_trigger=1)
+                               scratch_path(spark, "stream_ckpt"), max_files_per_trigger=2)
     q.awaitTermination()
     return read_crosswalk(spark, root)
 
