@@ -23,7 +23,6 @@ from ferry.operators.documents import (
     latest_version_manifest,
     linked_to,
     name_collisions,
-    transfer_summary,
 )
 from ferry.operators.enrich import lookup_enrich
 from ferry.operators.extract import exportable_fields, field_names, filtered_extract, metadata_from_schema

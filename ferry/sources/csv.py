@@ -56,10 +56,6 @@ def list_files(spark: SparkSession, root: str, glob: str | None = "*.csv",
     return files.select("path", folder_of("path").alias("folder"), "length")
 
 
-def _parent(path: str) -> str:
-    return path.rsplit("/", 1)[0]
-
-
 def header_of(spark: SparkSession, path: str) -> list[str]:
     """Column names of one CSV file: Spark reads its first record only."""
     return read_csv(spark, path).columns

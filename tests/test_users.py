@@ -71,7 +71,6 @@ def test_owner_remap_fan_out_and_dedupe(spark):
 
 
 def test_salted_joins_give_the_same_rows(spark):
-    import __spark_entry__ as entry  # noqa: F401  (puts the repo on the path)
     from ferry.plans import fixtures as fx
     d = "/root/testdata/sf0.001"
     src, xw = fx.owned_order(spark, d), fx.user_crosswalk(spark, d)
