@@ -68,6 +68,8 @@ def run(args: argparse.Namespace, spark: SparkSession) -> dict:
     rid = args.run_id or make_run_id(datetime.now(timezone.utc))
     out = args.out.rstrip("/")
     counts: dict = {"job": args.job, "run_id": rid}
+    if getattr(args, "object", None):
+        args.object = args.object.lower()
     fmt = args.format
     if args.job == "transform":
         text = read_sql_text(spark, args.sql if args.sql.endswith(".sql") else sql_path(args.sql, args.object))

@@ -21,6 +21,7 @@ from ferry.operators.identity import identity_match, identity_pairs
 from ferry.operators.owners import owner_matched, owner_remap, owner_unmatched_summary
 from ferry.operators.reconcile import (
     accumulate_crosswalk,
+    ambiguous_targets,
     duplicate_ids,
     id_crosswalk,
     loaded_delta,
@@ -32,7 +33,7 @@ from ferry.operators.reconcile import (
 from ferry.operators.stamp import stamp_load_time
 
 __all__ = [
-    "accumulate_crosswalk", "align_to_fields", "assign_batches", "attachment_manifest",
+    "accumulate_crosswalk", "align_to_fields", "ambiguous_targets", "assign_batches", "attachment_manifest",
     "attachment_parent_lookup", "attachment_payload", "broadcast_if_small", "duplicate_ids",
     "eligible_contracts", "exportable_fields", "field_names", "filtered_extract", "id_crosswalk",
     "identity_match", "identity_pairs", "latest_version_manifest", "linked_to", "loaded_delta",

@@ -29,6 +29,7 @@ from ferry.operators.extract import exportable_fields, field_names, filtered_ext
 from ferry.operators.identity import identity_match, identity_pairs
 from ferry.operators.owners import owner_matched, owner_remap, owner_unmatched_summary
 from ferry.operators.reconcile import (
+    ambiguous_targets,
     duplicate_ids,
     id_crosswalk,
     loaded_delta,
@@ -107,6 +108,13 @@ def q_id_crosswalk(spark, d):
     return id_crosswalk(fx.raw_order(spark, d), fx.success_pairs(spark, d))
 
 
+def q_crosswalk_ambiguous(spark, d):
+    """Old ids loaded more than once with different new ids (they fan out in the crosswalk)."""
+    success = fx.success_pairs(spark, d)
+    return ambiguous_targets(success, "Migration_Id__c", "sf__Id").withColumnRenamed(
+        "Migration_Id__c", "migration_id")
+
+
 def q_crosswalk_accumulate(spark, d):
     """Two load runs with overlapping orders, each published as a run folder, read as one."""
     def raw_between(cond):
@@ -370,6 +378,7 @@ QUERIES: dict[str, Query] = {
     "duplicate_ids": q_duplicate_ids,
     "loaded_delta": q_loaded_delta,
     "id_crosswalk": q_id_crosswalk,
+    "crosswalk_ambiguous": q_crosswalk_ambiguous,
     "crosswalk_accumulate": q_crosswalk_accumulate,
     "crosswalk_stream": q_crosswalk_stream,
     "outcome_split": q_outcome_split,
