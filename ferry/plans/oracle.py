@@ -219,6 +219,8 @@ ORACLE: dict[str, str] = {
     "outcome_split": _with(outcomes=OUTCOMES) + "SELECT object, outcome, source_id, job_id, target_id FROM outcomes",
     "outcome_by_job": _with(outcomes=OUTCOMES) +
         "SELECT job_id, outcome, count(*) AS records FROM outcomes GROUP BY job_id, outcome",
+    "outcome_totals_stream": _with(outcomes=OUTCOMES) +
+        "SELECT object, job_id, outcome, count(*) AS records FROM outcomes GROUP BY object, job_id, outcome",
     "run_reconciliation": _with(raw_order=RAW_ORDER, outcomes=OUTCOMES) +
         "SELECT t.input, t.success, t.errors, t.unprocessed, t.input - t.success - t.errors - t.unprocessed AS gap "
         "FROM (SELECT (SELECT count(*) FROM raw_order) AS input, "

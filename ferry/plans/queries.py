@@ -53,6 +53,7 @@ from ferry.sources.csv import read_csv, union_by_header
 from ferry.sources.headers import catalog_of_tables, header_catalog, header_drift
 from ferry.sources.registry import register_views
 from ferry.streaming.crosswalk import start_crosswalk_stream
+from ferry.streaming.outcomes import start_outcome_totals_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -148,6 +149,19 @@ def q_outcome_split(spark, d):
     return spark.read.parquet(root).select("object", "outcome", "source_id", "job_id", "target_id")
 
 
+def q_outcome_totals_stream(spark, d):
+    """Outcome files land (four per outcome folder); a stateful stream keeps the running totals
+    per object, job and outcome; the last published totals are read back."""
+    landing = scratch_path(spark, "outcome_landing")
+    rows = fx.outcomes(spark, d)
+    write_outcomes(rows.repartition(4), landing)
+    totals = scratch_path(spark, "outcome_totals")
+    q = start_outcome_totals_stream(spark, landing, rows.schema, totals,
+                                    scratch_path(spark, "totals_ckpt"), max_files_per_trigger=6)
+    q.awaitTermination()
+    return spark.read.parquet(totals).select("object", "job_id", "outcome", "records")
+
+
 def q_outcome_by_job(spark, d):
     return outcome_by_job(fx.outcomes(spark, d))
 
@@ -383,6 +397,7 @@ QUERIES: dict[str, Query] = {
     "crosswalk_stream": q_crosswalk_stream,
     "outcome_split": q_outcome_split,
     "outcome_by_job": q_outcome_by_job,
+    "outcome_totals_stream": q_outcome_totals_stream,
     "run_reconciliation": q_run_reconciliation,
     "batch_assignment": q_batch_assignment,
     "email_match_key": q_email_match_key,
