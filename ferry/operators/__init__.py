@@ -26,6 +26,7 @@ from ferry.operators.reconcile import (
     id_crosswalk,
     loaded_delta,
     orphan_records,
+    outcome_by_batch,
     outcome_by_job,
     outcome_rows,
     run_reconciliation,
@@ -37,7 +38,7 @@ __all__ = [
     "attachment_parent_lookup", "attachment_payload", "broadcast_if_small", "duplicate_ids",
     "eligible_contracts", "exportable_fields", "field_names", "filtered_extract", "id_crosswalk",
     "identity_match", "identity_pairs", "latest_version_manifest", "linked_to", "loaded_delta",
-    "lookup_enrich", "metadata_from_schema", "name_collisions", "orphan_records", "outcome_by_job",
+    "lookup_enrich", "metadata_from_schema", "name_collisions", "orphan_records", "outcome_by_batch", "outcome_by_job",
     "outcome_rows", "owner_matched", "owner_remap", "owner_unmatched_summary",
     "run_reconciliation", "stamp_load_time", "transfer_summary",
 ]

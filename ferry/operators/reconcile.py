@@ -119,6 +119,19 @@ def outcome_by_job(outcomes: DataFrame, job_col: str = "job_id", outcome_col: st
             .agg(F.count(F.lit(1)).alias("records")))
 
 
+def outcome_by_batch(batched: DataFrame, outcomes: DataFrame, key: str = "Id",
+                     outcome_key: str = "source_id", batch_col: str = "batch_id",
+                     outcome_col: str = "outcome") -> DataFrame:
+    """Outcome counts per load batch: ``(batch_id, outcome, records)``; input rows without an
+    outcome count as ``missing``. The join is on the record id (both sides large: a shuffle
+    join, or a broadcast if AQE measures one side small)."""
+    out = outcomes.select(F.col(outcome_key).alias("__ferry_id"), F.col(outcome_col).alias("__ferry_outcome"))
+    joined = batched.select(F.col(key).alias("__ferry_id"), F.col(batch_col).alias("batch_id")).join(
+        out, "__ferry_id", "left")
+    return (joined.groupBy("batch_id", F.coalesce("__ferry_outcome", F.lit("missing")).alias("outcome"))
+            .agg(F.count(F.lit(1)).alias("records")))
+
+
 def run_reconciliation(input_df: DataFrame, outcomes: DataFrame, outcome_col: str = "outcome") -> DataFrame:
     """One row: input, success, errors, unprocessed and the gap input - (sum of outcomes).
 

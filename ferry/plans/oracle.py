@@ -225,6 +225,12 @@ ORACLE: dict[str, str] = {
     "batch_assignment":
         "SELECT o_orderkey, o_custkey, o_orderstatus, "
         "CAST((row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS BIGINT) AS batch_id FROM orders",
+    "outcome_by_batch": _with(
+        outcomes=OUTCOMES,
+        batched=(f"SELECT {_v('o_orderkey')} AS Id, CAST((row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS BIGINT) "
+                 "AS batch_id FROM orders")) +
+        "SELECT b.batch_id, coalesce(o.outcome, 'missing') AS outcome, count(*) AS records "
+        "FROM batched b LEFT JOIN outcomes o ON b.Id = o.source_id GROUP BY b.batch_id, coalesce(o.outcome, 'missing')",
     "email_match_key": _with(legacy_user=LEGACY_USER) +
         f"SELECT Id, Email, {_key('Email')} AS email_key, Username, {_key('Username')} AS username_key FROM legacy_user",
     "identity_match": IDENTITY + "SELECT * FROM matched",

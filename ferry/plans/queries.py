@@ -34,6 +34,7 @@ from ferry.operators.reconcile import (
     id_crosswalk,
     loaded_delta,
     orphan_records,
+    outcome_by_batch,
     outcome_by_job,
     run_reconciliation,
 )
@@ -175,6 +176,13 @@ def q_batch_assignment(spark, d):
     return assign_batches(orders, ["o_orderkey"], batch_size=1000)
 
 
+def q_outcome_by_batch(spark, d):
+    """Raw orders split into load batches of 1,000 in id order, outcomes counted per batch."""
+    raw = fx.table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("Id"), "o_orderkey")
+    batched = assign_batches(raw, ["o_orderkey"], batch_size=1000)
+    return outcome_by_batch(batched, fx.outcomes(spark, d))
+
+
 # --- identity and owners --------------------------------------------------------------------------
 
 def q_email_match_key(spark, d):
@@ -400,6 +408,7 @@ QUERIES: dict[str, Query] = {
     "outcome_totals_stream": q_outcome_totals_stream,
     "run_reconciliation": q_run_reconciliation,
     "batch_assignment": q_batch_assignment,
+    "outcome_by_batch": q_outcome_by_batch,
     "email_match_key": q_email_match_key,
     "identity_match": q_identity_match,
     "identity_pairs": q_identity_pairs,

@@ -105,3 +105,11 @@ def test_batches_exact_with_hot_key(spark, ranges):
 def test_batches_empty(spark):
     df = spark.createDataFrame([], "k long")
     assert assign_batches(df, ["k"], batch_size=10).count() == 0
+
+
+def test_outcome_by_batch_counts_missing(spark):
+    from ferry.operators import outcome_by_batch
+    batched = spark.createDataFrame([("1", 0), ("2", 0), ("3", 1)], "Id string, batch_id long")
+    outs = spark.createDataFrame([("1", "success"), ("3", "error")], "source_id string, outcome string")
+    got = _rows(outcome_by_batch(batched, outs))
+    assert got == [(0, "missing", 1), (0, "success", 1), (1, "error", 1)]
