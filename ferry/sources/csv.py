@@ -20,14 +20,18 @@ QUOTED_DIALECT = {"header": "true", "quote": '"', "escape": '"', "multiLine": "t
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], recursive: bool = False,
-             schema: StructType | None = None, check_header: bool = False, **options) -> DataFrame:
+             schema: StructType | None = None, check_header: bool = False, multiline: bool = True,
+             **options) -> DataFrame:
     """Read CSV in the quoted dialect (doubled quotes, embedded line breaks).
 
     ``recursive`` reads every file below ``path`` (and disables partition discovery).
     ``check_header`` makes Spark compare each file's header with ``schema`` and fail on a
-    mismatch instead of reading columns by position.
+    mismatch instead of reading columns by position. A multi-line file cannot be split, so one
+    task reads it whole; ``multiline=False`` (for files known to hold no line break inside a
+    value, e.g. scrubbed output) lets Spark split large files across tasks.
     """
     opts = dict(QUOTED_DIALECT)
+    opts["multiLine"] = "true" if multiline else "false"
     if recursive:
         opts["recursiveFileLookup"] = "true"
     if check_header:

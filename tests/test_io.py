@@ -202,3 +202,17 @@ def test_publish_skip_if_empty(spark, tmp_dir):
     empty = spark.createDataFrame([], "x int")
     assert publish_snapshot(empty, f"{tmp_dir}/e", "r1", skip_if_empty=True) is None
     assert not os.path.exists(f"{tmp_dir}/e")
+
+
+def test_read_csv_single_line_files_split(spark, tmp_dir):
+    df = spark.range(20000).selectExpr("cast(id as string) as Id", "repeat('x', 50) as v")
+    write_csv(df.coalesce(1), f"{tmp_dir}/big")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        multi = read_csv(spark, f"{tmp_dir}/big")
+        single = read_csv(spark, f"{tmp_dir}/big", multiline=False)
+        assert multi.rdd.getNumPartitions() == 1 < single.rdd.getNumPartitions()
+        assert multi.count() == single.count() == 20000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
