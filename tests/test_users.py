@@ -82,3 +82,19 @@ def test_salted_joins_give_the_same_rows(spark):
     a = sorted(map(tuple, identity_match(legacy, target, **kw).collect()), key=str)
     b = sorted(map(tuple, identity_match(legacy, target, salt_buckets=5, **kw).collect()), key=str)
     assert a == b
+
+
+def test_identity_output_feeds_owner_remap(spark):
+    from ferry.plans import fixtures as fx
+    from pyspark.sql import functions as F
+    d = "/root/testdata/sf0.001"
+    users = identity_match(fx.legacy_user(spark, d), fx.target_user(spark, d),
+                           aliases=fx.FIXTURE_ALIASES, canonical=fx.FIXTURE_CANONICAL)
+    records = fx.table(spark, d, "orders").select(
+        F.col("o_orderkey").cast("string").alias("Id"),
+        F.concat(F.lit("L"), F.lpad(F.col("o_custkey").cast("string"), 9, "0")).alias("OwnerId"))
+    rem = owner_remap(records, users)
+    assert rem.count() == records.count()
+    matched = owner_matched(rem).count()
+    unmatched = sum(r["count"] for r in owner_unmatched_summary(rem).collect())
+    assert matched > 0 and matched + unmatched == records.count()
