@@ -81,13 +81,13 @@ def id_crosswalk(raw: DataFrame, success: DataFrame, raw_key: str = "Id",
 def ambiguous_targets(crosswalk: DataFrame, key_col: str = "migration_id",
                       target_col: str = "target_id") -> DataFrame:
     """Keys that map to more than one distinct target (the rows that fan out in the crosswalk
-    join): ``(key, targets, first_target, last_target)``. Two-phase: distinct pairs (a partial
-    aggregate), then a count per key, so a key with many rows is collapsed before it moves."""
+    join): ``(key, targets)``. Two-phase: distinct pairs (a partial aggregate), then a count per
+    key, so a key with many rows is collapsed before it moves; both phases are hash aggregates
+    (no string min/max that would force a sort-based one)."""
     pairs = (crosswalk.select(F.col(key_col).alias(key_col), F.col(target_col).alias(target_col))
              .where(F.col(key_col).isNotNull() & F.col(target_col).isNotNull()).distinct())
     return (pairs.groupBy(key_col)
-            .agg(F.count(F.lit(1)).alias("targets"), F.min(target_col).alias("first_target"),
-                 F.max(target_col).alias("last_target"))
+            .agg(F.count(F.lit(1)).alias("targets"))
             .where(F.col("targets") > 1))
 
 

@@ -198,8 +198,8 @@ ORACLE: dict[str, str] = {
         "SELECT r.Id AS source_id, s.Migration_Id__c AS migration_id, s.sf__Id AS target_id FROM raw_order r "
         "JOIN (SELECT DISTINCT Migration_Id__c, sf__Id FROM success_pairs) s ON r.Id = s.Migration_Id__c",
     "crosswalk_ambiguous": _with(success_pairs=SUCCESS_PAIRS) +
-        "SELECT Migration_Id__c AS migration_id, count(DISTINCT sf__Id) AS targets, min(sf__Id) AS first_target, "
-        "max(sf__Id) AS last_target FROM success_pairs WHERE Migration_Id__c IS NOT NULL AND sf__Id IS NOT NULL "
+        "SELECT Migration_Id__c AS migration_id, count(DISTINCT sf__Id) AS targets "
+        "FROM success_pairs WHERE Migration_Id__c IS NOT NULL AND sf__Id IS NOT NULL "
         "GROUP BY Migration_Id__c HAVING count(DISTINCT sf__Id) > 1",
     "crosswalk_accumulate": _with(success_pairs=SUCCESS_PAIRS) +
         f"SELECT {_v('o.o_orderkey')} AS source_id, s.Migration_Id__c AS migration_id, s.sf__Id AS target_id "
