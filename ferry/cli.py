@@ -28,7 +28,9 @@ from ferry.plans.jobs import (
     crosswalk_sources,
     document_manifest,
     match_users,
+    publish_owner_remap,
     publish_transform,
+    publish_user_match,
     remap_owners,
     transform_object,
 )
@@ -91,12 +93,10 @@ def run(args: argparse.Namespace, spark: SparkSession) -> dict:
         counts["crosswalk"] = obs.get["rows"]
     elif args.job == "match-users":
         parts = match_users(_read(spark, args.legacy), _read(spark, args.target))
-        _publish(parts["matched"], f"{out}/user_matched", rid, fmt, counts, "matched")
-        _publish(parts["pairs"], f"{out}/user", rid, fmt, counts, "pairs")
+        counts.update(publish_user_match(parts["matched"], out, rid, fmt))
     elif args.job == "remap-owners":
         parts = remap_owners(_read(spark, args.source), _read(spark, args.users), salt_buckets=args.salt)
-        _publish(parts["matched"], f"{out}/matched/{args.object}", rid, fmt, counts, "matched")
-        _publish(parts["unmatched"], f"{out}/unmatched/{args.object}", rid, fmt, counts, "unmatched_groups")
+        counts.update(publish_owner_remap(parts["remapped"], out, args.object, rid, fmt))
     elif args.job == "headers":
         _publish(header_catalog(spark, args.root), f"{out}/headers", rid, fmt, counts, "columns")
     elif args.job == "manifest":

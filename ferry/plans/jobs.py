@@ -161,6 +161,46 @@ def remap_owners(source: DataFrame, crosswalk: DataFrame, **kwargs) -> dict[str,
             "unmatched": owner_unmatched_summary(remapped)}
 
 
+def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def publish_owner_remap(remapped: DataFrame, root: str, object_name: str, run_id: str,
+                        fmt: str = "csv") -> dict[str, int]:
+    """Write the remapped records once (Parquet, below ``{root}/remapped``), then the update rows
+    and the unmatched summary from that written table: the owner join runs once, and each output
+    reads only the columns it needs."""
+    spark = remapped.sparkSession
+    obj = object_name.lower()
+    counts: dict[str, int] = {}
+    df, obs = _observed(remapped, "remapped")
+    path = publish_snapshot(df, f"{root}/remapped/{obj}", run_id, "parquet")
+    counts["remapped"] = obs.get["rows"]
+    written = spark.read.parquet(path)
+    df, obs = _observed(owner_matched(written), "matched")
+    publish_snapshot(df, f"{root}/matched/{obj}", run_id, fmt)
+    counts["matched"] = obs.get["rows"]
+    df, obs = _observed(owner_unmatched_summary(written), "unmatched_groups")
+    publish_snapshot(df, f"{root}/unmatched/{obj}", run_id, fmt)
+    counts["unmatched_groups"] = obs.get["rows"]
+    return counts
+
+
+def publish_user_match(matched: DataFrame, root: str, run_id: str, fmt: str = "csv") -> dict[str, int]:
+    """Write the full user crosswalk, then the matched pairs read back from it."""
+    spark = matched.sparkSession
+    counts: dict[str, int] = {}
+    df, obs = _observed(matched, "matched")
+    path = publish_snapshot(df, f"{root}/user_matched", run_id, fmt)
+    counts["matched"] = obs.get["rows"]
+    written = read_csv(spark, path) if fmt == "csv" else spark.read.format(fmt).load(path)
+    df, obs = _observed(identity_pairs(written), "pairs")
+    publish_snapshot(df, f"{root}/user", run_id, fmt)
+    counts["pairs"] = obs.get["rows"]
+    return counts
+
+
 def document_manifest(contracts: DataFrame, accounts: DataFrame, links: DataFrame,
                       versions: DataFrame, contract_account_col: str = "AccountId",
                       account_status_col: str = "Status", created_col: str = "CreatedDate",
