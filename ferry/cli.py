@@ -114,7 +114,7 @@ def run(args: argparse.Namespace, spark: SparkSession) -> dict:
     elif args.job == "reconcile":
         outcomes = spark.read.parquet(args.outcomes)
         counts["totals"] = run_reconciliation(_read(spark, args.input), outcomes).first().asDict()
-        counts["by_job"] = [r.asDict() for r in outcome_by_job(outcomes).orderBy("job_id", "outcome").collect()]
+        _publish(outcome_by_job(outcomes), f"{out}/outcome_by_job", rid, fmt, counts, "job_outcome_rows")
     return counts
 
 

@@ -80,4 +80,6 @@ def test_cli_documents_and_reconcile(spark, tmp_dir):
     write_outcomes(fx.outcomes(spark, SF), f"{tmp_dir}/outcomes")
     c = main(["reconcile", "--input", raw, "--outcomes", f"{tmp_dir}/outcomes", "--out", out], spark)
     assert c["totals"]["gap"] == 0 and c["totals"]["input"] == fx.raw_order(spark, SF).count()
-    assert sum(r["records"] for r in c["by_job"]) == c["totals"]["input"]
+    by_job = read_run(spark, f"{out}/outcome_by_job", "current", "csv")
+    assert sum(int(r["records"]) for r in by_job.collect()) == c["totals"]["input"]
+    assert c["job_outcome_rows"] == by_job.count()
