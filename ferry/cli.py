@@ -81,7 +81,7 @@ def run(args: argparse.Namespace, spark: SparkSession) -> dict:
         tr = transform_object(spark, args.object, text, _read(spark, args.raw, args.year),
                               lookups=lookups, optional=optional,
                               orphan_check={"auto": None, "yes": True, "no": False}[args.orphan_check])
-        counts.update(publish_transform(tr, out, args.object, rid, fmt))
+        counts.update(publish_transform(tr, out, args.object, rid, fmt, partition_year=args.year))
         counts["sources"] = {r.name: r.status for r in tr.sources.collect()}
     elif args.job == "after-load":
         parts = after_load(_read(spark, args.raw), _read(spark, args.success))

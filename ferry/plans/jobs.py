@@ -113,14 +113,16 @@ def transform_object(spark: SparkSession, object_name: str, sql_text: str, raw:
 
 def publish_transform(tr: TransformResult, root: str, object_name: str, run_id: str,
                       fmt: str = "csv", source_key: str = "Id",
-                      result_key: str = "Migration_Id__c") -> dict[str, int]:
+                      result_key: str = "Migration_Id__c",
+                      partition_year: str | int | None = None) -> dict[str, int]:
     """Write the transformed rows, then the orphans, as run ``run_id``; the SQL runs once.
+    With ``partition_year`` both land below ``year=Y`` (a slice of the object per year).
 
     The orphan check reads the key column back from the table just written (in the shared
     output folder) instead of evaluating the SQL a second time or caching it on executors.
     Row counts come from ``observe`` during the writes.
     """
-    obj = object_name.lower()
+    obj = object_name.lower() + (f"/year={partition_year}" if partition_year else "")
     counts: dict[str, int] = {}
     obs = Observation("transformed")
     path = publish_snapshot(tr.result.observe(obs, F.count(F.lit(1)).alias("rows")),

@@ -27,6 +27,13 @@ def test_cli_jobs(spark, tmp_dir):
     assert c["sources"]["customer"] == "registered" and c["sources"]["master_account"] == "missing"
     assert read_run(spark, f"{out}/transformed/raw_order", "current", "csv").count() == c["transformed"]
 
+    # a year slice: input and outputs below year=Y
+    write_csv(fx.raw_order(spark, SF).where("o_orderstatus = 'F'"), f"{raw}_by_year/year=2024")
+    c = main(["transform", "--object", "raw_order", "--sql", f"{tmp_dir}/sql", "--raw", f"{raw}_by_year",
+              "--year", "2024", "--out", out, "--run-id", "r2", *lookups, "--orphan-check", "yes"], spark)
+    assert os.path.isdir(f"{out}/transformed/raw_order/year=2024/run_id=r2")
+    assert c["transformed"] + c["orphaned"] == fx.raw_order(spark, SF).where("o_orderstatus = 'F'").count()
+
     success = f"{tmp_dir}/success"
     write_csv(fx.success_pairs(spark, SF), success)
     c = main(["after-load", "--object", "order", "--raw", raw, "--success", success, "--out", out,
