@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ferry.functions.text import run_id as make_run_id
 from ferry.operators.batches import assign_batches
 from ferry.operators.reconcile import outcome_by_job, run_reconciliation
+from ferry.operators.stamp import stamp_load_time
 from ferry.plans.jobs import (
     after_load,
     attachment_uploads,
@@ -109,7 +110,11 @@ def run(args: argparse.Namespace, spark: SparkSession) -> dict:
         _publish(parts["payload"], f"{out}/payload", rid, "parquet", counts, "payload")
         counts["summary"] = {r.status: r["count"] for r in parts["summary"].collect()}
     elif args.job == "batches":
-        b = assign_batches(_read(spark, args.input), args.order_by, args.size)
+        rows = _read(spark, args.input)
+        if args.object:
+            run_ts = datetime.fromisoformat(args.run_ts) if args.run_ts else datetime.now(timezone.utc)
+            rows = stamp_load_time(rows, args.object, run_ts)
+        b = assign_batches(rows, args.order_by, args.size)
         _publish(b, f"{out}/batches", rid, fmt, counts, "rows")
     elif args.job == "reconcile":
         outcomes = spark.read.parquet(args.outcomes)
@@ -148,6 +153,8 @@ def parser() -> argparse.ArgumentParser:
     b = job("batches", "input")
     b.add_argument("--order-by", nargs="+", required=True)
     b.add_argument("--size", type=int, default=20000)
+    b.add_argument("--object", help="stamp the load time when the object takes a stamp")
+    b.add_argument("--run-ts", help="ISO instant of the load (default: now, UTC)")
     job("reconcile", "input", "outcomes")
     return p
 

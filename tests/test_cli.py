@@ -57,8 +57,11 @@ def test_cli_jobs(spark, tmp_dir):
     assert c["columns"] == sum(len(fx.table(spark, SF, t).columns) for t in ("customer", "nation", "region", "documents"))
 
     c = main(["batches", "--input", raw, "--order-by", "Id", "--size", "100", "--out", out, "--run-id", "r1",
-              "--format", "parquet"], spark)
+              "--format", "parquet", "--object", "Account", "--run-ts", "2025-01-02T03:04:05.678+00:00"], spark)
     assert c["rows"] == n_raw
+    b = read_run(spark, f"{out}/batches", "current")
+    assert {r.Migrated_Date__c for r in b.select("Migrated_Date__c").distinct().collect()} == {"2025-01-02T03:04:05.678Z"}
+    assert b.agg({"batch_id": "max"}).first()[0] == (n_raw - 1) // 100
 
 
 def test_cli_documents_and_reconcile(spark, tmp_dir):
