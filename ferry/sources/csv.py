@@ -79,30 +79,36 @@ def headers_of(spark: SparkSession, paths: Sequence[str], fmt: str = "csv",
         return list(pool.map(one, paths))
 
 
-def union_by_header(spark: SparkSession, root: str, glob: str | None = "*.csv") -> DataFrame:
+def union_by_header(spark: SparkSession, root: str, glob: str | None = "*.csv",
+                    group_by: str = "file") -> DataFrame:
     """Read every CSV file below ``root`` as one table, matching columns by header name.
 
-    Files are grouped by directory (one writer, one header): the header of each directory's first
-    file is read, and directories with the same header are read together by one scan, with the
-    header as schema and Spark's header check on, so a file whose columns are in another order
-    fails loudly instead of landing in the wrong columns. The scans (one per distinct header) are
-    combined with ``unionByName(allowMissingColumns=True)``. Only directory names and headers
-    reach the driver.
+    ``group_by="file"`` reads the header of every file (small concurrent jobs, one record each)
+    and reads all files that share a header with one scan. ``group_by="directory"`` trusts one
+    header per directory (one writer, one header), which needs far fewer header reads when a
+    folder holds thousands of part files. Either way each scan uses its header as the schema with
+    Spark's header check on, so a file whose columns differ fails loudly instead of landing in the
+    wrong columns. The scans (one per distinct header) are combined with
+    ``unionByName(allowMissingColumns=True)``. Only file names and headers reach the driver.
     """
-    files = list_files(spark, root, glob)
-    groups = (files.where(F.col("length") > 0)
-              .groupBy(F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("dir"))
-              .agg(F.min("path").alias("first"))
-              .orderBy("dir").collect())
-    if not groups:
+    if group_by not in ("file", "directory"):
+        raise ValueError("group_by is 'file' or 'directory'")
+    files = list_files(spark, root, glob).where(F.col("length") > 0)
+    if group_by == "file":
+        firsts = [(r["path"], [r["path"]]) for r in files.select("path").orderBy("path").collect()]
+    else:
+        groups = (files.groupBy(F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("dir"))
+                  .agg(F.min("path").alias("first")).orderBy("dir").collect())
+        firsts = [(g["first"], [f"{g['dir']}/{glob or '*'}"]) for g in groups]
+    if not firsts:
         raise FileNotFoundError(f"no CSV file below {root}")
-    headers = headers_of(spark, [g["first"] for g in groups])
+    headers = headers_of(spark, [first for first, _ in firsts])
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for g, names in zip(groups, headers):
-        by_header.setdefault(tuple(names), []).append(f"{g['dir']}/{glob or '*'}")
+    for (_, paths), names in zip(firsts, headers):
+        by_header.setdefault(tuple(names), []).extend(paths)
     out: DataFrame | None = None
-    for names, dirs in by_header.items():
+    for names, paths in by_header.items():
         schema = StructType([StructField(n, StringType()) for n in names])
-        part = read_csv(spark, dirs, schema=schema, check_header=True)
+        part = read_csv(spark, paths, schema=schema, check_header=True)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out

@@ -53,15 +53,20 @@ def test_union_by_header_aligns_drifting_files(spark, tmp_dir):
     assert got == [("1", "a", None), ("2", "b", None), ("3", "c", "e")]
 
 
-def test_union_by_header_fails_on_drift_inside_a_folder(spark, tmp_dir):
+def test_union_by_header_drift_inside_a_folder(spark, tmp_dir):
     d = f"{tmp_dir}/mixed"
     os.makedirs(d)
     with open(f"{d}/a.csv", "w") as f:
         f.write("Id,A\n1,a\n")
     with open(f"{d}/b.csv", "w") as f:
         f.write("A,Id\nb,2\n")
+    with open(f"{d}/c.csv", "w") as f:
+        f.write("Id,A,B\n3,c,e\n")
+    got = sorted(tuple(r) for r in union_by_header(spark, d).select("Id", "A", "B").collect())
+    assert got == [("1", "a", None), ("2", "b", None), ("3", "c", "e")]
+    # trusting one header per folder is refused loudly, never read by position
     with pytest.raises(Exception, match="(?s)header|conform"):
-        union_by_header(spark, d).collect()
+        union_by_header(spark, d, group_by="directory").collect()
 
 
 def test_header_catalog_and_drift(spark, tmp_dir):
