@@ -8,6 +8,7 @@ Required sources raise.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,28 +19,41 @@ Loader = Callable[[], DataFrame]
 
 
 def register_views(spark: SparkSession, sources: Mapping[str, Loader], required: bool = True,
-                   with_counts: bool = False) -> DataFrame:
+                   with_counts: bool = False, threads: int = 8) -> DataFrame:
     """Run each loader, register the result under its name, and report
     ``(name, status, n_columns, detail)`` (plus ``n_rows`` when ``with_counts``).
 
     Loader failures that mean "not there" (missing path, empty folder) are reported as
-    ``missing`` for optional sources; any failure of a required source is raised.
+    ``missing`` for optional sources; any failure of a required source is raised. Loaders (schema
+    reads) and counts run from a few driver threads at once: they are independent small jobs.
     """
-    rows = []
-    for name, loader in sources.items():
+    for name in sources:
         check_view_name(name)
+
+    def load(item):
+        name, loader = item
         try:
             df = loader()
         except AnalysisException as exc:
             if required:
                 raise
             condition = exc.getCondition() if hasattr(exc, "getCondition") else None
-            detail = (condition or str(exc).split("\n")[0])[:200]
+            return name, None, (condition or str(exc).split("\n")[0])[:200], None
+        return name, df, None, (df.count() if with_counts else None)
+
+    items = list(sources.items())
+    if len(items) > 1:
+        with ThreadPoolExecutor(max_workers=min(threads, len(items))) as pool:
+            loaded = list(pool.map(load, items))
+    else:
+        loaded = [load(i) for i in items]
+    rows = []
+    for name, df, detail, n_rows in loaded:
+        if df is None:
             rows.append((name, "missing", None, detail, None))
-            continue
-        df.createOrReplaceTempView(name)
-        n_rows = df.count() if with_counts else None
-        rows.append((name, "registered", len(df.columns), None, n_rows))
+        else:
+            df.createOrReplaceTempView(name)
+            rows.append((name, "registered", len(df.columns), None, n_rows))
     schema = "name string, status string, n_columns int, detail string, n_rows bigint"
     report = spark.createDataFrame(rows, schema)
     return report if with_counts else report.drop("n_rows")
