@@ -25,7 +25,7 @@ from ferry.operators.reconcile import outcome_by_job, run_reconciliation
 from ferry.operators.stamp import stamp_load_time
 from ferry.plans.jobs import (
     after_load,
-    attachment_uploads,
+    publish_attachment_uploads,
     crosswalk_sources,
     document_manifest,
     match_users,
@@ -106,9 +106,7 @@ def run(args: argparse.Namespace, spark: SparkSession) -> dict:
         _publish(m, f"{out}/manifest", rid, fmt, counts, "documents")
     elif args.job == "attachments":
         files = read_files(spark, args.files).select("file_name", "content")
-        parts = attachment_uploads(files, _read(spark, args.parents))
-        _publish(parts["payload"], f"{out}/payload", rid, "parquet", counts, "payload")
-        counts["summary"] = {r.status: r["count"] for r in parts["summary"].collect()}
+        counts.update(publish_attachment_uploads(files, _read(spark, args.parents), out, rid))
     elif args.job == "batches":
         rows = _read(spark, args.input)
         if args.object:

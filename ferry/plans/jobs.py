@@ -220,3 +220,19 @@ def attachment_uploads(files: DataFrame, parents: DataFrame, content_col: str =
     return {"lookup": looked_up.drop(content_col),
             "payload": attachment_payload(looked_up, content_col),
             "summary": transfer_summary(looked_up)}
+
+
+def publish_attachment_uploads(files: DataFrame, parents: DataFrame, root: str, run_id: str,
+                               content_col: str = "content") -> dict:
+    """Write the upload payload rows and take the status summary in the same job: the counts of
+    ``ready`` and ``no_parent`` files are observed on the parent lookup before the payload keeps
+    only the ready ones, so the lookup join runs once."""
+    looked_up = attachment_parent_lookup(files, parents, keep_cols=[content_col])
+    obs = Observation("attachment_status")
+    observed = looked_up.observe(
+        obs, F.count(F.lit(1)).alias("files"),
+        F.count_if(F.col("status") == "ready").alias("ready"),
+        F.count_if(F.col("status") == "no_parent").alias("no_parent"))
+    publish_snapshot(attachment_payload(observed, content_col), f"{root}/payload", run_id, "parquet")
+    got = obs.get
+    return {"payload": got["ready"], "summary": {k: got[k] for k in ("ready", "no_parent") if got[k]}}
