@@ -98,3 +98,13 @@ def test_identity_output_feeds_owner_remap(spark):
     matched = owner_matched(rem).count()
     unmatched = sum(r["count"] for r in owner_unmatched_summary(rem).collect())
     assert matched > 0 and matched + unmatched == records.count()
+
+
+def test_owner_remap_plain_equality(spark):
+    # the template update job joined owners without trimming: ' 1' does not find '1'
+    src = spark.createDataFrame([("r1", "1"), ("r2", " 1")], "Id string, OwnerId string")
+    users = _crosswalk(spark, [("1", "T1", "e", "u", "t", "t", "t", "t")])
+    got = {r.id: r.owner_id for r in owner_remap(src, users, trim_keys=False).collect()}
+    assert got == {"r1": "T1", "r2": None}
+    got = {r.id: r.owner_id for r in owner_remap(src, users).collect()}
+    assert got == {"r1": "T1", "r2": "T1"}
