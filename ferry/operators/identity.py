@@ -49,11 +49,15 @@ def identity_match(legacy: DataFrame, target: DataFrame, id_col: str = "Id",
                    active_col: str = "IsActive", email_col: str = "Email",
                    username_col: str = "Username", aliases: Sequence[str] = DOMAIN_ALIASES,
                    canonical: str = DOMAIN_CANONICAL, case_insensitive: bool = False,
-                   with_candidates: bool = False, salt_buckets: int = 0) -> DataFrame:
+                   with_candidates: bool = False, salt_buckets: int = 0,
+                   unique_legacy_ids: bool = False) -> DataFrame:
     """Best target per old user. ``with_candidates`` adds how many targets shared the keys.
 
     ``salt_buckets > 1`` spreads old users sharing one key pair (e.g. thousands with an empty
     e-mail) over that many tasks and replicates the reduced target table as often.
+    ``unique_legacy_ids=True`` (the caller guarantees that every old id is non-null and appears
+    once, as record ids of a system of record do) skips the last per-id reduction and its
+    shuffle: after the join every old row already has at most one target.
     """
     old = _parsed(legacy, "legacy", id_col, active_col, email_col, username_col,
                   aliases, canonical, case_insensitive)
@@ -74,6 +78,16 @@ def identity_match(legacy: DataFrame, target: DataFrame, id_col: str = "Id",
                 & (old[SALT] == best[SALT]))
     joined = old.join(best, cond, "left")
 
+    if unique_legacy_ids:
+        cols = [F.col("legacy_user_id"), F.col("legacy_isactive"), F.col("legacy_email"),
+                F.col("legacy_username"), F.col("t.tfm_user_id").alias("tfm_user_id"),
+                F.col("t.tfm_isactive").alias("tfm_isactive"), F.col("t.tfm_email").alias("tfm_email"),
+                F.col(keys[0]).alias("tfm_email_trimmed"), F.col("t.tfm_username").alias("tfm_username"),
+                F.col(keys[1]).alias("tfm_username_trimmed"), F.lit(1).alias("rn")]
+        if with_candidates:
+            cols.append(F.coalesce(F.col("candidates"), F.lit(0)).alias("candidates"))
+        return joined.select(*cols)
+
     # Rank: target id ascending with null first; remaining fields only make ties deterministic.
     ranked = F.struct(
         F.col("t.tfm_user_id").isNotNull().alias("has_id"),

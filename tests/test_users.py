@@ -108,3 +108,14 @@ def test_owner_remap_plain_equality(spark):
     assert got == {"r1": "T1", "r2": None}
     got = {r.id: r.owner_id for r in owner_remap(src, users).collect()}
     assert got == {"r1": "T1", "r2": "T1"}
+
+
+def test_identity_unique_ids_shortcut_gives_the_same_rows(spark):
+    from ferry.plans import fixtures as fx
+    d = "/root/testdata/sf0.001"
+    legacy, target = fx.legacy_user(spark, d), fx.target_user(spark, d)
+    kw = dict(aliases=fx.FIXTURE_ALIASES, canonical=fx.FIXTURE_CANONICAL, with_candidates=True)
+    a = identity_match(legacy, target, **kw)
+    b = identity_match(legacy, target, unique_legacy_ids=True, **kw)
+    assert a.columns == b.columns
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
