@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from ferry.llm import quality
+
 # The escape adds a backslash between '<' and '|'; markers take 9, 11 and 8 characters a turn.
 CHAT = r"""
 WITH rows AS (
@@ -33,6 +35,83 @@ SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(loss) AS loss_cha
 FROM texts
 """
 
+def _select(steps: list[tuple[str, str]]) -> str:
+    return ", ".join(f"{sql} AS {name}" for name, sql in steps)
+
+
+def quality_sql(p: quality.McdParams = quality.McdParams()) -> str:
+    """The statistics are SQL of their own; the estimation shares its arithmetic with the operator."""
+    feats, pairs = quality.FEATURES, quality.PAIRS
+    qs = ", ".join(f"q_{x}" for x in feats)
+    group = "level, g_lang, g_source"
+
+    def same(a: str, b: str) -> str:
+        return " AND ".join(f"{a}.{k} IS NOT DISTINCT FROM {b}.{k}" for k in quality.GROUP)
+
+    sums = ", ".join([f"sum(q_{x}::HUGEINT) AS s_{x}" for x in feats]
+                     + [f"sum(q_{a}::HUGEINT * q_{b}) AS s_{a}_{b}" for a, b in pairs])
+    start = ", ".join(
+        [f"quantile_cont(q_{x}, 0.5) / {quality.SCALE}e0 AS m_{x}" for x in feats]
+        + [f"greatest((quantile_cont(q_{x}, 0.75) - quantile_cont(q_{x}, 0.25)) / {quality.SCALE}e0 / 1.349, {floor!r}e0)"
+           f" AS l_{x}_{x}" for x, floor in zip(feats, p.floors)]
+        + [f"0e0 AS l_{a}_{b}" for a, b in pairs if a != b])
+    ctes = [r"""
+words AS (
+    SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), wins AS (
+    SELECT rid, i, array_to_string(w[i:i + 7], ' ') AS win FROM (SELECT rid, w, unnest(range(1, len(w) - 6)) AS i FROM words)
+), twice AS (
+    SELECT rid, i FROM wins QUALIFY count(*) OVER (PARTITION BY rid, win) > 1
+), covered AS (
+    SELECT rid, sum(c) AS n FROM (
+        SELECT rid, least(8, coalesce(lead(i) OVER (PARTITION BY rid ORDER BY i) - i, 8)) AS c FROM twice) GROUP BY rid
+), stats AS (
+    SELECT rid, doc_id, lang, source, len(w)::BIGINT AS n_words,
+           length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+           length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(l)::BIGINT AS n_lines,
+           (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+           n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed
+    FROM (SELECT *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM words)
+    LEFT JOIN covered USING (rid)
+)""", f"""
+scaled AS (SELECT *, {_select([(f'q_{x}', quality.feature_sql(x)) for x in feats])} FROM stats
+), rws AS (
+    SELECT 0 AS level, lang AS g_lang, source AS g_source, {qs} FROM scaled WHERE NOT base_failed
+    UNION ALL SELECT 1, lang, NULL, {qs} FROM scaled WHERE NOT base_failed
+    UNION ALL SELECT 2, NULL, NULL, {qs} FROM scaled WHERE NOT base_failed
+), est0 AS (SELECT {group}, count(*) AS n_group, {start} FROM rws GROUP BY ALL)"""]
+    factor = p.support / quality._chi6_cdf(quality.chi4_quantile(p.support))
+    for step in range(p.steps + 1):
+        last = step == p.steps
+        used = p.reweight / quality._chi6_cdf(quality.chi4_quantile(p.reweight)) if last else factor
+        near = f"d2 <= {quality.chi4_quantile(p.reweight)!r}e0" if last else f"bin <= cut{step}.cut"
+        cut = "" if last else f"JOIN cut{step} ON {same(f'd{step}', f'cut{step}')}"
+        ctes.append(f"""
+d{step} AS (SELECT *, {quality.BIN_SQL} AS bin FROM (
+    SELECT r.*, {_select(quality.distance_sql())} FROM rws r JOIN est{step} e ON {same('r', 'e')})
+), cut{step} AS (SELECT {group}, quantile_cont(bin, {p.support}) AS cut FROM d{step} GROUP BY ALL
+), sum{step} AS (SELECT {', '.join(f'd{step}.{k}' for k in quality.GROUP)}, count(*) AS n, {sums}
+    FROM d{step} {cut} WHERE {near} GROUP BY ALL
+), est{step + 1} AS (SELECT s.{group.replace(', ', ', s.')}, n_group, {_select(quality.scatter_sql(p.floors, used))}
+    FROM sum{step} s JOIN (SELECT {group}, n_group FROM est0) o ON {same('s', 'o')})""")
+    final = f"est{p.steps + 1}"
+    pick = ", ".join(f"coalesce(e0.{c}, e1.{c}, e2.{c}) AS {c}"
+                     for c in [f"m_{x}" for x in feats] + [f"l_{a}_{b}" for a, b in pairs])
+    ctes.append(f"""
+fine AS (SELECT * FROM {final} WHERE n_group >= {p.min_rows}
+), judged AS (SELECT *, {_select(quality.distance_sql())} FROM (
+    SELECT s.*, {pick} FROM scaled s
+    LEFT JOIN fine e0 ON e0.level = 0 AND s.lang IS NOT DISTINCT FROM e0.g_lang AND s.source IS NOT DISTINCT FROM e0.g_source
+    LEFT JOIN fine e1 ON e1.level = 1 AND s.lang IS NOT DISTINCT FROM e1.g_lang
+    LEFT JOIN fine e2 ON e2.level = 2))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(d2 <= {quality.chi4_quantile(p.reject)!r}e0, true) AS kept
+FROM judged""")
+    return "WITH" + ",".join(ctes[:-1]) + "," + ctes[-1]
+
+
 ORACLE: dict[str, str] = {
+    "op6_quality_mcd": quality_sql(),
     "op7_chat_format": CHAT,
 }

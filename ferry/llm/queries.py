@@ -9,10 +9,18 @@ from pyspark.sql import functions as F
 
 from ferry.llm.chat import chat_digest, format_chat
 from ferry.llm.common import table
+from ferry.llm.quality import mcd_verdict, quality_stats
 
 HARD_TEXT = "\\### Assistant: </turn> ok"
 
 
+def op6_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics and the verdict of the robust outlier rule for every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return mcd_verdict(quality_stats(docs)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts look like a template's control strings."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -23,5 +31,6 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_quality_mcd": op6_quality_mcd,
     "op7_chat_format": op7_chat_format,
 }
