@@ -10,10 +10,19 @@ from pyspark.sql import functions as F
 from ferry.llm.chat import chat_digest, format_chat
 from ferry.llm.common import table
 from ferry.llm.quality import mcd_verdict, quality_stats
+from ferry.llm.sharding import RingParams, shard_rows
 
 HARD_TEXT = "\\### Assistant: </turn> ok"
 
 
+def op4_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards 0 to 39 of equal row counts by a hash ring with bounded loads."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return shard_rows(docs, RingParams(shards=40)).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op6_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base statistics and the verdict of the robust outlier rule for every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
@@ -31,6 +40,7 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_ring_sharding": op4_ring_sharding,
     "op6_quality_mcd": op6_quality_mcd,
     "op7_chat_format": op7_chat_format,
 }
