@@ -11,10 +11,23 @@ from ferry.llm.chat import chat_digest, format_chat
 from ferry.llm.common import table
 from ferry.llm.quality import mcd_verdict, quality_stats
 from ferry.llm.sharding import RingParams, shard_rows
+from ferry.llm.token_blocks import token_file_digest
 
 HARD_TEXT = "\\### Assistant: </turn> ok"
 
 
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written as PFOR files and read back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_file_digest(docs, tokenizer_file(), end_id=0)
+
+
 def op4_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards 0 to 39 of equal row counts by a hash ring with bounded loads."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -40,6 +53,7 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_files": op2_token_files,
     "op4_ring_sharding": op4_ring_sharding,
     "op6_quality_mcd": op6_quality_mcd,
     "op7_chat_format": op7_chat_format,
