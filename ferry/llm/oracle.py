@@ -35,6 +35,35 @@ SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(loss) AS loss_cha
 FROM texts
 """
 
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+# Windows as joined words; every document word sequence of a window's length is looked up.
+DECONTAMINATION = f"""
+WITH d AS (
+    SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({LOWER}, {ALNUM}) AS w FROM documents
+), b AS (
+    SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all({LOWER}, {ALNUM}) AS w FROM benchmark
+), windows AS (
+    SELECT DISTINCT item, least(13, len(w)) AS size, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS win
+    FROM (SELECT item, w, unnest(range(1, greatest(1, len(w) - 12) + 1)) AS i FROM b WHERE len(w) > 0)
+), grams AS (
+    SELECT rid, size, i, array_to_string(w[i:i + size - 1], ' ') AS win
+    FROM (SELECT rid, w, size, unnest(range(1, len(w) - size + 2)) AS i
+          FROM d, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size)
+), hits AS (
+    SELECT rid, i, size, item FROM grams JOIN windows USING (size, win)
+), words AS (
+    SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + size)) AS p FROM hits) GROUP BY rid
+), items AS (
+    SELECT rid, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS list FROM hits GROUP BY rid
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
+"""
+
+
 def _select(steps: list[tuple[str, str]]) -> str:
     return ", ".join(f"{sql} AS {name}" for name, sql in steps)
 
@@ -112,6 +141,7 @@ FROM judged""")
 
 
 ORACLE: dict[str, str] = {
+    "op5_decontamination": DECONTAMINATION,
     "op6_quality_mcd": quality_sql(),
     "op7_chat_format": CHAT,
 }

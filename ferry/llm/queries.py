@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ferry.llm.chat import chat_digest, format_chat
 from ferry.llm.common import table
+from ferry.llm.decontaminate import contamination, find_passages
 from ferry.llm.quality import mcd_verdict, quality_stats
 from ferry.llm.sharding import RingParams, shard_rows
 from ferry.llm.token_blocks import token_file_digest
@@ -36,6 +37,12 @@ def op4_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in every document, by a positional index of the documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return contamination(find_passages(docs, table(spark, sf_dir, "benchmark"))).drop("row", "n_near_items")
+
+
 def op6_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base statistics and the verdict of the robust outlier rule for every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
@@ -55,6 +62,7 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_files": op2_token_files,
     "op4_ring_sharding": op4_ring_sharding,
+    "op5_decontamination": op5_decontamination,
     "op6_quality_mcd": op6_quality_mcd,
     "op7_chat_format": op7_chat_format,
 }
