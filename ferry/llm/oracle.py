@@ -140,8 +140,26 @@ FROM judged""")
     return "WITH" + ",".join(ctes[:-1]) + "," + ctes[-1]
 
 
+# Base32 of the SHA-1: each 5 hex digits are four characters.
+WARC = """
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages
+), f AS (
+    SELECT h, min(page_id) AS first, count(*) AS n FROM p GROUP BY h
+)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           (((('0x' || substr(h, (1 + 5 * (j // 4))::INTEGER, 5))::INTEGER >> (15 - 5 * (j % 4))::INTEGER) & 31) + 1), 1)), '')
+           AS payload_digest,
+       CASE WHEN first IS NULL OR page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM p JOIN f USING (h)
+"""
+
+
 ORACLE: dict[str, str] = {
     "op5_decontamination": DECONTAMINATION,
     "op6_quality_mcd": quality_sql(),
     "op7_chat_format": CHAT,
+    "op8_warc_normaliser": WARC,
 }

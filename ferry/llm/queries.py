@@ -13,6 +13,7 @@ from ferry.llm.decontaminate import contamination, find_passages
 from ferry.llm.quality import mcd_verdict, quality_stats
 from ferry.llm.sharding import RingParams, shard_rows
 from ferry.llm.token_blocks import token_file_digest
+from ferry.llm.warc import archive_round_trip
 
 HARD_TEXT = "\\### Assistant: </turn> ok"
 
@@ -59,10 +60,16 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digest(format_chat(rows.unionByName(hard)))
 
 
+def op8_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as monolithic gzip WARC files, normalised, and read back through their index."""
+    return archive_round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_files": op2_token_files,
     "op4_ring_sharding": op4_ring_sharding,
     "op5_decontamination": op5_decontamination,
     "op6_quality_mcd": op6_quality_mcd,
     "op7_chat_format": op7_chat_format,
+    "op8_warc_normaliser": op8_warc_normaliser,
 }
