@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ferry.llm.chat import chat_digest, format_chat
 from ferry.llm.common import table
 from ferry.llm.decontaminate import contamination, find_passages
+from ferry.llm.language import held_out, predict, train
 from ferry.llm.quality import mcd_verdict, quality_stats
 from ferry.llm.sharding import RingParams, shard_rows
 from ferry.llm.token_blocks import token_file_digest
@@ -30,6 +31,14 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digest(docs, tokenizer_file(), end_id=0)
 
 
+def op3_language_ecoc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, by classifiers that never saw the held-out quarter."""
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs.select("doc_id", "text", "lang"))
+    rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
+    return predict(rows, model).drop("text")
+
+
 def op4_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards 0 to 39 of equal row counts by a hash ring with bounded loads."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -67,6 +76,7 @@ def op8_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_files": op2_token_files,
+    "op3_language_ecoc": op3_language_ecoc,
     "op4_ring_sharding": op4_ring_sharding,
     "op5_decontamination": op5_decontamination,
     "op6_quality_mcd": op6_quality_mcd,
