@@ -235,16 +235,16 @@ def mcd_verdict(stats: DataFrame, params: McdParams = McdParams()) -> DataFrame:
     cols = [f"m_{x}" for x in FEATURES] + [f"l_{a}_{b}" for a, b in PAIRS]
     # Beyond the checked size the parameters are joined by a shuffle, whose skew Spark splits.
     hint = F.broadcast if est.count() <= BROADCAST_GROUPS else (lambda df: df)
-    rows = stats.withColumns({f"q_{x}": F.expr(feature_sql(x)) for x in FEATURES}).withColumn("__k", F.lit(2))
-    for level, keys in enumerate((("lang", "source"), ("lang",), ())):
+    rows = stats.withColumns({f"q_{x}": F.expr(feature_sql(x)) for x in FEATURES})
+    for level, keys in enumerate((("lang", "source"), ("lang",))):
         side = est.where(F.col("level") == level).select(
-            F.col("level").alias("__level"), F.col("g_lang").alias("__lang"), F.col("g_source").alias("__source"),
-            F.struct(*cols).alias(f"__e{level}"))
-        on = F.lit(True) if keys else F.col("__k") == F.col("__level")
+            F.col("g_lang").alias("__lang"), F.col("g_source").alias("__source"), F.struct(*cols).alias(f"__e{level}"))
+        on = F.lit(True)
         for k in keys:
             on = on & F.col(k).eqNullSafe(F.col(f"__{k}"))
-        # The last level is one row at most, whatever the input.
-        rows = rows.join(hint(side) if keys else F.broadcast(side), on, "left").drop("__level", "__lang", "__source")
+        rows = rows.join(hint(side), on, "left").drop("__lang", "__source")
+    # The coarsest level has one row at most, whatever the input.
+    rows = rows.withColumn("__e2", est.where(F.col("level") == 2).agg(F.first(F.struct(*cols))).scalar())
     rows = rows.withColumn("__e", F.coalesce("__e0", "__e1", "__e2"))
     judged = _with(rows.withColumns({c: F.col(f"__e.{c}") for c in cols}), distance_sql())
     near = F.coalesce(F.col("d2") <= chi4_quantile(params.reject), F.lit(True))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ferry.llm.chat import chat_digest, format_chat
 from ferry.llm.common import table
 from ferry.llm.decontaminate import contamination, find_passages
+from ferry.llm.jaccard import JoinParams, similarity_components
 from ferry.llm.language import held_out, predict, train
 from ferry.llm.quality import mcd_verdict, quality_stats
 from ferry.llm.sharding import RingParams, shard_rows
@@ -19,6 +20,12 @@ from ferry.llm.warc import archive_round_trip
 HARD_TEXT = "\\### Assistant: </turn> ok"
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies of every document: 3-word shingles, similarity 0.9 or more."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return similarity_components(docs, JoinParams(words=3, percent=90)).select("doc_id", "n_shingles", "component_id")
+
+
 def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
@@ -75,6 +82,7 @@ def op8_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op2_token_files": op2_token_files,
     "op3_language_ecoc": op3_language_ecoc,
     "op4_ring_sharding": op4_ring_sharding,
