@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ferry.session import scratch_path
+
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
@@ -31,3 +33,19 @@ def fresh_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = "_" + name
     return name
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Write to the shared scratch folder and read back.
+
+    Later steps then read plain scans: nothing is computed twice, a lost executor costs no earlier
+    step, and Spark can split a skewed key of a join right above them.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
+    """Hint a broadcast if a written table has at most ``rows`` rows; else leave the join to Spark."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

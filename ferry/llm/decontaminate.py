@@ -32,6 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ferry.llm.common import broadcast_up_to, written
 from ferry.llm.token_blocks import BLOCK, pack_block, unpack_block
 from ferry.llm.words import ALNUM_TABLE, column_words, hash_bytes
 from ferry.session import scratch_path
@@ -292,3 +293,19 @@ def contamination(passages: DataFrame) -> DataFrame:
         "row", "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"), "n_near_items")
+
+
+#: Rows of a drop list, 8 bytes each, that may be broadcast.
+DROP_LIST = 1_000_000
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, params: SearchParams = SearchParams(slop=0)) -> DataFrame:
+    """The rows of ``docs`` (text, ...) that are not contaminated, columns unchanged.
+
+    The verdict depends on the text alone, so texts are named by their hash. Texts do not move unless
+    the drop list is too long to broadcast.
+    """
+    texts = docs.select(F.xxhash64("text").alias("doc_id"), "text")
+    bad = contamination(find_passages(texts, benchmark, params)).where("contaminated")
+    drop = written(bad.select(F.col("doc_id").alias("__h")).distinct(), "contaminated")
+    return docs.join(broadcast_up_to(drop, DROP_LIST), F.xxhash64(docs["text"]) == F.col("__h"), "left_anti")

@@ -41,7 +41,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
+from ferry.llm.common import broadcast_up_to, written
 from ferry.llm.words import SPACE_TABLE, column_words, mix
 from ferry.session import scratch_path
 
@@ -164,11 +166,11 @@ def routing_keys(shingles: np.ndarray, params: JoinParams) -> np.ndarray:
 SETS = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("n_shingles", T.LongType()),
     T.StructField("cid", T.BinaryType()), T.StructField("fp", T.LongType()),
-    T.StructField("keys", T.ArrayType(T.LongType()))])
+    T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("text_hash", T.LongType())])
 
 
 def write_sets(docs: DataFrame, params: JoinParams) -> DataFrame:
-    """doc_id, n_shingles, cid (class), fp (its routing number) and keys of every document, written."""
+    """doc_id, n_shingles, cid (class), fp (its routing number), keys and text_hash of every document."""
     spark = docs.sparkSession
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,22 +185,15 @@ def write_sets(docs: DataFrame, params: JoinParams) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(row, len(counts)), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(ids, pa.binary()), pa.array([int.from_bytes(i[:8], "big", signed=True) for i in ids], pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], SETS.names)
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), batch.column(2).slice(row, len(counts))],
+                    SETS.names)
 
     path = scratch_path(spark, "shingle-sets")
-    docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")) \
+    docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text")) \
         .mapInArrow(run, SETS).write.parquet(path)
     return spark.read.parquet(path)
 
 
-def _written(df: DataFrame, label: str) -> DataFrame:
-    """Write to the shared scratch folder and read back: plain scans below a join, so that Spark can
-    split a skewed key, and no step is computed twice."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 # --- search within a block ------------------------------------------------------------------
 
 class InvertedIndex:
@@ -419,28 +414,28 @@ def _search_rest(placed: DataFrame, docs: DataFrame, classes: DataFrame, params:
 def find_links(docs: DataFrame, sets: DataFrame, classes: DataFrame, params: JoinParams) -> DataFrame:
     """Links (cid, other) between classes that connect every component of the link graph."""
     posts = sets.select("fp", F.explode("keys").alias("key"))
-    shared = _written(posts.groupBy("key").agg(F.min("fp").alias("pivot"), F.max("fp").alias("last"))
+    shared = written(posts.groupBy("key").agg(F.min("fp").alias("pivot"), F.max("fp").alias("last"))
                       .where(F.col("pivot") < F.col("last")).drop("last"), "shared-keys")
-    members = _written(posts.join(shared, "key").select("pivot", "fp").distinct(), "buckets")
+    members = written(posts.join(shared, "key").select("pivot", "fp").distinct(), "buckets")
     sized = members.join(classes.select("fp", "n_shingles"), "fp")
-    blocks = _written(sized.groupBy("pivot").agg(
+    blocks = written(sized.groupBy("pivot").agg(
         F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).alias("blocks")), "bucket-sizes")
     # A pivot goes to all blocks of its bucket, any other set to one.
     own = F.array(F.pmod(F.xxhash64("fp"), "blocks"))
     salts = F.when(F.col("fp") == F.col("pivot"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(own)
     bucketed = members.join(blocks, "pivot")
     placed = bucketed.select("pivot", "fp", "blocks", F.explode(salts).alias("salt"))
-    found = _written(_search_buckets(placed, docs, classes, params), "links")
+    found = written(_search_buckets(placed, docs, classes, params), "links")
     links = found.where(F.col("pivot").isNull()).select("cid", "other")
 
     split = found.where(F.col("pivot").isNotNull())
     if split.isEmpty():
         return links
-    labels = _written(components(links), "labels")
+    labels = written(components(links), "labels")
     comp = split.join(labels, "cid", "left").select(
         "pivot", "cid", F.col("other"), F.coalesce("root", "cid").alias("comp"))
     heads = labels.select(F.col("cid").alias("other"), F.col("root").alias("pivot_root"))
-    judged = _written(comp.join(heads, "other", "left").select(
+    judged = written(comp.join(heads, "other", "left").select(
         "pivot", "cid", "comp", (F.col("comp") != F.coalesce("pivot_root", "other")).alias("query")).distinct(), "split")
     asked = judged.where("query").join(classes.select("cid", "n_shingles"), "cid").groupBy("pivot").agg(
         F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).alias("chunks"))
@@ -459,7 +454,7 @@ def find_links(docs: DataFrame, sets: DataFrame, classes: DataFrame, params: Joi
         "pivot", "fp", "comp", F.lit(False).alias("query"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), own_salt.alias("salt"))
     rest = asking.unionByName(asked_of).unionByName(among)
-    more = _written(_search_rest(rest, docs, classes, params), "more-links")
+    more = written(_search_rest(rest, docs, classes, params), "more-links")
     return links.unionByName(more.select("cid", "other"))
 
 
@@ -470,16 +465,16 @@ def components(links: DataFrame) -> DataFrame:
     never collected: each step is a minimum per class, map-side combined, and a join that Spark can
     split. Each round is written, so a lost executor costs no earlier round.
     """
-    edges = _written(links.select(F.greatest("cid", "other").alias("u"), F.least("cid", "other").alias("v"))
+    edges = written(links.select(F.greatest("cid", "other").alias("u"), F.least("cid", "other").alias("v"))
                      .where(F.col("u") != F.col("v")).distinct(), "edges")
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = _written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "star")
-        large = _written(both.join(least, "u").where(F.col("v") > F.col("u"))
+        least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "star")
+        large = written(both.join(least, "u").where(F.col("v") > F.col("u"))
                          .select(F.col("v").alias("u"), F.col("m").alias("v")).where(F.col("u") != F.col("v")).distinct(), "large")
-        least = _written(large.groupBy("u").agg(F.min("v").alias("m")), "star")
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "star")
         small = large.join(least, "u").select("u", "v", "m")
-        nxt = _written(small.where(F.col("v") != F.col("m")).select(
+        nxt = written(small.where(F.col("v") != F.col("m")).select(
             F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
             .unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
         # Done when every class has one edge and no root has an edge of its own.
@@ -493,20 +488,48 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def similarity_components(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFrame:
-    """doc_id, n_shingles, component_id, cid for every row of ``docs`` (doc_id, text).
+    """doc_id, n_shingles, component_id, text_hash, root for every row of ``docs`` (doc_id, text).
 
-    ``component_id`` is the smallest doc_id that links reach; ``cid`` is the row's class, the same
-    for rows of equal sets.
+    ``component_id`` is the smallest doc_id that links reach; ``root`` names the component also where
+    ids repeat or are null, and is null for documents without words.
     """
     spark: SparkSession = docs.sparkSession
     sets = write_sets(docs, params)
-    classes = _written(sets.where("n_shingles > 0").groupBy("cid", "fp", "n_shingles").agg(
+    classes = written(sets.where("n_shingles > 0").groupBy("cid", "fp", "n_shingles").agg(
         F.min("doc_id").alias("rep")), "classes")
-    labels = _written(components(find_links(docs, sets, classes, params)), "labels")
+    labels = written(components(find_links(docs, sets, classes, params)), "labels")
     rooted = classes.join(labels, "cid", "left").select("cid", "rep", F.coalesce("root", "cid").alias("root"))
-    roots = _written(rooted.groupBy("root").agg(F.min("rep").alias("component_id")), "roots")
-    answer = _written(rooted.join(roots, "root").select("cid", "component_id", "root"), "answer")
-    thin = sets.select("doc_id", "n_shingles", "cid")
+    roots = written(rooted.groupBy("root").agg(F.min("rep").alias("component_id")), "roots")
+    answer = written(rooted.join(roots, "root").select("cid", "component_id", "root"), "answer")
+    thin = sets.select("doc_id", "n_shingles", "cid", "text_hash")
     return thin.join(answer, "cid", "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-        .alias("component_id"), "cid", "root")
+        .alias("component_id"), "text_hash", "root")
+
+
+#: Rows of a drop list, 16 bytes each, that may be broadcast.
+DROP_LIST = 1_000_000
+
+
+def keep_one_per_component(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each component the row with the smallest doc_id stays.
+
+    Ids that are null come last; equal ids are told apart by a hash of their text, and of rows equal
+    in both, one stays. Documents without words all stay. The texts do not move unless the drop list
+    is too long to broadcast.
+    """
+    found = written(similarity_components(docs, params).where(F.col("root").isNotNull()), "near-copies")
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    groups = found.groupBy("root").agg(F.min(key).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    judged = found.join(written(groups, "first-copies"), "root").select("doc_id", "text_hash", (key == F.col("first")).alias("stays"))
+    drop = written(judged.groupBy("doc_id", "text_hash").agg(
+        F.first("stays").alias("stays"), F.count(F.lit(1)).alias("n")).where("NOT stays OR n > 1"), "drop-list")
+    named = drop.select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__h"), "stays")
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("__d")) & (F.xxhash64(docs["text"]) == F.col("__h"))
+    rest = docs.join(broadcast_up_to(named, DROP_LIST), same, "left_anti")
+    repeated = named.where("stays")
+    if repeated.isEmpty():
+        return rest
+    rank = F.row_number().over(Window.partitionBy("__d", "__h").orderBy(F.lit(0)))
+    one = docs.join(broadcast_up_to(repeated, DROP_LIST), same).withColumn("__rank", rank).where("__rank = 1")
+    return rest.unionByName(one.select(*[F.col(f"`{c}`") for c in docs.columns]))

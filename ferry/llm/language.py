@@ -16,8 +16,8 @@ the best of ``CODE_TRIALS`` random codes.
 
 Edge cases. A null text, or one without a letter (``\\p{L}``), is ``und`` with score 0, as is every
 text if there was nothing to learn from; such rows teach nothing. Rows without lang or doc_id teach
-nothing either. Repeated rows are judged each by itself. Extra columns pass through unless their
-name is one of the result's. An empty table gives an empty result.
+nothing either. Repeated rows are judged each by itself. Extra columns pass through; a result column
+whose name is taken gets underscores in front. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ferry.llm.common import fresh_name
 from ferry.llm.words import CHUNK, _bytes_of
 
 UNDEFINED = "und"
@@ -198,14 +199,17 @@ def train(docs: DataFrame, params: EcocParams = EcocParams()) -> EcocModel:
 
 
 def predict(docs: DataFrame, model: EcocModel, text: str = "text") -> DataFrame:
-    """``docs`` plus lang_pred, score and ambiguous; ``text`` stays in place."""
+    """``docs`` plus, as its last columns, lang_pred, score and ambiguous.
+
+    A result column whose name ``docs`` has already gets underscores in front.
+    """
     spark = docs.sparkSession
-    mark = "__letters"
-    taken = {"lang_pred", "score", "ambiguous"}
-    rows = docs.select(*[c for c in docs.columns if c.lower() not in taken], has_letter(F.col(text)).alias(mark))
-    schema = T.StructType([f for f in rows.schema.fields if f.name != mark])
-    out = T.StructType(schema.fields + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
-                                        T.StructField("ambiguous", T.BooleanType())])
+    mark = fresh_name(docs, "letters")
+    schema = docs.schema
+    rows = docs.withColumn(mark, has_letter(F.col(text)))
+    out = T.StructType(schema.fields + [
+        T.StructField(fresh_name(docs, name), kind)
+        for name, kind in (("lang_pred", T.StringType()), ("score", T.DoubleType()), ("ambiguous", T.BooleanType()))])
     shared = spark.sparkContext.broadcast(model)              # DIMS x bits numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,7 +217,7 @@ def predict(docs: DataFrame, model: EcocModel, text: str = "text") -> DataFrame:
         names = np.array([*m.languages, UNDEFINED], object)
         for batch in batches:
             known = batch.column(mark).to_numpy(zero_copy_only=False).astype(bool) & bool(m.languages)
-            data, offs = _bytes_of(batch.column(text))
+            data, offs = _bytes_of(batch.column(text))             # null texts are empty here
             best = np.full(len(known), len(m.languages))
             score, unsure = np.zeros(len(known)), np.ones(len(known), bool)
             todo = np.flatnonzero(known)
@@ -226,3 +230,13 @@ def predict(docs: DataFrame, model: EcocModel, text: str = "text") -> DataFrame:
                 [*columns, pa.array(names[best], pa.string()), pa.array(score), pa.array(unsure)], out.names)
 
     return rows.mapInArrow(run, out)
+
+
+def language_filter(docs: DataFrame, params: EcocParams = EcocParams()) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, lang, ...) whose language is recognised, columns unchanged.
+
+    Rejected are texts without a letter and texts whose bits the code cannot correct.
+    """
+    judged = predict(docs, train(docs, params))
+    lang_pred, _, ambiguous = judged.columns[-3:]
+    return judged.where((F.col(lang_pred) != UNDEFINED) & ~F.col(ambiguous)).drop(*judged.columns[-3:])

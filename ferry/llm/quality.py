@@ -31,8 +31,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferry.llm.common import SPACES, space_words
-from ferry.session import scratch_path
+from ferry.llm.common import SPACES, space_words, written
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -252,13 +251,15 @@ def mcd_verdict(stats: DataFrame, params: McdParams = McdParams()) -> DataFrame:
         .withColumn("kept", ~F.col("base_failed") & near).select(*stats.columns, "base_failed", "d2", "kept")
 
 
-def quality_stats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
+def quality_stats(docs: DataFrame) -> DataFrame:
     """The base statistics of every row, written to the shared scratch folder once.
 
-    Each concentration step reads a few columns of that table again. With ``keep_text`` the texts
-    are written along, so that a filter needs no join to get them back.
+    Each concentration step reads a few columns of that table again.
     """
-    path = scratch_path(docs.sparkSession, "quality-stats")
-    kept = docs.withColumn("__copy", F.col("text")) if keep_text else docs
-    text_stats(kept).write.parquet(path)
-    return docs.sparkSession.read.parquet(path)
+    return written(text_stats(docs), "quality-stats")
+
+
+def quality_filter(docs: DataFrame, params: McdParams = McdParams()) -> DataFrame:
+    """The rows of ``docs`` (text, lang, source, ...) that the quality rules keep, columns unchanged."""
+    rows = docs.select("text", "lang", "source", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
+    return mcd_verdict(quality_stats(rows), params).where("kept").select("__row.*")

@@ -12,9 +12,11 @@ from ferry.llm.common import table
 from ferry.llm.decontaminate import contamination, find_passages
 from ferry.llm.jaccard import JoinParams, similarity_components
 from ferry.llm.language import held_out, predict, train
+from ferry.llm.packing import pack_documents, text_cluster, word_length
 from ferry.llm.quality import mcd_verdict, quality_stats
 from ferry.llm.sharding import RingParams, shard_rows
 from ferry.llm.token_blocks import token_file_digest
+from ferry.llm.token_counts import count_edited
 from ferry.llm.warc import archive_round_trip
 
 HARD_TEXT = "\\### Assistant: </turn> ok"
@@ -81,6 +83,18 @@ def op8_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in training sequences of 2,048 words, without copies or a crowding source."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    text = F.col("text")
+    return pack_documents(docs, word_length(text), text_cluster(text)).drop("row")
+
+
+def op10_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document before and after masking personal data and repeated lines."""
+    return count_edited(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_file())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_token_files": op2_token_files,
@@ -90,4 +104,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_mcd": op6_quality_mcd,
     "op7_chat_format": op7_chat_format,
     "op8_warc_normaliser": op8_warc_normaliser,
+    "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_edit_token_counts": op10_edit_token_counts,
 }
