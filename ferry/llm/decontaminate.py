@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferry.llm.common import broadcast_up_to, written
+from ferry.llm.common import broadcast_up_to, fresh_name, written
 from ferry.llm.token_blocks import BLOCK, pack_block, unpack_block
 from ferry.llm.words import ALNUM_TABLE, column_words, hash_bytes
 from ferry.session import scratch_path
@@ -307,5 +307,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, params: SearchParams =
     """
     texts = docs.select(F.xxhash64("text").alias("doc_id"), "text")
     bad = contamination(find_passages(texts, benchmark, params)).where("contaminated")
-    drop = written(bad.select(F.col("doc_id").alias("__h")).distinct(), "contaminated")
-    return docs.join(broadcast_up_to(drop, DROP_LIST), F.xxhash64(docs["text"]) == F.col("__h"), "left_anti")
+    name = fresh_name(docs, "drop_hash")
+    drop = written(bad.select(F.col("doc_id").alias(name)).distinct(), "contaminated")
+    return docs.join(broadcast_up_to(drop, DROP_LIST), F.xxhash64(docs["text"]) == F.col(name), "left_anti")

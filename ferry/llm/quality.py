@@ -18,8 +18,8 @@ fewer than ``min_rows`` rows uses its language, and a small language uses all ro
 a source with a third of all rows is no hot task.
 
 Edge cases. A null text has no words and fails the base rule. Null lang or source are groups of
-their own. Repeated rows count and are judged each by itself. Extra columns pass through; an empty
-table gives an empty result. Two different 8-word windows of one text count as equal only if their
+their own. Repeated rows count and are judged each by itself. Extra columns pass through, save those
+named as a result; ``quality_filter`` keeps all columns. An empty table gives an empty result. Two different 8-word windows of one text count as equal only if their
 64-bit hashes collide.
 """
 
@@ -66,9 +66,16 @@ class McdParams:
     floors: tuple[float, ...] = (0.05, 0.05, 0.10, 0.10)   # least standard deviation by feature
 
 
+#: Names of the results and of columns on the way; input columns of these names are left out.
+RESULTS = {"n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed", "d2", "kept",
+           "__t", "__w", "__h", "__s", "__p", "__l", "__lang", "__source", "__e", "__e0", "__e1", "__e2",
+           *(f"q_{x}" for x in FEATURES), *(f"y_{x}" for x in FEATURES), *(f"m_{x}" for x in FEATURES),
+           *(f"l_{a}_{b}" for a in FEATURES for b in FEATURES)}
+
+
 def text_stats(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without its text, plus n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words."""
-    rest = [c for c in docs.columns if c != text]
+    rest = [c for c in docs.columns if c != text and c.lower() not in RESULTS]
     t = F.coalesce(F.col(text), F.lit(""))
     # Lambdas that look at other elements need their arrays as columns of an earlier projection;
     # each of these columns is used more than once later, so the optimizer keeps them apart.
