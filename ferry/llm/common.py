@@ -46,6 +46,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def one_per_task(rows: DataFrame, key: str) -> DataFrame:
+    """Deal the rows of a small written table out to a task each (adaptive execution would join
+    such small partitions to one). For tables whose rows name files to work on."""
+    return rows.repartitionByRange(max(1, rows.count()), key)
+
+
 def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
     """Hint a broadcast if a written table has at most ``rows`` rows; else leave the join to Spark."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

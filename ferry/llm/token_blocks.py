@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ferry.llm.common import one_per_task
 from ferry.llm.files import locate, writing
 from ferry.llm.tokenizing import encoder
 from ferry.session import scratch_path
@@ -236,7 +237,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                     if rows:
                         yield _batch(rows)
 
-    files = manifest.where("n_docs > 0").select("part", "path").repartition("part")
+    files = one_per_task(manifest.where("n_docs > 0").select("part", "path"), "part")
     return files.mapInArrow(read, READ).join(F.broadcast(bases), "part").select(
         "doc_id", (F.col("base") + F.col("start_in_file")).alias("start"), "n_tokens", "ids_crc32")
 

@@ -31,6 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ferry.llm.common import one_per_task
 from ferry.llm.files import locate, writing
 from ferry.session import scratch_path
 
@@ -232,7 +233,7 @@ def normalise_files(files: DataFrame, folder: str, level: int = 6) -> DataFrame:
                     n = normalise(source, out, index, level)
                 yield _file_row(part, target, n)
 
-    files.repartition("part").mapInArrow(run, FILES).write.parquet(f"{folder}/files.parquet")
+    one_per_task(files, "part").mapInArrow(run, FILES).write.parquet(f"{folder}/files.parquet")
     return spark.read.parquet(f"{folder}/files.parquet")
 
 
@@ -259,7 +260,7 @@ def read_archives(files: DataFrame) -> DataFrame:
                     if rows:
                         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
-    return files.select("part", "path").repartition("part").mapInArrow(read, RECORDS)
+    return one_per_task(files.select("part", "path"), "part").mapInArrow(read, RECORDS)
 
 
 def archive_round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
