@@ -1,8 +1,9 @@
 """Command-line entry for the migration jobs: ``python -m ferry.cli <job> ...``.
 
-Inputs are CSV folders in the quoted dialect (read recursively, all columns text) unless a path
-ends in ``.parquet``; outputs are published as run folders (``run_id=...``) below ``--out``, so
-a re-run never deletes the previous result. Every job prints one JSON line of row counts taken
+Inputs are CSV folders in the quoted dialect (read recursively, columns matched by header, all text)
+unless a path ends in ``.parquet``; a root of run folders stands for its current run. Outputs are
+published as run folders (``run_id=...``) below ``--out``, so a re-run never deletes the previous
+result, and a run without rows publishes nothing. Every job prints one JSON line of row counts taken
 during the writes.
 
 Jobs: ``transform``, ``after-load``, ``match-users``, ``remap-owners``, ``headers``,
@@ -16,16 +17,16 @@ import json
 import sys
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ferry.functions.text import run_id as make_run_id
 from ferry.operators.batches import assign_batches
 from ferry.operators.reconcile import outcome_by_job, run_reconciliation
 from ferry.operators.stamp import stamp_load_time
 from ferry.plans.jobs import (
-    after_load,
+    publish_after_load,
     publish_attachment_uploads,
+    publish_counted,
     crosswalk_sources,
     document_manifest,
     match_users,
@@ -33,28 +34,34 @@ from ferry.plans.jobs import (
     publish_transform,
     publish_user_match,
     remap_owners,
+    staged,
     transform_object,
 )
-from ferry.session import build_session
-from ferry.sinks.publish import append_crosswalk, publish_snapshot
+from ferry.session import build_session, scale_conf
+from ferry.sinks.publish import pick_run, read_outcomes, run_ids, run_path
 from ferry.sources.binary import read_files
-from ferry.sources.csv import read_csv
+from ferry.sources.csv import union_by_header
 from ferry.sources.headers import header_catalog
+from ferry.sources.listing import first_file_below
 from ferry.sources.sqltext import read_sql_text, sql_path
 
 
 def _read(spark: SparkSession, path: str, year: str | None = None) -> DataFrame:
+    """A Parquet table, the current run of a published root, or CSV files matched by header."""
     if year:
         path = f"{path.rstrip('/')}/year={year}"
     if path.endswith(".parquet"):
         return spark.read.parquet(path)
-    return read_csv(spark, path, recursive=True)
+    if run_ids(spark, path):
+        path = run_path(path, pick_run(spark, path))
+        if first_file_below(spark, path, "*.parquet"):
+            return spark.read.parquet(path)
+    return union_by_header(spark, path)
 
 
-def _publish(df: DataFrame, root: str, run: str, fmt: str, counts: dict, name: str) -> None:
-    obs = Observation(name)
-    path = publish_snapshot(df.observe(obs, F.count(F.lit(1)).alias("rows")), root, run, fmt)
-    counts[name] = obs.get["rows"] if path else 0
+def _outcomes(spark: SparkSession, path: str) -> DataFrame:
+    """The last run of every object, or a plain Parquet table."""
+    return read_outcomes(spark, path) if run_ids(spark, path) else spark.read.parquet(path)
 
 
 def _pairs(values: list[str] | None) -> dict[str, str]:
@@ -85,13 +92,7 @@ def run(args: argparse.Namespace, spark: SparkSession) -> dict:
         counts.update(publish_transform(tr, out, args.object, rid, fmt, partition_year=args.year))
         counts["sources"] = {r.name: r.status for r in tr.sources.collect()}
     elif args.job == "after-load":
-        parts = after_load(_read(spark, args.raw), _read(spark, args.success))
-        _publish(parts["duplicates"], f"{out}/duplicates/{args.object}", rid, fmt, counts, "duplicates")
-        _publish(parts["delta"], f"{out}/joined_output/{args.object}", rid, fmt, counts, "delta")
-        obs = Observation("crosswalk")
-        append_crosswalk(parts["crosswalk"].observe(obs, F.count(F.lit(1)).alias("rows")),
-                         f"{out}/prod_data/{args.object}", rid)
-        counts["crosswalk"] = obs.get["rows"]
+        counts.update(publish_after_load(_read(spark, args.raw), _read(spark, args.success), out, args.object, rid, fmt))
     elif args.job == "match-users":
         parts = match_users(_read(spark, args.legacy), _read(spark, args.target))
         counts.update(publish_user_match(parts["matched"], out, rid, fmt))
@@ -99,25 +100,24 @@ def run(args: argparse.Namespace, spark: SparkSession) -> dict:
         parts = remap_owners(_read(spark, args.source), _read(spark, args.users), salt_buckets=args.salt)
         counts.update(publish_owner_remap(parts["remapped"], out, args.object, rid, fmt))
     elif args.job == "headers":
-        _publish(header_catalog(spark, args.root), f"{out}/headers", rid, fmt, counts, "columns")
+        counts["columns"] = publish_counted(header_catalog(spark, args.root), f"{out}/headers", rid, fmt)
     elif args.job == "manifest":
         m = document_manifest(_read(spark, args.contracts), _read(spark, args.accounts),
                               _read(spark, args.links), _read(spark, args.versions))
-        _publish(m, f"{out}/manifest", rid, fmt, counts, "documents")
+        counts["documents"] = publish_counted(staged(m, "manifest"), f"{out}/manifest", rid, fmt)
     elif args.job == "attachments":
-        files = read_files(spark, args.files).select("file_name", "content")
+        files = read_files(spark, args.files, with_content=False).select("path", "file_name")
         counts.update(publish_attachment_uploads(files, _read(spark, args.parents), out, rid))
     elif args.job == "batches":
         rows = _read(spark, args.input)
         if args.object:
             run_ts = datetime.fromisoformat(args.run_ts) if args.run_ts else datetime.now(timezone.utc)
             rows = stamp_load_time(rows, args.object, run_ts)
-        b = assign_batches(rows, args.order_by, args.size)
-        _publish(b, f"{out}/batches", rid, fmt, counts, "rows")
+        counts["rows"] = publish_counted(assign_batches(rows, args.order_by, args.size), f"{out}/batches", rid, fmt)
     elif args.job == "reconcile":
-        outcomes = spark.read.parquet(args.outcomes)
+        outcomes = _outcomes(spark, args.outcomes)
         counts["totals"] = run_reconciliation(_read(spark, args.input), outcomes).first().asDict()
-        _publish(outcome_by_job(outcomes), f"{out}/outcome_by_job", rid, fmt, counts, "job_outcome_rows")
+        counts["job_outcome_rows"] = publish_counted(outcome_by_job(outcomes), f"{out}/outcome_by_job", rid, fmt)
     return counts
 
 
@@ -130,6 +130,8 @@ def parser() -> argparse.ArgumentParser:
         j.add_argument("--out", required=True)
         j.add_argument("--run-id")
         j.add_argument("--format", default="csv", choices=["csv", "parquet"])
+        j.add_argument("--input-bytes", type=int, help="size of the input; with --cores, sizes partitions")
+        j.add_argument("--cores", type=int, help="executor cores of the cluster")
         for r in required:
             j.add_argument(f"--{r}", required=True)
         return j
@@ -159,7 +161,8 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
     args = parser().parse_args(argv)
-    spark = spark or build_session(app_name=f"ferry-{args.job}")
+    sized = scale_conf(args.input_bytes, args.cores) if args.input_bytes and args.cores else None
+    spark = spark or build_session(app_name=f"ferry-{args.job}", extra=sized)
     counts = run(args, spark)
     print(json.dumps(counts, default=str))
     return counts

@@ -27,7 +27,6 @@ ELIGIBLE_CREATED_ON_OR_BEFORE = "2025-11-20"
 BULK_BATCH_SIZE = 20000
 ATTACHMENT_CONTENT_TYPE = "application/pdf"
 # Load-time stamp: UTC, ISO-8601 with milliseconds and a literal Z.
-LOAD_STAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 RUN_ID_FORMAT = "%Y%m%d_%H%M%S"
 # Outcome names of a bulk job.
 OUTCOMES = ("success", "error", "unprocessed")

@@ -9,10 +9,10 @@ A global ``row_number()`` moves every row into one task. Instead:
    Parquet table below the shared checkpoint folder. The written table fixes, for every later
    action and every retry, which row sits where; two independent evaluations of a range exchange
    could draw different bounds, so nothing downstream re-evaluates it.
-2. count rows per range from that table (only the range column is read): at most ``num_ranges``
-   numbers reach the driver and become offsets,
-3. global position = offset of the range (a literal array) + position inside the range;
-   batch = position div batch_size.
+2. count rows per range from that table (only the range column is read) and cumulate the counts:
+   a table of at most ``num_ranges`` rows, whatever the input,
+3. join that table on the range: global position = offset of the range + position inside the
+   range; batch = position div batch_size.
 
 The order is total (keys, then a hash of the whole row; equal rows are interchangeable), so a
 retried task writes the same positions.
@@ -24,6 +24,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ferry.constants import BULK_BATCH_SIZE
 from ferry.session import scratch_path
@@ -56,15 +57,12 @@ def assign_batches(df: DataFrame, order_cols: Sequence[str], batch_size: int = B
     ranged.write.mode("overwrite").parquet(path)
     written = spark.read.parquet(path)
 
-    counts = dict(written.groupBy("__ferry_range").agg(F.count(F.lit(1)).alias("n")).collect())
-    offsets, running = [], 0
-    for r in range(max(counts, default=-1) + 1):
-        offsets.append(running)
-        running += int(counts.get(r, 0))
-    offset = F.element_at(F.array(*([F.lit(o).cast("long") for o in offsets] or [F.lit(0).cast("long")])),
-                          (F.col("__ferry_range") + F.lit(1)).cast("int"))
-    pos = (offset + F.col("__ferry_local")).alias("__ferry_pos")
-    numbered = written.select(*quoted, pos)
+    # One row per range: the window sees num_ranges rows, and the broadcast has that bound.
+    before = Window.orderBy("__ferry_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (written.groupBy("__ferry_range").agg(F.count(F.lit(1)).alias("n"))
+               .select("__ferry_range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__ferry_offset")))
+    pos = (F.col("__ferry_offset") + F.col("__ferry_local")).alias("__ferry_pos")
+    numbered = written.join(F.broadcast(offsets), "__ferry_range").select(*quoted, pos)
     extra = [F.expr(f"__ferry_pos div {int(batch_size)}").cast("long").alias(batch_col)]
     if position_col:
         extra.append((F.col("__ferry_pos") + F.lit(1)).cast("long").alias(position_col))

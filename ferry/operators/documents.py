@@ -8,18 +8,29 @@ combined) instead of windows, so a parent with a third of all documents does not
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from datetime import date, datetime, timedelta
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DateType, TimestampNTZType, TimestampType
+from pyspark.sql.types import (
+    BinaryType,
+    BooleanType,
+    DateType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from ferry.constants import (
     ATTACHMENT_CONTENT_TYPE,
     ELIGIBLE_ACCOUNT_STATUSES,
     ELIGIBLE_CREATED_ON_OR_BEFORE,
 )
+from ferry.operators.salting import reduce_apart
 from ferry.functions.text import (
     base64_unbroken,
     keyed_file_name,
@@ -40,7 +51,14 @@ def on_or_before_day(df: DataFrame, col_name: str, day: str | date) -> Column:
     if isinstance(dtype, (TimestampNTZType, TimestampType)):
         bound = F.lit(nxt.isoformat(sep=" ")).cast(dtype.simpleString())
         return F.col(col_name) < bound
-    return F.to_date(F.col(col_name)) <= F.lit(d)
+    # Text: a value that is no date matches nothing; ``unreadable_dates`` lists such rows.
+    return F.expr(f"try_to_timestamp(`{col_name}`)").cast("date") <= F.lit(d)
+
+
+def unreadable_dates(df: DataFrame, col_name: str) -> DataFrame:
+    """Rows whose text date is present but cannot be read (they never pass a day cut-off)."""
+    c = F.col(col_name)
+    return df.where(c.isNotNull() & (F.trim(c) != "") & F.expr(f"try_to_timestamp(`{col_name}`)").isNull())
 
 
 def _flag(df: DataFrame, col_name: str) -> Column:
@@ -84,10 +102,10 @@ def latest_version_manifest(links: DataFrame, versions: DataFrame, link_entity_c
     ``ready`` otherwise.
     """
     v = versions if latest_col is None else versions.where(_flag(versions, latest_col))
-    current = (v.groupBy(F.col(version_document_col).alias("content_document_id"))
-               .agg(F.min(F.struct(F.col(version_id_col).alias("version_id"),
-                                   F.col(title_col).alias("title"),
-                                   F.col(extension_col).alias("file_extension"))).alias("v")))
+    named = v.select(F.col(version_document_col).alias("content_document_id"), F.col(version_id_col).alias("version_id"),
+                     F.col(title_col).alias("title"), F.col(extension_col).alias("file_extension"))
+    current = reduce_apart(named, ["content_document_id"],
+                           F.min(F.struct("version_id", "title", "file_extension")).alias("v"))
     ln = links.select(F.col(link_entity_col).alias("linked_entity_id"),
                       F.col(link_document_col).alias("__ferry_doc"))
     m = ln.join(current, ln["__ferry_doc"] == current["content_document_id"], "inner")
@@ -131,9 +149,9 @@ def attachment_parent_lookup(files: DataFrame, parents: DataFrame, name_col: str
         keyed_name_key(F.col(name_col)).alias("migration_id"),
         keyed_name_rest(F.col(name_col)).alias("name"),
         *[F.col(c) for c in keep_cols])
-    unique = (parents.where(F.col(parent_key_col).isNotNull())
-              .groupBy(F.col(parent_key_col).alias("__ferry_key"))
-              .agg(F.min(F.col(parent_id_col)).alias("parent_id")))
+    keyed = parents.select(F.col(parent_key_col).alias("__ferry_key"), F.col(parent_id_col).alias("parent_id"))
+    unique = reduce_apart(keyed.where(F.col("__ferry_key").isNotNull()), ["__ferry_key"],
+                          F.min("parent_id").alias("parent_id"))
     out = parsed.join(unique, parsed["migration_id"] == unique["__ferry_key"], "left").drop("__ferry_key")
     return out.withColumn(
         "status", F.when(F.col("parent_id").isNull(), F.lit("no_parent")).otherwise(F.lit("ready")))
@@ -152,6 +170,27 @@ def attachment_payload(looked_up: DataFrame, content_col: str = "content",
                         F.lit(content_type).alias("ContentType"))
 
 
+def attach_bodies(looked_up: DataFrame, path_col: str = "path") -> DataFrame:
+    """``looked_up`` rows that are ready, with the bytes of their file as ``content``.
+
+    The bodies are read where they are used, by path, after the parent join: no file body goes
+    through a shuffle or a sort, and files without a parent are not read.
+    """
+    ready = looked_up.where(F.col("status") == "ready")
+    schema = StructType([*ready.schema.fields, StructField("content", BinaryType())])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, path in enumerate(batch.column(path_col).to_pylist()):
+                store, place = fs.FileSystem.from_uri("/" + path[5:].lstrip("/") if path.startswith("file:") else path)
+                with store.open_input_stream(place, compression=None) as f:
+                    body = f.read()
+                row = batch.slice(k, 1)
+                yield pa.RecordBatch.from_arrays([*row.columns, pa.array([body], pa.binary())], schema.names)
+
+    return ready.mapInArrow(read, schema)
+
+
 def transfer_summary(manifest: DataFrame, status_col: str = "status") -> DataFrame:
     """Row counts per status (``ready``/``failed``/``no_parent``)."""
     return manifest.groupBy(F.col(status_col).alias("status")).agg(F.count(F.lit(1)).alias("count"))

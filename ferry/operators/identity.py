@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ferry.constants import DOMAIN_ALIASES, DOMAIN_CANONICAL
 from ferry.functions.keys import email_match_key
 from ferry.functions.predicates import present
-from ferry.operators.salting import SALT, replicate_per_salt, salt_rows
+from ferry.operators.salting import SALT, reduce_apart, replicate_per_salt, salt_rows
 
 IDENTITY_COLUMNS = (
     "legacy_user_id", "legacy_isactive", "legacy_email", "legacy_username", "tfm_user_id",
@@ -65,11 +65,11 @@ def identity_match(legacy: DataFrame, target: DataFrame, id_col: str = "Id",
                   aliases, canonical, case_insensitive)
 
     keys = ["tfm_email_trimmed", "tfm_username_trimmed"]
-    best = (new.where(F.col(keys[0]).isNotNull() & F.col(keys[1]).isNotNull())
-            .groupBy(*keys)
-            .agg(F.min(F.struct(F.col("tfm_user_id").isNotNull().alias("has_id"), "tfm_user_id",
-                                "tfm_isactive", "tfm_email", "tfm_username")).alias("t"),
-                 F.count(F.lit(1)).alias("candidates")))
+    best = reduce_apart(
+        new.where(F.col(keys[0]).isNotNull() & F.col(keys[1]).isNotNull()), keys,
+        F.min(F.struct(F.col("tfm_user_id").isNotNull().alias("has_id"), "tfm_user_id",
+                       "tfm_isactive", "tfm_email", "tfm_username")).alias("t"),
+        F.count(F.lit(1)).alias("candidates"))
     cond = (old["legacy_email_trimmed"] == best[keys[0]]) & (old["legacy_username_trimmed"] == best[keys[1]])
     if salt_buckets > 1:
         old = salt_rows(old, salt_buckets)

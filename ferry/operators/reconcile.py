@@ -2,11 +2,9 @@
 
 Scale notes (shared by all operators here):
 
-* Key sides of semi/anti/inner joins are reduced to distinct, non-null keys first. The distinct
-  is a partial (map-side) aggregate on the join key, so its shuffle is the one the join needs:
-  one exchange per side, and a hot key is collapsed before it moves.
-* Hot keys on the probing side are split by AQE's skew-join handling (inner, left outer, left
-  semi and left anti all support splitting the left side); ``ferry.session`` enables it.
+* Semi- and anti-joins take the key side as it is, without a distinct: the join needs no unique
+  keys, and a plain shuffle on both sides lets AQE split a hot key of the probing side.
+* The reduced side of an inner join is aggregated with ``reduce_apart``, for the same reason.
 * Counts are single aggregates, never chains of ``count()`` actions.
 """
 
@@ -18,11 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferry.constants import OUTCOMES
-from ferry.operators.enrich import row_count_at_most
+from ferry.operators.salting import reduce_apart
 
 
-def _distinct_keys(df: DataFrame, key: str, alias: str) -> DataFrame:
-    return df.select(F.col(key).alias(alias)).where(F.col(alias).isNotNull()).distinct()
+def _keys(df: DataFrame, key: str, alias: str) -> DataFrame:
+    return df.select(F.col(key).alias(alias)).where(F.col(alias).isNotNull())
 
 
 def orphan_records(source: DataFrame, result: DataFrame, source_key: str = "Id",
@@ -32,7 +30,7 @@ def orphan_records(source: DataFrame, result: DataFrame, source_key: str = "Id",
     A source row with a null key is an orphan (null never matches); duplicate source rows are
     all kept.
     """
-    keys = _distinct_keys(result, result_key, "__ferry_key")
+    keys = _keys(result, result_key, "__ferry_key")
     return source.join(keys, source[source_key] == keys["__ferry_key"], "left_anti")
 
 
@@ -44,18 +42,14 @@ def duplicate_ids(df: DataFrame, key: str = "Id", count_name: str = "count") ->
 
 def loaded_delta(raw: DataFrame, success: DataFrame, raw_key: str = "Id",
                  success_key: str = "Migration_Id__c",
-                 migration_col: str = "Migration_Id__c",
-                 broadcast_max_rows: int | None = None) -> DataFrame:
+                 migration_col: str = "Migration_Id__c") -> DataFrame:
     """Raw rows that loaded successfully, with the migration id column set to the raw key.
 
     Multiplicity of the raw side is kept; a raw table that already holds ``migration_col`` gets
-    that column overwritten rather than duplicated. ``broadcast_max_rows`` broadcasts the loaded
-    keys when the success outcomes hold at most that many rows (checked with a bounded count);
-    by default AQE decides from measured sizes.
+    that column overwritten rather than duplicated. A caller who knows the outcomes' bound may
+    pass ``F.broadcast(success)``; else AQE decides from measured sizes.
     """
-    keys = _distinct_keys(success, success_key, "__ferry_key")
-    if broadcast_max_rows is not None and row_count_at_most(success, broadcast_max_rows):
-        keys = F.broadcast(keys)
+    keys = _keys(success, success_key, "__ferry_key")
     loaded = raw.join(keys, raw[raw_key] == keys["__ferry_key"], "left_semi")
     return loaded.withColumn(migration_col, F.col(raw_key))
 
@@ -69,10 +63,9 @@ def id_crosswalk(raw: DataFrame, success: DataFrame, raw_key: str = "Id",
     """
     if target_col not in success.columns:
         raise ValueError(f"success outcomes lack the target id column {target_col!r}")
-    pairs = (success.select(F.col(success_key).alias("migration_id"),
-                            F.col(target_col).alias("target_id"))
-             .where(F.col("migration_id").isNotNull())
-             .dropDuplicates())
+    pairs = reduce_apart(success.select(F.col(success_key).alias("migration_id"), F.col(target_col).alias("target_id"))
+                         .where(F.col("migration_id").isNotNull()), ["migration_id", "target_id"],
+                         F.count(F.lit(1)).alias("n")).drop("n")
     ids = raw.select(F.col(raw_key).alias("source_id"))
     return (ids.join(pairs, ids["source_id"] == pairs["migration_id"], "inner")
             .select("source_id", "migration_id", "target_id"))

@@ -7,6 +7,8 @@ DuckDB oracle in ``ferry.plans.oracle``; keep the two in step.
 
 from __future__ import annotations
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -185,12 +187,13 @@ def document_links(spark: SparkSession, d: str) -> DataFrame:
 
 def document_versions(spark: SparkSession, d: str) -> DataFrame:
     """Conversation turns as versions of the document with the conversation's id; the two last
-    turns are both flagged latest; titles are page urls (conversations 50 apart share one, so
-    two documents of one parent can get the same file name), some null."""
+    turns are both flagged latest; titles are page urls (conversations 25 apart share a page,
+    so two documents of one parent can get the same file name), some null."""
     conv = table(spark, d, "conversations")
     last = conv.groupBy("conv_id").agg(F.max("turn").alias("last_turn"))
     pages = table(spark, d, "pages").select(F.col("page_id"), F.col("url"))
-    v = conv.join(last, "conv_id").join(pages, F.pmod(conv["conv_id"], F.lit(50)) == pages["page_id"], "left")
+    page = F.pmod(conv["conv_id"], F.lit(25)) + F.floor(conv["conv_id"] / 50) * 25
+    v = conv.join(last, "conv_id").join(pages, page == pages["page_id"], "left")
     t = F.col("turn")
     ext = (F.when(F.pmod(t, F.lit(3)) == 0, F.lit("pdf")).when(F.pmod(t, F.lit(3)) == 1, F.lit(""))
            .otherwise(F.lit(None).cast("string")))
@@ -202,6 +205,18 @@ def document_versions(spark: SparkSession, d: str) -> DataFrame:
         (t >= F.col("last_turn") - 1).alias("IsLatest"))
 
 
+def contract_document_links(spark: SparkSession, d: str) -> DataFrame:
+    """Line items as links from a contract (order) to the document with the part's number."""
+    return table(spark, d, "lineitem").select(
+        _s("l_orderkey").alias("LinkedEntityId"), _s("l_partkey").alias("ContentDocumentId"))
+
+
+def contract_attachments(spark: SparkSession, d: str) -> DataFrame:
+    """Pages as attachments of the contract (order) with the page's number."""
+    return table(spark, d, "pages").select(
+        F.concat(F.lit("A"), _s("page_id")).alias("Id"), _s("page_id").alias("ParentId"), F.col("url").alias("Name"))
+
+
 def page_attachments(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select(
         F.concat(F.lit("A"), _s("page_id")).alias("Id"),
@@ -216,8 +231,21 @@ def contract_parents(spark: SparkSession, d: str) -> DataFrame:
         _s(F.pmod(F.col("c_custkey"), F.lit(17))).alias("Migration_Id__c"))
 
 
-def document_files(spark: SparkSession, d: str) -> DataFrame:
-    """Documents as downloaded files ``{old parent}_doc{id}.txt`` with their bytes."""
+def document_files(spark: SparkSession, d: str, folder: str) -> str:
+    """Documents as downloaded files ``{old parent}_doc{id}.txt`` below ``folder``, written by the
+    executors; returns the folder."""
     t = table(spark, d, "documents")
     name = F.concat(_s(F.pmod(F.col("doc_id"), F.lit(20))), F.lit("_doc"), _s("doc_id"), F.lit(".txt"))
-    return t.select(name.alias("file_name"), F.encode(F.col("text"), "UTF-8").alias("content"))
+
+    def write(batches):
+        store, root = fs.FileSystem.from_uri("/" + folder[5:].lstrip("/") if folder.startswith("file:") else folder)
+        store.create_dir(root, recursive=True)
+        for batch in batches:
+            for file_name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                with store.open_output_stream(f"{root}/{file_name}", compression=None) as f:
+                    f.write(text.encode())
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    t.select(name.alias("file_name"), F.coalesce("text", F.lit("")).alias("text")) \
+        .mapInArrow(write, "n long").write.format("noop").mode("overwrite").save()
+    return folder

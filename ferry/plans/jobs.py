@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from ferry.constants import EXTRA_SUCCESS_COPY_OBJECTS, OBJECT_STEPS
 from ferry.functions.text import scrub_line_breaks
 from ferry.operators.documents import (
+    attach_bodies,
+    attachment_manifest,
     attachment_parent_lookup,
     attachment_payload,
     eligible_contracts,
@@ -27,8 +29,9 @@ from ferry.operators.documents import (
 from ferry.operators.identity import identity_match, identity_pairs
 from ferry.operators.owners import owner_matched, owner_remap, owner_unmatched_summary
 from ferry.operators.reconcile import duplicate_ids, id_crosswalk, loaded_delta, orphan_records
-from ferry.sinks.publish import publish_snapshot, read_crosswalk
-from ferry.sources.csv import read_csv
+from ferry.session import scratch_path
+from ferry.sinks.publish import append_crosswalk, publish_snapshot, read_crosswalk, read_outcomes
+from ferry.sources.csv import union_by_header
 from ferry.sources.registry import register_views
 from ferry.sources.sqltext import check_view_name, run_sql
 
@@ -47,21 +50,29 @@ def steps_for(object_name: str) -> dict[str, bool]:
     return {"registered": False, "orphan_checked": False, "stamped": False}
 
 
+ORIGINAL_NAMES = {"source_id": "Id", "migration_id": "Migration_Id__c", "target_id": "sf__Id"}
+
+
 def crosswalk_sources(spark: SparkSession, root: str, partition_year: str | int | None = None,
-                      prefix: str = "master", objects=None, fmt: str = "parquet") -> dict[str, Callable[[], DataFrame]]:
+                      prefix: str = "master", objects=None, fmt: str = "parquet",
+                      original_names: bool = False) -> dict[str, Callable[[], DataFrame]]:
     """Loaders of earlier crosswalks for every registered object: view ``{prefix}_{object}``
-    reads ``{root}/{object}[/year=Y]``. ``fmt="parquet"`` reads the run folders that
-    ``append_crosswalk`` publishes (all runs, one row per distinct pair); ``fmt="csv"`` reads
-    every CSV file below the folder. Meant for ``transform_object(optional=...)``: a missing
-    folder is reported, not fatal."""
+    reads ``{root}/{object}[/year=Y]``. ``fmt="parquet"`` reads the current run that
+    ``append_crosswalk`` publishes; ``fmt="csv"`` reads every CSV file below the folder, by header.
+    Meant for ``transform_object(optional=...)``: a missing folder is reported, not fatal.
+    ``original_names`` offers the columns as ``Id, Migration_Id__c, sf__Id``, as user SQL knows
+    them."""
     names = objects if objects is not None else [n for n, registered, _o, _s in OBJECT_STEPS if registered]
     year = f"/year={partition_year}" if partition_year else ""
 
+    def named(df: DataFrame) -> DataFrame:
+        return df.withColumnsRenamed(ORIGINAL_NAMES) if original_names else df
+
     def loader(name: str) -> Callable[[], DataFrame]:
         path = f"{root.rstrip('/')}/{name.lower()}{year}"
         if fmt == "parquet":
-            return lambda: read_crosswalk(spark, path)
-        return lambda: read_csv(spark, path, recursive=True)
+            return lambda: named(read_crosswalk(spark, path))
+        return lambda: named(union_by_header(spark, path))
 
     return {f"{prefix}_{n.lower()}": loader(n) for n in names}
 
@@ -70,10 +81,9 @@ def success_sources(spark: SparkSession, outcomes_root: str,
                     objects=EXTRA_SUCCESS_COPY_OBJECTS) -> dict[str, Callable[[], DataFrame]]:
     """Loaders of ``success_{object}`` views over the routed outcome table (the success
     partition of each object), replacing the extra success copy the original uploaded for a
-    few objects. Partition pruning reads only that folder."""
-    root = outcomes_root.rstrip("/")
-    return {f"success_{o.lower()}": (lambda o=o: spark.read.parquet(root)
-                                     .where((F.col("object") == o.lower()) & (F.col("outcome") == "success")))
+    few objects. Only the object's last run is read, and of it only that folder."""
+    return {f"success_{o.lower()}": (lambda o=o: read_outcomes(spark, outcomes_root, [o.lower()])
+                                     .where(F.col("outcome") == "success"))
             for o in objects}
 
 
@@ -118,28 +128,36 @@ def publish_transform(tr: TransformResult, root: str, object_name: str, run_id:
     """Write the transformed rows, then the orphans, as run ``run_id``; the SQL runs once.
     With ``partition_year`` both land below ``year=Y`` (a slice of the object per year).
 
-    The orphan check reads the key column back from the table just written (in the shared
-    output folder) instead of evaluating the SQL a second time or caching it on executors.
+    The orphan check reads the key column back from a written table instead of evaluating the SQL
+    a second time or caching it on executors. A CSV cannot serve for that, as it drops outer blanks:
+    then the result is first written as Parquet to the shared scratch folder, and the CSV export
+    and the check both read that. Without rows nothing is published.
     Row counts come from ``observe`` during the writes.
     """
     obj = object_name.lower() + (f"/year={partition_year}" if partition_year else "")
     counts: dict[str, int] = {}
-    obs = Observation("transformed")
-    path = publish_snapshot(tr.result.observe(obs, F.count(F.lit(1)).alias("rows")),
-                            f"{root}/transformed/{obj}", run_id, fmt)
-    counts["transformed"] = obs.get["rows"]
+    written = staged(tr.result, "transformed")
+    counts["transformed"] = publish_counted(written, f"{root}/transformed/{obj}", run_id, fmt)
     if tr.orphans is not None:
-        written = read_csv(spark_of(tr.result), path) if fmt == "csv" else spark_of(tr.result).read.format(fmt).load(path)
         orphans = orphan_records(tr.raw, written.select(result_key), source_key, result_key)
-        obs_o = Observation("orphaned")
-        publish_snapshot(orphans.observe(obs_o, F.count(F.lit(1)).alias("rows")),
-                         f"{root}/orphaned/{obj}", run_id, fmt)
-        counts["orphaned"] = obs_o.get["rows"]
+        counts["orphaned"] = publish_counted(staged(orphans, "orphaned"), f"{root}/orphaned/{obj}", run_id, fmt)
     return counts
 
 
-def spark_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Write once as Parquet to the shared scratch folder and read back: exact values, one evaluation."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def publish_counted(df: DataFrame, root: str, run_id: str, fmt: str) -> int:
+    """Publish a run and return its row count, taken during the write; without rows nothing is written."""
+    if df.isEmpty():                                           # before observing: the first action fills it
+        return 0
+    obs = Observation("published")
+    publish_snapshot(df.observe(obs, F.count(F.lit(1)).alias("rows")), root, run_id, fmt)
+    return obs.get["rows"]
 
 
 def after_load(raw: DataFrame, success: DataFrame, source_key: str = "Id",
@@ -163,43 +181,35 @@ def remap_owners(source: DataFrame, crosswalk: DataFrame, **kwargs) -> dict[str,
             "unmatched": owner_unmatched_summary(remapped)}
 
 
-def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
-
-
 def publish_owner_remap(remapped: DataFrame, root: str, object_name: str, run_id: str,
                         fmt: str = "csv") -> dict[str, int]:
     """Write the remapped records once (Parquet, below ``{root}/remapped``), then the update rows
     and the unmatched summary from that written table: the owner join runs once, and each output
     reads only the columns it needs."""
-    spark = remapped.sparkSession
     obj = object_name.lower()
-    counts: dict[str, int] = {}
-    df, obs = _observed(remapped, "remapped")
-    path = publish_snapshot(df, f"{root}/remapped/{obj}", run_id, "parquet")
-    counts["remapped"] = obs.get["rows"]
-    written = spark.read.parquet(path)
-    df, obs = _observed(owner_matched(written), "matched")
-    publish_snapshot(df, f"{root}/matched/{obj}", run_id, fmt)
-    counts["matched"] = obs.get["rows"]
-    df, obs = _observed(owner_unmatched_summary(written), "unmatched_groups")
-    publish_snapshot(df, f"{root}/unmatched/{obj}", run_id, fmt)
-    counts["unmatched_groups"] = obs.get["rows"]
-    return counts
+    written = staged(remapped, "remapped")
+    return {"remapped": publish_counted(written, f"{root}/remapped/{obj}", run_id, "parquet"),
+            "matched": publish_counted(owner_matched(written), f"{root}/matched/{obj}", run_id, fmt),
+            "unmatched_groups": publish_counted(owner_unmatched_summary(written), f"{root}/unmatched/{obj}", run_id, fmt)}
 
 
 def publish_user_match(matched: DataFrame, root: str, run_id: str, fmt: str = "csv") -> dict[str, int]:
-    """Write the full user crosswalk, then the matched pairs read back from it."""
-    spark = matched.sparkSession
-    counts: dict[str, int] = {}
-    df, obs = _observed(matched, "matched")
-    path = publish_snapshot(df, f"{root}/user_matched", run_id, fmt)
-    counts["matched"] = obs.get["rows"]
-    written = read_csv(spark, path) if fmt == "csv" else spark.read.format(fmt).load(path)
-    df, obs = _observed(identity_pairs(written), "pairs")
-    publish_snapshot(df, f"{root}/user", run_id, fmt)
-    counts["pairs"] = obs.get["rows"]
+    """Write the full user crosswalk and the matched pairs, both from one written table."""
+    written = staged(matched, "user-matched")
+    return {"matched": publish_counted(written, f"{root}/user_matched", run_id, fmt),
+            "pairs": publish_counted(identity_pairs(written), f"{root}/user", run_id, fmt)}
+
+
+def publish_after_load(raw: DataFrame, success: DataFrame, root: str, object_name: str, run_id: str,
+                       fmt: str = "csv") -> dict[str, int]:
+    """Duplicate ids, delta and crosswalk of one load; raw rows and outcomes are read once."""
+    parts = after_load(staged(raw, "raw"), staged(success, "success"))
+    crosswalk = staged(parts["crosswalk"], "crosswalk")
+    counts = {"duplicates": publish_counted(parts["duplicates"], f"{root}/duplicates/{object_name}", run_id, fmt),
+              "delta": publish_counted(parts["delta"], f"{root}/joined_output/{object_name}", run_id, fmt),
+              "crosswalk": crosswalk.count()}
+    if counts["crosswalk"]:
+        append_crosswalk(crosswalk, f"{root}/prod_data/{object_name}", run_id)
     return counts
 
 
@@ -214,25 +224,27 @@ def document_manifest(contracts: DataFrame, accounts: DataFrame, links: DataFram
     return latest_version_manifest(eligible_links, versions)
 
 
-def attachment_uploads(files: DataFrame, parents: DataFrame, content_col: str = "content") -> dict[str, DataFrame]:
-    """Files named ``{old parent}_{name}`` -> new parents -> payload rows and a summary."""
-    looked_up = attachment_parent_lookup(files, parents, keep_cols=[content_col])
-    return {"lookup": looked_up.drop(content_col),
-            "payload": attachment_payload(looked_up, content_col),
+def eligible_attachments(attachments: DataFrame, contracts: DataFrame, accounts: DataFrame,
+                         contract_account_col: str = "AccountId", account_status_col: str = "Status",
+                         created_col: str = "CreatedDate", parent_col: str = "ParentId", **eligibility) -> DataFrame:
+    """Attachments of eligible contracts, with their file names."""
+    ok = eligible_contracts(contracts, accounts, contract_account_col, "Id", account_status_col,
+                            created_col, **eligibility)
+    return attachment_manifest(linked_to(attachments, ok, parent_col, "Id"), parent_col=parent_col)
+
+
+def attachment_uploads(files: DataFrame, parents: DataFrame) -> dict[str, DataFrame]:
+    """Files (path, file_name ``{old parent}_{name}``) -> new parents -> payload rows and a summary.
+
+    The parent join sees names and paths only; bodies are read afterwards, of ready files only."""
+    looked_up = attachment_parent_lookup(files, parents, keep_cols=["path"])
+    return {"lookup": looked_up, "payload": attachment_payload(attach_bodies(looked_up)),
             "summary": transfer_summary(looked_up)}
 
 
-def publish_attachment_uploads(files: DataFrame, parents: DataFrame, root: str, run_id: str,
-                               content_col: str = "content") -> dict:
-    """Write the upload payload rows and take the status summary in the same job: the counts of
-    ``ready`` and ``no_parent`` files are observed on the parent lookup before the payload keeps
-    only the ready ones, so the lookup join runs once."""
-    looked_up = attachment_parent_lookup(files, parents, keep_cols=[content_col])
-    obs = Observation("attachment_status")
-    observed = looked_up.observe(
-        obs, F.count(F.lit(1)).alias("files"),
-        F.count_if(F.col("status") == "ready").alias("ready"),
-        F.count_if(F.col("status") == "no_parent").alias("no_parent"))
-    publish_snapshot(attachment_payload(observed, content_col), f"{root}/payload", run_id, "parquet")
-    got = obs.get
-    return {"payload": got["ready"], "summary": {k: got[k] for k in ("ready", "no_parent") if got[k]}}
+def publish_attachment_uploads(files: DataFrame, parents: DataFrame, root: str, run_id: str) -> dict:
+    """Write the upload payload rows and the status summary; the lookup join runs once."""
+    looked_up = staged(attachment_parent_lookup(files, parents, keep_cols=["path"]), "parent-lookup")
+    payload = publish_counted(attachment_payload(attach_bodies(looked_up)), f"{root}/payload", run_id, "parquet")
+    # At most one row per status.
+    return {"payload": payload, "summary": {r["status"]: r["count"] for r in transfer_summary(looked_up).collect()}}

@@ -1,6 +1,5 @@
-"""DuckDB SQL for each registered query: the same fixtures, the same semantics, written the way
-the original jobs' SQL would be (joins then windows, IN-subqueries, etc.), so that the two sides
-are independent derivations of one answer."""
+"""DuckDB SQL for each registered query: the same fixtures and semantics in SQL of its own, so that
+the two sides are independent derivations of one answer."""
 
 from __future__ import annotations
 
@@ -11,6 +10,7 @@ from ferry.plans.fixtures import (
     FIXTURE_DOMAINS,
     FIXTURE_STATUSES,
 )
+from ferry.constants import OBJECT_STEPS
 from ferry.plans.queries import EXPECTED_LAYOUT, ORDER_TRANSFORM_SQL, RUN_TS, TABLES
 from ferry.functions.text import utc_millis_stamp
 from ferry.sources.sqltext import statement_text
@@ -87,7 +87,9 @@ DOCUMENT_VERSIONS = (
     "CASE c.turn % 3 WHEN 0 THEN 'pdf' WHEN 1 THEN '' ELSE NULL END AS FileExtension, "
     "c.turn >= m.last_turn - 1 AS IsLatest "
     "FROM conversations c JOIN (SELECT conv_id, max(turn) AS last_turn FROM conversations GROUP BY conv_id) m "
-    "ON c.conv_id = m.conv_id LEFT JOIN pages p ON c.conv_id % 50 = p.page_id")
+    "ON c.conv_id = m.conv_id LEFT JOIN pages p ON c.conv_id % 25 + (c.conv_id // 50) * 25 = p.page_id")
+CONTRACT_LINKS = (f"SELECT {_v('l_orderkey')} AS LinkedEntityId, {_v('l_partkey')} AS ContentDocumentId FROM lineitem")
+CONTRACT_ATTACHMENTS = (f"SELECT 'A' || {_v('page_id')} AS Id, {_v('page_id')} AS ParentId, url AS Name FROM pages")
 PAGE_ATTACHMENTS = (f"SELECT 'A' || {_v('page_id')} AS Id, {_v('page_id % 20')} AS ParentId, url AS Name FROM pages")
 CONTRACT_PARENTS = (f"SELECT 'P' || lpad({_v('c_custkey')}, 6, '0') AS Id, {_v('c_custkey % 17')} AS Migration_Id__c "
                     "FROM customer")
@@ -114,24 +116,34 @@ def _safe(x: str) -> str:
     return f"replace(replace({x}, '/', '_'), '\\', '_')"
 
 
+# A user's target is the one that no other target with equal keys comes before.
 IDENTITY = _with(
     legacy_user=LEGACY_USER, target_user=TARGET_USER,
-    old_keys=(f"SELECT *, {_key('Email')} AS ek, {_key('Username')} AS uk FROM legacy_user"),
-    new_keys=(f"SELECT *, {_key('Email')} AS ek, {_key('Username')} AS uk FROM target_user"),
-    candidates=("SELECT o.Id AS legacy_user_id, o.IsActive AS legacy_isactive, o.Email AS legacy_email, "
-                "o.Username AS legacy_username, n.Id AS tfm_user_id, n.IsActive AS tfm_isactive, "
-                "n.Email AS tfm_email, n.ek AS tfm_email_trimmed, n.Username AS tfm_username, "
-                "n.uk AS tfm_username_trimmed, "
-                "row_number() OVER (PARTITION BY o.Id ORDER BY n.Id NULLS FIRST) AS pick "
-                "FROM old_keys o LEFT JOIN new_keys n ON o.ek = n.ek AND o.uk = n.uk"),
-    matched=("SELECT * EXCLUDE (pick), CAST(pick AS INTEGER) AS rn FROM candidates WHERE pick = 1"))
-
-REMAP = _with(
-    owned_order=OWNED_ORDER, user_crosswalk=USER_CROSSWALK,
-    remapped=("SELECT s.Id AS id, s.Id AS migration_id, s.OwnerId AS src_owner_id, u.tfm_user_id AS owner_id, "
-              "u.legacy_email, u.legacy_username, trim(u.legacy_isactive) AS legacy_isactive, u.tfm_isactive, "
-              "u.tfm_email, u.tfm_username FROM owned_order s LEFT JOIN user_crosswalk u "
-              "ON trim(s.OwnerId) = trim(u.legacy_user_id)"))
+    keyed=(f"SELECT Id, IsActive, Email, Username, {_key('Email')} AS k1, {_key('Username')} AS k2 FROM target_user"),
+    firsts=("SELECT k1, k2, min(Id) AS best, arg_min(IsActive, Id) AS act, arg_min(Email, Id) AS mail, "
+            "arg_min(Username, Id) AS login FROM keyed WHERE k1 IS NOT NULL AND k2 IS NOT NULL GROUP BY ALL"),
+    matched=("SELECT Id AS legacy_user_id, IsActive AS legacy_isactive, Email AS legacy_email, "
+             "Username AS legacy_username, best AS tfm_user_id, act AS tfm_isactive, mail AS tfm_email, "
+             "k1 AS tfm_email_trimmed, login AS tfm_username, k2 AS tfm_username_trimmed, 1::INTEGER AS rn "
+             f"FROM legacy_user LEFT JOIN firsts ON k1 = {_key('Email')} AND k2 = {_key('Username')}"))
+
+
+def _remap(source_key: str, user_key: str) -> str:
+    """Records with a user, and records for which there is none."""
+    found = ("tfm_user_id AS owner_id, legacy_email, legacy_username, trim(legacy_isactive) AS legacy_isactive, "
+             "tfm_isactive, tfm_email, tfm_username")
+    none = ", ".join(f"NULL::VARCHAR AS {c}" for c in ("owner_id", "legacy_email", "legacy_username", "legacy_isactive",
+                                                       "tfm_isactive", "tfm_email", "tfm_username"))
+    head = "Id AS id, Id AS migration_id, OwnerId AS src_owner_id"
+    return _with(
+        owned_order=OWNED_ORDER, user_crosswalk=USER_CROSSWALK,
+        wanted=f"SELECT *, {source_key} AS want FROM owned_order", known=f"SELECT *, {user_key} AS have FROM user_crosswalk",
+        remapped=(f"SELECT {head}, {found} FROM wanted, known WHERE want = have UNION ALL SELECT {head}, {none} FROM wanted "
+                  "WHERE NOT EXISTS (SELECT 1 FROM known WHERE have = want)"))
+
+
+REMAP = _remap("trim(OwnerId)", "trim(legacy_user_id)")
+REMAP_EXACT = _remap("rtrim(OwnerId)", "legacy_user_id")
 
 ELIGIBLE = _with(
     contracts=CONTRACTS, accounts=ACCOUNTS, line_links=LINE_LINKS,
@@ -139,8 +151,12 @@ ELIGIBLE = _with(
               f"(SELECT Id FROM accounts WHERE Status IN ({', '.join(repr(s) for s in FIXTURE_STATUSES)})) "
               f"AND CAST(CreatedDate AS DATE) <= DATE '{FIXTURE_CUTOFF}'"))
 
-MANIFEST = _with(
-    document_links=DOCUMENT_LINKS, document_versions=DOCUMENT_VERSIONS,
+def _manifest(links: str) -> str:
+    return MANIFEST_TEMPLATE.replace("/*links*/", links)
+
+
+MANIFEST_TEMPLATE = _with(
+    document_links="/*links*/", document_versions=DOCUMENT_VERSIONS,
     ranked=("SELECT *, ROW_NUMBER() OVER (PARTITION BY ContentDocumentId ORDER BY Id) AS rn "
             "FROM document_versions WHERE IsLatest"),
     manifest=("SELECT l.LinkedEntityId AS linked_entity_id, v.ContentDocumentId AS content_document_id, "
@@ -151,6 +167,11 @@ MANIFEST = _with(
               + " END AS file_name, CASE WHEN v.Title IS NULL THEN 'failed' ELSE 'ready' END AS status "
               "FROM document_links l JOIN ranked v ON l.ContentDocumentId = v.ContentDocumentId AND v.rn = 1"))
 
+MANIFEST = _manifest(DOCUMENT_LINKS)
+# The links of eligible contracts only.
+ELIGIBLE_MANIFEST = _manifest(
+    f"SELECT k.* FROM ({CONTRACT_LINKS}) k SEMI JOIN ({ELIGIBLE} SELECT Id FROM eligible) e ON k.LinkedEntityId = e.Id")
+
 PAGE_FILES = _with(
     page_attachments=PAGE_ATTACHMENTS, contract_parents=CONTRACT_PARENTS,
     files=("SELECT Id AS attachment_id, ParentId AS parent_id, Name AS name, "
@@ -212,6 +233,10 @@ ORACLE: dict[str, str] = {
         "SELECT DISTINCT r.Id AS source_id, s.Migration_Id__c AS migration_id, s.sf__Id AS target_id "
         "FROM raw_order r JOIN success_pairs s ON r.Id = s.Migration_Id__c",
     "outcome_split": _with(outcomes=OUTCOMES) + "SELECT object, outcome, source_id, job_id, target_id FROM outcomes",
+    "outcome_replace": _with(outcomes=OUTCOMES) +
+        "SELECT object, outcome, source_id, job_id + 7 AS job_id, target_id, '20250201_000000' AS run_id "
+        "FROM outcomes WHERE outcome <> 'error' UNION ALL "
+        "SELECT 'case', outcome, source_id, job_id, target_id, '20250101_000000' FROM outcomes WHERE outcome <> 'success'",
     "outcome_by_job": _with(outcomes=OUTCOMES) +
         "SELECT job_id, outcome, count(*) AS records FROM outcomes GROUP BY job_id, outcome",
     "outcome_totals_stream": _with(outcomes=OUTCOMES) +
@@ -237,6 +262,7 @@ ORACLE: dict[str, str] = {
     "identity_pairs": IDENTITY +
         "SELECT legacy_user_id, tfm_user_id FROM matched WHERE tfm_user_id IS NOT NULL AND tfm_user_id <> ''",
     "owner_remap": REMAP + "SELECT * FROM remapped",
+    "owner_remap_exact_keys": REMAP_EXACT + "SELECT * REPLACE (rtrim(src_owner_id) AS src_owner_id) FROM remapped",
     "owner_matched": REMAP + "SELECT id, owner_id FROM remapped WHERE owner_id IS NOT NULL AND owner_id <> ''",
     "owner_unmatched_summary": REMAP +
         "SELECT src_owner_id, legacy_email, legacy_username, legacy_isactive, count(*) AS count FROM remapped "
@@ -250,6 +276,21 @@ ORACLE: dict[str, str] = {
     "lookup_enrich":
         "SELECT c.c_custkey, c.c_name, c.c_mktsegment, n.n_name AS nation, r.r_name AS region FROM customer c "
         "LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey LEFT JOIN region r ON n.n_regionkey = r.r_regionkey",
+    "lookup_enrich_fanout":
+        "SELECT c_custkey, c_nationkey, s_suppkey, s_name AS supplier FROM customer "
+        "LEFT JOIN supplier ON s_nationkey = c_nationkey",
+    "bulk_registration": _with(
+        success_pairs=SUCCESS_PAIRS,
+        pairs=(f"SELECT DISTINCT {_v('o_orderkey')} AS id, s.sf__Id FROM orders JOIN success_pairs s "
+               f"ON s.Migration_Id__c = {_v('o_orderkey')}"),
+        names="SELECT unnest([" + ", ".join(f"'master_{n.lower()}'" for n, registered, _o, _s in OBJECT_STEPS if registered)
+              + "]) AS name",
+        published=("SELECT 'master_account' AS name, count(*) AS n_rows, count(DISTINCT id) AS n_ids, "
+                   "count(DISTINCT sf__Id) AS n_targets FROM pairs UNION ALL SELECT 'master_contact', count(*), "
+                   "count(DISTINCT id), count(DISTINCT sf__Id) FROM pairs WHERE id < '3'")) +
+        "SELECT name, CASE WHEN n_rows IS NULL THEN 'missing' ELSE 'registered' END AS status, "
+        "CASE WHEN n_rows IS NOT NULL THEN 3 END::INTEGER AS n_columns, n_rows, n_ids, n_targets "
+        "FROM names LEFT JOIN published USING (name)",
     "sql_transform": _with(raw_order=RAW_ORDER, t=statement_text(ORDER_TRANSFORM_SQL)) +
         "SELECT " + ", ".join(f"{_scrub(c)} AS {c}" for c in (
             "Migration_Id__c", "Account_Name__c", "Country__c", "Region__c", "Stage__c", "Note__c",
@@ -272,6 +313,11 @@ ORACLE: dict[str, str] = {
     "document_name_collisions": MANIFEST +
         "SELECT file_name, count(*) AS count FROM manifest WHERE file_name IS NOT NULL "
         "GROUP BY file_name HAVING count(*) > 1",
+    "document_manifest": ELIGIBLE_MANIFEST + "SELECT * FROM manifest",
+    "eligible_attachments": ELIGIBLE + "SELECT a.Id AS attachment_id, ParentId AS parent_id, Name AS name, "
+        f"{_file_name('ParentId', _safe('Name'))} AS file_name, "
+        "CASE WHEN Name IS NULL THEN 'failed' ELSE 'ready' END AS status "
+        f"FROM ({CONTRACT_ATTACHMENTS}) a SEMI JOIN eligible e ON ParentId = e.Id",
     "attachment_manifest": PAGE_FILES + "SELECT * FROM files",
     "attachment_parent_lookup": PAGE_FILES + "SELECT * FROM lookup",
     "attachment_payload": DOC_FILES +
@@ -283,7 +329,7 @@ ORACLE: dict[str, str] = {
         "SELECT l_orderkey, l_linenumber, role, '' AS legacy_id FROM (SELECT l_orderkey, l_linenumber, "
         "nullif(l_returnflag, 'N') AS role FROM lineitem) l WHERE l_orderkey IN "
         "(SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O') AND role IS NULL",
-    "header_catalog": CATALOG,
+    "header_catalog": CATALOG + " AND table_name IN ('customer', 'nation', 'supplier', 'events', 'orders', 'lineitem')",
     "header_drift": _with(
         found=CATALOG + " AND table_name IN ('orders', 'customer')",
         expected=f"SELECT * FROM (VALUES {_EXPECTED_VALUES}) v(object_name, position, column_name)") +
@@ -296,11 +342,16 @@ ORACLE: dict[str, str] = {
     "csv_round_trip":
         f"SELECT {_v('doc_id')} AS doc_id, {_csv_text('text')} AS text, {_csv_text('lang')} AS lang, "
         f"{_csv_text('source')} AS source, {_v('n_chars')} AS n_chars FROM documents",
+    "csv_quote_all":
+        f"SELECT {_v('doc_id')} AS doc_id, {_csv_text('text')} AS text, {_csv_text('lang')} AS lang, "
+        f"{_csv_text('source')} AS source, {_v('quality')} AS quality, {_v('toxic')} AS toxic "
+        "FROM documents LEFT JOIN labels USING (doc_id)",
     "union_by_header":
         f"SELECT {_v('o_orderkey')} AS Id, {_v('o_custkey')} AS OwnerId, o_orderstatus AS Status, "
         "CASE WHEN o_orderstatus IS NULL OR o_orderstatus NOT IN ('F', 'O') THEN o_orderpriority END AS Priority "
         "FROM orders",
     "publish_snapshots": _with(raw_order=RAW_ORDER) +
-        "SELECT 'current' AS snapshot, Id, OwnerId, o_orderstatus FROM raw_order "
-        "UNION ALL SELECT 'previous', Id, OwnerId, o_orderstatus FROM raw_order WHERE o_orderstatus <> 'P'",
+        "SELECT 'current' AS snapshot, '20250201_000000' AS run_id, Id, OwnerId, o_orderstatus, o_totalprice FROM raw_order "
+        "UNION ALL SELECT 'previous', '20250101_000000', Id, OwnerId, o_orderstatus, NULL FROM raw_order "
+        "WHERE o_orderstatus <> 'P'",
 }

@@ -40,18 +40,27 @@ from ferry.operators.reconcile import (
 )
 from ferry.operators.stamp import stamp_load_time
 from ferry.plans import fixtures as fx
-from ferry.plans.jobs import attachment_uploads, transform_object
+from ferry.plans.jobs import (
+    attachment_uploads,
+    crosswalk_sources,
+    document_manifest,
+    eligible_attachments,
+    transform_object,
+)
 from ferry.session import scratch_path
 from ferry.sinks.publish import (
     append_crosswalk,
     publish_snapshot,
     read_crosswalk,
+    read_crosswalk_runs,
+    read_outcomes,
     read_run,
     write_csv,
     write_outcomes,
 )
 from ferry.sources.csv import read_csv, union_by_header
-from ferry.sources.headers import catalog_of_tables, header_catalog, header_drift
+from ferry.sources.binary import read_files
+from ferry.sources.headers import header_catalog, header_drift
 from ferry.sources.registry import register_views
 from ferry.streaming.crosswalk import start_crosswalk_stream
 from ferry.streaming.outcomes import start_outcome_totals_stream
@@ -136,31 +145,42 @@ def q_crosswalk_stream(spark, d):
     """Success outcomes land as several CSV files; a file stream grows the crosswalk batch by
     batch (two files per micro-batch); the published crosswalk is read back as one table."""
     landing = scratch_path(spark, "landing")
-    write_csv(fx.success_pairs(spark, d).repartition(4), landing)
+    write_csv(fx.success_pairs(spark, d), landing)
     root = scratch_path(spark, "stream_crosswalk")
     q = start_crosswalk_stream(spark, landing, fx.raw_order(spark, d), root,
                                scratch_path(spark, "stream_ckpt"), max_files_per_trigger=2)
     q.awaitTermination()
-    return read_crosswalk(spark, root)
+    return read_crosswalk_runs(spark, root)
 
 
 def q_outcome_split(spark, d):
     root = scratch_path(spark, "outcomes")
-    write_outcomes(fx.outcomes(spark, d), root)
-    return spark.read.parquet(root).select("object", "outcome", "source_id", "job_id", "target_id")
+    write_outcomes(fx.outcomes(spark, d), root, "20250101_000000")
+    return read_outcomes(spark, root).select("object", "outcome", "source_id", "job_id", "target_id")
+
+
+def q_outcome_replace(spark, d):
+    """A second run without errors, of one object: its outcomes replace those of the first run, the
+    other object keeps its own, and the first run stays as history."""
+    root = scratch_path(spark, "outcomes")
+    first = fx.outcomes(spark, d)
+    other = first.withColumn("object", F.lit("case")).where("outcome <> 'success'")
+    write_outcomes(first.unionByName(other), root, "20250101_000000")
+    write_outcomes(first.where("outcome <> 'error'").withColumn("job_id", F.col("job_id") + 7), root, "20250201_000000")
+    return read_outcomes(spark, root).select("object", "outcome", "source_id", "job_id", "target_id", "run_id")
 
 
 def q_outcome_totals_stream(spark, d):
-    """Outcome files land (four per outcome folder); a stateful stream keeps the running totals
+    """Outcome files land, some per outcome folder; a stateful stream keeps the running totals
     per object, job and outcome; the last published totals are read back."""
     landing = scratch_path(spark, "outcome_landing")
     rows = fx.outcomes(spark, d)
-    write_outcomes(rows.repartition(4), landing)
+    write_outcomes(rows, landing, "20250101_000000")
     totals = scratch_path(spark, "outcome_totals")
-    q = start_outcome_totals_stream(spark, landing, rows.schema, totals,
+    q = start_outcome_totals_stream(spark, f"{landing}/run_id=20250101_000000", rows.schema, totals,
                                     scratch_path(spark, "totals_ckpt"), max_files_per_trigger=6)
     q.awaitTermination()
-    return spark.read.parquet(totals).select("object", "job_id", "outcome", "records")
+    return read_run(spark, totals).select("object", "job_id", "outcome", "records")
 
 
 def q_outcome_by_job(spark, d):
@@ -215,6 +235,12 @@ def q_owner_remap(spark, d):
     return _remap(spark, d)
 
 
+def q_owner_remap_exact_keys(spark, d):
+    """Keys compared as they are, without trimming."""
+    owned = fx.owned_order(spark, d).withColumn("OwnerId", F.rtrim("OwnerId"))
+    return owner_remap(owned, fx.user_crosswalk(spark, d), trim_keys=False)
+
+
 def q_owner_matched(spark, d):
     return owner_matched(_remap(spark, d))
 
@@ -244,6 +270,12 @@ def q_lookup_enrich(spark, d):
     return with_region.select("c_custkey", "c_name", "c_mktsegment", "nation", "region")
 
 
+def q_lookup_enrich_fanout(spark, d):
+    """Every supplier of a customer's nation: keys that repeat on the lookup side multiply rows."""
+    return lookup_enrich(fx.table(spark, d, "customer").select("c_custkey", "c_nationkey"), fx.table(spark, d, "supplier"),
+                         "c_nationkey", "s_nationkey", {"s_suppkey": "s_suppkey", "s_name": "supplier"})
+
+
 def _transform(spark, d):
     return transform_object(spark, "raw_order", ORDER_TRANSFORM_SQL, fx.raw_order(spark, d),
                             lookups=_lookups(spark, d, ("customer", "nation", "region", "documents")))
@@ -262,6 +294,20 @@ def q_source_availability(spark, d):
     return register_views(spark, {**present, **missing}, required=False, with_counts=True)
 
 
+def q_bulk_registration(spark, d):
+    """All configured objects' crosswalk views: two were published, the others are missing; the
+    registered views offer the original column names."""
+    root = scratch_path(spark, "crosswalks")
+    pairs = id_crosswalk(fx.raw_order(spark, d), fx.success_pairs(spark, d))
+    append_crosswalk(pairs, f"{root}/account", "20250101_000000")
+    append_crosswalk(pairs.where("source_id < '3'"), f"{root}/contact", "20250101_000000")
+    report = register_views(spark, crosswalk_sources(spark, root, original_names=True), required=False, with_counts=True)
+    keys = spark.sql("SELECT 'master_account' AS name, count(DISTINCT Id) AS n_ids, count(DISTINCT sf__Id) AS n_targets "
+                     "FROM master_account UNION ALL SELECT 'master_contact', count(DISTINCT Id), count(DISTINCT sf__Id) "
+                     "FROM master_contact")
+    return report.select("name", "status", "n_columns", "n_rows").join(keys, "name", "left")
+
+
 def q_partition_slice(spark, d):
     root = scratch_path(spark, "by_year")
     dated = fx.table(spark, d, "orders").select(
@@ -308,12 +354,32 @@ def q_attachment_parent_lookup(spark, d):
     return attachment_parent_lookup(files, fx.contract_parents(spark, d))
 
 
+def q_document_manifest(spark, d):
+    """Eligible contracts -> their document links -> latest versions -> file names."""
+    return document_manifest(fx.contracts(spark, d), fx.accounts(spark, d), fx.contract_document_links(spark, d),
+                             fx.document_versions(spark, d), statuses=fx.FIXTURE_STATUSES,
+                             created_on_or_before=fx.FIXTURE_CUTOFF)
+
+
+def q_eligible_attachments(spark, d):
+    """Attachments of eligible contracts with their file names."""
+    return eligible_attachments(fx.contract_attachments(spark, d), fx.contracts(spark, d), fx.accounts(spark, d),
+                                statuses=fx.FIXTURE_STATUSES, created_on_or_before=fx.FIXTURE_CUTOFF)
+
+
+def _uploads(spark, d):
+    folder = fx.document_files(spark, d, scratch_path(spark, "document_files"))
+    files = read_files(spark, folder, with_content=False).select("path", "file_name")
+    return attachment_uploads(files, fx.contract_parents(spark, d))
+
+
 def q_attachment_payload(spark, d):
-    return attachment_uploads(fx.document_files(spark, d), fx.contract_parents(spark, d))["payload"]
+    """Document files -> new parents by file name -> bodies of the ready files as base64."""
+    return _uploads(spark, d)["payload"]
 
 
 def q_attachment_summary(spark, d):
-    return attachment_uploads(fx.document_files(spark, d), fx.contract_parents(spark, d))["summary"]
+    return _uploads(spark, d)["summary"]
 
 
 # --- metadata, extracts, headers --------------------------------------------------------------------
@@ -345,8 +411,19 @@ def q_filtered_extract(spark, d):
     return filtered_extract(linked, ["l_orderkey", "l_linenumber", "role", "legacy_id"], "role IS NULL")
 
 
+def _csv_objects(spark, d) -> str:
+    """Tables as CSV folders of objects; orders and line items nested by year."""
+    root = scratch_path(spark, "objects")
+    for name in ("customer", "nation", "supplier", "events"):
+        write_csv(fx.table(spark, d, name), f"{root}/{name}")
+    for name, day in (("orders", "o_orderdate"), ("lineitem", "l_shipdate")):
+        fx.table(spark, d, name).withColumn("year", F.year(day)).write.partitionBy("year") \
+            .option("header", "true").csv(f"{root}/{name}")
+    return root
+
+
 def q_header_catalog(spark, d):
-    return header_catalog(spark, d, fmt="parquet", object_from="file")
+    return header_catalog(spark, _csv_objects(spark, d))
 
 
 # The layout the receiving side expects for two objects (an older layout of the tables).
@@ -358,7 +435,7 @@ EXPECTED_LAYOUT = [("orders", 1, "o_orderkey"), ("orders", 2, "o_custkey"),
 
 
 def q_header_drift(spark, d):
-    found = catalog_of_tables(spark, [(n, fx.table(spark, d, n)) for n in ("orders", "customer")])
+    found = header_catalog(spark, _csv_objects(spark, d)).where(F.col("object_name").isin("orders", "customer"))
     expected = spark.createDataFrame(EXPECTED_LAYOUT, "object_name string, position int, column_name string")
     return header_drift(found, expected)
 
@@ -371,6 +448,14 @@ def q_csv_round_trip(spark, d):
     return read_csv(spark, path)
 
 
+def q_csv_quote_all(spark, d):
+    """Every value quoted; nulls and empty texts come back as null."""
+    path = scratch_path(spark, "docs_quoted")
+    labelled = fx.table(spark, d, "documents").join(fx.table(spark, d, "labels"), "doc_id", "left")
+    write_csv(labelled.select("doc_id", "text", "lang", "source", "quality", "toxic"), path, quote_all=True)
+    return read_csv(spark, path)
+
+
 def q_union_by_header(spark, d):
     """Orders written by three extracts with different headers, read back as one table."""
     root = scratch_path(spark, "drift")
@@ -389,10 +474,11 @@ def q_publish_snapshots(spark, d):
     root = scratch_path(spark, "snapshots")
     orders = fx.raw_order(spark, d).select("Id", "OwnerId", "o_orderstatus")
     publish_snapshot(orders.where(F.col("o_orderstatus") != "P"), root, "20250101_000000")
-    publish_snapshot(orders, root, "20250201_000000")
-    cur = read_run(spark, root, "current").select(F.lit("current").alias("snapshot"), "Id", "OwnerId", "o_orderstatus")
-    prev = read_run(spark, root, "previous").select(F.lit("previous").alias("snapshot"), "Id", "OwnerId", "o_orderstatus")
-    return cur.unionByName(prev)
+    newer = fx.raw_order(spark, d).select("OwnerId", "Id", "o_orderstatus", "o_totalprice")
+    publish_snapshot(newer, root, "20250201_000000")
+    cur = read_run(spark, root, "current").withColumn("snapshot", F.lit("current"))
+    prev = read_run(spark, root, "previous").withColumn("snapshot", F.lit("previous"))
+    return cur.unionByName(prev, allowMissingColumns=True)
 
 
 QUERIES: dict[str, Query] = {
@@ -436,6 +522,13 @@ QUERIES: dict[str, Query] = {
     "csv_round_trip": q_csv_round_trip,
     "union_by_header": q_union_by_header,
     "publish_snapshots": q_publish_snapshots,
+    "outcome_replace": q_outcome_replace,
+    "lookup_enrich_fanout": q_lookup_enrich_fanout,
+    "bulk_registration": q_bulk_registration,
+    "owner_remap_exact_keys": q_owner_remap_exact_keys,
+    "document_manifest": q_document_manifest,
+    "eligible_attachments": q_eligible_attachments,
+    "csv_quote_all": q_csv_quote_all,
 }
 
 

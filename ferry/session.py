@@ -1,12 +1,13 @@
 """Session construction and the shared scratch folder.
 
 On a cluster the scratch root is the folder named by ``spark.checkpoint.dir`` (shared by all
-executors). Only when that setting is missing (tests, a laptop) do we create one of our own.
+executors). Only when that setting is missing on a local master (tests, a laptop) do we create one of
+our own; on a cluster a folder of one machine would lose data, so a missing setting is an error.
 """
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -79,6 +80,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:
             configured = None
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="ferry-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -88,12 +91,3 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never-reused folder below the shared checkpoint root."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/ferry-scratch/{label}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so that Python can stat a local path (tests only)."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.normpath(path)

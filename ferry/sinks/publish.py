@@ -1,19 +1,31 @@
 """Writers: CSV dialects, run-versioned snapshots, routed outcomes, and an accumulating crosswalk.
 
 Publishing never deletes or overwrites the folder it may be reading: each run writes its own
-``run_id=<id>`` partition, "current" is the highest run id and "previous" the one before it. A
-failed write therefore leaves the previous current in place, and re-running a run id (a retried
-job) replaces only that run's own folder, so a retry is idempotent. Files are not forced into one: a
-single output file (``single_file=True``) costs one task for the final stage; it uses a shuffle
-(``repartition(1)``) so that the upstream work keeps its parallelism, unlike ``coalesce(1)``.
+``run_id=<id>`` folder. Only runs with a success marker count; "current" is the last of them in
+natural order of their ids (``r9`` before ``r10``) and "previous" the one before it. A failed write
+therefore leaves the previous current in place, and re-running a run id (a retried job) replaces
+only that run's own folder, so a retry is idempotent. A run is read from its own folder, so runs
+with different columns do not mix. Files are not forced into one: a single output file
+(``single_file=True``) costs one task for the final stage; it uses a shuffle (``repartition(1)``)
+so that the upstream work keeps its parallelism, unlike ``coalesce(1)``.
+
+CSV is an export format here: it drops outer white space and turns ``''`` into null, so no job
+computes on a CSV it has just written.
 """
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferry.sources.csv import QUOTED_DIALECT, list_files
+from ferry.operators.reconcile import accumulate_crosswalk
+from ferry.sources.csv import QUOTED_DIALECT
+from ferry.sources.listing import child_folders, exists
+
+_RUN_ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9_.-]*")
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", quote_all: bool = False,
@@ -28,73 +40,127 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", quote_all: bool
     out.write.mode(mode).options(**opts).csv(path)
 
 
+def check_run_id(run_id: str) -> str:
+    if not _RUN_ID.fullmatch(run_id):
+        raise ValueError(f"not a valid run id: {run_id!r}")
+    return run_id
+
+
+def run_order(run_id: str) -> list:
+    """Sort key: runs of digits compare as numbers, then the id itself (``7`` before ``007``)."""
+    return [[(p.isdigit(), int(p) if p.isdigit() else 0, p) for p in re.split(r"(\d+)", run_id) if p], run_id]
+
+
 def publish_snapshot(df: DataFrame, root: str, run_id: str, fmt: str = "parquet",
-                     single_file: bool = False, skip_if_empty: bool = False) -> str | None:
+                     single_file: bool = False, skip_if_empty: bool = False,
+                     partition_by: tuple[str, ...] = ()) -> str | None:
     """Write ``df`` as run ``run_id`` below ``root`` (replacing only that run's folder if a
     retried job wrote it before).
 
     ``skip_if_empty`` checks for a first row (a bounded job) and writes nothing, returning
     ``None``, when there is none.
     """
+    path = f"{root.rstrip('/')}/run_id={check_run_id(run_id)}"
     if skip_if_empty and df.isEmpty():
         return None
-    path = f"{root.rstrip('/')}/run_id={run_id}"
     out = df.repartition(1) if single_file else df
     writer = out.write.mode("overwrite").format(fmt)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
         writer = writer.options(**{k: v for k, v in QUOTED_DIALECT.items() if k != "multiLine"})
     writer.save(path)
     return path
 
 
-def _runs(spark: SparkSession, root: str, fmt: str) -> DataFrame:
-    reader = spark.read.format(fmt)
-    if fmt == "csv":
-        reader = reader.options(**QUOTED_DIALECT)
-    return reader.load(root)
+def run_path(root: str, run_id: str) -> str:
+    return f"{root.rstrip('/')}/run_id={run_id}"
 
 
-def run_ids(spark: SparkSession, root: str, fmt: str = "parquet") -> list[str]:
-    """Published run ids, oldest first: a file listing (no file body, no record is read)."""
-    files = list_files(spark, root, glob=None, recursive=True)
-    ids = (files.select(F.regexp_extract("path", r"/run_id=([^/]+)/", 1).alias("run_id"))
-           .where(F.col("run_id") != "").distinct().orderBy("run_id").collect())
-    return [r[0] for r in ids]
+def run_ids(spark: SparkSession, root: str) -> list[str]:
+    """Published run ids, oldest first: folders with a success marker. One folder listing, no job."""
+    found = [n[len("run_id="):] for n in child_folders(spark, root) if n.startswith("run_id=")]
+    done = [r for r in found if exists(spark, f"{run_path(root, r)}/_SUCCESS")]
+    return sorted(done, key=run_order)
 
 
-def read_run(spark: SparkSession, root: str, which: str = "current", fmt: str = "parquet") -> DataFrame:
-    """The ``current`` (latest) or ``previous`` run, or a run id; partition pruning keeps the
-    scan to that one folder."""
-    ids = run_ids(spark, root, fmt)
+def pick_run(spark: SparkSession, root: str, which: str = "current") -> str:
+    """The run id that ``current``, ``previous`` or an id stands for."""
+    ids = run_ids(spark, root)
     if not ids:
         raise FileNotFoundError(f"no published run below {root}")
     if which == "current":
-        chosen = ids[-1]
-    elif which == "previous":
+        return ids[-1]
+    if which == "previous":
         if len(ids) < 2:
             raise FileNotFoundError(f"no previous run below {root}")
-        chosen = ids[-2]
-    else:
-        chosen = which
-    df = _runs(spark, root, fmt)
-    return df.where(F.col("run_id").cast("string") == F.lit(chosen))
+        return ids[-2]
+    if which not in ids:
+        raise FileNotFoundError(f"no run {which} below {root}")
+    return which
 
 
-def write_outcomes(outcomes: DataFrame, root: str, object_col: str = "object",
-                   outcome_col: str = "outcome", fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """Route outcome rows to ``{root}/object=../outcome=../`` in one job (all three outcomes,
-    unprocessed included). ``mode="overwrite"`` uses dynamic partition overwrite: only the
-    objects and outcomes present in this run are replaced."""
-    (outcomes.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-     .partitionBy(object_col, outcome_col).format(fmt).save(root))
+def read_run(spark: SparkSession, root: str, which: str = "current", fmt: str = "parquet") -> DataFrame:
+    """The ``current`` (latest) or ``previous`` run, or a run id, with its own columns and ``run_id``.
+
+    Only that run's folder is listed and read.
+    """
+    chosen = pick_run(spark, root, which)
+    reader = spark.read.format(fmt)
+    if fmt == "csv":
+        reader = reader.options(**QUOTED_DIALECT)
+    return reader.load(run_path(root, chosen)).withColumn("run_id", F.lit(chosen))
+
+
+def write_outcomes(outcomes: DataFrame, root: str, run_id: str, object_col: str = "object",
+                   outcome_col: str = "outcome", fmt: str = "parquet") -> str:
+    """Route outcome rows to ``{root}/run_id=../object=../outcome=../`` in one job (all three
+    outcomes, unprocessed included). Earlier runs stay as history."""
+    return publish_snapshot(outcomes, root, run_id, fmt, partition_by=(object_col, outcome_col))
+
+
+def read_outcomes(spark: SparkSession, root: str, objects: list[str] | None = None,
+                  object_col: str = "object", fmt: str = "parquet") -> DataFrame:
+    """Each object's outcomes of its last run (all its outcomes replace those of the run before).
+
+    Which run an object was last part of is told by folder names; only those folders are read.
+    """
+    last: dict[str, str] = {}
+    for run in run_ids(spark, root):
+        for name in child_folders(spark, run_path(root, run)):
+            if name.startswith(f"{object_col}="):
+                last[name] = run
+    if objects is not None:
+        wanted = {f"{object_col}={o}" for o in objects}
+        last = {name: run for name, run in last.items() if name in wanted}
+    if not last:
+        raise FileNotFoundError(f"no published outcomes below {root}")
+    out: DataFrame | None = None
+    for name, run in sorted(last.items()):
+        # The object is taken from the folder name as it is: an object "007" stays text.
+        part = spark.read.format(fmt).load(f"{run_path(root, run)}/{name}").withColumns({
+            object_col: F.lit(unquote(name[len(object_col) + 1:])), "run_id": F.lit(run)})
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
 def append_crosswalk(crosswalk: DataFrame, root: str, run_id: str) -> str:
-    """Add one run's crosswalk rows as a new run folder (the accumulating publish)."""
-    return publish_snapshot(crosswalk, root, run_id)
+    """Publish the crosswalk grown by one run: the rows of the run before it and the new ones, each
+    distinct row once. The last run is the whole crosswalk, so reading it needs no deduplication."""
+    spark = crosswalk.sparkSession
+    earlier = [r for r in run_ids(spark, root) if run_order(r) < run_order(check_run_id(run_id))]
+    existing = spark.read.parquet(run_path(root, earlier[-1])) if earlier else None
+    return publish_snapshot(accumulate_crosswalk(existing, crosswalk), root, run_id)
 
 
 def read_crosswalk(spark: SparkSession, root: str) -> DataFrame:
-    """All runs' crosswalk rows, one row per distinct ``(source_id, migration_id, target_id)``."""
-    return (spark.read.parquet(root).drop("run_id")
-            .dropDuplicates(["source_id", "migration_id", "target_id"]))
+    """The current crosswalk, one row per distinct ``(source_id, migration_id, target_id)``."""
+    return read_run(spark, root).drop("run_id")
+
+
+def read_crosswalk_runs(spark: SparkSession, root: str) -> DataFrame:
+    """The distinct rows of all runs, for run folders that hold increments (the stream's)."""
+    paths = [run_path(root, r) for r in run_ids(spark, root)]
+    if not paths:
+        raise FileNotFoundError(f"no published run below {root}")
+    return spark.read.parquet(*paths).distinct()

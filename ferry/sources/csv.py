@@ -1,4 +1,4 @@
-"""CSV in the quoted dialect, file listing, and a by-name union over files with drifting headers.
+"""CSV in the quoted dialect, and a by-name union over files with drifting headers.
 
 Every column is read as a string (no schema inference): the data model of the migrated objects is
 text, and typed columns come only from explicit casts. Note the null model of the CSV hop: with
@@ -11,10 +11,9 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ferry.functions.text import folder_of
+from ferry.sources.listing import exists, files_of, folders_with
 
 QUOTED_DIALECT = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
 
@@ -44,22 +43,6 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], recursive: bool = F
     return reader.csv(paths)
 
 
-def list_files(spark: SparkSession, root: str, glob: str | None = "*.csv",
-               recursive: bool = True) -> DataFrame:
-    """``(path, folder, length)`` of the files below ``root``.
-
-    Uses the ``binaryFile`` source with only path and length selected, so no file body is read:
-    this is Spark's (parallel) file listing as a DataFrame.
-    """
-    reader = spark.read.format("binaryFile")
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(root).select("path", "length")
-    return files.select("path", folder_of("path").alias("folder"), "length")
-
-
 def header_of(spark: SparkSession, path: str) -> list[str]:
     """Column names of one CSV file: Spark reads its first record only."""
     return read_csv(spark, path).columns
@@ -69,7 +52,7 @@ def headers_of(spark: SparkSession, paths: Sequence[str], fmt: str = "csv",
                threads: int = 16) -> list[list[str]]:
     """Headers of many files (the first record of a CSV file, the footer of a Parquet file).
     Each read is a small job; the jobs are submitted from a few driver threads at once so that
-    thousands of folders do not queue behind each other."""
+    many folders do not queue behind each other."""
     def one(p: str) -> list[str]:
         return header_of(spark, p) if fmt == "csv" else spark.read.format(fmt).load(p).columns
 
@@ -79,33 +62,31 @@ def headers_of(spark: SparkSession, paths: Sequence[str], fmt: str = "csv",
         return list(pool.map(one, paths))
 
 
-def union_by_header(spark: SparkSession, root: str, glob: str | None = "*.csv",
-                    group_by: str = "file") -> DataFrame:
+def union_by_header(spark: SparkSession, root: str, glob: str = "*.csv", group_by: str = "auto") -> DataFrame:
     """Read every CSV file below ``root`` as one table, matching columns by header name.
 
-    ``group_by="file"`` reads the header of every file (small concurrent jobs, one record each)
-    and reads all files that share a header with one scan. ``group_by="directory"`` trusts one
-    header per directory (one writer, one header), which needs far fewer header reads when a
-    folder holds thousands of part files. Either way each scan uses its header as the schema with
-    Spark's header check on, so a file whose columns differ fails loudly instead of landing in the
-    wrong columns. The scans (one per distinct header) are combined with
-    ``unionByName(allowMissingColumns=True)``. Only file names and headers reach the driver.
+    A folder with a success marker was written by one job: its files share the header of its first
+    non-empty file, however many they are. Other folders may mix headers, so each of their files
+    gives its own. ``group_by="directory"`` trusts one header per folder everywhere,
+    ``"file"`` reads every file's. All files with equal headers are read with one scan, whose header
+    check makes a file with other columns fail loudly instead of landing in the wrong columns. The
+    scans (one per distinct header) are combined with ``unionByName(allowMissingColumns=True)``.
+    Folders are listed without a job.
     """
-    if group_by not in ("file", "directory"):
-        raise ValueError("group_by is 'file' or 'directory'")
-    files = list_files(spark, root, glob).where(F.col("length") > 0)
-    if group_by == "file":
-        firsts = [(r["path"], [r["path"]]) for r in files.select("path").orderBy("path").collect()]
-    else:
-        groups = (files.groupBy(F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("dir"))
-                  .agg(F.min("path").alias("first")).orderBy("dir").collect())
-        firsts = [(g["first"], [f"{g['dir']}/{glob or '*'}"]) for g in groups]
+    if group_by not in ("auto", "file", "directory"):
+        raise ValueError("group_by is 'auto', 'file' or 'directory'")
+    firsts: list[tuple[str, str]] = []                        # (path to scan, file with its header)
+    for folder, first in folders_with(spark, root, glob):
+        if group_by == "directory" or group_by == "auto" and exists(spark, f"{folder}/_SUCCESS"):
+            firsts.append((f"{folder}/{glob}", first))
+        else:
+            firsts += [(f, f) for f in files_of(spark, folder, glob)]
     if not firsts:
         raise FileNotFoundError(f"no CSV file below {root}")
-    headers = headers_of(spark, [first for first, _ in firsts])
+    headers = headers_of(spark, [first for _, first in firsts])
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for (_, paths), names in zip(firsts, headers):
-        by_header.setdefault(tuple(names), []).extend(paths)
+    for (path, _), names in zip(firsts, headers):
+        by_header.setdefault(tuple(names), []).append(path)
     out: DataFrame | None = None
     for names, paths in by_header.items():
         schema = StructType([StructField(n, StringType()) for n in names])

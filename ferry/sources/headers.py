@@ -1,8 +1,9 @@
 """Header catalog: which columns each object folder holds, and how that drifts.
 
-For every folder below a root, the first data file (lowest path, so the pick is deterministic)
-gives the header. Listing is one ``binaryFile`` scan without bodies; reading a header reads one
-record (CSV) or one footer (Parquet). Only folder names and headers reach the driver.
+An object is the first folder below the root, however its files are nested in it (``year=`` or
+``run_id=`` folders). The first data file below it, in name order, gives the header. Folders are
+listed without a job; reading a header reads one record (CSV) or one footer (Parquet). Only object
+names and headers reach the driver.
 """
 
 from __future__ import annotations
@@ -12,27 +13,23 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferry.sources.csv import headers_of, list_files
+from ferry.sources.csv import headers_of
+from ferry.sources.listing import child_folders, first_file_below
 
 CATALOG_SCHEMA = "object_name string, position int, column_name string"
 
 
-def header_catalog(spark: SparkSession, root: str, fmt: str = "csv",
-                   object_from: str = "folder") -> DataFrame:
-    """``(object_name, position, column_name)`` for each folder that holds a ``fmt`` file.
+def header_catalog(spark: SparkSession, root: str, fmt: str = "csv") -> DataFrame:
+    """``(object_name, position, column_name)`` for each object folder that holds a ``fmt`` file.
 
-    ``object_from="file"`` treats every file as an object of its own, named by the file name
-    without extension. Folders without such a file are skipped; no file at all is an error.
+    Folders without such a file are skipped; no file at all is an error.
     """
-    files = list_files(spark, root, f"*.{fmt}")
-    if object_from == "file":
-        files = files.withColumn("folder", F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1))
-    firsts = (files.groupBy("folder").agg(F.min("path").alias("first"))
-              .orderBy("folder").collect())
-    headers = headers_of(spark, [r["first"] for r in firsts], fmt)
-    rows = [(r["folder"], i + 1, n) for r, names in zip(firsts, headers) for i, n in enumerate(names)]
-    if not rows:
+    found = [(name, first_file_below(spark, f"{root.rstrip('/')}/{name}", f"*.{fmt}")) for name in child_folders(spark, root)]
+    found = [(name, first) for name, first in found if first]
+    if not found:
         raise FileNotFoundError(f"no {fmt} header found below {root}")
+    headers = headers_of(spark, [first for _, first in found], fmt)
+    rows = [(name, i + 1, n) for (name, _), names in zip(found, headers) for i, n in enumerate(names)]
     return spark.createDataFrame(rows, CATALOG_SCHEMA)
 
 

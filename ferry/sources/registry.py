@@ -1,7 +1,9 @@
 """Register named sources as temp views, with an availability report for optional ones.
 
 Optional sources (e.g. earlier crosswalks) may be missing on a first run; instead of printing
-and carrying on silently, the report lists what was registered and what was not, and why.
+and carrying on silently, the report lists what was registered and what was not, and why. Only
+"not there" counts as missing (no such path, an empty folder, no published run); any other failure
+is raised. A missing source's view of an earlier registration is dropped, so SQL cannot read it.
 Required sources raise.
 """
 
@@ -17,6 +19,9 @@ from ferry.sources.sqltext import check_view_name
 
 Loader = Callable[[], DataFrame]
 
+#: Error conditions that mean that a source is not there.
+NOT_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
 
 def register_views(spark: SparkSession, sources: Mapping[str, Loader], required: bool = True,
                    with_counts: bool = False, threads: int = 8) -> DataFrame:
@@ -34,11 +39,14 @@ def register_views(spark: SparkSession, sources: Mapping[str, Loader], required:
         name, loader = item
         try:
             df = loader()
-        except AnalysisException as exc:
+        except FileNotFoundError as exc:
             if required:
                 raise
-            condition = exc.getCondition() if hasattr(exc, "getCondition") else None
-            return name, None, (condition or str(exc).split("\n")[0])[:200], None
+            return name, None, str(exc), None
+        except AnalysisException as exc:
+            if required or exc.getCondition() not in NOT_THERE:
+                raise
+            return name, None, exc.getCondition(), None
         return name, df, None, (df.count() if with_counts else None)
 
     items = list(sources.items())
@@ -50,6 +58,7 @@ def register_views(spark: SparkSession, sources: Mapping[str, Loader], required:
     rows = []
     for name, df, detail, n_rows in loaded:
         if df is None:
+            spark.catalog.dropTempView(name)
             rows.append((name, "missing", None, detail, None))
         else:
             df.createOrReplaceTempView(name)

@@ -1,6 +1,8 @@
 """Write PLANS.md: the final (adaptive) physical plan features of every registered query.
 
-    python tests/plan_report.py [/root/testdata/sf0.1]
+    python tests/plan_report.py [/root/testdata/sf0.1] [--no-broadcast]
+
+``--no-broadcast`` turns both broadcast thresholds off and writes PLANS_SHUFFLE.md.
 
 Each query's own plan is executed once (rows are counted on the executors, none is collected) so
 that AQE's final plan (run-time broadcast conversions, coalesced partitions) is what gets reported.
@@ -33,14 +35,17 @@ def features(plan: str) -> dict:
     }
 
 
-def main(sf_dir: str) -> None:
+def main(sf_dir: str, no_broadcast: bool = False) -> None:
     from ferry.plans.queries import QUERIES
     from ferry.session import build_session
-    spark = build_session("local[8]", 8)
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    spark = build_session("local[8]", 8, extra=off if no_broadcast else None)
     lines = ["# Physical plans of the registered queries", "",
              f"Final adaptive plans at `{sf_dir}` (local[8], 8 shuffle partitions), produced by "
              "`tests/plan_report.py`. Shuffles counts `Exchange` nodes of the final plan (a reused "
-             "exchange counts once per use); joins list the strategy AQE settled on at this scale.", ""]
+             "exchange counts once per use); joins list the strategy AQE settled on"
+             + (", with both broadcast thresholds off: the shape for inputs too large to broadcast." if no_broadcast
+                else " at this scale."), ""]
     for name, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         qe = df._jdf.queryExecution()
@@ -61,9 +66,10 @@ def main(sf_dir: str) -> None:
             lines.append(f"- read schema: `{r}`")
         lines.append("")
         print(name, f["shuffles"], joins, flush=True)
-    with open(os.path.join(ROOT, "PLANS.md"), "w") as fh:
+    with open(os.path.join(ROOT, "PLANS_SHUFFLE.md" if no_broadcast else "PLANS.md"), "w") as fh:
         fh.write("\n".join(lines))
 
 
 if __name__ == "__main__":
-    main(sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1")
+    args = [a for a in sys.argv[1:] if a != "--no-broadcast"]
+    main(args[0] if args else "/root/testdata/sf0.1", "--no-broadcast" in sys.argv)

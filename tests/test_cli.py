@@ -3,6 +3,9 @@
 import os
 
 from ferry.cli import main
+from pyspark.sql import functions as F
+
+from ferry.constants import ELIGIBLE_ACCOUNT_STATUSES
 from ferry.plans import fixtures as fx
 from ferry.plans.queries import ORDER_TRANSFORM_SQL
 from ferry.sinks.publish import read_run, write_csv
@@ -67,15 +70,19 @@ def test_cli_jobs(spark, tmp_dir):
 def test_cli_documents_and_reconcile(spark, tmp_dir):
     from ferry.sinks.publish import write_outcomes
     paths = {}
-    for name, fn in (("contracts", fx.contracts), ("accounts", fx.accounts), ("links", fx.document_links),
+    for name, fn in (("contracts", fx.contracts), ("accounts", fx.accounts), ("links", fx.contract_document_links),
                      ("versions", fx.document_versions), ("parents", fx.contract_parents)):
         paths[name] = f"{tmp_dir}/{name}"
         write_csv(fn(spark, SF), paths[name])
-    # the document links point at contract ids: make every other one eligible via its account
+    # accounts become active customers, contracts old enough, so that the job's own rules let them pass
+    write_csv(fx.accounts(spark, SF).withColumn("Status", F.lit(ELIGIBLE_ACCOUNT_STATUSES[0])), paths["accounts"])
+    write_csv(fx.contracts(spark, SF).withColumn("CreatedDate", F.when(F.col("Id") == "1", "n/a").otherwise("2001-02-03")), paths["contracts"])
     out = f"{tmp_dir}/out"
     c = main(["manifest", "--contracts", paths["contracts"], "--accounts", paths["accounts"], "--links", paths["links"],
               "--versions", paths["versions"], "--out", out, "--run-id", "r1"], spark)
-    assert c["documents"] >= 0
+    want = fx.contract_document_links(spark, SF).where("LinkedEntityId <> '1'").join(
+        fx.document_versions(spark, SF).where("IsLatest").select("ContentDocumentId").distinct(), "ContentDocumentId", "left_semi")
+    assert c["documents"] == want.count() > 0
 
     files = f"{tmp_dir}/files"
     os.makedirs(files)
@@ -87,9 +94,53 @@ def test_cli_documents_and_reconcile(spark, tmp_dir):
 
     raw = f"{tmp_dir}/raw"
     write_csv(fx.raw_order(spark, SF), raw)
-    write_outcomes(fx.outcomes(spark, SF), f"{tmp_dir}/outcomes")
+    write_outcomes(fx.outcomes(spark, SF), f"{tmp_dir}/outcomes", "r1")
     c = main(["reconcile", "--input", raw, "--outcomes", f"{tmp_dir}/outcomes", "--out", out], spark)
     assert c["totals"]["gap"] == 0 and c["totals"]["input"] == fx.raw_order(spark, SF).count()
     by_job = read_run(spark, f"{out}/outcome_by_job", "current", "csv")
     assert sum(int(r["records"]) for r in by_job.collect()) == c["totals"]["input"]
     assert c["job_outcome_rows"] == by_job.count()
+
+
+def test_jobs_read_the_current_run_by_header(spark, tmp_dir):
+    legacy, target = f"{tmp_dir}/legacy", f"{tmp_dir}/target"
+    write_csv(fx.legacy_user(spark, SF), legacy)
+    write_csv(fx.target_user(spark, SF), target)
+    out = f"{tmp_dir}/out"
+    for run in ("r1", "r2"):
+        main(["match-users", "--legacy", legacy, "--target", target, "--out", out, "--run-id", run], spark)
+    first = read_run(spark, f"{out}/user", "current", "csv").first()
+    owned = f"{tmp_dir}/owned"
+    write_csv(spark.createDataFrame([("R1", first.legacy_user_id)], "Id string, OwnerId string"), owned)
+    args = ["remap-owners", "--object", "order", "--source", owned, "--users", f"{out}/user_matched", "--out", out]
+    c = main([*args, "--run-id", "r1"], spark)
+    assert (c["remapped"], c["matched"]) == (1, 1)             # not once per published run
+
+    # files with columns in another order are matched by name
+    mixed = f"{tmp_dir}/mixed"
+    os.makedirs(mixed)
+    for name, text in (("a.csv", f"Id,OwnerId\nR1,{first.legacy_user_id}\n"), ("b.csv", f"OwnerId,Id\n{first.legacy_user_id},R2\n")):
+        with open(f"{mixed}/{name}", "w") as fh:
+            fh.write(text)
+    c = main(["remap-owners", "--object", "lead", "--source", mixed, "--users", f"{out}/user_matched", "--out", out, "--run-id", "r1"], spark)
+    assert sorted(r.id for r in read_run(spark, f"{out}/matched/lead", fmt="csv").collect()) == ["R1", "R2"]
+
+
+def test_a_run_without_rows_leaves_the_current_one(spark, tmp_dir):
+    raw, hit, miss, out = (f"{tmp_dir}/{n}" for n in ("raw", "hit", "miss", "out"))
+    write_csv(spark.createDataFrame([("1", "x")], "Id string, v string"), raw)
+    write_csv(spark.createDataFrame([("1", "N1")], "Migration_Id__c string, sf__Id string"), hit)
+    write_csv(spark.createDataFrame([("2", "N2")], "Migration_Id__c string, sf__Id string"), miss)
+    args = ["after-load", "--object", "order", "--raw", raw, "--out", out]
+    assert main([*args, "--success", hit, "--run-id", "r1"], spark)["crosswalk"] == 1
+    c = main([*args, "--success", miss, "--run-id", "r2"], spark)
+    assert (c["crosswalk"], c["delta"], c["duplicates"]) == (0, 0, 0)
+    assert read_run(spark, f"{out}/prod_data/order").count() == 1
+    assert read_run(spark, f"{out}/joined_output/order", fmt="csv").count() == 1
+
+
+def test_published_checks_do_not_go_through_csv(spark, tmp_dir):
+    from ferry.plans.jobs import publish_transform, transform_object
+    raw = spark.createDataFrame([(" 1 ", "a")], "Id string, v string")
+    tr = transform_object(spark, "blank_keys", "SELECT Id AS Migration_Id__c, v FROM blank_keys", raw)
+    assert publish_transform(tr, f"{tmp_dir}/out", "blank_keys", "r1", "csv") == {"transformed": 1, "orphaned": 0}

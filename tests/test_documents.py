@@ -4,6 +4,7 @@ from ferry.operators import (
     attachment_manifest,
     attachment_parent_lookup,
     attachment_payload,
+    unreadable_dates,
     eligible_contracts,
     latest_version_manifest,
     linked_to,
@@ -11,6 +12,7 @@ from ferry.operators import (
     transfer_summary,
 )
 from ferry.plans.jobs import attachment_uploads, document_manifest
+from ferry.sources.binary import read_files
 
 
 def test_eligible_contracts_status_and_day_cutoff(spark):
@@ -92,20 +94,39 @@ def test_attachment_manifest_and_lookup(spark):
                    "9_z": ("9", "z", None, "no_parent")}
 
 
-def test_attachment_payload_and_summary(spark):
-    files = spark.createDataFrame([("K1_a.pdf", bytes(range(100))), ("K2_b.pdf", b"x")], "file_name string, content binary")
+def test_attachment_payload_and_summary(spark, tmp_dir):
+    for name, body in (("K1_a.pdf", bytes(range(100))), ("K2_b.pdf", b"x")):
+        with open(f"{tmp_dir}/{name}", "wb") as f:
+            f.write(body)
+    files = read_files(spark, tmp_dir, with_content=False).select("path", "file_name")
     parents = spark.createDataFrame([("N1", "K1")], "Id string, Migration_Id__c string")
     up = attachment_uploads(files, parents)
     pay = up["payload"].collect()
     assert len(pay) == 1 and pay[0].Name == "a.pdf" and pay[0].ParentId == "N1"
     assert len(pay[0].Body) == 136 and pay[0].ContentType == "application/pdf"
     assert {r.status: r["count"] for r in up["summary"].collect()} == {"ready": 1, "no_parent": 1}
+    # bodies are read after the join: nothing of them is shuffled or sorted
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = up["payload"]._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep["spark.sql.autoBroadcastJoinThreshold"])
+    moved = [line for line in plan.splitlines() if "Exchange" in line or "Sort" in line]
+    assert moved and not any("content" in line for line in moved)
     # string content is encoded as UTF-8
     sfiles = spark.createDataFrame([("K1_t.txt", "hé")], "file_name string, content string")
     body = attachment_payload(attachment_parent_lookup(sfiles, parents, keep_cols=["content"])).first().Body
     assert body == "aMOp"
 
 
+def test_a_date_that_is_none_stops_nothing(spark):
+    contracts = spark.createDataFrame([("E1", "A1", "2020-01-01"), ("E2", "A1", "n/a"), ("E3", "A1", None), ("E4", "A1", " ")],
+                                      "Id string, AccountId string, CreatedDate string")
+    accounts = spark.createDataFrame([("A1", "Migrated-PROD")], "Id string, Status string")
+    out = eligible_contracts(contracts, accounts, "AccountId", "Id", "Status", "CreatedDate")
+    assert [r.Id for r in out.collect()] == ["E1"]
+    assert [r.Id for r in unreadable_dates(contracts, "CreatedDate").collect()] == ["E2"]
+
+
 def test_manifest_from_text_columns(spark):
     # everything read from CSV is text: the latest flag and dates arrive as strings
     versions = spark.createDataFrame([("V1", "D1", "A.pdf", "pdf", "TRUE"), ("V2", "D1", "B", "pdf", "false")],

@@ -5,7 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ferry.operators import align_to_fields, exportable_fields, field_names, filtered_extract, metadata_from_schema
-from ferry.sinks import publish_snapshot, read_crosswalk, read_run, run_ids, write_csv, write_outcomes, append_crosswalk
+from ferry.sinks import publish_snapshot, read_crosswalk, read_outcomes, read_run, run_ids, write_csv, write_outcomes, append_crosswalk
 from ferry.sources import (
     catalog_of_tables,
     header_catalog,
@@ -73,7 +73,7 @@ def test_header_catalog_and_drift(spark, tmp_dir):
     write_csv(spark.createDataFrame([("1", "a")], "Id string, A string"), f"{tmp_dir}/h/account")
     write_csv(spark.createDataFrame([("1", "a", "b")], "Id string, Name string, Extra string"), f"{tmp_dir}/h/contact")
     os.makedirs(f"{tmp_dir}/h/nofiles")
-    cat = header_catalog(spark, f"{tmp_dir}/h")
+    cat = header_catalog(spark, f"{tmp_dir}/h", "csv")
     assert sorted(tuple(r) for r in cat.collect()) == [
         ("account", 1, "Id"), ("account", 2, "A"), ("contact", 1, "Id"), ("contact", 2, "Name"),
         ("contact", 3, "Extra")]
@@ -141,12 +141,59 @@ def test_crosswalk_accumulates_across_runs(spark, tmp_dir):
 def test_write_outcomes_partitions(spark, tmp_dir):
     df = spark.createDataFrame([("order", "success", "1"), ("order", "error", "2"), ("order", "unprocessed", "3")],
                                "object string, outcome string, source_id string")
-    write_outcomes(df, f"{tmp_dir}/o")
-    assert sorted(os.listdir(f"{tmp_dir}/o/object=order")) == ["outcome=error", "outcome=success", "outcome=unprocessed"]
-    back = spark.read.parquet(f"{tmp_dir}/o").where(F.col("outcome") == "error")
+    write_outcomes(df, f"{tmp_dir}/o", "r1")
+    assert sorted(os.listdir(f"{tmp_dir}/o/run_id=r1/object=order")) == ["outcome=error", "outcome=success", "outcome=unprocessed"]
+    back = read_outcomes(spark, f"{tmp_dir}/o").where(F.col("outcome") == "error")
     assert [r.source_id for r in back.collect()] == ["2"]
 
 
+def test_last_run_of_an_object_replaces_all_its_outcomes(spark, tmp_dir):
+    schema = "object string, outcome string, source_id string"
+    first = [("order", "success", "1"), ("order", "error", "2"), ("007", "error", "3")]
+    write_outcomes(spark.createDataFrame(first, schema), f"{tmp_dir}/o", "r9")
+    write_outcomes(spark.createDataFrame([("order", "success", "2")], schema), f"{tmp_dir}/o", "r10")
+    got = sorted((r.object, r.outcome, r.source_id, r.run_id) for r in read_outcomes(spark, f"{tmp_dir}/o").collect())
+    assert got == [("007", "error", "3", "r9"), ("order", "success", "2", "r10")]
+    assert spark.read.parquet(f"{tmp_dir}/o/run_id=r9").count() == 3              # history stays
+    with pytest.raises(FileNotFoundError):
+        read_outcomes(spark, f"{tmp_dir}/o", ["lead"])
+
+
+def test_runs_keep_their_columns_and_order(spark, tmp_dir):
+    root = f"{tmp_dir}/runs"
+    publish_snapshot(spark.createDataFrame([("1", "a")], "Id string, A string"), root, "9", "csv")
+    publish_snapshot(spark.createDataFrame([("b", "2", "c")], "A string, Id string, B string"), root, "10", "csv")
+    publish_snapshot(spark.createDataFrame([("z", "007")], "A string, Id string"), root, "007", "csv")
+    assert run_ids(spark, root) == ["007", "9", "10"]
+    assert [r.asDict() for r in read_run(spark, root, fmt="csv").collect()] == [{"A": "b", "Id": "2", "B": "c", "run_id": "10"}]
+    assert [r.Id for r in read_run(spark, root, "previous", "csv").collect()] == ["1"]
+    assert [(r.Id, r.run_id) for r in read_run(spark, root, "007", "csv").collect()] == [("007", "007")]
+    os.makedirs(f"{root}/run_id=11")                           # half written: no success marker
+    assert run_ids(spark, root)[-1] == "10"
+    for bad in ("", "a/b", "../x", "a b"):
+        with pytest.raises(ValueError):
+            publish_snapshot(spark.range(1), root, bad)
+
+
+def test_registration_drops_stale_views_and_raises_other_errors(spark, tmp_dir):
+    spark.range(3).createOrReplaceTempView("stale_view")
+    register_views(spark, {"stale_view": lambda: read_run(spark, f"{tmp_dir}/none")}, required=False)
+    assert not spark.catalog.tableExists("stale_view")
+    with pytest.raises(AnalysisException):
+        register_views(spark, {"broken": lambda: spark.range(1).select("no_such_column")}, required=False)
+
+
+def test_catalog_names_objects_by_the_first_folder(spark, tmp_dir):
+    for obj, header in (("account", "Id,A"), ("contact", "Id,B,C")):
+        for year in ("2024", "2025"):
+            os.makedirs(f"{tmp_dir}/raw/{obj}/year={year}")
+            with open(f"{tmp_dir}/raw/{obj}/year={year}/x.csv", "w") as f:
+                f.write(header + "\n1,2,3\n")
+    open(f"{tmp_dir}/raw/account/year=2024/a_empty.csv", "w").close()
+    got = sorted(tuple(r) for r in header_catalog(spark, f"{tmp_dir}/raw").collect())
+    assert got == [("account", 1, "Id"), ("account", 2, "A"), ("contact", 1, "Id"), ("contact", 2, "B"), ("contact", 3, "C")]
+
+
 def test_read_files_binary(spark, tmp_dir):
     d = f"{tmp_dir}/att"
     os.makedirs(d)
@@ -197,10 +244,10 @@ def test_object_steps_and_sources(spark, tmp_dir):
     assert spark.table("master_account").count() == 1
     out = spark.createDataFrame([("account", "success", "1"), ("account", "error", "2"), ("lead", "success", "3")],
                                 "object string, outcome string, source_id string")
-    write_outcomes(out, f"{tmp_dir}/outcomes")
-    register_views(spark, success_sources(spark, f"{tmp_dir}/outcomes"))
+    write_outcomes(out, f"{tmp_dir}/outcomes", "r1")
+    report = register_views(spark, success_sources(spark, f"{tmp_dir}/outcomes"), required=False)
     assert [r.source_id for r in spark.table("success_account").collect()] == ["1"]
-    assert spark.table("success_contact").count() == 0
+    assert {r.name: r.status for r in report.collect()}["success_contact"] == "missing"
 
 
 def test_publish_skip_if_empty(spark, tmp_dir):

@@ -1,3 +1,5 @@
+import pytest
+
 from ferry.session import ensure_checkpoint_dir, scale_conf, scratch_path
 
 
@@ -13,3 +15,27 @@ def test_scratch_below_checkpoint_root(spark):
     root = ensure_checkpoint_dir(spark)
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a.startswith(root.rstrip("/")) and a != b
+
+
+def test_no_private_scratch_on_a_cluster():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session())
+    Context.master = "local-cluster[2,1,1024]"
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session())
