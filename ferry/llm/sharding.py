@@ -7,10 +7,10 @@ whose shard has room, first come, first served in ring order. So balance is exac
 its home only if that shard is full.
 
 How it runs. Rows are counted per cell; the ring walk works on those counts alone, a table whose
-size is fixed by the parameters (2^16 cells, shards x vnodes arcs), never by the input. It yields,
+size is fixed by the parameters (2^14 cells, shards x vnodes arcs), never by the input. It yields,
 for every cell, how many of its rows stay, and, for the stream of overflowing rows in ring order,
 the intervals that each shard takes. A row's shard and its gapless slot then follow from its rank in
-its cell by arithmetic. The only shuffle of rows carries ids, hashes and sizes by cell, 2^16 small
+its cell by arithmetic. The only shuffle of rows carries ids, hashes and sizes by cell, 2^14 small
 groups; a group of equal texts spreads over the ring because the hash covers doc_id and text.
 
 Edge cases. Null ids and texts hash like values of their own; equal rows are ranked in any order,
@@ -28,7 +28,7 @@ from pyspark.sql.window import Window
 
 from ferry.session import scratch_path
 
-CELL_BITS = 16
+CELL_BITS = 14
 CELLS = 1 << CELL_BITS
 
 
@@ -98,7 +98,7 @@ def ring_walk(counts: DataFrame, params: RingParams) -> tuple[DataFrame, DataFra
     stays = homes.join(F.broadcast(capacity), "shard").withColumn("slot", before).select(
         "cell", "n", "node", "wrapped", "shard", "cap", "slot",
         F.greatest(F.lit(0), F.least(F.col("n"), F.col("cap") - F.col("slot"))).alias("stay"))
-    ring_order = Window.orderBy("node", F.desc("wrapped"), "cell")  # 2^16 rows at most
+    ring_order = Window.orderBy("node", F.desc("wrapped"), "cell")  # 2^14 rows at most
     left = F.col("n") - F.col("stay")
     cells = stays.withColumn("over", F.coalesce(
         F.sum(left).over(ring_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -149,7 +149,7 @@ def shard_rows(docs: DataFrame, params: RingParams = RingParams()) -> DataFrame:
     thin.withColumn("cell", _cell(F.col("h"))).write.parquet(path)
     rows = spark.read.parquet(path)
     cells, takes = ring_walk(rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n")), params)
-    # Fixed sizes: 2^16 cells at most, and at most two laps of shards x vnodes takes.
+    # Fixed sizes: 2^14 cells at most, and at most two laps of shards x vnodes takes.
     plan_path, take_path = scratch_path(spark, "shard-cells"), scratch_path(spark, "shard-takes")
     cells.coalesce(1).write.parquet(plan_path)
     takes.coalesce(1).write.parquet(take_path)

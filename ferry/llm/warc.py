@@ -72,12 +72,14 @@ def inflate(source) -> Iterator[bytes]:
     stream, fresh = zlib.decompressobj(GZIP), True
     while data := source.read(CHUNK):
         while data:
+            if fresh and not (data := data.lstrip(b"\0")):    # padding between and after members
+                break
             out = stream.decompress(data, CHUNK)
             fresh = False
             if out:
                 yield out
             if stream.eof:
-                data, stream, fresh = stream.unused_data.lstrip(b"\0"), zlib.decompressobj(GZIP), True
+                data, stream, fresh = stream.unused_data, zlib.decompressobj(GZIP), True
             else:
                 data = stream.unconsumed_tail
     if not fresh:
