@@ -1,0 +1,131 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from ferry.llm import decontaminate as D
+from tests.llm.helpers import DOCS, alnum_words, odd_docs, prose
+
+ITEMS = "item_id long, text string"
+
+
+def plain(text, items, window=13):
+    words, hit, found = alnum_words(text), set(), set()
+    for item, t in items:
+        iw = alnum_words(t)
+        for at in range(max(1, len(iw) - window + 1)) if iw else ():
+            w = iw[at:at + window]
+            for i in range(len(words) - len(w) + 1):
+                if words[i:i + len(w)] == w:
+                    hit |= set(range(i, i + len(w)))
+                    found.add(str(item))
+    names = ",".join(sorted(found))
+    return (len(words), len(hit), len(found), hashlib.sha256(names.encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(words))
+
+
+def corpus(rng):
+    items = [(i, prose(rng, rng.choice([3, 12, 13, 14, 40]), 60)) for i in range(25)] + [(100, None), (101, " .. ")]
+    docs = []
+    for i in range(120):
+        words = prose(rng, rng.randint(0, 120), 60).split()
+        for _ in range(rng.randint(0, 2)):
+            item = (rng.choice(items[:25])[1]).split()
+            a = rng.randrange(len(item))
+            words[rng.randint(0, len(words)):0] = item[a:a + rng.randint(1, 30)]
+        docs.append((i, ", ".join(words).upper() if i % 3 else " ".join(words), "en", "s", 0))
+    return docs, items
+
+
+def check(spark, docs, items, **kwargs):
+    found = D.find_passages(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS), **kwargs)
+    rows = D.contamination(found).collect()
+    assert len(rows) == len(docs) and len({r.row for r in rows}) == len(docs)
+    got = sorted(((r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in rows), key=str)
+    assert got == sorted(((d[0], *plain(d[1], items)) for d in docs), key=str)
+
+
+def test_against_plain_search(spark):
+    check(spark, *corpus(random.Random(1)))
+
+
+def test_segments_and_item_blocks(spark, monkeypatch):
+    monkeypatch.setattr(D, "BLOCK_WORDS", 100)
+    docs, items = corpus(random.Random(2))
+    check(spark, docs, items)
+
+
+def test_index_segments_are_bounded(spark, tmp_dir):
+    docs, items = corpus(random.Random(3))
+    block = next(D.item_blocks(spark.createDataFrame(items, ITEMS), 13))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        index = D.build_index(spark.createDataFrame(docs, DOCS).coalesce(1), block.terms, f"{tmp_dir}/index", segment_words=500)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert index.count() > 5
+    rows = D.contamination(D.search_index(index, block)).collect()
+    assert {(r.doc_id, r.n_hit) for r in rows} == {(d[0], plain(d[1], items)[1]) for d in docs}
+
+
+def test_passages_name_item_and_place(spark):
+    item = [(7, " ".join(f"t{i}" for i in range(30)))]
+    text = "x y " + " ".join(f"T{i}" for i in range(5, 25)) + " z"
+    r = D.find_passages(spark.createDataFrame([(1, text, None, None, 0)], DOCS), spark.createDataFrame(item, ITEMS)).first()
+    assert [tuple(s) for s in r.spans] == [("7", 5, 2, 20)]
+
+
+def test_proximity(spark):
+    item = [(1, "red green blue")]
+    docs = [(1, "blue x x x red y green"), (2, "red " + "x " * 30 + "green blue"), (3, "red green blue"), (4, "red green")]
+    df = spark.createDataFrame([(*d, "en", "s", 0) for d in docs], DOCS)
+    got = {r.doc_id: (r.n_items, r.n_near_items) for r in D.contamination(
+        D.find_passages(df, spark.createDataFrame(item, ITEMS), D.SearchParams(slop=8))).collect()}
+    assert got == {1: (0, 1), 2: (0, 0), 3: (1, 1), 4: (0, 0)}
+
+
+def test_a_match_does_not_cross_documents(spark):
+    df = spark.createDataFrame([(1, "a b c", "", "", 0), (2, "d e f", "", "", 0)], DOCS).coalesce(1)
+    assert D.contamination(D.find_passages(df, spark.createDataFrame([(1, "c d")], ITEMS))).where("n_hit > 0").count() == 0
+
+
+def test_odd_rows_and_filter(spark):
+    rows = odd_docs()
+    items = [(None, rows[5][1]), (3, "one"), (3, "one two"), (4, "日本語 😀 ok"), (5, "")]
+    df = spark.createDataFrame([(*r, 1) for r in rows], DOCS + ", row int")
+    got = D.contamination(D.find_passages(df, spark.createDataFrame(items, ITEMS))).collect()
+    for r in got:
+        texts = [x[1] for x in rows if x[0] == r.doc_id]
+        assert (r.n_words, r.n_hit) in [plain(t, [("" if i is None else i, x) for i, x in items])[:2] for t in texts]
+    left = D.decontaminate(df, spark.createDataFrame(items, ITEMS))
+    assert left.columns == df.columns
+    clean = [r[0] or 0 for r in rows if not plain(r[1], [("" if i is None else i, x) for i, x in items])[4]]
+    assert sorted(r.doc_id or 0 for r in left.collect()) == sorted(clean) and 5 not in clean and 7 in clean
+
+
+def test_empty_tables(spark):
+    empty = spark.createDataFrame([], DOCS)
+    items, none = spark.createDataFrame([(1, "a b")], ITEMS), spark.createDataFrame([], ITEMS)
+    assert D.contamination(D.find_passages(empty, items)).count() == 0
+    full = spark.createDataFrame([(1, "a b", "", "", 0)], DOCS)
+    assert [(r.n_words, r.n_hit) for r in D.contamination(D.find_passages(full, none)).collect()] == [(2, 0)]
+    assert D.decontaminate(full, none).count() == 1 and D.decontaminate(full, items).count() == 0
+
+
+def test_parameters():
+    with pytest.raises(ValueError):
+        D.SearchParams(slop=D.GAP)
+
+
+def test_segment_postings_round_trip():
+    rng = np.random.default_rng(1)
+    terms = np.unique(rng.integers(0, 2**63, 40, np.uint64))
+    b = D._SegmentBuilder(terms)
+    words = rng.choice(np.concatenate([terms, terms + np.uint64(1)]), 3000)
+    b.add([1, 2, 3], np.array([1000, 0, 2000]), words)
+    row = {f.split()[0]: b.finish(0).column(k)[0] for k, f in enumerate(D.INDEX.split(", "))}
+    s = D.Segment(row["doc_starts"].values.to_numpy(), row["term_ends"].values.to_numpy(), row["postings"].as_py())
+    place = np.concatenate([np.arange(1000), np.arange(1000, 3000) + 2 * D.GAP])
+    for k, t in enumerate(terms):
+        assert np.array_equal(s.postings(k), place[words == t])
