@@ -43,12 +43,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ferry.llm.common import broadcast_up_to, written
+from ferry.llm.common import broadcast_up_to, fresh_name, written
 from ferry.llm.words import SPACE_TABLE, column_words, mix
 from ferry.session import scratch_path
 
 #: Shingles of a block, pivot not counted: what one search holds in memory.
-BLOCK_SHINGLES = 400_000
+BLOCK_SHINGLES = 200_000
 #: DivideSkip's weight of a probe against a step of the merge.
 PROBE_WEIGHT = 0.0085
 
@@ -85,7 +85,7 @@ def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
     if n == 0:
         return np.zeros(0, np.uint64)
     if n < size:
-        total = np.uint64(n) * _SHORT
+        total = np.full(1, n, np.uint64) * _SHORT
         for j in range(n):
             total = total + mix(words[j:j + 1]) * _MULTIPLIERS[(j + 32) % 64]
         return mix(total)
@@ -197,22 +197,43 @@ def write_sets(docs: DataFrame, params: JoinParams) -> DataFrame:
 # --- search within a block ------------------------------------------------------------------
 
 class InvertedIndex:
-    """Ascending positions of the sets that hold each shingle, for the shingles of some queries."""
+    """Ascending positions of the sets that hold each shingle, for the shingles of some queries.
+
+    All lists stand one after another in ``keys``, as shingle number x sets + position: ascending as
+    a whole, so a probe of any list is a binary search.
+    """
 
     def __init__(self, sets: list[np.ndarray], wanted: np.ndarray) -> None:
         tokens = np.concatenate(sets)
-        owners = np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])
+        owners = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
         at = np.searchsorted(wanted, tokens)
         at[at == len(wanted)] = 0
         known = wanted[at] == tokens
-        order = np.argsort(at[known], kind="stable")
-        self.wanted, self.owners = wanted, owners[known][order]
-        self.ends = np.searchsorted(at[known][order], np.arange(len(wanted)), "right")
+        self.wanted, self.n = wanted, len(sets)
+        self.keys = np.sort(at[known] * self.n + owners[known])
+        self.ends = np.searchsorted(self.keys, (np.arange(len(wanted)) + 1) * self.n)
+        self.lengths = np.diff(self.ends, prepend=0)
 
-    def lists(self, query: np.ndarray) -> list[list[int]]:
+    def numbers(self, query: np.ndarray) -> np.ndarray:
+        """The shingle numbers of a query, shortest lists first."""
         at = np.searchsorted(self.wanted, query)
-        starts = np.where(at > 0, self.ends[at - 1], 0)
-        return [self.owners[a:b].tolist() for a, b in zip(starts, self.ends[at])]
+        return at[np.argsort(self.lengths[at], kind="stable")]
+
+    def positions(self, k: int) -> np.ndarray:
+        """The sets that hold shingle number ``k``."""
+        return self.keys[self.ends[k] - self.lengths[k]:self.ends[k]] - k * self.n
+
+    def count(self, numbers: np.ndarray) -> np.ndarray:
+        """In how many of the shingles' lists each set stands, by going through the lists."""
+        found = [self.positions(k) for k in numbers]
+        return np.bincount(np.concatenate(found), minlength=self.n) if found else np.zeros(self.n, np.int64)
+
+    def probe(self, numbers: np.ndarray, sets: np.ndarray) -> np.ndarray:
+        """In how many of the shingles' lists each of ``sets`` stands, by binary search."""
+        keys = (numbers[None, :] * self.n + sets[:, None]).ravel()
+        at = np.searchsorted(self.keys, keys)
+        at[at == len(self.keys)] = 0
+        return (self.keys[at] == keys).reshape(len(sets), len(numbers)).sum(axis=1)
 
 
 def merge_skip(lists: list[list[int]], need: int) -> Iterator[tuple[int, int]]:
@@ -242,65 +263,78 @@ def merge_skip(lists: list[list[int]], need: int) -> Iterator[tuple[int, int]]:
                 heapq.heappush(heap, (lists[k][at], k, at))
 
 
-def divide_skip(lists: list[list[int]], need: int, passed) -> Iterator[tuple[int, int]]:
-    """(value, count) of values in at least ``need`` lists; values that ``passed`` accepts are skipped."""
-    lists = sorted((x for x in lists if x), key=len)
-    if len(lists) < need:
+def divide_skip(index: InvertedIndex, query: np.ndarray, need: int, open_sets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(set, overlap) of the open sets that share ``need`` shingles or more with the query.
+
+    Where the short lists are dense (more entries than sets), counting takes fewer steps than the
+    heap; where candidates are so many that the steps of all probes outnumber the entries of the
+    long lists, these are gone through instead. The result is the same.
+    """
+    numbers = index.numbers(query)
+    # Lists of length 1 hold only the query.
+    if len(numbers) < need or np.count_nonzero(index.lengths[numbers] > 1) < need:
         return
-    longest = max(2, len(lists[-1]))
+    longest = max(2, int(index.lengths[numbers[-1]]))
     aside = min(need - 1, int(need / (PROBE_WEIGHT * np.log2(longest) + 1)))
-    short, long = lists[:len(lists) - aside], lists[len(lists) - aside:]
-    for value, count in merge_skip(short, need - aside):
-        if passed(value):
-            continue
-        left = len(long)
-        for values in long:
-            if count + left < need:
-                break
-            at = bisect_left(values, value)
-            count += at < len(values) and values[at] == value
-            left -= 1
-        if count >= need:
-            yield value, count
+    short, long = numbers[:len(numbers) - aside], numbers[len(numbers) - aside:]
+    if index.lengths[short].sum() <= index.n:
+        lists = [[i for i in index.positions(k).tolist() if open_sets[i]] for k in short]
+        found = list(merge_skip(lists, need - aside))
+        sets, counts = np.array([i for i, _ in found], np.int64), np.array([c for _, c in found], np.int64)
+    else:
+        counts = index.count(short)
+        sets = np.flatnonzero((counts >= need - aside) & open_sets)
+        counts = counts[sets]
+    if len(sets) * aside * np.log2(len(index.keys)) <= index.lengths[long].sum():
+        total = counts + index.probe(long, sets)
+    else:
+        total = counts + index.count(long)[sets]
+    for j in np.flatnonzero(total >= need):
+        yield int(sets[j]), int(total[j])
 
 
 class _Labels:
     """Components of a block: smaller sides are relabelled."""
 
     def __init__(self, labels: list) -> None:
-        self.of = list(labels)
-        self.members: dict = {}
-        for i, label in enumerate(self.of):
+        numbers: dict = {}
+        self.of = np.array([numbers.setdefault(x, len(numbers)) for x in labels], np.int64)
+        self.members: dict[int, list[int]] = {}
+        for i, label in enumerate(self.of.tolist()):
             self.members.setdefault(label, []).append(i)
 
     def join(self, i: int, j: int) -> bool:
-        a, b = self.of[i], self.of[j]
+        a, b = int(self.of[i]), int(self.of[j])
         if a == b:
             return False
         if len(self.members[a]) < len(self.members[b]):
             a, b = b, a
-        for k in self.members[b]:
-            self.of[k] = a
+        self.of[self.members[b]] = a
         self.members[a] += self.members.pop(b)
         return True
 
 
-def search_block(sets: list[np.ndarray], labels: list, queries: list[int], params: JoinParams) -> list[tuple[int, int]]:
-    """Links (i, j) that join all components of the block which a link of a query joins."""
+def search_block(sets: list[np.ndarray], labels: list, queries: list[int], params: JoinParams,
+                 settled: list[int] = ()) -> list[tuple[int, int]]:
+    """Links (i, j) that join all components of the block which a link of a query joins.
+
+    ``settled`` sets have been compared with all others already.
+    """
     known, links = _Labels(labels), []
-    if not queries:
+    if not queries or len(sets) - len(settled) < 2:
         return links
+    unsettled = np.ones(len(sets), bool)
+    unsettled[list(settled)] = False
     index = InvertedIndex(sets, np.unique(np.concatenate([sets[q] for q in queries])))
-    sizes = [len(s) for s in sets]
+    sizes = np.array([len(s) for s in sets])
     for q in queries:
-        n = sizes[q]
+        n = int(sizes[q])
         low, high = params.least_partner(n), params.largest_partner(n)
-
-        def passed(i: int) -> bool:
-            return known.of[i] == known.of[q] or not low <= sizes[i] <= high
-
-        for i, overlap in divide_skip(index.lists(sets[q]), params.least_overlap(n, low), passed):
-            if overlap >= params.least_overlap(n, sizes[i]) and known.join(q, i):
+        open_sets = unsettled & (known.of != known.of[q]) & (sizes >= low) & (sizes <= high)
+        if not open_sets.any():
+            continue
+        for i, overlap in divide_skip(index, sets[q], params.least_overlap(n, low), open_sets):
+            if overlap >= params.least_overlap(n, int(sizes[i])) and known.join(q, i):
                 links.append((q, i))
     return links
 
@@ -318,14 +352,21 @@ def probe_pivot(sets: list[np.ndarray], pivot: int, params: JoinParams) -> list[
     return [i for i in np.flatnonzero(linked).tolist() if i != pivot]
 
 
-def link_block(ids: list[bytes], sets: list[np.ndarray], pivots: list[int], params: JoinParams) -> list[tuple[int, int]]:
-    """Links that connect each component of the block's link graph."""
-    links = [(p, i) for p in pivots for i in probe_pivot(sets, p, params)]
+def link_block(ids: list[bytes], sets: list[np.ndarray], pivots: list[int], params: JoinParams) -> list[tuple[bytes, bytes]]:
+    """(set, least set of its component) for each component of the block's link graph."""
     known = _Labels(list(range(len(ids))))
-    links = [(a, b) for a, b in links if known.join(a, b)]
-    main = {known.of[p] for p in pivots}
-    queries = [i for i in range(len(ids)) if known.of[i] not in main]
-    return links + search_block(sets, known.of, queries, params)
+    for p in pivots:
+        for i in probe_pivot(sets, p, params):
+            known.join(p, i)
+    main = {int(known.of[p]) for p in pivots}
+    queries = [i for i in range(len(ids)) if int(known.of[i]) not in main]
+    for a, b in search_block(sets, known.of.tolist(), queries, params, pivots):
+        known.join(a, b)
+    stars = []
+    for members in known.members.values():
+        root = min(ids[i] for i in members)
+        stars += [(ids[i], root) for i in members if ids[i] != root]
+    return stars
 
 
 # --- blocks over the cluster ----------------------------------------------------------------
@@ -383,7 +424,7 @@ def _search_buckets(placed: DataFrame, docs: DataFrame, classes: DataFrame, para
         for (pivot, _), rows in _groups(batches, 2):
             ids, sets, _ = _unique_sets(rows, 2, params)
             pivots = [i for i, c in enumerate(ids) if _number(c) == pivot]
-            out = [(None, ids[a], ids[b]) for a, b in link_block(ids, sets, pivots, params)] if len(ids) > 1 else []
+            out = [(None, a, b) for a, b in link_block(ids, sets, pivots, params)] if len(ids) > 1 else []
             if rows[0][4] > 1 and pivots:
                 out += [(pivot, c, ids[pivots[0]]) for c in ids]
             if out:
@@ -524,12 +565,13 @@ def keep_one_per_component(docs: DataFrame, params: JoinParams = JoinParams()) -
     judged = found.join(written(groups, "first-copies"), "root").select("doc_id", "text_hash", (key == F.col("first")).alias("stays"))
     drop = written(judged.groupBy("doc_id", "text_hash").agg(
         F.first("stays").alias("stays"), F.count(F.lit(1)).alias("n")).where("NOT stays OR n > 1"), "drop-list")
-    named = drop.select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__h"), "stays")
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("__d")) & (F.xxhash64(docs["text"]) == F.col("__h"))
+    d, h, stays, place = (fresh_name(docs, name) for name in ("drop_id", "drop_hash", "stays", "place"))
+    named = drop.select(F.col("doc_id").alias(d), F.col("text_hash").alias(h), F.col("stays").alias(stays))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(d)) & (F.xxhash64(docs["text"]) == F.col(h))
     rest = docs.join(broadcast_up_to(named, DROP_LIST), same, "left_anti")
-    repeated = named.where("stays")
+    repeated = named.where(F.col(stays))
     if repeated.isEmpty():
         return rest
-    rank = F.row_number().over(Window.partitionBy("__d", "__h").orderBy(F.lit(0)))
-    one = docs.join(broadcast_up_to(repeated, DROP_LIST), same).withColumn("__rank", rank).where("__rank = 1")
+    rank = F.row_number().over(Window.partitionBy(d, h).orderBy(F.lit(0)))
+    one = docs.join(broadcast_up_to(repeated, DROP_LIST), same).withColumn(place, rank).where(F.col(place) == 1)
     return rest.unionByName(one.select(*[F.col(f"`{c}`") for c in docs.columns]))
