@@ -41,9 +41,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     Later steps then read plain scans: nothing is computed twice, a lost executor costs no earlier
     step, and Spark can split a skewed key of a join right above them.
     """
-    path = scratch_path(df.sparkSession, label)
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # The shuffle files of the finished job stay on the executors' disks until the driver's JVM
+    # collects its garbage; in a sequence of such steps they would pile up.
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.parquet(path)
 
 
 def one_per_task(rows: DataFrame, key: str) -> DataFrame:

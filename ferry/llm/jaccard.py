@@ -40,12 +40,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ferry.llm.common import broadcast_up_to, fresh_name, written
 from ferry.llm.words import SPACE_TABLE, column_words, mix
-from ferry.session import scratch_path
 
 #: Shingles of a block, pivot not counted: what one search holds in memory.
 BLOCK_SHINGLES = 200_000
@@ -70,6 +68,7 @@ class JoinParams:
         return 100 * a // self.percent
 
     def least_partner(self, a: int) -> int:
+        """Also the least overlap with any partner."""
         return -(-self.percent * a // 100)
 
 
@@ -103,95 +102,132 @@ def set_id(shingles: np.ndarray) -> bytes:
     return two.astype(">u8").tobytes()
 
 
+def _number(cid: bytes) -> int:
+    return int.from_bytes(cid[:8], "big", signed=True)
+
+
 # --- routing keys ---------------------------------------------------------------------------
 
 @dataclass(frozen=True)
 class Scheme:
-    """How sets of sizes low..high, and their larger partners up to ``reach``, are cut into parts."""
+    """How sets of sizes low..high, and their larger partners up to ``reach``, get their keys.
+
+    They are cut into parts. Parts with fewer than ``strong`` shingles are weak; ``spare`` is how many
+    parts there are beyond one and those that differing shingles can touch. With ``strong`` 0 the
+    sets are too small for that: their least shingles are their keys.
+    """
 
-    number: int
     low: int
     high: int
     reach: int
     spare: int
+    strong: int
     bounds: np.ndarray
 
 
-@lru_cache(maxsize=64)
-def schemes(params: JoinParams) -> tuple[Scheme, ...]:
-    """Size ranges that grow by half, from the least size at which different sets can link."""
-    low, out = -(-params.percent // (100 - params.percent)), []
-    while low < 1 << 31:
-        high = max(low, low * 3 // 2 - 1)
-        reach = params.largest_partner(high)
-        most = (high + reach) * (100 - params.percent) // (100 + params.percent)   # differing shingles
-        spare = min(4, most // 10)
-        parts = most + 1 + spare
-        bounds = np.array([(i << 64) // parts for i in range(1, parts)], np.uint64) if parts < 1 << 22 else None
-        out.append(Scheme(len(out), low, high, reach, spare, bounds))
-        if bounds is None:
+@lru_cache(maxsize=1024)
+def size_range(number: int, params: JoinParams) -> tuple[int, int]:
+    """Sizes of a scheme: ranges that grow by half, from the least size at which different sets can link."""
+    low = -(-params.percent // (100 - params.percent))
+    for _ in range(number):
+        low = max(low, low * 3 // 2 - 1) + 1
+    return low, max(low, low * 3 // 2 - 1)
+
+
+def _weak_parts(low: int, parts: int, strong: int) -> float:
+    """How many parts of a set of ``low`` shingles are weak, by Poisson with two deviations."""
+    mean = low / parts
+    share = np.exp(-mean) * (1 + mean if strong == 2 else 1)
+    return parts * share + 2 * np.sqrt(parts * share)
+
+
+@lru_cache(maxsize=256)
+def scheme(number: int, params: JoinParams) -> Scheme:
+    low, high = size_range(number, params)
+    reach = params.largest_partner(high)
+    most = (high + reach) * (100 - params.percent) // (100 + params.percent)       # differing shingles
+    # Strong parts of two shingles if a few spare parts make up for the weak ones, else of one.
+    for strong, limit in ((2, most // 4), (1, most // 2)):
+        spare = bisect_left(range(limit + 1), True, key=lambda n: _weak_parts(low, most + 1 + n, strong) <= n)
+        if spare <= limit:
             break
-        low = high + 1
-    return tuple(out)
+    else:
+        spare = strong = 0
+    parts = most + 1 + spare
+    step = (1 << 64) / parts
+    bounds = (np.arange(1, parts) * step).astype(np.uint64) if strong else np.zeros(0, np.uint64)
+    return Scheme(low, high, reach, spare, strong, bounds)
 
 
 def routing_keys(shingles: np.ndarray, params: JoinParams) -> np.ndarray:
     """Keys of which any two sets that link, and are not equal, have one in common.
 
-    At least ``1 + spare`` parts of two linking sets are equal. Parts of fewer than two shingles
-    are weak keys: many sets share them. A set with ``spare`` weak parts at most does without them,
-    as one of the equal parts is then a strong one.
+    At least ``1 + spare`` parts of two linking sets are equal. Weak parts make keys that many sets
+    share. A set with ``spare`` weak parts at most does without them, as one of the equal parts is
+    then a strong one; the few sets with more use all their parts. Small sets use their least
+    shingles, one more than a linking partner can lack.
     """
-    n = len(shingles)
-    plans = schemes(params)
-    keys = []
-    for scheme in plans:
-        if scheme.bounds is None and n >= scheme.low:
-            raise ValueError(f"a text of {n} distinct shingles is too long for the join")
-        if not scheme.low <= n <= scheme.reach:
+    n, keys, sums = len(shingles), [], None
+    for number in range(200):
+        low, high = size_range(number, params)
+        if n < low:
+            break
+        if n > params.largest_partner(high):
+            continue
+        plan = scheme(number, params)
+        salt = np.uint64(number << 40)
+        if not plan.strong:
+            keys.append(mix(shingles[:n - params.least_partner(n) + 1] + mix(np.array([salt]))))
             continue
-        edges = np.empty(len(scheme.bounds) + 2, np.int64)
+        if sums is None:
+            sums = np.zeros(n + 1, np.uint64)
+            np.cumsum(mix(shingles ^ _MULTIPLIERS[42]), out=sums[1:])
+        edges = np.empty(len(plan.bounds) + 2, np.int64)
         edges[0], edges[-1] = 0, n
-        edges[1:-1] = np.searchsorted(shingles, scheme.bounds)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(mix(shingles ^ _MULTIPLIERS[42]), out=sums[1:])
+        edges[1:-1] = np.searchsorted(shingles, plan.bounds)
         held = np.diff(edges)
-        salt = np.uint64(scheme.number << 40) + np.arange(len(held), dtype=np.uint64)
-        key = mix(np.diff(sums[edges]) + mix(salt))
-        strong = held >= 2
-        keys.append(key[strong] if len(held) - strong.sum() <= scheme.spare else key)
+        key = mix(np.diff(sums[edges]) + mix(salt + np.arange(len(held), dtype=np.uint64)))
+        strong = held >= plan.strong
+        keys.append(key[strong] if len(held) - strong.sum() <= plan.spare else key)
     return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
 
-SETS = T.StructType([
-    T.StructField("doc_id", T.LongType()), T.StructField("n_shingles", T.LongType()),
-    T.StructField("cid", T.BinaryType()), T.StructField("fp", T.LongType()),
-    T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("text_hash", T.LongType())])
+SETS = "doc_id long, n_shingles long, cid binary, fp long, text_hash long"
+KEYS = "fp long, key long"
+
+
+def _text_sets(column: pa.Array, params: JoinParams) -> Iterator[tuple[int, list[np.ndarray], list[bytes]]]:
+    """Runs of texts as (first row, shingle sets, set ids)."""
+    for row, counts, hashes in column_words(column, SPACE_TABLE):
+        sets = [shingle_set(hashes[e - c:e], params.words) for c, e in zip(counts, np.cumsum(counts))]
+        yield row, sets, [set_id(s) for s in sets]
 
 
 def write_sets(docs: DataFrame, params: JoinParams) -> DataFrame:
-    """doc_id, n_shingles, cid (class), fp (its routing number), keys and text_hash of every document."""
-    spark = docs.sparkSession
+    """doc_id, n_shingles, cid (class), fp (its routing number) and text_hash of every document."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, sets, ids in _text_sets(batch.column(1), params):
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(row, len(ids)), pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array(ids, pa.binary()), pa.array([_number(i) for i in ids], pa.int64()),
+                    batch.column(2).slice(row, len(ids))], ["doc_id", "n_shingles", "cid", "fp", "text_hash"])
 
+    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text"))
+    return written(rows.mapInArrow(run, SETS), "shingle-sets")
+
+
+def key_rows(docs: DataFrame, params: JoinParams) -> DataFrame:
+    """(fp, key) of every document's routing keys. Cheaper to compute twice than to keep on disk."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, counts, hashes in column_words(batch.column(1), SPACE_TABLE):
-                ends = np.cumsum(counts)
-                sets = [shingle_set(hashes[e - c:e], params.words) for c, e in zip(counts, ends)]
-                ids = [set_id(s) for s in sets]
+            for _, sets, ids in _text_sets(batch.column(0), params):
                 keys = [routing_keys(s, params) for s in sets]
-                offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
+                owners = np.repeat(np.array([_number(i) for i in ids], np.int64), [len(k) for k in keys])
                 flat = np.concatenate([np.zeros(0, np.uint64), *keys]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(row, len(counts)), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array(ids, pa.binary()), pa.array([int.from_bytes(i[:8], "big", signed=True) for i in ids], pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), batch.column(2).slice(row, len(counts))],
-                    SETS.names)
+                yield pa.RecordBatch.from_arrays([pa.array(owners), pa.array(flat)], ["fp", "key"])
 
-    path = scratch_path(spark, "shingle-sets")
-    docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text")) \
-        .mapInArrow(run, SETS).write.parquet(path)
-    return spark.read.parquet(path)
+    return docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, KEYS)
 
 
 # --- search within a block ------------------------------------------------------------------
@@ -414,10 +450,6 @@ def _unique_sets(rows: list[tuple], at: int, params: JoinParams) -> tuple[list[b
     return list(found), [s for s, _ in found.values()], [r for _, r in found.values()]
 
 
-def _number(cid: bytes) -> int:
-    return int.from_bytes(cid[:8], "big", signed=True)
-
-
 def _search_buckets(placed: DataFrame, docs: DataFrame, classes: DataFrame, params: JoinParams) -> DataFrame:
     """Links within blocks, and a row (pivot, cid, pivot's cid) for each set of a split bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -452,12 +484,16 @@ def _search_rest(placed: DataFrame, docs: DataFrame, classes: DataFrame, params:
     return rows.mapInArrow(run, LINKS)
 
 
-def find_links(docs: DataFrame, sets: DataFrame, classes: DataFrame, params: JoinParams) -> DataFrame:
+#: Shared keys, 16 bytes each, that may be broadcast.
+SHARED_KEYS = 2_000_000
+
+
+def find_links(docs: DataFrame, classes: DataFrame, params: JoinParams) -> DataFrame:
     """Links (cid, other) between classes that connect every component of the link graph."""
-    posts = sets.select("fp", F.explode("keys").alias("key"))
+    posts = key_rows(docs, params)
     shared = written(posts.groupBy("key").agg(F.min("fp").alias("pivot"), F.max("fp").alias("last"))
                       .where(F.col("pivot") < F.col("last")).drop("last"), "shared-keys")
-    members = written(posts.join(shared, "key").select("pivot", "fp").distinct(), "buckets")
+    members = written(posts.join(broadcast_up_to(shared, SHARED_KEYS), "key").select("pivot", "fp").distinct(), "buckets")
     sized = members.join(classes.select("fp", "n_shingles"), "fp")
     blocks = written(sized.groupBy("pivot").agg(
         F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).alias("blocks")), "bucket-sizes")
@@ -538,7 +574,7 @@ def similarity_components(docs: DataFrame, params: JoinParams = JoinParams()) ->
     sets = write_sets(docs, params)
     classes = written(sets.where("n_shingles > 0").groupBy("cid", "fp", "n_shingles").agg(
         F.min("doc_id").alias("rep")), "classes")
-    labels = written(components(find_links(docs, sets, classes, params)), "labels")
+    labels = written(components(find_links(docs, classes, params)), "labels")
     rooted = classes.join(labels, "cid", "left").select("cid", "rep", F.coalesce("root", "cid").alias("root"))
     roots = written(rooted.groupBy("root").agg(F.min("rep").alias("component_id")), "roots")
     answer = written(rooted.join(roots, "root").select("cid", "component_id", "root"), "answer")
