@@ -235,12 +235,12 @@ def mcd_params(stats: DataFrame, params: McdParams = McdParams()) -> DataFrame:
 BROADCAST_GROUPS = 100_000
 
 
-def mcd_verdict(stats: DataFrame, params: McdParams = McdParams(), learn: DataFrame | None = None) -> DataFrame:
+def mcd_verdict(stats: DataFrame, params: McdParams = McdParams()) -> DataFrame:
     """``stats`` plus base_failed, d2 (squared robust distance, null without an estimate) and kept.
 
-    The estimates come from ``learn``, the same statistics as a written table; by default ``stats``.
+    ``stats`` is read several times: pass a written table (``quality_stats``).
     """
-    est = mcd_params(stats if learn is None else learn, params).where(F.col("n_group") >= params.min_rows)
+    est = mcd_params(stats, params).where(F.col("n_group") >= params.min_rows)
     cols = [f"m_{x}" for x in FEATURES] + [f"l_{a}_{b}" for a, b in PAIRS]
     # Beyond the checked size the parameters are joined by a shuffle, whose skew Spark splits.
     hint = F.broadcast if est.count() <= BROADCAST_GROUPS else (lambda df: df)
@@ -272,9 +272,8 @@ def quality_stats(docs: DataFrame) -> DataFrame:
 def quality_filter(docs: DataFrame, params: McdParams = McdParams()) -> DataFrame:
     """The rows of ``docs`` (text, lang, source, ...) that the quality rules keep, columns unchanged.
 
-    Only statistics are written for the estimates; the verdict computes them again as it passes the
-    texts on, which costs less than a second copy of all texts on disk.
+    The rows are written along with their statistics, so the filter needs no join to get them back and
+    reads finished columns (a filter pushed below the statistics would compute them many times).
     """
-    learn = quality_stats(docs.select("text", "lang", "source"))
     rows = docs.select("text", "lang", "source", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
-    return mcd_verdict(text_stats(rows), params, learn).where("kept").select("__row.*")
+    return mcd_verdict(quality_stats(rows), params).where("kept").select("__row.*")
