@@ -3,9 +3,10 @@
 The leaves of a document's tree are runs of about ``LEAF`` pre-tokens with their texts and token
 counts; inner nodes hold the sums of characters and tokens below. Byte-level BPE encodes each
 pre-token alone, so after an edit only the pre-tokens around it can change: the text is cut anew from
-a boundary ``CONTEXT`` characters before the edit up to the first boundary behind it that the old and
-the new cut share. The pattern never looks back, so from there on both cuts are the same. The leaves
-touched get the new pre-tokens, and the sums on the way to the root are updated.
+a boundary ``Encoder.context`` characters before the edit up to the first boundary behind it that the
+old and the new cut share. The pattern never looks back, so from there on both cuts are the same. The
+leaves touched get the new pre-tokens, and the sums on the way to the root are updated. An added token's
+string is a piece of its own, with one token.
 
 ``count_edited`` applies a list of edits to every document and returns the counts before and after,
 and how many pre-tokens had to be encoded again. ``TokenTree.dump`` and ``load`` keep a tree as bytes
@@ -14,9 +15,10 @@ next to its text, so later edits need no first encoding.
 Edge cases. Null texts are empty and have no tokens. Edits are (start, end, replacement) in code
 points of the original text; they are taken in order of start, clipped to the text, and one that
 begins before an earlier one ends is left out; null edits and null positions are left out, a null
-replacement deletes. Texts that the pre-token pattern does not cover (before or after their edits;
-see ``tokenizing``) are encoded whole. Repeated rows are counted each by itself, extra columns are
-ignored by ``count_edited``, an empty table gives an empty result.
+replacement deletes. Texts of any characters have their tree. Only those with the string of an added
+token that takes its neighbours into account (``Encoder.loose``), before or after their edits, are encoded
+whole; all their pre-tokens count as encoded again if they have edits. Repeated rows are counted each by
+itself, extra columns are ignored by ``count_edited``, an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,11 +32,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferry.llm.tokenizing import PRE_TOKEN, Encoder, encoder
+from ferry.llm.tokenizing import CONTEXT, Encoder, encoder
 
 LEAF = 64
-#: The pattern reads at most three characters beyond a pre-token's end.
-CONTEXT = 4
 
 Edit = tuple[int, int, str]
 
@@ -49,7 +49,7 @@ class TokenTree:
 
     @classmethod
     def of(cls, enc: Encoder, text: str) -> TokenTree:
-        pieces = PRE_TOKEN.findall(text)
+        pieces = enc.cut(text)
         return cls(enc, pieces, list(map(enc.count, pieces)))
 
     def _build(self, leaves: list[tuple[list[str], list[int]]]) -> None:
@@ -96,11 +96,12 @@ class TokenTree:
 
     def replace(self, start: int, end: int, new: str) -> None:
         """Replace the characters start..end-1 by ``new``."""
-        first, origin = self._leaf_at(max(0, start - CONTEXT))
+        context = self.enc.context
+        first, origin = self._leaf_at(max(0, start - context))
         pieces, counts = self.leaves[first]
-        # Pre-tokens that end CONTEXT characters before the edit cannot see it.
+        # Pre-tokens that end ``context`` characters before the edit cannot see it.
         keep, at = 0, origin
-        while keep < len(pieces) and at + len(pieces[keep]) <= start - CONTEXT:
+        while keep < len(pieces) and at + len(pieces[keep]) <= start - context:
             at += len(pieces[keep])
             keep += 1
         last, stop = first, origin + self.chars[self.base + first]
@@ -121,11 +122,14 @@ class TokenTree:
                 break
             reach = 2 * (last - first + 1)
         fresh, rest = cut
-        tail_counts = [*counts[keep:], *(c for leaf in self.leaves[first + 1:last + 1] for c in leaf[1])]
-        tail_counts = tail_counts[len(old) - rest:]
-        self.encoded += len(fresh)
+        old_counts = [*counts[keep:], *(c for leaf in self.leaves[first + 1:last + 1] for c in leaf[1])]
+        same = 0                                               # out of the pattern's sight, no added token made or broken
+        while same < min(len(fresh), len(old)) and fresh[same] == old[same] and at + len(old[same]) <= start - CONTEXT:
+            at += len(old[same])
+            same += 1
+        self.encoded += len(fresh) - same
         new_pieces = pieces[:keep] + fresh + old[len(old) - rest:]
-        new_counts = counts[:keep] + list(map(self.enc.count, fresh)) + tail_counts
+        new_counts = counts[:keep] + old_counts[:same] + list(map(self.enc.count, fresh[same:])) + old_counts[len(old) - rest:]
         room = last - first + 1
         size = -(-len(new_pieces) // room)
         if size > 4 * LEAF:                                    # grown: cut all leaves anew
@@ -136,8 +140,7 @@ class TokenTree:
         for j in range(room):
             self._set_leaf(first + j, new_pieces[j * size:(j + 1) * size], new_counts[j * size:(j + 1) * size])
 
-    @staticmethod
-    def _cut(old: list[str], before: str, after: str, edit_end: int, whole: bool) -> tuple[list[str], int] | None:
+    def _cut(self, old: list[str], before: str, after: str, edit_end: int, whole: bool) -> tuple[list[str], int] | None:
         """New pre-tokens up to where old and new cut agree, and the number of old ones that stay.
 
         ``before`` and ``after`` make up the new text; ``after`` is also the old text from
@@ -149,9 +152,9 @@ class TokenTree:
                 ends[at - edit_end] = len(old) - k             # boundary in ``after``: pieces from there on
             at += len(piece)
         text, fresh = before + after, []
-        safe = len(text) if whole else len(text) - CONTEXT
+        safe = len(text) if whole else len(text) - self.enc.context
         place = 0
-        for piece in PRE_TOKEN.findall(text):
+        for piece in self.enc.cut(text):
             if place >= len(before) and place - len(before) in ends and place <= safe:
                 return fresh, ends[place - len(before)]
             place += len(piece)
@@ -188,14 +191,12 @@ def clean_edits(edits: list[Edit], n: int) -> list[Edit]:
 def edited_counts(enc: Encoder, text: str, edits: list[Edit]) -> tuple[int, int, int, int, int]:
     """Tokens before, edits applied, tokens after, pre-tokens encoded again, pre-tokens before."""
     edits = clean_edits(edits, len(text))
-    if not enc.plain(text) or not all(enc.plain(new) for _, _, new in edits):
+    if enc.loose and (enc.is_loose(text) or enc.is_loose(apply_edits(text, edits))):
         return _whole_counts(enc, text, edits)
     tree = TokenTree.of(enc, text)
     before, pieces = tree.n_tokens, sum(len(p) for p, _ in tree.leaves)
     for start, end, new in reversed(edits):                    # from the back: earlier places stay valid
         tree.replace(start, end, new)
-    if edits and enc.added and not enc.plain(tree.text()):     # an edit may complete an added token's string
-        return _whole_counts(enc, text, edits)
     return before, len(edits), tree.n_tokens, tree.encoded, pieces
 
 
@@ -206,9 +207,9 @@ def apply_edits(text: str, edits: list[Edit]) -> str:
 
 
 def _whole_counts(enc: Encoder, text: str, edits: list[Edit]) -> tuple[int, int, int, int, int]:
-    before = len(enc.ids(text))
-    after = len(enc.ids(apply_edits(text, edits))) if edits else before
-    return before, len(edits), after, after if edits else 0, before
+    before, pieces = enc.whole(text)
+    after, again = enc.whole(apply_edits(text, edits)) if edits else (before, 0)
+    return before, len(edits), after, again, pieces
 
 
 #: Addresses, long numbers and keys, as (pattern, replacement).

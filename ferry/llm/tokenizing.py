@@ -3,7 +3,8 @@
 Byte-level BPE cuts a text into pre-tokens and encodes each of them alone. So the library encodes
 each pre-token once per worker, and a text's ids are the joined ids of its pre-tokens. Texts with
 characters beyond U+024F, rare control characters, or an added token's string go through the
-library as a whole. Either way the ids are those of ``Tokenizer.encode(text)``.
+library as a whole. Either way the ids are those of ``Tokenizer.encode(text)``. ``Encoder.cut`` gives
+the pre-tokens of every text: where the pattern does not hold, by the library's own pre-tokenizer.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ PRE_TOKEN = re.compile(
     f"'(?:[stmd]|re|ve|ll)| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_SPACE}{_LETTER}{_NUMBER}]+"
     f"|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 _OTHER = re.compile("[^\x00-\x1b\x20-\x84\x86-ɏ]")
+#: The pattern reads at most three characters beyond a pre-token's end.
+CONTEXT = 4
 #: Pre-tokens kept per worker, about 250 bytes each; then the memory starts anew.
 MEMO_SIZE = 500_000
 
@@ -50,12 +53,41 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.memo = _Memo(self.tokenizer)
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        tokens = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content for t in tokens]
+        #: Strings of added tokens that take blanks or word borders around them into account.
+        self.loose = [t.content for t in tokens if t.lstrip or t.rstrip or t.single_word or t.normalized]
+        longest = [re.escape(a) for a in sorted(self.added, key=len, reverse=True)]
+        self.added_pattern = re.compile(f"({'|'.join(longest)})") if longest else None
+        #: What a pre-token's cut reads beyond its end: an added token may begin there.
+        self.context = CONTEXT + max(map(len, self.added), default=0)
 
     def plain(self, text: str) -> bool:
         """Whether the pre-token pattern holds for this text."""
         return _OTHER.search(text) is None and not any(a in text for a in self.added)
 
+    def is_loose(self, text: str) -> bool:
+        return any(a in text for a in self.loose)
+
+    def cut(self, text: str) -> list[str]:
+        """The pre-tokens of a text and, as pieces of their own, the strings of added tokens."""
+        if self.plain(text):
+            return PRE_TOKEN.findall(text)
+        out = []
+        for k, part in enumerate(self.added_pattern.split(text) if self.added_pattern else [text]):
+            if k % 2:
+                out.append(part)
+            elif _OTHER.search(part) is None:
+                out += PRE_TOKEN.findall(part)
+            else:
+                out += [part[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(part)]
+        return out
+
+    def whole(self, text: str) -> tuple[int, int]:
+        """Numbers of ids and of pre-tokens, by the library alone."""
+        got = self.tokenizer.encode(text, add_special_tokens=False)
+        return len(got.ids), len(set(got.word_ids))
+
     def ids(self, text: str) -> np.ndarray:
         if self.plain(text):
             return np.frombuffer(b"".join(map(self.memo.__getitem__, PRE_TOKEN.findall(text))), "<u4")

@@ -84,3 +84,38 @@ def test_odd_rows_and_empty_table(spark, enc):
             for r in rows]
     assert got == sorted(want, key=str)
     assert C.count_edited(spark.createDataFrame([], DOCS), tokenizer_file()).count() == 0
+
+
+UNICODE = [*PARTS, "\u2019", "\u201c", "\u2014", "\u03a9\u03bc", "\u0416", "\u0663", "\u2167", "\u2028", "\u3000", "\U0001f600",
+           "e\u0301", "\x1c", "<|endof", "text|>", "<|endoftext|>", " <|endoftext|> "]
+
+
+@pytest.mark.parametrize("leaf", [1, 5, 64])
+def test_every_text_has_its_tree(enc, monkeypatch, leaf):
+    monkeypatch.setattr(C, "LEAF", leaf)
+    rng = random.Random(100 + leaf)
+
+    def made(n):
+        return "".join(rng.choice(UNICODE) for _ in range(rng.randint(0, n)))
+
+    for _ in range(700):
+        text, edits = made(200), []
+        for _ in range(rng.randint(0, 5)):
+            a = rng.randint(0, len(text))
+            edits.append((a, a + rng.randint(0, 40), made(10)))
+        before, n, after, again, pieces = C.edited_counts(enc, text, edits)
+        edits = C.clean_edits(edits, len(text))
+        assert (before, pieces) == enc.whole(text)
+        assert (n, after) == (len(edits), whole(enc, C.apply_edits(text, edits)))
+        tree = C.TokenTree.of(enc, text)
+        for edit in reversed(edits):
+            tree.replace(*edit)
+        assert [p for leaf, _ in tree.leaves for p in leaf] == enc.cut(C.apply_edits(text, edits))
+
+
+@pytest.mark.parametrize("mark", ["\u2019", "\u0416", "\u65e5\u672c", "\U0001f600", "\x85", "<|endoftext|>"])
+def test_an_edit_of_any_text_costs_its_surroundings_only(enc, mark):
+    text = f" {mark} ".join([prose(random.Random(3), 5_000)] * 4)
+    before, _, after, again, pieces = C.edited_counts(enc, text, [(50_000, 50_003, f"x{mark}")])
+    assert pieces == enc.whole(text)[1] > 20_000 and 0 < again < 25
+    assert (before, after) == (whole(enc, text), whole(enc, C.apply_edits(text, [(50_000, 50_003, f"x{mark}")])))
