@@ -235,8 +235,13 @@ def predict(docs: DataFrame, model: EcocModel, text: str = "text") -> DataFrame:
 def language_filter(docs: DataFrame, params: EcocParams = EcocParams()) -> DataFrame:
     """The rows of ``docs`` (doc_id, text, lang, ...) whose language is recognised, columns unchanged.
 
-    Rejected are texts without a letter and texts whose bits the code cannot correct.
+    Rejected are texts without a letter and texts whose bits the code cannot correct. Where there is
+    nothing to learn from (no labelled row with an id and letters that is not held out), no language
+    can be judged, and only texts without a letter are rejected.
     """
-    judged = predict(docs, train(docs, params))
+    model = train(docs, params)
+    if not model.languages:
+        return docs.where(has_letter(F.col("text")))
+    judged = predict(docs, model)
     lang_pred, _, ambiguous = judged.columns[-3:]
     return judged.where((F.col(lang_pred) != UNDEFINED) & ~F.col(ambiguous)).drop(*judged.columns[-3:])

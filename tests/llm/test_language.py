@@ -90,6 +90,18 @@ def test_nothing_to_learn_and_empty(spark):
     assert L.language_filter(empty).count() == 0
 
 
+def test_filter_keeps_texts_when_nothing_can_be_learned(spark):
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 4 == 2)
+    texts = ["some clean text", "Ünïcode 日本語", "123 !!", "", None]
+    for rows in ([(i, t, None, "s", 0) for i, t in enumerate(texts)], [(None, t, "en", "s", 0) for t in texts],
+                 [(held, t, "en", "s", 0) for t in texts],
+                 [(i, t, "en" if i > 1 else None, "s", 0) for i, t in enumerate(texts)]):
+        df = spark.createDataFrame(rows, DOCS)
+        kept = L.language_filter(df)
+        assert kept.columns == df.columns
+        assert sorted(r.text for r in kept.collect()) == sorted(texts[:2])
+
+
 def test_one_language(spark):
     df = spark.createDataFrame([(i, "some words here", "en", "s", 0) for i in range(9)], DOCS)
     assert {r.lang_pred for r in L.predict(df, L.train(df)).collect()} == {"en"}
