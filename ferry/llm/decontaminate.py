@@ -83,7 +83,7 @@ def item_blocks(benchmark: DataFrame, window: int) -> Iterator[Items]:
 
 
 INDEX = ("segment long, doc_ids array<bigint>, doc_starts array<bigint>, doc_words array<bigint>, "
-         "term_ends array<bigint>, postings binary")
+         "term_ends array<bigint>, postings binary, doc_rows array<bigint>")
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -103,12 +103,13 @@ class _SegmentBuilder:
     def __init__(self, terms: np.ndarray) -> None:
         self.terms = terms
         self.doc_ids: list[int | None] = []
+        self.rows: list[np.ndarray] = []
         self.counts: list[np.ndarray] = []
         self.found: list[np.ndarray] = []
         self.places: list[np.ndarray] = []
         self.words = self.next = 0
 
-    def add(self, doc_ids: list, counts: np.ndarray, hashes: np.ndarray) -> None:
+    def add(self, doc_ids: list, counts: np.ndarray, hashes: np.ndarray, rows: np.ndarray | None = None) -> None:
         ends = np.cumsum(counts)
         starts = self.next + (ends - counts) + GAP * np.arange(len(counts))
         at = np.searchsorted(self.terms, hashes)
@@ -116,6 +117,8 @@ class _SegmentBuilder:
         known = self.terms[at] == hashes if len(self.terms) else np.zeros(len(hashes), bool)
         place = np.arange(len(hashes)) + np.repeat(starts - (ends - counts), counts)
         self.doc_ids += doc_ids
+        if rows is not None:
+            self.rows.append(rows)
         self.counts.append(counts)
         self.found.append(at[known].astype(np.int32))
         self.places.append(place[known].astype(np.int64))
@@ -132,14 +135,20 @@ class _SegmentBuilder:
         begins = ends[:-1][np.diff(ends) > 0] if len(ends) else ends
         gaps[1:] = np.diff(gaps)
         gaps[begins] = places[order][begins]                   # each term's first position is whole
-        kinds = [pa.int64()] + [pa.list_(pa.int64())] * 4 + [pa.binary()]
-        row = [segment, self.doc_ids, starts, counts, ends, _pack(gaps.astype(np.uint32))]
+        first = (segment >> 32 << 40) + ((segment & 0xFFFFFFFF) << 24)
+        rows = np.concatenate(self.rows) if self.rows else np.arange(first, first + len(counts))
+        kinds = [pa.int64()] + [pa.list_(pa.int64())] * 4 + [pa.binary(), pa.list_(pa.int64())]
+        row = [segment, self.doc_ids, starts, counts, ends, _pack(gaps.astype(np.uint32)), rows]
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)],
                                           [f.split()[0] for f in INDEX.split(", ")])
 
 
-def build_index(docs: DataFrame, terms: np.ndarray, path: str, segment_words: int = SEGMENT_WORDS) -> DataFrame:
-    """Store the postings of ``terms`` over ``docs`` (doc_id, text) below ``path``."""
+def build_index(docs: DataFrame, terms: np.ndarray, path: str, segment_words: int = SEGMENT_WORDS,
+                row: str | None = None) -> DataFrame:
+    """Store the postings of ``terms`` over ``docs`` (doc_id, text) below ``path``.
+
+    Documents have the number in their column ``row``, or, without one, numbers by their place in this scan.
+    """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(terms)               # BLOCK_WORDS terms at most
 
@@ -148,15 +157,17 @@ def build_index(docs: DataFrame, terms: np.ndarray, path: str, segment_words: in
         builder = _SegmentBuilder(shared.value)
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            for row, counts, hashes in column_words(batch.column(1), ALNUM_TABLE):
-                builder.add(ids[row:row + len(counts)], counts, hashes)
+            rows = batch.column(2).to_numpy() if row else None
+            for at, counts, hashes in column_words(batch.column(1), ALNUM_TABLE):
+                here = slice(at, at + len(counts))
+                builder.add(ids[here], counts, hashes, rows[here] if row else None)
                 if builder.words >= segment_words or len(builder.doc_ids) >= SEGMENT_DOCS:
                     yield builder.finish(segment)
                     segment, builder = segment + 1, _SegmentBuilder(shared.value)
         if builder.doc_ids:
             yield builder.finish(segment)
 
-    docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")) \
+    docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), *([row] if row else [])) \
         .mapInArrow(build, INDEX).write.parquet(path)
     return spark.read.parquet(path)
 
@@ -247,13 +258,12 @@ def search_index(index: DataFrame, items: Items, params: SearchParams = SearchPa
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                number, doc_ids, starts, words, ends, postings = (c[k] for c in batch.columns)
+                _, doc_ids, starts, words, ends, postings, rows = (c[k] for c in batch.columns)
                 segment = Segment(starts.values.to_numpy(), ends.values.to_numpy(), postings.as_py())
                 spans, near = _search(segment, shared.value, params)
                 n = len(words)
-                first = (number.as_py() >> 32 << 40) + ((number.as_py() & 0xFFFFFFFF) << 24)
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip((
-                    np.arange(first, first + n), doc_ids.values, words.values,
+                    rows.values, doc_ids.values, words.values,
                     [[tuple(s) for s in spans.get(i, ())] for i in range(n)],
                     [sorted(near.get(i, ())) for i in range(n)]), kinds)], names)
 
@@ -261,15 +271,26 @@ def search_index(index: DataFrame, items: Items, params: SearchParams = SearchPa
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, params: SearchParams = SearchParams()) -> DataFrame:
-    """``search_index`` over all blocks of test items; the index of a block is written and searched."""
+    """``search_index`` over all blocks of test items; the index of a block is written and searched.
+
+    With more than one block, the documents are first written with a row number each. All blocks index
+    that table and are merged by the stored number, so it does not matter how their scans cut the files.
+    """
     spark = docs.sparkSession
+    blocks = item_blocks(benchmark, params.window)
+    block, following = next(blocks), next(blocks, None)
+    row = None
+    if following is not None:
+        row = "row"
+        docs = written(docs.select(
+            "doc_id", "text", F.monotonically_increasing_id().alias(row)), "numbered")
     found = []
-    for block in item_blocks(benchmark, params.window):
-        index = build_index(docs, block.terms, scratch_path(spark, "postings"))
+    while block is not None:
+        index = build_index(docs, block.terms, scratch_path(spark, "postings"), row=row)
         found.append(search_index(index, block, params))
+        block, following = following, next(blocks, None)
     if len(found) == 1:
         return found[0]
-    # The same scan numbers the rows alike for every block of items.
     together = found[0]
     for more in found[1:]:
         together = together.unionByName(more)

@@ -55,6 +55,30 @@ def test_segments_and_item_blocks(spark, monkeypatch):
     check(spark, docs, items)
 
 
+def test_blocks_are_merged_right_when_their_scans_cut_files_differently(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(D, "BLOCK_WORDS", 100)
+    docs, items = corpus(random.Random(4))
+    spark.createDataFrame(docs, DOCS).repartition(7).write.parquet(f"{tmp_dir}/docs")
+    df, benchmark = spark.read.parquet(f"{tmp_dir}/docs"), spark.createDataFrame(items, ITEMS).coalesce(1)
+    key, sizes, build = "spark.sql.files.maxPartitionBytes", [], D.build_index
+    before = spark.conf.get(key)
+
+    def build_index(*args, **kwargs):
+        # Executors that join or are lost change the split size in the same way.
+        spark.conf.set(key, str([1 << 27, 1 << 10, 9 << 20][len(sizes) % 3]))
+        sizes.append(spark.conf.get(key))
+        return build(*args, **kwargs)
+
+    monkeypatch.setattr(D, "build_index", build_index)
+    try:
+        rows = D.contamination(D.find_passages(df, benchmark)).collect()
+    finally:
+        spark.conf.set(key, before)
+    assert len(sizes) > 2 and len(rows) == len(docs)
+    got = sorted((r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in rows)
+    assert got == sorted((d[0], *plain(d[1], items)) for d in docs)
+
+
 def test_index_segments_are_bounded(spark, tmp_dir):
     docs, items = corpus(random.Random(3))
     block = next(D.item_blocks(spark.createDataFrame(items, ITEMS), 13))
