@@ -157,9 +157,95 @@ FROM p JOIN f USING (h)
 """
 
 
+# CRC-32 by its table: a row "crc" holds the table as a list. Bytes of a text from its hex form.
+CRC_TABLE = """SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab"""
+
+
+def crc32_sql(text: str) -> str:
+    """Unsigned CRC-32 of the UTF-8 bytes of a text, where a row of CRC_TABLE is joined."""
+    bytes_of = f"list_transform(range(strlen({text})), lambda k: ('0x' || substr(hex(encode({text})), 2 * k + 1, 2))::BIGINT)"
+    return (f"xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], {bytes_of}), "
+            "lambda acc, b: xor(acc >> 8, tab[(xor(acc, b) & 255) + 1])))")
+
+
+def _least(*choices: str) -> str:
+    return f"list_min([{', '.join(choices)}])"
+
+
+def _edit(state: str, cost: str, letter: str, turn: str = "''") -> str:
+    """A state (cost, edits, repaired turns) after one more edit."""
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 'r': {state}.r || {turn}}}"
+
+
+def _insert(state: str, role: str) -> str:
+    return _edit(state, "2", "I", f"(chr(10) || '{role}:')")
+
+
+def _stay(state: str, kind: int, due: str) -> str:
+    """Keep a row whose role is due, or else give it that role; a cost out of reach where it must go."""
+    keep = _edit(state, f"(cut + CASE WHEN kind = {kind} THEN 0 ELSE 1000000 END)", "K", "(chr(10) || role || ':' || text)")
+    return f"{keep}, " + _edit(state, "(cut + 2)", "R", f"(chr(10) || '{due}:' || text)")
+
+
+_FAR = "{'c': 1000000::BIGINT, 'a': '', 'r': ''}"
+_AUDIT_USER = _least("q2", _insert("q0", "user"), _insert("q1", "user"), _insert("q3", "user"))
+
+# Forward over the rows of all conversations at once: per state the least (cost, edits).
+REPAIR = f"""
+WITH RECURSIVE crc AS ({CRC_TABLE}), named AS (
+    SELECT *, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS row_name FROM conversations
+), faults AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {crc32_sql("row_name")} % 20 AS f
+    FROM named, crc
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+           CASE WHEN f = 1 THEN '' WHEN f = 2 THEN translate(text, '.!?', '') ELSE text END AS text
+    FROM faults, (SELECT unnest([0, 1]) AS copy) WHERE f <> 0 AND (copy = 0 OR f = 3)
+), ordered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS pos,
+           regexp_replace(text, '[\\x20\\x09-\\x0D]+$', '') AS solid FROM damaged
+), judged AS (
+    SELECT conv_id, turn, role, text, pos, CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN strpos('sua', left(role, 1)) - 1 ELSE 3 END AS kind,
+           left(role, 1) || lead(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS pair,
+           CASE WHEN solid = '' THEN 'blank'
+                WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+                WHEN right(solid, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'sound' END AS fault
+    FROM ordered
+), costed AS (
+    SELECT *, CASE fault WHEN 'truncated' THEN 1 WHEN 'sound' THEN 0 ELSE 1000000 END AS cut FROM judged
+), facts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+    FROM costed GROUP BY conv_id
+), steps AS (
+    SELECT DISTINCT conv_id, 0::BIGINT AS pos, {{'c': 0::BIGINT, 'a': '', 'r': ''}} AS q0, {_FAR} AS q1, {_FAR} AS q2, {_FAR} AS q3
+    FROM conversations
+    UNION ALL
+    SELECT conv_id, pos, {_edit("q0", "3", "D")}, {_least(_edit("q1", "3", "D"), _edit("q0", "(cut + CASE WHEN kind = 0 THEN 0 ELSE 1000000 END)", "K", "(chr(10) || role || ':' || text)"))},
+           {_least(_edit("u", "3", "D"), *(_stay(q, 1, "user") for q in ("q0", "q1", "a")))},
+           {_least(_edit("a", "3", "D"), _stay("u", 2, "assistant"))}
+    FROM (SELECT s.*, {_AUDIT_USER} AS u, {_least("q3", _insert("q2", "assistant"), _insert(f"({_AUDIT_USER})", "assistant"))} AS a FROM steps s)
+        AS s (conv_id, before, q0, q1, q2, q3, u, a)
+    JOIN (SELECT conv_id AS conv, pos, role, text, kind, cut FROM costed) AS c ON conv IS NOT DISTINCT FROM conv_id AND pos = before + 1
+), ends AS (
+    SELECT s.conv_id, {_least("q0", "q3", _insert("q2", "assistant"), _insert(f"({_insert('q1', 'user')})", "assistant"))} AS best,
+           gaps, blank, duplicate, truncated, illegal
+    FROM steps s LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM s.conv_id
+    WHERE s.pos = coalesce(f.n, 0)
+)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.c AS cost, best.a AS audit,
+       sha256(substr(best.r, 2)) AS repaired_sha256
+FROM ends
+"""
+
 ORACLE: dict[str, str] = {
     "op5_decontamination": DECONTAMINATION,
     "op6_quality_mcd": quality_sql(),
     "op7_chat_format": CHAT,
     "op8_warc_normaliser": WARC,
+    "op11_conversation_repair": REPAIR,
 }

@@ -14,6 +14,7 @@ from ferry.llm.jaccard import JoinParams, similarity_components
 from ferry.llm.language import held_out, predict, train
 from ferry.llm.packing import pack_documents, text_cluster, word_length
 from ferry.llm.quality import mcd_verdict, quality_stats
+from ferry.llm.repair import damaged, repair_conversations, repair_digest, turn_gaps
 from ferry.llm.sharding import RingParams, shard_rows
 from ferry.llm.token_blocks import token_file_digest
 from ferry.llm.token_counts import count_edited
@@ -95,6 +96,12 @@ def op10_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_edited(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_file())
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged by the planted faults and repaired by the cheapest edits."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair_digest(*repair_conversations(damaged(rows), turn_gaps(rows)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_token_files": op2_token_files,
@@ -106,4 +113,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_normaliser": op8_warc_normaliser,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_edit_token_counts": op10_edit_token_counts,
+    "op11_conversation_repair": op11_conversation_repair,
 }
