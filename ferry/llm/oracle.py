@@ -241,6 +241,40 @@ SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank,
        sha256(substr(best.r, 2)) AS repaired_sha256
 FROM ends
 """
+# Words that differ by one code point share a word with that place left out.
+SPELLING = f"""
+WITH RECURSIVE crc AS ({CRC_TABLE}), runs AS (
+    SELECT coalesce(doc_id::VARCHAR, '') || ':' || run AS named, run, count(*) AS times FROM (
+        SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')),
+                                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents)
+    WHERE length(run) >= 7 GROUP BY ALL
+), hashed AS (
+    SELECT run, times, {crc32_sql("named")} AS h FROM runs, crc
+), words AS (
+    SELECT word, sum(times)::BIGINT AS n FROM (
+        SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, times
+        FROM hashed)
+    WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2
+), cut AS (
+    SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest
+    FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+), pairs AS (
+    SELECT a.word, b.word AS other, b.n FROM cut a JOIN cut b USING (i, rest) WHERE a.word <> b.word AND length(a.word) = length(b.word)
+    UNION SELECT cut.word, w.word, w.n FROM cut JOIN words w ON cut.rest = w.word
+    UNION SELECT w.word, cut.word, cut.n FROM cut JOIN words w ON cut.rest = w.word
+), near AS (
+    SELECT word, count(*) AS n_near, max(n) AS best_n, arg_min(other, {{'least': -n, 'other': other}}) AS best FROM pairs GROUP BY word
+), formed AS (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * w.n THEN best END AS form,
+           CASE WHEN best_n >= 10 * w.n THEN best_n END AS form_n
+    FROM words w LEFT JOIN near USING (word)
+), chain AS (
+    SELECT word, word AS reached, 0 AS steps FROM formed
+    UNION ALL SELECT c.word, f.form, steps + 1 FROM chain c JOIN formed f ON f.word = c.reached WHERE f.form IS NOT NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN (SELECT word, arg_max(reached, steps) AS root FROM chain GROUP BY word) USING (word)
+"""
+
 
 ORACLE: dict[str, str] = {
     "op5_decontamination": DECONTAMINATION,
@@ -248,4 +282,5 @@ ORACLE: dict[str, str] = {
     "op7_chat_format": CHAT,
     "op8_warc_normaliser": WARC,
     "op11_conversation_repair": REPAIR,
+    "op12_spelling_variants": SPELLING,
 }

@@ -16,6 +16,7 @@ from ferry.llm.packing import pack_documents, text_cluster, word_length
 from ferry.llm.quality import mcd_verdict, quality_stats
 from ferry.llm.repair import damaged, repair_conversations, repair_digest, turn_gaps
 from ferry.llm.sharding import RingParams, shard_rows
+from ferry.llm.spelling import SpellingParams, corpus_words, spelling_variants, vocabulary
 from ferry.llm.token_blocks import token_file_digest
 from ferry.llm.token_counts import count_edited
 from ferry.llm.warc import archive_round_trip
@@ -102,6 +103,13 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_digest(*repair_conversations(damaged(rows), turn_gaps(rows)))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with planted misspellings, their near words and the forms they lead to."""
+    p = SpellingParams()
+    words = corpus_words(table(spark, sf_dir, "documents").select("doc_id", "text"), p.min_chars)
+    return spelling_variants(vocabulary(words, p.min_count), p)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_token_files": op2_token_files,
@@ -114,4 +122,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_edit_token_counts": op10_edit_token_counts,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_spelling_variants": op12_spelling_variants,
 }
