@@ -275,6 +275,31 @@ WITH RECURSIVE crc AS ({CRC_TABLE}), runs AS (
 SELECT word, form, root, n, n_near, form_n FROM formed JOIN (SELECT word, arg_max(reached, steps) AS root FROM chain GROUP BY word) USING (word)
 """
 
+# Windows of 200 bytes as 400 hex digits, by their MD5; then islands of covered bytes.
+REPEATS = """
+WITH d AS (
+    SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, ''))::BIGINT AS n FROM documents
+), windows AS (
+    SELECT rid, i, md5(substr(h, 2 * i + 1, 400)) AS w FROM (SELECT rid, h, unnest(range(n - 199)) AS i FROM d WHERE n >= 200)
+), repeated AS (
+    SELECT rid, i, lag(i) OVER (PARTITION BY rid ORDER BY i) AS before
+    FROM (SELECT rid, i, count(*) OVER (PARTITION BY w) AS times FROM windows) WHERE times > 1
+), islands AS (
+    SELECT rid, min(i) AS a, max(i) + 200 AS b
+    FROM (SELECT rid, i, count(*) FILTER (before IS NULL OR i > before + 200) OVER (PARTITION BY rid ORDER BY i) AS island FROM repeated)
+    GROUP BY rid, island
+), cuts AS (
+    SELECT rid, a, b, lag(b, 1, 0) OVER (PARTITION BY rid ORDER BY a) AS kept_from FROM islands
+), kept AS (
+    SELECT rid, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS tail,
+           string_agg(substr(h, 2 * kept_from + 1, 2 * (a - kept_from)), '' ORDER BY a) AS head
+    FROM cuts JOIN d USING (rid) GROUP BY rid
+)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(tail, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)
+"""
+
 
 ORACLE: dict[str, str] = {
     "op5_decontamination": DECONTAMINATION,
@@ -283,4 +308,5 @@ ORACLE: dict[str, str] = {
     "op8_warc_normaliser": WARC,
     "op11_conversation_repair": REPAIR,
     "op12_spelling_variants": SPELLING,
+    "op13_suffix_dedup": REPEATS,
 }

@@ -15,6 +15,7 @@ from ferry.llm.language import held_out, predict, train
 from ferry.llm.packing import pack_documents, text_cluster, word_length
 from ferry.llm.quality import mcd_verdict, quality_stats
 from ferry.llm.repair import damaged, repair_conversations, repair_digest, turn_gaps
+from ferry.llm.repeats import remove_repeats
 from ferry.llm.sharding import RingParams, shard_rows
 from ferry.llm.spelling import SpellingParams, corpus_words, spelling_variants, vocabulary
 from ferry.llm.token_blocks import token_file_digest
@@ -110,6 +111,13 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(vocabulary(words, p.min_count), p)
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the strings of 200 bytes that occur anywhere else."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_token_files": op2_token_files,
@@ -123,4 +131,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_edit_token_counts": op10_edit_token_counts,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }

@@ -13,7 +13,7 @@ KEYS = {"op1": "op1_jaccard_join", "op2": "op2_token_files", "op3": "op3_languag
         "op5": "op5_decontamination", "op6": "op6_quality_mcd", "op7": "op7_chat_format", "op8": "op8_warc_normaliser",
         "op9": "op9_best_fit_packing", "op10": "op10_edit_token_counts",
         "op11": "op11_conversation_repair",
-        "op12": "op12_spelling_variants"}
+        "op12": "op12_spelling_variants", "op13": "op13_suffix_dedup"}
 
 
 def test_one_query_per_operator():
