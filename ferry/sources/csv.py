@@ -14,21 +14,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ferry.sources.listing import exists, files_of, folders_with
+from ferry.sources.split_csv import read_csv_splits
 
 QUOTED_DIALECT = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], recursive: bool = False,
-             schema: StructType | None = None, check_header: bool = False, multiline: bool = True,
+             schema: StructType | None = None, check_header: bool = False, multiline: bool | str = True,
              **options) -> DataFrame:
     """Read CSV in the quoted dialect (doubled quotes, embedded line breaks).
 
     ``recursive`` reads every file below ``path`` (and disables partition discovery).
     ``check_header`` makes Spark compare each file's header with ``schema`` and fail on a
-    mismatch instead of reading columns by position. A multi-line file cannot be split, so one
-    task reads it whole; ``multiline=False`` (for files known to hold no line break inside a
-    value, e.g. scrubbed output) lets Spark split large files across tasks.
+    mismatch instead of reading columns by position. Spark's multi-line reader gives a file to one
+    task; ``multiline=False`` (for files known to hold no line break inside a value, e.g. scrubbed
+    output) lets Spark split large files, and ``multiline="split"`` splits files with such line breaks as
+    well (see ``ferry.sources.split_csv``; the header is that of the first file unless ``schema`` is given).
     """
+    if multiline == "split":
+        names = header_of(spark, path, recursive, **options) if schema is None else None
+        schema = schema if schema is not None else StructType([StructField(n, StringType()) for n in names])
+        return read_csv_splits(spark, path, schema, {**QUOTED_DIALECT, **{k: str(v) for k, v in options.items()}}, recursive)
     opts = dict(QUOTED_DIALECT)
     opts["multiLine"] = "true" if multiline else "false"
     if recursive:
@@ -43,9 +49,9 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], recursive: bool = F
     return reader.csv(paths)
 
 
-def header_of(spark: SparkSession, path: str) -> list[str]:
-    """Column names of one CSV file: Spark reads its first record only."""
-    return read_csv(spark, path).columns
+def header_of(spark: SparkSession, path: str | Sequence[str], recursive: bool = False, **options) -> list[str]:
+    """Column names of a CSV file: Spark reads its first record only."""
+    return read_csv(spark, path, recursive, **options).columns
 
 
 def headers_of(spark: SparkSession, paths: Sequence[str], fmt: str = "csv",
