@@ -42,7 +42,7 @@ from ferry.llm.common import ascii_lower, written
 
 LETTERS = "etaoinsrhldcumfpgwybvkxjqz"
 #: Fine groups of the trie, each a level; accented letters form the last one.
-FINE = ("e", "a", "i", "n", "o", "t", "r", "s", "l", "c", "u", "d", "m", "p", "hg", "bv", "fwy", "kxjqz")
+FINE = ("e", "a", "i", "n", "o", "t", "r", "s", "l", "cu", "dm", "phg", "bvfwykxjqz")
 #: Words up to this length are verified by matrices.
 WIDE = 64
 MOST = 1000
@@ -57,7 +57,7 @@ class SpellingParams:
     min_count: int = 2
     ratio: int = 10
     chunk: int = 100_000
-    frontier: int = 400_000
+    frontier: int = 1 << 16
 
 
 def corpus_words(documents: DataFrame, min_chars: int) -> DataFrame:
@@ -137,6 +137,7 @@ class Words:
         self.words = pa.concat_arrays([b.column("word").cast(pa.string()) for _, b in parts])
         self.place = np.repeat([place for place, _ in parts], [len(b) for _, b in parts])
         self.n = np.concatenate([b.column("n").to_numpy() for _, b in parts])
+        self.matrices: dict[tuple[int, bool], np.ndarray] = {}
         self.rank = np.empty(len(self.words), np.int64)        # in code-point order
         self.rank[pc.sort_indices(self.words).to_numpy()] = np.arange(len(self.words))
         data = np.frombuffer(_joined(self.words), np.uint8)
@@ -155,12 +156,18 @@ class Words:
     def text(self, i: int) -> bytes:
         return self.codes[self.start[i]:self.start[i] + self.length[i]].tobytes()
 
-    def matrix(self, rows: np.ndarray, from_end: bool) -> np.ndarray:
-        """The first (or last, reversed) WIDE codes of some words, filled up with 0."""
-        at = np.arange(WIDE)
-        size = self.length[rows][:, None]
-        where = self.start[rows][:, None] + (size - 1 - at if from_end else at)
-        return np.where(at < size, self.codes[np.where(at < size, where, 0)], 0)
+    def matrix(self, width: int, from_end: bool) -> np.ndarray:
+        """The first (or last, reversed) ``width`` codes of every word, filled up with 0; kept for the next call."""
+        if (width, from_end) not in self.matrices:
+            row = np.repeat(np.arange(len(self.length)), self.length)
+            at = np.arange(len(self.codes)) - self.start[row]
+            if from_end:
+                at = self.length[row] - 1 - at
+            out = np.zeros((len(self.length), width), np.uint8)
+            fits = at < width
+            out[row[fits], at[fits]] = self.codes[fits]
+            self.matrices[width, from_end] = out
+        return self.matrices[width, from_end]
 
 
 GROUPS = (*FINE, "")
@@ -181,11 +188,11 @@ class Trie:
     def __init__(self, stored: Words):
         self.stored = stored
         self.places, node = np.unique(stored.place, return_inverse=True)
-        self.width = int(stored.counts.max(initial=0)) + 1
+        self.stride = int(stored.counts.max(initial=0)) + 3    # counts are shifted by one; the ends stay free
         self.children = []                                     # per level: sorted (node, count); its index is the child
         for level in range(len(GROUPS)):
-            keys, node = np.unique(node * self.width + stored.counts[:, level], return_inverse=True)
-            self.children.append(keys)
+            keys, node = np.unique(node * self.stride + stored.counts[:, level] + 1, return_inverse=True)
+            self.children.append(np.append(keys, [np.iinfo(np.int64).max] * 3))
         self.by_leaf = np.argsort(node, kind="stable")
         self.leaf_size = np.bincount(node)
         self.leaf_start = np.cumsum(self.leaf_size) - self.leaf_size
@@ -194,6 +201,9 @@ class Trie:
         """(query rows, stored rows) whose counts lie within a surplus and a deficit of one."""
         node = np.minimum(np.searchsorted(self.places, queries.place), len(self.places) - 1)
         query = np.flatnonzero(self.places[node] == queries.place)
+        # Neighbours in the trie are searched for one after the other: their keys are close in memory.
+        path = reduce(lambda a, level: a * 8 + np.minimum(queries.counts[query, level], 7), range(len(GROUPS)), node[query])
+        query = query[np.argsort(path)]
         spent = np.zeros(len(query), np.int8)                  # 1: surplus, 2: deficit
         stack = [(0, query, node[query], spent)]
         while stack:
@@ -203,23 +213,28 @@ class Trie:
                 half = len(query) // 2
                 stack += [(level, query[half:], node[half:], spent[half:]), (level, query[:half], node[:half], spent[:half])]
             elif level < len(GROUPS):
-                found = [self._children(level, queries, query, node, spent, step) for step in (0, 1, -1)]
-                stack.append((level + 1, *(np.concatenate(x) for x in zip(*found))))
+                stack.append((level + 1, *self._children(level, queries, query, node, spent)))
             elif size:
                 reps = self.leaf_size[node]
                 offset = np.arange(size) - np.repeat(np.cumsum(reps) - reps, reps)
                 yield np.repeat(query, reps), self.by_leaf[np.repeat(self.leaf_start[node], reps) + offset]
 
-    def _children(self, level, queries, query, node, spent, step):
-        bit = {0: 0, 1: 1, -1: 2}[step]
-        count = queries.counts[query, level] + step
-        keep = np.flatnonzero((spent & bit == 0) & (count >= 0) & (count < self.width))
-        key = node[keep] * self.width + count[keep]
-        keys = self.children[level]
-        child = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-        hit = keys[child] == key
-        keep, child = keep[hit], child[hit]
-        return query[keep], child, spent[keep] | bit
+    def _children(self, level: int, queries: Words, query: np.ndarray, node: np.ndarray, spent: np.ndarray):
+        """The children with one less, equal or one more; they are neighbours in the sorted keys."""
+        keys, count = self.children[level], queries.counts[query, level] + 1
+        reach = np.flatnonzero(count < self.stride)
+        query, spent, wanted = query[reach], spent[reach], node[reach] * self.stride + count[reach]
+        less = np.searchsorted(keys, wanted - 1)
+        has_less = keys[less] == wanted - 1
+        equal = less + has_less
+        has_equal = keys[equal] == wanted
+        more = equal + has_equal
+        found = []
+        for child, hit, bit in ((less, has_less & (spent & 2 == 0), 2), (equal, has_equal, 0),
+                                (more, (keys[more] == wanted + 1) & (spent & 1 == 0), 1)):
+            hit = np.flatnonzero(hit)
+            found.append((query[hit], child[hit], spent[hit] | bit))
+        return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def verified(queries: Words, stored: Words, q: np.ndarray, s: np.ndarray) -> np.ndarray:
@@ -228,14 +243,14 @@ def verified(queries: Words, stored: Words, q: np.ndarray, s: np.ndarray) -> np.
     close = np.abs(queries.length[q] - stored.length[s]) <= 1
     near = np.zeros(len(q), bool)
     short = np.flatnonzero(close & (longest <= WIDE))
+    width = int(min(WIDE, max(queries.length.max(initial=1), stored.length.max(initial=1))))
     for part in np.array_split(short, max(1, -(-len(short) // 50_000))):
         common = []
         for from_end in (False, True):
-            differ = queries.matrix(q[part], from_end) != stored.matrix(s[part], from_end)
-            common.append(np.where(differ.any(1), differ.argmax(1), WIDE))
-        near[part] = (common[0] < WIDE) & (common[0] + common[1] >= longest[part] - 1)
-        same = common[0] == WIDE
-        near[part] &= ~same
+            differ = queries.matrix(width, from_end)[q[part]] != stored.matrix(width, from_end)[s[part]]
+            first = differ.argmax(1)
+            common.append(np.where(differ[np.arange(len(part)), first], first, width))
+        near[part] = (common[0] < width) & (common[0] + common[1] >= longest[part] - 1)
     for i in np.flatnonzero(close & (longest > WIDE)):
         near[i] = one_edit(queries.text(q[i]), stored.text(s[i]))
     return near
