@@ -64,7 +64,7 @@ class RepeatParams:
     gram: int = 64
     block: int = 4096
     most: int = 1 << 19
-    unit: int = 1 << 14
+    unit: int = 1 << 11
     piece: int = 1 << 19
 
 
@@ -315,32 +315,36 @@ MARKS = pa.schema([("key", pa.int64()), ("run", pa.int64()), ("first", pa.int32(
 
 def marked_runs(cut: DataFrame, p: RepeatParams) -> DataFrame:
     """``key, run, first, last``: the repeated windows of every distinct run, counted from its first window."""
-    def mark(rows: list[dict]) -> pa.RecordBatch:
-        repeated = repeated_starts([r["text"] for r in rows], p.width)
+    def mark(rows: list[tuple]) -> pa.RecordBatch:
+        repeated = repeated_starts([r[2] for r in rows], p.width).tobytes()
         out, at = [], 0
-        for r in rows:
-            for key, run, lo, hi, n in zip(r["keys"], r["runs"], r["los"], r["his"], r["ns"]):
+        for _, _, text, *runs in rows:
+            for key, run, lo, hi, n in zip(*runs):
                 if n > 1:
                     out.append((key, run, 0, hi - lo))
                     continue
-                edges = np.flatnonzero(np.diff(repeated[at + lo:at + hi + 1].astype(np.int8), prepend=0, append=0))
-                out += [(key, run, a, b - 1) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist())]
-            at += len(r["text"]) + 1
+                begin, end = at + lo, at + hi + 1
+                first = repeated.find(1, begin, end)
+                while first >= 0:
+                    last = repeated.find(0, first, end)
+                    last = end if last < 0 else last
+                    out.append((key, run, first - begin, last - 1 - begin))
+                    first = repeated.find(1, last, end)
+            at += len(text) + 1
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), MARKS)], schema=MARKS) if out \
             else pa.RecordBatch.from_pylist([], MARKS)
 
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, last = [], 0, None
         for batch in batches:
-            for i in range(len(batch)):
-                row = batch.slice(i, 1).to_pylist()[0]
-                home = row["home_ref"], row["home_at"]
-                if home != last and size >= p.unit:
-                    yield mark(held)
-                    held, size = [], 0
-                last = home
-                held.append(row)
-                size += len(row["text"])
+            for k in range(0, len(batch), 256):
+                for row in zip(*(c.to_pylist() for c in batch.slice(k, 256).columns)):
+                    if row[:2] != last and size >= p.unit:
+                        yield mark(held)
+                        held, size = [], 0
+                    last = row[:2]
+                    held.append(row)
+                    size += len(row[2])
         if held:
             yield mark(held)
 
@@ -350,7 +354,7 @@ def marked_runs(cut: DataFrame, p: RepeatParams) -> DataFrame:
 
 def repeated_spans(numbered: DataFrame, p: RepeatParams = RepeatParams()) -> DataFrame:
     """``ref, start, end`` of repeated bytes of the numbered documents (spans may overlap), written."""
-    runs, spans, level = corpus_runs(numbered, p), None, 0
+    runs, spans, level = written(corpus_runs(numbered, p), "repeat-all-runs"), None, 0
     while True:
         hits = repeated_runs(runs)
         first = F.min(F.struct("ref", "lo", "hi")).alias("r")
