@@ -3,7 +3,6 @@ from ferry.functions.predicates import absent, present
 from ferry.functions.text import (
     base64_unbroken,
     file_name_of,
-    folder_of,
     iso_millis,
     keyed_file_name,
     keyed_name_key,
@@ -17,6 +16,6 @@ from ferry.functions.text import (
 
 __all__ = [
     "absent", "base64_unbroken", "domain_label", "email_match_key", "file_name_of", "fold_label",
-    "folder_of", "iso_millis", "keyed_file_name", "keyed_name_key", "keyed_name_rest", "path_safe",
+    "iso_millis", "keyed_file_name", "keyed_name_key", "keyed_name_rest", "path_safe",
     "present", "run_id", "scrub_line_breaks", "strip_extension", "utc_millis_stamp",
 ]

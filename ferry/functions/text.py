@@ -95,11 +95,6 @@ def iso_millis(ts: str | Column) -> Column:
     return F.date_format(_col(ts), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
 
 
-def folder_of(path: str | Column) -> Column:
-    """Name of the folder holding a file: the path element before the last one."""
-    return F.regexp_extract(_col(path), r"([^/]+)/[^/]*$", 1)
-
-
 def file_name_of(path: str | Column) -> Column:
     """Last path element."""
     return F.regexp_extract(_col(path), r"([^/]*)$", 1)

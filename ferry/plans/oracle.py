@@ -342,6 +342,9 @@ ORACLE: dict[str, str] = {
     "csv_round_trip":
         f"SELECT {_v('doc_id')} AS doc_id, {_csv_text('text')} AS text, {_csv_text('lang')} AS lang, "
         f"{_csv_text('source')} AS source, {_v('n_chars')} AS n_chars FROM documents",
+    "csv_split_read":
+        f"SELECT {_v('doc_id')} AS doc_id, {_csv_text('text')} AS text, {_csv_text('lang')} AS lang, "
+        f"{_csv_text('source')} AS source, {_v('n_chars')} AS n_chars FROM documents",
     "csv_quote_all":
         f"SELECT {_v('doc_id')} AS doc_id, {_csv_text('text')} AS text, {_csv_text('lang')} AS lang, "
         f"{_csv_text('source')} AS source, {_v('quality')} AS quality, {_v('toxic')} AS toxic "

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyarrow import NativeFile, fs
 from pyspark.sql import DataFrame, SparkSession
 
 from ferry.functions.text import file_name_of
@@ -24,3 +25,9 @@ def read_files(spark: SparkSession, path: str, glob: str | None = None,
     if with_content:
         cols.append("content")
     return df.select(*cols)
+
+
+def open_file(path: str, seek: bool = False) -> NativeFile:
+    """Open a file inside a task, on the store that its path names."""
+    store, place = fs.FileSystem.from_uri("/" + path[5:].lstrip("/") if path.startswith("file:") else path)
+    return store.open_input_file(place) if seek else store.open_input_stream(place, compression=None)

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ferry.sources.listing import exists, files_of, folders_with
-from ferry.sources.split_csv import read_csv_splits
+from ferry.sources.listing import exists, folders_with
+from ferry.sources.split_csv import read_csv_splits, union_csv_splits
 
 QUOTED_DIALECT = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
 
@@ -72,30 +73,34 @@ def union_by_header(spark: SparkSession, root: str, glob: str = "*.csv", group_b
     """Read every CSV file below ``root`` as one table, matching columns by header name.
 
     A folder with a success marker was written by one job: its files share the header of its first
-    non-empty file, however many they are. Other folders may mix headers, so each of their files
-    gives its own. ``group_by="directory"`` trusts one header per folder everywhere,
-    ``"file"`` reads every file's. All files with equal headers are read with one scan, whose header
-    check makes a file with other columns fail loudly instead of landing in the wrong columns. The
-    scans (one per distinct header) are combined with ``unionByName(allowMissingColumns=True)``.
-    Folders are listed without a job.
+    non-empty file, however many they are. In other folders each file has its own header, found by the tasks
+    that read the file (``split_csv``): the number of jobs does not grow with the files, only distinct headers
+    reach the driver, and large files are split. ``group_by="directory"`` trusts one header per folder
+    everywhere, ``"file"`` reads every file's. Files of trusted folders with equal headers are read with one
+    scan, whose header check makes a file with other columns fail loudly instead of landing in the wrong
+    columns. The parts are combined with ``unionByName(allowMissingColumns=True)``.
     """
     if group_by not in ("auto", "file", "directory"):
         raise ValueError("group_by is 'auto', 'file' or 'directory'")
-    firsts: list[tuple[str, str]] = []                        # (path to scan, file with its header)
+    if group_by == "file":
+        out = union_csv_splits(spark, root, {**QUOTED_DIALECT, "pathGlobFilter": glob}, recursive=True)
+        if out is None:
+            raise FileNotFoundError(f"no CSV file below {root}")
+        return out
+    trusted, loose = [], []                                   # (path to scan, file with its header); folders
     for folder, first in folders_with(spark, root, glob):
-        if group_by == "directory" or group_by == "auto" and exists(spark, f"{folder}/_SUCCESS"):
-            firsts.append((f"{folder}/{glob}", first))
+        if group_by == "directory" or exists(spark, f"{folder}/_SUCCESS"):
+            trusted.append((f"{folder}/{glob}", first))
         else:
-            firsts += [(f, f) for f in files_of(spark, folder, glob)]
-    if not firsts:
+            loose.append(f"{folder}/{glob}")
+    if not trusted and not loose:
         raise FileNotFoundError(f"no CSV file below {root}")
-    headers = headers_of(spark, [first for _, first in firsts])
+    headers = headers_of(spark, [first for _, first in trusted])
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for (path, _), names in zip(firsts, headers):
+    for (path, _), names in zip(trusted, headers):
         by_header.setdefault(tuple(names), []).append(path)
-    out: DataFrame | None = None
-    for names, paths in by_header.items():
-        schema = StructType([StructField(n, StringType()) for n in names])
-        part = read_csv(spark, paths, schema=schema, check_header=True)
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out
+    parts = [read_csv(spark, paths, schema=StructType([StructField(n, StringType()) for n in names]), check_header=True)
+             for names, paths in by_header.items()]
+    if loose:
+        parts.append(union_csv_splits(spark, loose, QUOTED_DIALECT))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [p for p in parts if p is not None])

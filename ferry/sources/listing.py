@@ -20,6 +20,20 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def create_empty(spark: SparkSession, path: str) -> None:
+    """An empty file, such as a success marker."""
+    fs, p = _open(spark, path)
+    fs.create(p, True).close()
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this job has written, and the folder above it if that is left empty."""
+    fs, p = _open(spark, path)
+    fs.delete(p, True)
+    if not fs.listStatus(p.getParent()):
+        fs.delete(p.getParent(), False)
+
+
 def child_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below ``path``, sorted; hidden ones (``_``, ``.``) left out."""
     fs, p = _open(spark, path)
@@ -39,15 +53,6 @@ def first_file(spark: SparkSession, folder: str, glob: str) -> str | None:
     return None
 
 
-def files_of(spark: SparkSession, folder: str, glob: str) -> list[str]:
-    """All non-empty files of ``folder`` that match, in name order (for folders of few files)."""
-    fs, _ = _open(spark, folder)
-    jvm = spark.sparkContext._jvm
-    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{glob}")) or ()
-    return [s.getPath().toString() for s in found
-            if s.isFile() and s.getLen() > 0 and s.getPath().getName()[0] not in "_."]
-
-
 def first_file_below(spark: SparkSession, folder: str, glob: str) -> str | None:
     """The first matching file of ``folder``, else of its sub-folders in name order, at any depth."""
     found = first_file(spark, folder, glob)

@@ -15,17 +15,19 @@ The rows equal those of the multi-line reader for files whose values hold quotes
 quoted dialect; all common writers do so). A quote inside an unquoted value would turn the parity, so
 it raises an error instead of giving wrong rows; ``read_csv`` reads such files, one task a file. Records end
 with a line feed, with or without a carriage return before it; empty lines are skipped. All files share the
-header of the given schema (``union_by_header`` finds headers). A single record has to fit into a row.
+header of the given schema (``union_csv_splits`` takes each file's own). A single record has to fit into a row.
 """
 
 from __future__ import annotations
 
+import csv
+import io
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ferry.session import scratch_path
 
@@ -126,19 +128,19 @@ def record_pieces(chunks: DataFrame, separator: str, fragments: bool) -> DataFra
 
 
 def joined_fragments(pieces: DataFrame) -> DataFrame:
-    """``first, text`` of the records that cross borders: a beginning and what continues it, in file order."""
+    """``file, first, text`` of the records that cross borders: a beginning and what continues it, in file order."""
     order = [F.col("block"), F.col("chunk"), (F.col("kind") == BEGINS).cast("int")]
     number = F.sum((F.col("kind") == BEGINS).cast("long")).over(Window.partitionBy("file").orderBy(*order))
     numbered = pieces.withColumn("record", number)
     parts = F.array_sort(F.collect_list(F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], "first", "text")))
     whole = numbered.groupBy("file", "record").agg(parts.alias("parts"))
-    return whole.select(F.col("parts")[0]["first"].alias("first"),
+    return whole.select("file", F.col("parts")[0]["first"].alias("first"),
                         F.array_join(F.transform("parts", lambda x: x["text"]), "").alias("text"))
 
 
-def read_csv_splits(spark: SparkSession, path: str | Sequence[str], schema: StructType, options: dict[str, str],
-                    recursive: bool = False, chunk_bytes: int = 1 << 20) -> DataFrame:
-    """Rows of multi-line CSV files with a header, by split (see the module). ``options`` are the reader's."""
+def csv_records(spark: SparkSession, path: str | Sequence[str], options: dict[str, str], recursive: bool = False,
+                chunk_bytes: int = 1 << 20) -> DataFrame:
+    """``file, first, line``: every record of the files at ``path``; ``first`` marks the first of its file."""
     reader = spark.read.option("lineSep", "\n").option("recursiveFileLookup", str(recursive).lower())
     if "pathGlobFilter" in options:
         reader = reader.option("pathGlobFilter", options["pathGlobFilter"])
@@ -149,14 +151,61 @@ def read_csv_splits(spark: SparkSession, path: str | Sequence[str], schema: Stru
     chunks = spark.read.parquet(scratch)
     placed = chunks.join(split_states(chunks.select("file", "block", "chunk", "parity", "crlf")), ["file", "block"])
     separator = options.get("sep", ",")
-    records = record_pieces(placed, separator, False).select("first", "text").unionByName(
+    records = record_pieces(placed, separator, False).select("file", "first", "text").unionByName(
         joined_fragments(record_pieces(placed, separator, True)))
-    if options.get("header", "true").lower() == "true":
-        records = records.where(~F.col("first"))
-    line = F.regexp_replace("text", "\r?\n\\z", "")
-    parse = {k: v for k, v in options.items() if k not in ("header", "pathGlobFilter", "recursiveFileLookup", "enforceSchema")}
-    return records.select(F.from_csv(line, _ddl(schema), parse).alias("row")).select("row.*")
+    return records.select("file", "first", F.regexp_replace("text", "\r?\n\\z", "").alias("line"))
+
+
+def _parsed(names: Sequence[str] | StructType, options: dict[str, str]):
+    if not isinstance(names, StructType):
+        names = StructType([StructField(n, StringType()) for n in names])
+    ddl = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in names.fields)
+    return F.from_csv("line", ddl, {k: v for k, v in options.items() if k not in READER_ONLY})
 
 
-def _ddl(schema: StructType) -> str:
-    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
+#: Options of the reader that mean nothing to a single line.
+READER_ONLY = ("header", "pathGlobFilter", "recursiveFileLookup", "enforceSchema")
+
+
+def read_csv_splits(spark: SparkSession, path: str | Sequence[str], schema: StructType, options: dict[str, str],
+                    recursive: bool = False, chunk_bytes: int = 1 << 20) -> DataFrame:
+    """Rows of multi-line CSV files with a header, by split (see the module). ``options`` are the reader's."""
+    records = csv_records(spark, path, options, recursive, chunk_bytes)
+    if options.get("header", "true").lower() == "true":
+        records = records.where(~F.col("first"))
+    return records.select(_parsed(schema, options).alias("row")).select("row.*")
+
+
+def header_names(line: str, separator: str = ",") -> list[str]:
+    """Column names of a header record, as the reader gives them: ``_c0`` for an empty name, and the position
+    after names that occur twice."""
+    names = next(csv.reader(io.StringIO(line, newline=""), delimiter=separator), [])
+    low = [n.lower() for n in names]
+    return [f"_c{i}" if not n else f"{n}{i}" if low.count(n.lower()) > 1 else n for i, n in enumerate(names)]
+
+
+def union_csv_splits(spark: SparkSession, path: str | Sequence[str], options: dict[str, str], recursive: bool = False,
+                     chunk_bytes: int = 1 << 20) -> DataFrame | None:
+    """All files at ``path`` as one table, each file's columns by the names of its own header.
+
+    Headers are found by the tasks that read the files; only the distinct ones reach the driver, so the
+    number of jobs does not grow with the files. None if no file has a record.
+    """
+    records = csv_records(spark, path, options, recursive, chunk_bytes)
+    scratch = scratch_path(spark, "csv-headers")
+    records.where("first").select("file", F.col("line").alias("header")).write.parquet(scratch)
+    headers = spark.read.parquet(scratch)
+    found = headers.groupBy("header").agg(F.min("file").alias("file")).orderBy("file").collect()
+    if not found:
+        return None
+    numbers = spark.createDataFrame([(r["header"], i) for i, r in enumerate(found)], "header string, number int")
+    rows = records.where(~F.col("first")).join(headers.join(F.broadcast(numbers), "header").select("file", "number"), "file")
+    names = [header_names(r["header"], options.get("sep", ",")) for r in found]
+    parsed = rows.select(*[F.when(F.col("number") == i, _parsed(own, options)).alias(f"row{i}") for i, own in enumerate(names)])
+    columns: dict[str, list] = {}
+    spelling: dict[str, str] = {}
+    for i, own in enumerate(names):
+        for name in own:
+            spelling.setdefault(name.lower(), name)
+            columns.setdefault(name.lower(), []).append(F.col(f"row{i}")[name])
+    return parsed.select(*[F.coalesce(*parts).alias(spelling[key]) for key, parts in columns.items()])

@@ -1,4 +1,5 @@
 import os
+import uuid
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -6,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ferry.operators import align_to_fields, exportable_fields, field_names, filtered_extract, metadata_from_schema
 from ferry.sinks import publish_snapshot, read_crosswalk, read_outcomes, read_run, run_ids, write_csv, write_outcomes, append_crosswalk
+from ferry.sinks import publish
+from ferry.sinks.publish import publish_counted
 from ferry.sources import (
-    catalog_of_tables,
     header_catalog,
     header_drift,
     read_csv,
@@ -87,9 +89,38 @@ def test_header_catalog_and_drift(spark, tmp_dir):
         header_catalog(spark, f"{tmp_dir}/h/nofiles")
 
 
-def test_catalog_of_tables(spark):
-    df = spark.createDataFrame([(1, "a")], "x int, y string")
-    assert [tuple(r) for r in catalog_of_tables(spark, [("t", df)]).collect()] == [("t", 1, "x"), ("t", 2, "y")]
+def test_catalog_takes_the_first_file_of_each_object(spark, tmp_dir):
+    """Files of a folder before those below it, empty files skipped; quoted, blank and repeated names."""
+    root = f"{tmp_dir}/objects/x/objects"
+    for path, text in {"a/b.csv": "Id,B\n1,2\n", "a/a.csv": "", "a/0/a.csv": "Sub\n", "n/year=1/run_id=2/p.csv": '\n"two\nlines",,x,X\n1,2,3,4\n',
+                       "n/year=2/p.csv": "Later\n", "objects/c.csv": "Last", "_hidden/h.csv": "H\n", "none/readme.txt": "x"}.items():
+        os.makedirs(os.path.dirname(f"{root}/{path}"), exist_ok=True)
+        open(f"{root}/{path}", "w").write(text)
+    assert sorted(tuple(r) for r in header_catalog(spark, root).collect()) == [
+        ("a", 1, "Id"), ("a", 2, "B"), ("n", 1, "two\nlines"), ("n", 2, "_c1"), ("n", 3, "x2"), ("n", 4, "X3"), ("objects", 1, "Last")]
+    spark.createDataFrame([(1, "x")], "Key int, Name string").write.parquet(f"{tmp_dir}/tables/t/run_id=1")
+    assert sorted(tuple(r) for r in header_catalog(spark, f"{tmp_dir}/tables", "parquet").collect()) == [("t", 1, "Key"), ("t", 2, "Name")]
+
+
+def test_union_of_many_files_takes_a_constant_number_of_jobs(spark, tmp_dir):
+    def jobs(folder):
+        group = folder.rsplit("/", 1)[-1]
+        spark.sparkContext.setJobGroup(group, group)
+        rows = union_by_header(spark, folder)
+        n = rows.count()
+        return n, set(rows.columns), len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    found = {}
+    for files in (6, 60):
+        os.makedirs(f"{tmp_dir}/many{files}")
+        for i in range(files):
+            header = ("Id,A", "A,Id", "Id,A,B")[i % 3]
+            open(f"{tmp_dir}/many{files}/{i}.csv", "w").write(f"{header}\n1,2{',3' if i % 3 == 2 else ''}\n")
+        found[files] = jobs(f"{tmp_dir}/many{files}")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert found[6][:2] == (6, {"Id", "A", "B"}) and found[60][:2] == (60, {"Id", "A", "B"})
+    # Spark itself lists more than 32 paths by a job.
+    assert 0 < found[60][2] <= found[6][2] + 2
 
 
 def test_sql_text_comments_literals_semicolon(spark, tmp_dir):
@@ -138,6 +169,42 @@ def test_crosswalk_accumulates_across_runs(spark, tmp_dir):
         ("1", "1", "A"), ("2", "2", "B"), ("2", "2", "C")]
 
 
+def test_crosswalk_runs_write_their_new_rows_only(spark, tmp_dir):
+    """Against a plain set, over more runs than a bucket keeps versions; a failed run changes nothing."""
+    schema, root, want = "source_id string, migration_id string, target_id string", f"{tmp_dir}/xw", set()
+    kept, publish.BUCKET_VERSIONS = publish.BUCKET_VERSIONS, 3
+    try:
+        for run in range(6):
+            rows = [(str(i), None if i % 7 == 0 else str(i), f"T{i % 3}") for i in range(run * 20, run * 20 + 40)] + [(None, None, "N")]
+            want |= set(rows)
+            append_crosswalk(spark.createDataFrame(rows * 2, schema), root, f"r{run}", buckets=4)
+            got = [tuple(r) for r in read_crosswalk(spark, root).collect()]
+            assert len(got) == len(want) and set(got) == want
+    finally:
+        publish.BUCKET_VERSIONS = kept
+    big = f"{tmp_dir}/big"
+    append_crosswalk(spark.range(20_000).selectExpr("cast(id as string) source_id", "cast(id as string) migration_id", "'T' target_id"), big, "r1")
+    append_crosswalk(spark.createDataFrame([("5", "5", "T"), ("5", "5", "U")], schema), big, "r2")
+    second = [v for v in os.listdir(f"{big}/data") if v.startswith("r2-")][0]
+    assert [n for n in os.listdir(f"{big}/data/{second}") if n.startswith("bucket=")].__len__() == 1
+    assert spark.read.parquet(f"{big}/data/{second}").count() == 1 and read_crosswalk(spark, big).count() == 20_001
+    with pytest.raises(Exception, match="broken"):
+        broken = spark.range(9).select(F.when(F.col("id") > 7, F.raise_error(F.lit("broken"))).otherwise("x").alias("source_id"),
+                                       F.lit("m").alias("migration_id"), F.lit("t").alias("target_id"))
+        append_crosswalk(broken, big, "r3")
+    assert run_ids(spark, big) == ["r1", "r2"] and read_crosswalk(spark, big).count() == 20_001
+
+
+def test_crosswalk_of_plain_run_folders_is_taken_over(spark, tmp_dir):
+    schema, root = "source_id string, migration_id string, target_id string", f"{tmp_dir}/old"
+    publish_snapshot(spark.createDataFrame([("1", "1", "A")], schema), root, "r1")
+    assert read_crosswalk(spark, root).count() == 1
+    append_crosswalk(spark.createDataFrame([("1", "1", "A"), ("2", "2", "B")], schema), root, "r2")
+    assert sorted(r.source_id for r in read_crosswalk(spark, root).collect()) == ["1", "2"]
+    append_crosswalk(spark.createDataFrame([], schema), f"{tmp_dir}/none", "r1")
+    assert read_crosswalk(spark, f"{tmp_dir}/none").count() == 0
+
+
 def test_write_outcomes_partitions(spark, tmp_dir):
     df = spark.createDataFrame([("order", "success", "1"), ("order", "error", "2"), ("order", "unprocessed", "3")],
                                "object string, outcome string, source_id string")
@@ -250,6 +317,28 @@ def test_object_steps_and_sources(spark, tmp_dir):
     assert {r.name: r.status for r in report.collect()}["success_contact"] == "missing"
 
 
+@pytest.mark.parametrize("keep", [True, False])
+def test_publish_evaluates_once_and_commits_by_marker(spark, tmp_dir, keep):
+    def traced(batches):
+        open(f"{tmp_dir}/{uuid.uuid4().hex}.evaluated", "w").close()
+        for batch in batches:
+            yield batch if keep else batch.slice(0, 0)
+
+    df = spark.range(0, 50, 1, 1).mapInArrow(traced, "id long")
+    assert publish_counted(df, f"{tmp_dir}/out", "r1", "csv") == (50 if keep else 0)
+    assert len([f for f in os.listdir(tmp_dir) if f.endswith(".evaluated")]) == 1
+    assert run_ids(spark, f"{tmp_dir}/out") == (["r1"] if keep else [])
+    assert os.path.exists(f"{tmp_dir}/out/run_id=r1") == keep
+
+
+def test_a_failed_write_leaves_the_run_before_it(spark, tmp_dir):
+    publish_counted(spark.range(3), f"{tmp_dir}/out", "r1")
+    with pytest.raises(Exception, match="broken"):
+        publish_counted(spark.range(5).select(F.when(F.col("id") > 3, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).cast("long").alias("id")),
+                        f"{tmp_dir}/out", "r2")
+    assert run_ids(spark, f"{tmp_dir}/out") == ["r1"] and read_run(spark, f"{tmp_dir}/out").count() == 3
+
+
 def test_publish_skip_if_empty(spark, tmp_dir):
     empty = spark.createDataFrame([], "x int")
     assert publish_snapshot(empty, f"{tmp_dir}/e", "r1", skip_if_empty=True) is None
