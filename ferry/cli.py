@@ -106,7 +106,7 @@ def run(args: argparse.Namespace, spark: SparkSession) -> dict:
                               _read(spark, args.links), _read(spark, args.versions))
         counts["documents"] = publish_counted(staged(m, "manifest"), f"{out}/manifest", rid, fmt)
     elif args.job == "attachments":
-        files = read_files(spark, args.files, with_content=False).select("path", "file_name")
+        files = read_files(spark, args.files, with_content=False).select("path", "length", "file_name")
         counts.update(publish_attachment_uploads(files, _read(spark, args.parents), out, rid))
     elif args.job == "batches":
         rows = _read(spark, args.input)

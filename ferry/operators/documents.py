@@ -12,10 +12,10 @@ from collections.abc import Iterator, Sequence
 from datetime import date, datetime, timedelta
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    ArrayType,
     BinaryType,
     BooleanType,
     DateType,
@@ -31,6 +31,8 @@ from ferry.constants import (
     ELIGIBLE_CREATED_ON_OR_BEFORE,
 )
 from ferry.operators.salting import reduce_apart
+from ferry.session import scratch_path
+from ferry.sources.binary import open_file
 from ferry.functions.text import (
     base64_unbroken,
     keyed_file_name,
@@ -170,25 +172,65 @@ def attachment_payload(looked_up: DataFrame, content_col: str = "content",
                         F.lit(content_type).alias("ContentType"))
 
 
-def attach_bodies(looked_up: DataFrame, path_col: str = "path") -> DataFrame:
+#: Bytes of bodies that a task reads, and what opening a file counts besides its length.
+TASK_BYTES, OPEN_BYTES = 64 << 20, 64 << 10
+
+
+def dealt_by_bytes(rows: DataFrame, length_col: str = "length", task_bytes: int = TASK_BYTES) -> DataFrame:
+    """The rows in bundles, an array per column: each stands for files of about ``task_bytes``, and each is a
+    task's own.
+
+    Rows that name files weigh a hundred bytes, whatever the files weigh: dealt out by their own size,
+    millions of bodies would be one task's. Tasks pack their rows into bundles as they stream by; the bundles
+    are written (a retry reads the same ones) and dealt out one by one.
+    """
+    schema = StructType([StructField(f.name, ArrayType(f.dataType)) for f in rows.schema.fields])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def bundle(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            columns = [pa.concat_arrays([b.column(i) for b in held]) for i in range(held[0].num_columns)]
+            return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns], schema.names)
+
+        held, size = [], 0
+        for batch in batches:
+            begin = 0
+            for k, length in enumerate(batch.column(length_col).to_pylist()):
+                size += OPEN_BYTES + (length or 0)
+                if size >= task_bytes:
+                    yield bundle([*held, batch.slice(begin, k + 1 - begin)])
+                    held, size, begin = [], 0, k + 1
+            if begin < len(batch):
+                held.append(batch.slice(begin))
+        if held:
+            yield bundle(held)
+
+    path = scratch_path(rows.sparkSession, "bundles")
+    rows.mapInArrow(pack, schema).write.parquet(path)
+    bundles = rows.sparkSession.read.parquet(path)
+    return bundles.repartition(max(1, bundles.count()))
+
+
+def attach_bodies(looked_up: DataFrame, path_col: str = "path", length_col: str = "length",
+                  task_bytes: int = TASK_BYTES) -> DataFrame:
     """``looked_up`` rows that are ready, with the bytes of their file as ``content``.
 
     The bodies are read where they are used, by path, after the parent join: no file body goes
-    through a shuffle or a sort, and files without a parent are not read.
+    through a shuffle or a sort, and files without a parent are not read. Files are dealt out to tasks
+    by their bytes.
     """
     ready = looked_up.where(F.col("status") == "ready")
     schema = StructType([*ready.schema.fields, StructField("content", BinaryType())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k, path in enumerate(batch.column(path_col).to_pylist()):
-                store, place = fs.FileSystem.from_uri("/" + path[5:].lstrip("/") if path.startswith("file:") else path)
-                with store.open_input_stream(place, compression=None) as f:
-                    body = f.read()
-                row = batch.slice(k, 1)
-                yield pa.RecordBatch.from_arrays([*row.columns, pa.array([body], pa.binary())], schema.names)
-
-    return ready.mapInArrow(read, schema)
+            for k in range(len(batch)):
+                columns = [c.slice(k, 1).flatten() for c in batch.columns]
+                for i, path in enumerate(columns[batch.schema.get_field_index(path_col)].to_pylist()):
+                    with open_file(path) as f:
+                        body = f.read()
+                    yield pa.RecordBatch.from_arrays([*(c.slice(i, 1) for c in columns), pa.array([body], pa.binary())], schema.names)
+
+    return dealt_by_bytes(ready, length_col, task_bytes).mapInArrow(read, schema)
 
 
 def transfer_summary(manifest: DataFrame, status_col: str = "status") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferry.functions.predicates import absent, present
-from ferry.operators.salting import SALT, replicate_per_salt, salt_rows
+from ferry.operators.salting import SALT, reduce_apart, replicate_per_salt, salt_rows
 
 REMAP_COLUMNS = ("id", "migration_id", "src_owner_id", "owner_id", "legacy_email", "legacy_username",
                  "legacy_isactive", "tfm_isactive", "tfm_email", "tfm_username")
@@ -33,12 +33,10 @@ def owner_remap(source: DataFrame, crosswalk: DataFrame, id_col: str = "Id",
     users = users.withColumn("__ferry_key", key(F.col("legacy_user_id"))).where(
         F.col("__ferry_key").isNotNull())
     if dedupe_crosswalk:
-        users = (users.groupBy("__ferry_key")
-                 .agg(F.min(F.struct(F.col("tfm_user_id").isNull().alias("no_id"), "tfm_user_id",
-                                     "legacy_user_id", "legacy_email", "legacy_username",
-                                     "legacy_isactive", "tfm_isactive", "tfm_email",
-                                     "tfm_username")).alias("u"))
-                 .select("__ferry_key", "u.*").drop("no_id"))
+        lowest = F.min(F.struct(F.col("tfm_user_id").isNull().alias("no_id"), "tfm_user_id", "legacy_user_id",
+                                "legacy_email", "legacy_username", "legacy_isactive", "tfm_isactive",
+                                "tfm_email", "tfm_username")).alias("u")
+        users = reduce_apart(users, ["__ferry_key"], lowest).select("__ferry_key", "u.*").drop("no_id")
     cond = key(src["src_owner_id"]) == users["__ferry_key"]
     if salt_buckets > 1:
         src = salt_rows(src, salt_buckets)

@@ -231,12 +231,15 @@ def contract_parents(spark: SparkSession, d: str) -> DataFrame:
         _s(F.pmod(F.col("c_custkey"), F.lit(17))).alias("Migration_Id__c"))
 
 
+def document_names(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with the name of their file, ``{old parent}_doc{id}.txt``."""
+    name = F.concat(_s(F.pmod(F.col("doc_id"), F.lit(20))), F.lit("_doc"), _s("doc_id"), F.lit(".txt"))
+    return table(spark, d, "documents").withColumn("file_name", name)
+
+
 def document_files(spark: SparkSession, d: str, folder: str) -> str:
     """Documents as downloaded files ``{old parent}_doc{id}.txt`` below ``folder``, written by the
     executors; returns the folder."""
-    t = table(spark, d, "documents")
-    name = F.concat(_s(F.pmod(F.col("doc_id"), F.lit(20))), F.lit("_doc"), _s("doc_id"), F.lit(".txt"))
-
     def write(batches):
         store, root = fs.FileSystem.from_uri("/" + folder[5:].lstrip("/") if folder.startswith("file:") else folder)
         store.create_dir(root, recursive=True)
@@ -246,6 +249,6 @@ def document_files(spark: SparkSession, d: str, folder: str) -> str:
                     f.write(text.encode())
             yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
 
-    t.select(name.alias("file_name"), F.coalesce("text", F.lit("")).alias("text")) \
+    document_names(spark, d).select("file_name", F.coalesce("text", F.lit("")).alias("text")) \
         .mapInArrow(write, "n long").write.format("noop").mode("overwrite").save()
     return folder

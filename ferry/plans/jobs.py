@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferry.constants import EXTRA_SUCCESS_COPY_OBJECTS, OBJECT_STEPS
@@ -30,7 +30,7 @@ from ferry.operators.identity import identity_match, identity_pairs
 from ferry.operators.owners import owner_matched, owner_remap, owner_unmatched_summary
 from ferry.operators.reconcile import duplicate_ids, id_crosswalk, loaded_delta, orphan_records
 from ferry.session import scratch_path
-from ferry.sinks.publish import append_crosswalk, publish_snapshot, read_crosswalk, read_outcomes
+from ferry.sinks.publish import append_crosswalk, publish_counted, read_crosswalk, read_outcomes
 from ferry.sources.csv import union_by_header
 from ferry.sources.registry import register_views
 from ferry.sources.sqltext import check_view_name, run_sql
@@ -151,15 +151,6 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def publish_counted(df: DataFrame, root: str, run_id: str, fmt: str) -> int:
-    """Publish a run and return its row count, taken during the write; without rows nothing is written."""
-    if df.isEmpty():                                           # before observing: the first action fills it
-        return 0
-    obs = Observation("published")
-    publish_snapshot(df.observe(obs, F.count(F.lit(1)).alias("rows")), root, run_id, fmt)
-    return obs.get["rows"]
-
-
 def after_load(raw: DataFrame, success: DataFrame, source_key: str = "Id",
                success_key: str = "Migration_Id__c", target_col: str = "sf__Id") -> dict[str, DataFrame]:
     """Duplicate input ids, the loaded delta, and the id crosswalk of one load."""
@@ -234,17 +225,17 @@ def eligible_attachments(attachments: DataFrame, contracts: DataFrame, accounts:
 
 
 def attachment_uploads(files: DataFrame, parents: DataFrame) -> dict[str, DataFrame]:
-    """Files (path, file_name ``{old parent}_{name}``) -> new parents -> payload rows and a summary.
+    """Files (path, length, file_name ``{old parent}_{name}``) -> new parents -> payload rows and a summary.
 
-    The parent join sees names and paths only; bodies are read afterwards, of ready files only."""
-    looked_up = attachment_parent_lookup(files, parents, keep_cols=["path"])
+    The parent join sees names and paths only; bodies are read afterwards, of ready files only, dealt out by bytes."""
+    looked_up = attachment_parent_lookup(files, parents, keep_cols=["path", "length"])
     return {"lookup": looked_up, "payload": attachment_payload(attach_bodies(looked_up)),
             "summary": transfer_summary(looked_up)}
 
 
 def publish_attachment_uploads(files: DataFrame, parents: DataFrame, root: str, run_id: str) -> dict:
     """Write the upload payload rows and the status summary; the lookup join runs once."""
-    looked_up = staged(attachment_parent_lookup(files, parents, keep_cols=["path"]), "parent-lookup")
+    looked_up = staged(attachment_parent_lookup(files, parents, keep_cols=["path", "length"]), "parent-lookup")
     payload = publish_counted(attachment_payload(attach_bodies(looked_up)), f"{root}/payload", run_id, "parquet")
     # At most one row per status.
     return {"payload": payload, "summary": {r["status"]: r["count"] for r in transfer_summary(looked_up).collect()}}

@@ -23,6 +23,7 @@ from ferry.operators.documents import (
     latest_version_manifest,
     linked_to,
     name_collisions,
+    transfer_summary,
 )
 from ferry.operators.enrich import lookup_enrich
 from ferry.operators.extract import exportable_fields, field_names, filtered_extract, metadata_from_schema
@@ -369,7 +370,7 @@ def q_eligible_attachments(spark, d):
 
 def _uploads(spark, d):
     folder = fx.document_files(spark, d, scratch_path(spark, "document_files"))
-    files = read_files(spark, folder, with_content=False).select("path", "file_name")
+    files = read_files(spark, folder, with_content=False).select("path", "length", "file_name")
     return attachment_uploads(files, fx.contract_parents(spark, d))
 
 
@@ -379,7 +380,8 @@ def q_attachment_payload(spark, d):
 
 
 def q_attachment_summary(spark, d):
-    return _uploads(spark, d)["summary"]
+    """Documents by the names of their files -> new parents -> rows per status; no body is read or written."""
+    return transfer_summary(attachment_parent_lookup(fx.document_names(spark, d), fx.contract_parents(spark, d)))
 
 
 # --- metadata, extracts, headers --------------------------------------------------------------------
@@ -412,12 +414,18 @@ def q_filtered_extract(spark, d):
 
 
 def _csv_objects(spark, d) -> str:
-    """Tables as CSV folders of objects; orders and line items nested by year."""
+    """A sample of each table as a CSV folder of objects: the least record of every group; orders and line
+    items nested by year. Groups and records come from whole tables, few lines are written."""
     root = scratch_path(spark, "objects")
-    for name in ("customer", "nation", "supplier", "events"):
-        write_csv(fx.table(spark, d, name), f"{root}/{name}")
+
+    def sample(name, group):
+        df = fx.table(spark, d, name)
+        return df.groupBy(group.alias("__ferry_group")).agg(F.min(F.struct(*df.columns)).alias("r"))
+
+    for name, group in (("customer", "c_nationkey"), ("nation", "n_regionkey"), ("supplier", "s_nationkey"), ("events", "event_type")):
+        write_csv(sample(name, F.col(group)).select("r.*"), f"{root}/{name}")
     for name, day in (("orders", "o_orderdate"), ("lineitem", "l_shipdate")):
-        fx.table(spark, d, name).withColumn("year", F.year(day)).write.partitionBy("year") \
+        sample(name, F.year(day)).select("r.*", F.col("__ferry_group").alias("year")).write.partitionBy("year") \
             .option("header", "true").csv(f"{root}/{name}")
     return root
 
@@ -448,6 +456,13 @@ def q_csv_round_trip(spark, d):
     return read_csv(spark, path)
 
 
+def q_csv_split_read(spark, d):
+    """Documents with line breaks in quoted values, read by the splits of their files."""
+    path = scratch_path(spark, "docs_split")
+    write_csv(fx.table(spark, d, "documents"), path)
+    return read_csv(spark, path, multiline="split")
+
+
 def q_csv_quote_all(spark, d):
     """Every value quoted; nulls and empty texts come back as null."""
     path = scratch_path(spark, "docs_quoted")
@@ -529,6 +544,7 @@ QUERIES: dict[str, Query] = {
     "document_manifest": q_document_manifest,
     "eligible_attachments": q_eligible_attachments,
     "csv_quote_all": q_csv_quote_all,
+    "csv_split_read": q_csv_split_read,
 }
 
 

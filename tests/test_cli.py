@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ferry.constants import ELIGIBLE_ACCOUNT_STATUSES
 from ferry.plans import fixtures as fx
 from ferry.plans.queries import ORDER_TRANSFORM_SQL
-from ferry.sinks.publish import read_run, write_csv
+from ferry.sinks.publish import read_crosswalk, read_run, write_csv
 
 SF = "/root/testdata/sf0.001"
 
@@ -135,7 +135,7 @@ def test_a_run_without_rows_leaves_the_current_one(spark, tmp_dir):
     assert main([*args, "--success", hit, "--run-id", "r1"], spark)["crosswalk"] == 1
     c = main([*args, "--success", miss, "--run-id", "r2"], spark)
     assert (c["crosswalk"], c["delta"], c["duplicates"]) == (0, 0, 0)
-    assert read_run(spark, f"{out}/prod_data/order").count() == 1
+    assert read_crosswalk(spark, f"{out}/prod_data/order").count() == 1
     assert read_run(spark, f"{out}/joined_output/order", fmt="csv").count() == 1
 
 

@@ -1,8 +1,11 @@
 from datetime import datetime
 
+from pyspark.sql import functions as F
+
 from ferry.operators import (
     attachment_manifest,
     attachment_parent_lookup,
+    attach_bodies,
     attachment_payload,
     unreadable_dates,
     eligible_contracts,
@@ -98,7 +101,7 @@ def test_attachment_payload_and_summary(spark, tmp_dir):
     for name, body in (("K1_a.pdf", bytes(range(100))), ("K2_b.pdf", b"x")):
         with open(f"{tmp_dir}/{name}", "wb") as f:
             f.write(body)
-    files = read_files(spark, tmp_dir, with_content=False).select("path", "file_name")
+    files = read_files(spark, tmp_dir, with_content=False).select("path", "length", "file_name")
     parents = spark.createDataFrame([("N1", "K1")], "Id string, Migration_Id__c string")
     up = attachment_uploads(files, parents)
     pay = up["payload"].collect()
@@ -118,6 +121,21 @@ def test_attachment_payload_and_summary(spark, tmp_dir):
     assert body == "aMOp"
 
 
+def test_bodies_are_dealt_out_by_bytes(spark, tmp_dir):
+    """200 names in one partition, one file much larger: many tasks of even bytes, every body read once."""
+    for i in range(200):
+        open(f"{tmp_dir}/K{i}_f.bin", "wb").write(bytes([i]) * (300_000 if i == 7 else 2000 if i % 2 else 1))
+    looked_up = read_files(spark, tmp_dir, with_content=False).select("path", "length", "file_name").withColumn("status", F.lit("ready")).coalesce(1)
+    got = attach_bodies(looked_up, task_bytes=1 << 20)
+    rows = got.select("file_name", "length", F.length("content").alias("n"), F.spark_partition_id().alias("p")).collect()
+    assert len(rows) == 200 and all(r.n == r.length for r in rows)
+    tasks = {}
+    for r in rows:
+        tasks[r.p] = tasks.get(r.p, 0) + r.n + (64 << 10)
+    assert len(tasks) >= 10 and max(tasks.values()) < (1 << 20) + 300_000 + (64 << 10)
+    assert attach_bodies(looked_up.where("false")).count() == 0
+
+
 def test_a_date_that_is_none_stops_nothing(spark):
     contracts = spark.createDataFrame([("E1", "A1", "2020-01-01"), ("E2", "A1", "n/a"), ("E3", "A1", None), ("E4", "A1", " ")],
                                       "Id string, AccountId string, CreatedDate string")

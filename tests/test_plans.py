@@ -6,6 +6,7 @@ import pytest
 import __spark_entry__ as entry
 from ferry.operators.documents import attachment_parent_lookup, latest_version_manifest
 from ferry.operators.identity import identity_match
+from ferry.operators.owners import owner_remap
 from ferry.operators.reconcile import id_crosswalk, loaded_delta, orphan_records
 from ferry.plans.queries import QUERIES as PLAIN
 from pyspark.sql import functions as F
@@ -96,6 +97,11 @@ CASES = {
         _hot(s).select(F.col("v").alias("LinkedEntityId"), F.col("Id").alias("ContentDocumentId")),
         _keys(s).select(F.col("Migration_Id__c").alias("ContentDocumentId"), F.col("sf__Id").alias("Id"),
                         F.lit("t").alias("Title"), F.lit("x").alias("FileExtension"), F.lit(True).alias("IsLatest"))),
+    "owners": lambda s: owner_remap(
+        _hot(s).select(F.col("v").alias("Id"), F.col("Id").alias("OwnerId")),
+        _keys(s).select(F.col("Migration_Id__c").alias("legacy_user_id"), F.col("sf__Id").alias("tfm_user_id"), *[
+            F.lit("x").alias(c) for c in ("legacy_email", "legacy_username", "legacy_isactive", "tfm_isactive", "tfm_email", "tfm_username")]),
+        dedupe_crosswalk=True),
     "parents": lambda s: attachment_parent_lookup(
         _hot(s).select(F.concat("Id", F.lit("_"), "v").alias("file_name")), _keys(s).withColumnRenamed("sf__Id", "Id")),
 }
