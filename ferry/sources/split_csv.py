@@ -74,7 +74,7 @@ def split_states(chunks: DataFrame) -> DataFrame:
     splits = chunks.groupBy("file", "block").agg((F.sum("parity") % 2).alias("parity"), F.max(lead & F.col("crlf")).alias("crlf"))
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     return splits.select("file", "block", (F.coalesce(F.sum("parity").over(earlier), F.lit(0)) % 2).cast("int").alias("open"),
-                         F.max("crlf").over(Window.partitionBy("file")).alias("returns"))
+                         F.max("crlf").over(Window.partitionBy("file").orderBy("block")).alias("returns"))
 
 
 def cut_records(text: str, inside: bool, separator: str) -> tuple[list[int], bool]:
