@@ -28,17 +28,44 @@ CONTEXT = 4
 MEMO_SIZE = 500_000
 
 
+def _byte_letters() -> dict[int, str]:
+    """Byte -> its letter in a byte-level vocabulary: printable bytes stand for themselves, the others
+    for the letters from U+0100 on, in order."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+_LETTERS = _byte_letters()
+
+
 class _Memo(dict):
-    """Pre-token -> its ids as little-endian uint32 bytes, encoded when first met."""
+    """Pre-token -> its ids as little-endian uint32 bytes, encoded when first met.
+
+    Where the tokenizer is a byte-level one without a normalizer, a pre-token goes straight to the
+    library's model, spelt in its letters: the offsets of a whole encoding cost more than its merges.
+    """
 
     def __init__(self, tokenizer) -> None:
+        from tokenizers.pre_tokenizers import ByteLevel
+
         super().__init__()
         self.tokenizer = tokenizer
+        cutter = tokenizer.pre_tokenizer
+        byte_level = tokenizer.normalizer is None and isinstance(cutter, ByteLevel) and not cutter.add_prefix_space
+        self.model = tokenizer.model if byte_level else None
+        self.added = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
+
+    def encode(self, piece: str) -> list[int]:
+        if self.model is not None and piece not in self.added:
+            spelt = piece.encode().decode("latin-1").translate(_LETTERS)
+            return [token.id for token in self.model.tokenize(spelt)]
+        return self.tokenizer.encode(piece, add_special_tokens=False).ids
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= MEMO_SIZE:
             self.clear()
-        ids = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+        ids = np.array(self.encode(piece), "<u4").tobytes()
         if len(piece) <= 64:
             self[piece] = ids
         return ids
