@@ -8,6 +8,8 @@ between different texts are found or implied: the result is a component per docu
 2. *Routing.* Sets that link differ in few shingles: in k at most, for sizes in a given range. Cut the
    hash space into more than k parts, and some part must be equal in both. So each set gets a key
    per part, and sets that share a key meet in the bucket of that key's smallest set (its pivot).
+   Keys of one class only are most of all keys; a table of marks keeps them, and the texts of sets
+   without a bucket, from moving again.
    Keys hold six or more shingles on average, so unrelated documents with a common passage hardly
    ever meet. Key counts are combined before the shuffle; a hot key has one row per map task.
 3. *Search.* A bucket is cut into blocks of ``BLOCK_SHINGLES``, each with a copy of the pivot. In a
@@ -25,7 +27,7 @@ Edge cases. A text with fewer words than a shingle is one shingle; without words
 empty set, links with nothing and is its own component. Null doc_ids never name a component that
 has another id; a component of null ids only has a null id. Repeated rows are copies. Extra columns
 are ignored; an empty table gives an empty result. Sets are compared by 64-bit hashes of shingles
-and 128-bit hashes of sets.
+and 128-bit hashes of sets; a set's text is found by its 64-bit hash.
 """
 
 from __future__ import annotations
@@ -217,14 +219,57 @@ def write_sets(docs: DataFrame, params: JoinParams) -> DataFrame:
     return written(rows.mapInArrow(run, SETS), "shingle-sets")
 
 
-def key_rows(docs: DataFrame, params: JoinParams) -> DataFrame:
-    """(fp, key) of every document's routing keys. Cheaper to compute twice than to keep on disk."""
+#: Bits of a table of marks, 16 MB at any input size, made and sent in pieces.
+MARK_BITS = 1 << 27
+MARK_PIECE = 1 << 15          # 64-bit words
+
+
+class Marks:
+    """A broadcast bit per hash that occurs, by the hash's low bits: what is not marked does not occur.
+
+    A mark is a sieve before an exact join, never a decision: hashes that share a bit pass together. With many
+    more hashes than bits most rows pass, and the join moves what it would move without the sieve.
+    """
+
+    def __init__(self, hashes: DataFrame) -> None:
+        bit = F.col(hashes.columns[0]).bitwiseAND(F.lit(MARK_BITS - 1))
+        words = hashes.select(F.shiftright(bit, 6).alias("word"), bit.bitwiseAND(F.lit(63)).cast("int").alias("bit")).groupBy(
+            "word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("mask"))
+
+        def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found: dict[int, np.ndarray] = {}
+            for batch in batches:
+                word, mask = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+                piece = word // MARK_PIECE
+                for k in np.unique(piece).tolist():
+                    at = piece == k
+                    found.setdefault(k, np.zeros(MARK_PIECE, "<i8"))[word[at] % MARK_PIECE] = mask[at]
+            for k, held in found.items():
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([held.tobytes()], pa.binary())], ["piece", "bits"])
+
+        dealt = words.repartition(F.floor(F.col("word") / MARK_PIECE))
+        table = np.zeros(MARK_BITS // 64, "<i8")
+        for row in dealt.mapInArrow(pieces, "piece long, bits binary").toLocalIterator():
+            table[row["piece"] * MARK_PIECE:(row["piece"] + 1) * MARK_PIECE] = np.frombuffer(row["bits"], "<i8")
+        self.table = hashes.sparkSession.sparkContext.broadcast(table.view(np.uint8))
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        bit = hashes & (MARK_BITS - 1)
+        return (self.table.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+
+
+def key_rows(docs: DataFrame, params: JoinParams, marks: Marks | None = None) -> DataFrame:
+    """(fp, key) of every document's routing keys, only marked ones if ``marks`` are given. Cheaper to compute
+    twice than to keep on disk."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, sets, ids in _text_sets(batch.column(0), params):
                 keys = [routing_keys(s, params) for s in sets]
                 owners = np.repeat(np.array([_number(i) for i in ids], np.int64), [len(k) for k in keys])
                 flat = np.concatenate([np.zeros(0, np.uint64), *keys]).view(np.int64)
+                if marks is not None:
+                    kept = marks.has(flat)
+                    owners, flat = owners[kept], flat[kept]
                 yield pa.RecordBatch.from_arrays([pa.array(owners), pa.array(flat)], ["fp", "key"])
 
     return docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, KEYS)
@@ -431,15 +476,26 @@ def _set_of(text: str, params: JoinParams) -> np.ndarray:
 
 
 def _blocks(placed: DataFrame, docs: DataFrame, classes: DataFrame, keys: list[str], extra: list[str]) -> DataFrame:
-    """The texts of the placed sets, sorted by block. ``placed`` has the block's keys, fp, and ``extra``."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.coalesce("text", F.lit("")).alias("text"))
-    named = placed.join(classes.select("fp", "rep", F.col("cid").alias("want")), "fp")
-    rows = named.withColumnRenamed("rep", "r").join(texts, F.col("r").eqNullSafe(F.col("rep")))
+    """The texts of the placed sets, sorted by block. ``placed`` has the block's keys, fp, and ``extra``.
+
+    A class is fetched by the least hash of its texts: whatever the doc_ids, equal texts are one before they
+    move, and of the other texts only those move that share a mark.
+    """
+    named = placed.join(classes.select("fp", "text_hash", F.col("cid").alias("want")), "fp")
+    marks = Marks(named.select("text_hash"))
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(marks.has(batch.column(0).to_numpy())))
+
+    hashed = docs.where(F.col("text").isNotNull()).select(F.xxhash64("text").alias("text_hash"), "text")
+    texts = hashed.mapInArrow(marked, "text_hash long, text string").groupBy("text_hash").agg(F.first("text").alias("text"))
+    rows = named.join(texts, "text_hash")
     return rows.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "want", "text", *extra)
 
 
 def _unique_sets(rows: list[tuple], at: int, params: JoinParams) -> tuple[list[bytes], list[np.ndarray], list[tuple]]:
-    """Sets by class. A doc_id on several rows brings all their texts; only the wanted class counts."""
+    """Sets by class; a text of another class, whose hash is equal, does not count."""
     found: dict[bytes, tuple[np.ndarray, tuple]] = {}
     for row in rows:
         want = bytes(row[at])
@@ -489,7 +545,8 @@ def find_links(docs: DataFrame, classes: DataFrame, params: JoinParams) -> DataF
     posts = key_rows(docs, params)
     shared = written(posts.groupBy("key").agg(F.min("fp").alias("pivot"), F.max("fp").alias("last"))
                       .where(F.col("pivot") < F.col("last")).drop("last"), "shared-keys")
-    members = written(posts.join(shared, "key").select("pivot", "fp").distinct(), "buckets")
+    marked = key_rows(docs, params, Marks(shared.select("key")))
+    members = written(marked.join(shared, "key").select("pivot", "fp").distinct(), "buckets")
     sized = members.join(classes.select("fp", "n_shingles"), "fp")
     blocks = written(sized.groupBy("pivot").agg(
         F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).alias("blocks")), "bucket-sizes")
@@ -569,7 +626,7 @@ def similarity_components(docs: DataFrame, params: JoinParams = JoinParams()) ->
     spark: SparkSession = docs.sparkSession
     sets = write_sets(docs, params)
     classes = written(sets.where("n_shingles > 0").groupBy("cid", "fp", "n_shingles").agg(
-        F.min("doc_id").alias("rep")), "classes")
+        F.min("doc_id").alias("rep"), F.min("text_hash").alias("text_hash")), "classes")
     labels = written(components(find_links(docs, classes, params)), "labels")
     rooted = classes.join(labels, "cid", "left").select("cid", "rep", F.coalesce("root", "cid").alias("root"))
     roots = written(rooted.groupBy("root").agg(F.min("rep").alias("component_id")), "roots")
