@@ -87,7 +87,7 @@ def run(args: argparse.Namespace, spark: SparkSession) -> dict:
         optional = (crosswalk_sources(spark, args.crosswalk_root, args.year, fmt=args.crosswalk_format)
                     if args.crosswalk_root else {})
         tr = transform_object(spark, args.object, text, _read(spark, args.raw, args.year),
-                              lookups=lookups, optional=optional,
+                              lookups=lookups, optional=optional, only_named=args.only_named,
                               orphan_check={"auto": None, "yes": True, "no": False}[args.orphan_check])
         counts.update(publish_transform(tr, out, args.object, rid, fmt, partition_year=args.year))
         counts["sources"] = {r.name: r.status for r in tr.sources.collect()}
@@ -139,6 +139,7 @@ def parser() -> argparse.ArgumentParser:
     t = job("transform", "object", "sql", "raw")
     t.add_argument("--lookup", action="append", help="view=path, repeatable")
     t.add_argument("--crosswalk-root", help="folder of earlier crosswalks, one sub-folder per object")
+    t.add_argument("--only-named", action="store_true", help="open only those earlier crosswalks that the SQL names")
     t.add_argument("--crosswalk-format", default="parquet", choices=["parquet", "csv"])
     t.add_argument("--year")
     t.add_argument("--orphan-check", default="auto", choices=["auto", "yes", "no"],

@@ -32,7 +32,7 @@ from ferry.operators.reconcile import duplicate_ids, id_crosswalk, loaded_delta,
 from ferry.session import scratch_path
 from ferry.sinks.publish import append_crosswalk, publish_counted, read_crosswalk, read_outcomes
 from ferry.sources.csv import union_by_header
-from ferry.sources.registry import register_views
+from ferry.sources.registry import register_views, run_registered
 from ferry.sources.sqltext import check_view_name, run_sql
 
 
@@ -99,18 +99,26 @@ def transform_object(spark: SparkSession, object_name: str, sql_text: str, raw:
                      lookups: Mapping[str, Callable[[], DataFrame]] | None = None,
                      optional: Mapping[str, Callable[[], DataFrame]] | None = None,
                      source_key: str = "Id", result_key: str = "Migration_Id__c",
-                     orphan_check: bool | None = True, scrub: bool = True) -> TransformResult:
+                     orphan_check: bool | None = True, scrub: bool = True,
+                     only_named: bool = False) -> TransformResult:
     """Register lookups (required) and earlier crosswalks (optional), register the raw object
     under its own name, run the object's SQL, scrub line breaks, and find orphans.
 
+    With ``only_named`` only those optional sources are opened that the SQL names; the others are
+    reported as ``not named`` instead of being looked for.
+
     ``orphan_check=None`` takes the object's flag from the step config."""
     view = check_view_name(object_name.lower())
     if orphan_check is None:
         orphan_check = steps_for(object_name)["orphan_checked"]
     required_report = register_views(spark, lookups or {}, required=True)
-    optional_report = register_views(spark, optional or {}, required=False)
-    raw.createOrReplaceTempView(view)
-    result = run_sql(spark, sql_text)
+    if only_named:
+        raw.createOrReplaceTempView(view)
+        result, optional_report = run_registered(spark, sql_text, optional or {}, own=view)
+    else:
+        optional_report = register_views(spark, optional or {}, required=False)
+        raw.createOrReplaceTempView(view)
+        result = run_sql(spark, sql_text)
     if scrub:
         result = scrub_line_breaks(result)
     orphans = None

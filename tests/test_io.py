@@ -15,6 +15,7 @@ from ferry.sources import (
     read_csv,
     read_files,
     register_views,
+    run_registered,
     run_sql,
     statement_text,
     union_by_header,
@@ -135,6 +136,65 @@ def test_sql_text_comments_literals_semicolon(spark, tmp_dir):
         check_view_name("prod-account")
 
 
+def _opened(spark, names, opened):
+    def loader(name):
+        def load():
+            opened.append(name)
+            return spark.createDataFrame([(1, name)], "id int, origin string")
+        return load
+    return {n: loader(n) for n in names}
+
+
+def test_only_named_sources_are_opened(spark, tmp_dir):
+    opened = []
+    sources = _opened(spark, [f"named_{i}" for i in range(36)], opened)
+    sources["named_gone"] = lambda: spark.read.parquet(f"{tmp_dir}/none")
+    spark.range(5).createOrReplaceTempView("named_own")
+    result, report = run_registered(
+        spark, """WITH named_9 AS (SELECT id, 'cte' AS origin FROM named_own)
+                  -- named_4 is not read
+                  SELECT n.origin, c.origin AS cte, 'named_5' AS word FROM Named_3 n JOIN named_9 c USING (id)
+                  WHERE EXISTS (SELECT 1 FROM named_17 s WHERE s.id = n.id);""", sources, own="named_own")
+    assert [tuple(r) for r in result.collect()] == [("named_3", "cte", "named_5")]
+    # A common table expression hides the source of its name, which may be opened all the same.
+    assert sorted(opened) == ["named_17", "named_3", "named_9"]
+    status = {r["name"]: r["status"] for r in report.collect()}
+    assert len(status) == 37
+    assert sorted(n for n, s in status.items() if s != "not named") == ["named_17", "named_3", "named_9"]
+
+
+def test_named_sources_that_are_missing_or_stale(spark, tmp_dir):
+    spark.range(3).createOrReplaceTempView("stale_source")
+    gone = {"stale_source": lambda: spark.read.parquet(f"{tmp_dir}/none")}
+    with pytest.raises(AnalysisException, match="stale_source"):
+        run_registered(spark, "SELECT * FROM stale_source", gone)
+    result, report = run_registered(spark, "SELECT 1 AS one", gone)
+    assert result.count() == 1 and report.collect()[0]["status"] == "not named"
+    assert not spark.catalog.tableExists("stale_source")
+    # The statement's own object stands before a source of its name, and other failures are raised.
+    spark.range(4).createOrReplaceTempView("own_object")
+    opened = []
+    result, _ = run_registered(spark, "SELECT * FROM own_object", _opened(spark, ["own_object"], opened), own="own_object")
+    assert result.count() == 4 and opened == []
+    with pytest.raises(AnalysisException, match="no_such_column"):
+        run_registered(spark, "SELECT * FROM bad", {"bad": lambda: spark.range(1).select("no_such_column")})
+    with pytest.raises(AnalysisException, match="elsewhere"):
+        run_registered(spark, "SELECT * FROM elsewhere", {})
+
+
+def test_counts_of_all_views_in_one_job(spark):
+    views = {"full_view": lambda: spark.range(7), "empty_view": lambda: spark.range(0)}
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("count-views", "")
+    try:
+        report = register_views(spark, views, with_counts=True)
+        jobs = len(tracker.getJobIdsForGroup("count-views"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {r["name"]: r["n_rows"] for r in report.collect()} == {"full_view": 7, "empty_view": 0}
+    assert jobs <= 2              # adaptive execution runs the map stage and the result as two jobs
+
+
 def test_register_views_reports_missing(spark, tmp_dir):
     ok = spark.createDataFrame([(1,)], "x int")
     report = register_views(spark, {"present_view": lambda: ok,
