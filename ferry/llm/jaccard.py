@@ -8,6 +8,8 @@ between different texts are found or implied: the result is a component per docu
 2. *Routing.* Sets that link differ in few shingles: in k at most, for sizes in a given range. Cut the
    hash space into more than k parts, and some part must be equal in both. So each set gets a key
    per part, and sets that share a key meet in the bucket of that key's smallest set (its pivot).
+   Most keys occur once. Which occur twice is found first, from key hashes alone, sorted and packed to
+   three or four bytes; a sieve of these keeps the other keys from moving with their sets.
    Keys hold six or more shingles on average, so unrelated documents with a common passage hardly
    ever meet. Key counts are combined before the shuffle; a hot key has one row per map task.
 3. *Search.* A bucket is cut into blocks of ``BLOCK_SHINGLES``, each with a copy of the pivot. In a
@@ -38,12 +40,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import dataset
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ferry.llm.common import broadcast_up_to, fresh_name, written
+from ferry.llm.files import locate
 from ferry.llm.words import SPACE_TABLE, column_words, mix
+from ferry.session import scratch_path
 
 #: Shingles of a block, pivot not counted: what one search holds in memory.
 BLOCK_SHINGLES = 200_000
@@ -217,19 +222,111 @@ def write_sets(docs: DataFrame, params: JoinParams) -> DataFrame:
     return written(rows.mapInArrow(run, SETS), "shingle-sets")
 
 
-def key_rows(docs: DataFrame, params: JoinParams) -> DataFrame:
-    """(fp, key) of every document's routing keys. Cheaper to compute twice than to keep on disk."""
+def key_rows(docs: DataFrame, params: JoinParams, sieve: str) -> DataFrame:
+    """(fp, key) of every document's routing keys that the sieve lets pass."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, sets, ids in _text_sets(batch.column(0), params):
                 keys = [routing_keys(s, params) for s in sets]
                 owners = np.repeat(np.array([_number(i) for i in ids], np.int64), [len(k) for k in keys])
-                flat = np.concatenate([np.zeros(0, np.uint64), *keys]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(owners), pa.array(flat)], ["fp", "key"])
+                flat = np.concatenate([np.zeros(0, np.uint64), *keys])
+                kept = passes(sieve, flat)
+                yield pa.RecordBatch.from_arrays([pa.array(owners[kept]), pa.array(flat[kept].view(np.int64))], ["fp", "key"])
 
     return docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, KEYS)
 
 
+# --- keys that occur twice ------------------------------------------------------------------
+
+#: Leading bits of a key that are counted, those of them that name a piece, and most bits that a sieve may use (64 MB).
+COUNTED_BITS, PIECE_BITS, SIEVE_BITS = 40, 10, 29
+#: Keys that a task holds before it packs them.
+HELD_KEYS = 1 << 21
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Ascending numbers as gaps of equal width; the first byte is the width."""
+    gaps = np.diff(values, prepend=np.uint64(0))
+    width = max(1, -(-int(gaps.max()).bit_length() // 8))
+    return bytes([width]) + gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    narrow = np.frombuffer(packed, np.uint8, offset=1).reshape(-1, packed[0])
+    gaps = np.zeros((len(narrow), 8), np.uint8)
+    gaps[:, :packed[0]] = narrow
+    return np.cumsum(gaps.view("<u8").ravel(), dtype=np.uint64)
+
+
+def _packed_pieces(keys: list[np.ndarray]) -> pa.RecordBatch:
+    """A row (piece, packed rest of the counted bits) per piece. A key has two entries at most: a hot key stays small."""
+    rest = COUNTED_BITS - PIECE_BITS
+    counted = np.sort(np.concatenate(keys) >> np.uint64(64 - COUNTED_BITS))
+    kept = np.ones(len(counted), bool)
+    kept[2:] = counted[2:] != counted[:-2]
+    counted = counted[kept]
+    parts = np.split(counted & np.uint64((1 << rest) - 1),
+                     np.searchsorted(counted, np.arange(1, 1 << PIECE_BITS, dtype=np.uint64) << np.uint64(rest)))
+    found = [k for k, part in enumerate(parts) if len(part)]
+    return pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array([pack(parts[k]) for k in found], pa.binary())],
+                                      ["piece", "packed"])
+
+
+def write_sieve(docs: DataFrame, params: JoinParams) -> str:
+    """The folder of a table (piece, n, packed) of the counted bits that two routing keys or more have.
+
+    Keys of several sets are among them, as are keys of copies and a few that agree in the counted bits only: the exact
+    grouping comes after the sieve.
+    """
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            for _, sets, _ in _text_sets(batch.column(0), params):
+                held += [routing_keys(s, params) for s in sets]
+                n += sum(len(k) for k in held[-len(sets):])
+                if n >= HELD_KEYS:
+                    yield _packed_pieces(held)
+                    held, n = [], 0
+        if n:
+            yield _packed_pieces(held)
+
+    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (piece,), rows in _groups(batches, 1):
+            counted = np.sort(np.concatenate([unpack(r[1]) for r in rows]))
+            twice = np.unique(counted[1:][counted[1:] == counted[:-1]])
+            if len(twice):
+                yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([len(twice)], pa.int64()),
+                                                  pa.array([pack(twice)], pa.binary())], ["piece", "n", "packed"])
+
+    spark = docs.sparkSession
+    pieces = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(count, "piece int, packed binary")
+    dealt = pieces.repartition("piece").sortWithinPartitions("piece").select("piece", "packed")
+    path = scratch_path(spark, "sieve")
+    dealt.mapInArrow(repeated, "piece int, n long, packed binary").write.parquet(path)
+    return path
+
+
+@lru_cache(maxsize=1)
+def read_sieve(path: str) -> tuple[int, np.ndarray]:
+    """Bits used and a bit table, of eight bits or more per entry as long as ``SIEVE_BITS`` allow."""
+    store, place = locate(path)
+    rows = dataset.dataset(place, filesystem=store, format="parquet").to_table().to_pylist()
+    bits = min(SIEVE_BITS, max(PIECE_BITS + 3, (8 * sum(r["n"] for r in rows)).bit_length()))
+    table = np.zeros((1 << PIECE_BITS, 1 << (bits - PIECE_BITS - 3)), np.uint8)
+    for row in rows:
+        marked = np.zeros(1 << (bits - PIECE_BITS), bool)
+        marked[unpack(row["packed"]) >> np.uint64(COUNTED_BITS - bits)] = True
+        table[row["piece"]] = np.packbits(marked, bitorder="little")
+    return bits, table.ravel()
+
+
+def passes(sieve: str, keys: np.ndarray) -> np.ndarray:
+    """Which keys may occur twice: all that do, and a few others."""
+    bits, table = read_sieve(sieve)
+    at = keys >> np.uint64(64 - bits)
+    return (table[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
 # --- search within a block ------------------------------------------------------------------
 
 class InvertedIndex:
@@ -486,7 +583,7 @@ def _search_rest(placed: DataFrame, docs: DataFrame, classes: DataFrame, params:
 
 def find_links(docs: DataFrame, classes: DataFrame, params: JoinParams) -> DataFrame:
     """Links (cid, other) between classes that connect every component of the link graph."""
-    posts = key_rows(docs, params)
+    posts = written(key_rows(docs, params, write_sieve(docs, params)), "posts")
     shared = written(posts.groupBy("key").agg(F.min("fp").alias("pivot"), F.max("fp").alias("last"))
                       .where(F.col("pivot") < F.col("last")).drop("last"), "shared-keys")
     members = written(posts.join(shared, "key").select("pivot", "fp").distinct(), "buckets")

@@ -71,6 +71,27 @@ def test_routing_keys_meet_for_every_link():
                 assert set(J.routing_keys(a, p).tolist()) & set(J.routing_keys(b, p).tolist()), (percent, len(a), len(b))
 
 
+def test_sieve_passes_repeated_keys_only(spark):
+    rng = random.Random(7)
+    base = [prose(rng, 200, 5000) for _ in range(60)]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(base + [edited(rng, t, 2) for t in base[:6]])]
+    p, docs = J.JoinParams(5, 80), spark.createDataFrame(rows, DOCS).repartition(5)
+    keys = [J.routing_keys(J.shingle_set(hash_bytes(np.frombuffer(r[1].encode(), np.uint8), SPACE_TABLE), 5), p) for r in rows]
+    values, counts = np.unique(np.concatenate(keys), return_counts=True)
+    moved = [r.key for r in J.key_rows(docs, p, J.write_sieve(docs, p)).collect()]
+    assert set(values[counts > 1].view(np.int64).tolist()) <= set(moved)
+    assert len(moved) < sum(map(len, keys)) / 2
+
+
+def test_packed_numbers_come_back():
+    rng = np.random.default_rng(8)
+    for top in (1, 200, 2**17, 2**40, 2**62):
+        values = np.sort(rng.integers(0, top, 500, np.uint64))
+        assert np.array_equal(J.unpack(J.pack(values)), values)
+    one = J._packed_pieces([np.full(9, 2**63 + 5, np.uint64)])
+    assert one.column(0).to_pylist() == [512] and J.unpack(one.column(1)[0].as_py()).tolist() == [0, 0]
+
+
 def test_merge_and_divide_skip_against_counting():
     rng = random.Random(6)
     for _ in range(300):
