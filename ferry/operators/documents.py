@@ -174,6 +174,8 @@ def attachment_payload(looked_up: DataFrame, content_col: str = "content",
 
 #: Bytes of bodies that a task reads, and what opening a file counts besides its length.
 TASK_BYTES, OPEN_BYTES = 64 << 20, 64 << 10
+#: Bytes of small bodies that leave a task together.
+BATCH_BYTES = 4 << 20
 
 
 def dealt_by_bytes(rows: DataFrame, length_col: str = "length", task_bytes: int = TASK_BYTES) -> DataFrame:
@@ -225,10 +227,15 @@ def attach_bodies(looked_up: DataFrame, path_col: str = "path", length_col: str
         for batch in batches:
             for k in range(len(batch)):
                 columns = [c.slice(k, 1).flatten() for c in batch.columns]
-                for i, path in enumerate(columns[batch.schema.get_field_index(path_col)].to_pylist()):
+                bodies, size, begin = [], 0, 0
+                for i, path in enumerate(columns[batch.schema.get_field_index(path_col)].to_pylist(), 1):
                     with open_file(path) as f:
-                        body = f.read()
-                    yield pa.RecordBatch.from_arrays([*(c.slice(i, 1) for c in columns), pa.array([body], pa.binary())], schema.names)
+                        bodies.append(f.read())
+                    size += len(bodies[-1])
+                    if size >= BATCH_BYTES or i == len(columns[0]):
+                        yield pa.RecordBatch.from_arrays(
+                            [*(c.slice(begin, len(bodies)) for c in columns), pa.array(bodies, pa.binary())], schema.names)
+                        bodies, size, begin = [], 0, i
 
     return dealt_by_bytes(ready, length_col, task_bytes).mapInArrow(read, schema)
 

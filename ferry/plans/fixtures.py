@@ -249,6 +249,7 @@ def document_files(spark: SparkSession, d: str, folder: str) -> str:
                     f.write(text.encode())
             yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
 
+    # Dealt out by name, in as many tasks as set: a scan may be one task, and writing files costs more than moving texts.
     document_names(spark, d).select("file_name", F.coalesce("text", F.lit("")).alias("text")) \
-        .mapInArrow(write, "n long").write.format("noop").mode("overwrite").save()
+        .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "file_name").mapInArrow(write, "n long").write.format("noop").mode("overwrite").save()
     return folder

@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ferry.functions.text import file_name_of
 
 
+#: Scan partitions, of 32 files or fewer by Spark's cost of opening a file, that a task of a listing goes through.
+LISTED_PARTITIONS = 128
+
+
 def read_files(spark: SparkSession, path: str, glob: str | None = None,
                recursive: bool = False, with_content: bool = True) -> DataFrame:
     """``(path, file_name, length, modification_time[, content])`` of the files at ``path``.
@@ -23,8 +27,9 @@ def read_files(spark: SparkSession, path: str, glob: str | None = None,
     cols = ["path", file_name_of("path").alias("file_name"), "length",
             df["modificationTime"].alias("modification_time")]
     if with_content:
-        cols.append("content")
-    return df.select(*cols)
+        return df.select(*cols, "content")
+    # A listing opens no file: its tasks need not be as many as readers of bodies.
+    return df.select(*cols).coalesce(max(1, -(-df.select("path").rdd.getNumPartitions() // LISTED_PARTITIONS)))
 
 
 def open_file(path: str, seek: bool = False) -> NativeFile:
