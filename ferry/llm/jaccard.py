@@ -290,19 +290,35 @@ def write_sieve(docs: DataFrame, params: JoinParams) -> str:
         if n:
             yield _packed_pieces(held)
 
-    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _sieve_of(docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(count, PIECES), 2)
+
+
+def write_marks(hashes: DataFrame) -> str:
+    """The folder of a sieve that lets the hashes of a one-column table pass."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                yield _packed_pieces([batch.column(0).to_numpy().view(np.uint64)])
+
+    return _sieve_of(hashes.mapInArrow(count, PIECES), 1)
+
+
+PIECES = "piece int, packed binary"
+
+
+def _sieve_of(pieces: DataFrame, least: int) -> str:
+    """Write what occurs ``least`` times (1 or 2) or more."""
+    def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (piece,), rows in _groups(batches, 1):
             counted = np.sort(np.concatenate([unpack(r[1]) for r in rows]))
-            twice = np.unique(counted[1:][counted[1:] == counted[:-1]])
-            if len(twice):
-                yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([len(twice)], pa.int64()),
-                                                  pa.array([pack(twice)], pa.binary())], ["piece", "n", "packed"])
+            found = np.unique(counted[least - 1:][counted[least - 1:] == counted[:len(counted) - least + 1]])
+            if len(found):
+                yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([len(found)], pa.int64()),
+                                                  pa.array([pack(found)], pa.binary())], ["piece", "n", "packed"])
 
-    spark = docs.sparkSession
-    pieces = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(count, "piece int, packed binary")
+    path = scratch_path(pieces.sparkSession, "sieve")
     dealt = pieces.repartition("piece").sortWithinPartitions("piece").select("piece", "packed")
-    path = scratch_path(spark, "sieve")
-    dealt.mapInArrow(repeated, "piece int, n long, packed binary").write.parquet(path)
+    dealt.mapInArrow(often, "piece int, n long, packed binary").write.parquet(path)
     return path
 
 
@@ -529,9 +545,19 @@ def _set_of(text: str, params: JoinParams) -> np.ndarray:
 
 def _blocks(placed: DataFrame, docs: DataFrame, classes: DataFrame, keys: list[str], extra: list[str]) -> DataFrame:
     """The texts of the placed sets, sorted by block. ``placed`` has the block's keys, fp, and ``extra``."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.coalesce("text", F.lit("")).alias("text"))
-    named = placed.join(classes.select("fp", "rep", F.col("cid").alias("want")), "fp")
-    rows = named.withColumnRenamed("rep", "r").join(texts, F.col("r").eqNullSafe(F.col("rep")))
+    named = written(placed.join(classes.select("fp", F.col("rep").alias("r"), F.col("cid").alias("want")), "fp"), "placed")
+    marks = write_marks(named.select(F.xxhash64("r")).distinct())
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = pa.array(passes(marks, batch.column(0).to_numpy().view(np.uint64)))
+            yield pa.RecordBatch.from_arrays([c.filter(kept) for c in batch.columns[1:]], ["rep", "text"])
+
+    rep = F.col("doc_id").cast("long")
+    # Texts of documents that stand for no placed set stay where they are.
+    texts = docs.select(F.xxhash64(rep).alias("h"), rep.alias("rep"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
+        marked, "rep long, text string")
+    rows = named.join(texts, F.col("r").eqNullSafe(F.col("rep")))
     return rows.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "want", "text", *extra)
 
 
