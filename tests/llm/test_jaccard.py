@@ -83,6 +83,83 @@ def test_sieve_passes_repeated_keys_only(spark):
     assert len(moved) < sum(map(len, keys)) / 2
 
 
+def test_copies_bring_their_keys_once(spark):
+    rng = random.Random(17)
+    base = [prose(rng, 200, 5000) for _ in range(20)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(base * 3)], DOCS).repartition(4)
+    p = J.JoinParams(5, 80)
+    reps = written(spark.range(20).selectExpr("xxhash64(id)"), "test-reps")
+    marks = J.write_marks(reps)
+    assert J.key_rows(docs, p, J.write_sieve(docs, p, marks), marks).count() < J.key_rows(docs, p, J.write_sieve(docs, p)).count() / 10
+
+
+def test_bucket_members_against_all_keys(spark):
+    rows = families(random.Random(23))
+    p, docs = J.JoinParams(5, 80), spark.createDataFrame(rows, DOCS).repartition(5)
+    sets = J.write_sets(docs, p)
+    classes = written(sets.where("n_shingles > 0").groupBy("cid", "fp", "n_shingles", "sketch").agg({"doc_id": "min"})
+                      .withColumnRenamed("min(doc_id)", "rep"), "test-classes")
+    holders = {}
+    for _, text, *_ in rows:
+        s = J.shingle_set(hash_bytes(np.frombuffer((text or "").encode(), np.uint8), SPACE_TABLE), 5)
+        for key in J.routing_keys(s, p).tolist():
+            holders.setdefault(key, set()).add(J._number(J.set_id(s)))
+    want = {(min(h), fp) for h in holders.values() if len(h) > 1 for fp in h}
+    found = [tuple(r) for r in J.bucket_members(docs, classes, p).collect()]
+    assert len(found) == len(set(found)) and set(found) == want
+
+
+def test_sketches_keep_all_that_link():
+    rng = np.random.default_rng(29)
+    for percent in (50, 80, 90):
+        p, sets = J.JoinParams(5, percent), []
+        for n in [1, 4, 9, 63, 64, 65, 100, 127, 128, 129, 250, 256, 257, 600]:
+            base = rng.integers(0, 2**64, n, np.uint64)
+            sets.append(np.unique(base))
+            for _ in range(4):
+                new = rng.integers(0, 2**64, rng.integers(0, n // 2 + 2), np.uint64)
+                sets.append(np.unique(np.concatenate([base[rng.integers(0, n // 3 + 1):], new])))
+        sets = [s for s in sets if len(s)]
+        sizes, sketches = np.array([len(s) for s in sets]), [J.parity_sketch(s) for s in sets]
+        labels, asked = rng.integers(0, 3, len(sets)), rng.random(len(sets)) < 0.3
+        linked, judged = np.zeros(len(sets), bool), np.zeros(len(sets), bool)
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets[:i]):
+                inter = len(np.intersect1d(a, b))
+                if 100 * inter >= percent * (len(a) + len(b) - inter):
+                    linked[[i, j]] = True
+                    judged[[i, j]] |= labels[i] != labels[j] and (asked[i] or asked[j])
+        assert linked.sum() > 10 and J.linkable(sizes, sketches, p)[linked].all()
+        assert J.linkable(sizes, sketches, p, labels, asked)[judged].all()
+    unrelated = [rng.integers(0, 2**64, n, np.uint64) for n in rng.integers(60, 300, 200)]
+    assert J.linkable(np.array([len(s) for s in unrelated]), [J.parity_sketch(s) for s in unrelated], J.JoinParams(5, 80)).sum() < 10
+
+
+def test_texts_of_a_common_passage_do_not_move(spark, monkeypatch):
+    rng = random.Random(31)
+    passage = prose(rng, 60, 5000)
+    base = [prose(rng, 200, 5000) for _ in range(5)]
+    texts = [prose(rng, 150, 5000) + " " + passage for _ in range(120)] + base + [edited(rng, t, 1) for t in base]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    moved, blocks = [], J._blocks
+
+    def counted(placed, *rest):
+        moved.append(placed.count())
+        return blocks(placed, *rest)
+
+    monkeypatch.setattr(J, "_blocks", counted)
+    monkeypatch.setattr(J, "BLOCK_SHINGLES", 4000)
+    assert got(spark, rows, J.JoinParams(5, 80)) == jaccard_components([r[:2] for r in rows], 5, 80)
+    assert 10 <= sum(moved) < 30
+
+
+@pytest.mark.parametrize("words, percent", [(3, 90), (5, 80)])
+def test_split_buckets_of_families_and_a_common_passage(spark, monkeypatch, words, percent):
+    rows = families(random.Random(37))
+    monkeypatch.setattr(J, "BLOCK_SHINGLES", 600)
+    assert got(spark, rows, J.JoinParams(words, percent)) == jaccard_components([r[:2] for r in rows], words, percent)
+
+
 def test_packed_numbers_come_back():
     rng = np.random.default_rng(8)
     for top in (1, 200, 2**17, 2**40, 2**62):
