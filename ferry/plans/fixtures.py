@@ -12,6 +12,8 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ferry.session import scratch_path
+
 # --- fixed values: fixture e-mail domains --------------------------------------------------
 # Domain by key % 4, and the alias labels of the fixture company.
 FIXTURE_DOMAINS = ("AlphaCo.com", "betaco.io", "alphaco.net", "other.org")
@@ -237,6 +239,28 @@ def document_names(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").withColumn("file_name", name)
 
 
+def dealt_by_name(df: DataFrame, name: str) -> list[DataFrame]:
+    """The rows, in parts such that rows of one name are one task's.
+
+    A scan may be few tasks: then all rows are dealt out by name, in as many tasks as set. A scan with some tasks for each
+    core keeps its rows; only those that share a name move.
+    """
+    spark = df.sparkSession
+
+    def moved(rows: DataFrame) -> DataFrame:
+        return rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), name)
+
+    if df.rdd.getNumPartitions() < 4 * spark.sparkContext.defaultParallelism:
+        return [moved(df)]
+    path = scratch_path(spark, "shared-names")
+    df.groupBy(F.col(name).alias("__ferry_name")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n").write.parquet(path)
+    shared = spark.read.parquet(path)
+    if shared.isEmpty():
+        return [df]
+    same = df[name].eqNullSafe(shared["__ferry_name"])
+    return [df.join(shared, same, "left_anti"), moved(df.join(shared, same, "left_semi"))]
+
+
 def document_files(spark: SparkSession, d: str, folder: str) -> str:
     """Documents as downloaded files ``{old parent}_doc{id}.txt`` below ``folder``, written by the
     executors; returns the folder."""
@@ -249,7 +273,7 @@ def document_files(spark: SparkSession, d: str, folder: str) -> str:
                     f.write(text.encode())
             yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
 
-    # Dealt out by name, in as many tasks as set: a scan may be one task, and writing files costs more than moving texts.
-    document_names(spark, d).select("file_name", F.coalesce("text", F.lit("")).alias("text")) \
-        .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "file_name").mapInArrow(write, "n long").write.format("noop").mode("overwrite").save()
+    # Writing files costs more than moving texts, moving texts takes as much disk again.
+    for part in dealt_by_name(document_names(spark, d).select("file_name", F.coalesce("text", F.lit("")).alias("text")), "file_name"):
+        part.mapInArrow(write, "n long").write.format("noop").mode("overwrite").save()
     return folder

@@ -20,6 +20,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def local_folder(spark: SparkSession, path: str) -> str | None:
+    """The absolute place of a folder on a mounted file system; none for other stores, patterns and files."""
+    if set(path) & set("{}[]*?\\"):
+        return None
+    fs, p = _open(spark, path)
+    if fs.getUri().getScheme() != "file" or not fs.exists(p) or not fs.getFileStatus(p).isDirectory():
+        return None
+    return fs.makeQualified(p).toUri().getPath().rstrip("/")
+
+
 def create_empty(spark: SparkSession, path: str) -> None:
     """An empty file, such as a success marker."""
     fs, p = _open(spark, path)

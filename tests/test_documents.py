@@ -1,3 +1,4 @@
+import os
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from ferry.operators import (
     name_collisions,
     transfer_summary,
 )
+from ferry.plans import fixtures as fx
 from ferry.plans.jobs import attachment_uploads, document_manifest
 from ferry.sources.binary import read_files
 
@@ -146,6 +148,26 @@ def test_small_files_share_tasks_and_batches(spark, tmp_dir):
     assert {r.file_name: bytes(r.content) for r in got.collect()} == {f"K{i}_f.bin": bytes([i]) * (1 + i % 3) for i in range(200)}
 
 
+def test_document_files_are_written_where_documents_are_read(spark, tmp_dir):
+    """Enough tasks read the documents: only texts that share a name are shuffled, of which one is kept whole."""
+    rows = [(i if i < 77 else 76 if i < 79 else None, f"{i} é " * (i * 50), "en", "s", 1) for i in range(81)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").repartition(40).write.parquet(f"{tmp_dir}/documents.parquet")
+    texts = {}
+    for i, text, *_ in rows:
+        texts.setdefault("None" if i is None else f"{i % 20}_doc{i}.txt", []).append(text.encode())
+    moved = []
+    for most in ("4m", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+        folder = fx.document_files(spark, tmp_dir, f"{tmp_dir}/files{most}")
+        parts = fx.dealt_by_name(fx.document_names(spark, tmp_dir), "file_name")
+        moved.append([p.count() for p in parts if "Exchange hashpartitioning" in p._jdf.queryExecution().executedPlan().toString()])
+        assert sum(p.count() for p in parts) == len(rows)
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert sorted(os.listdir(folder)) == sorted(texts)
+        assert all(open(f"{folder}/{name}", "rb").read() in any_of for name, any_of in texts.items())
+    assert moved == [[5], [81]]
+
+
 def test_a_date_that_is_none_stops_nothing(spark):
     contracts = spark.createDataFrame([("E1", "A1", "2020-01-01"), ("E2", "A1", "n/a"), ("E3", "A1", None), ("E4", "A1", " ")],
                                       "Id string, AccountId string, CreatedDate string")

@@ -5,7 +5,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from ferry.operators import align_to_fields, exportable_fields, field_names, filtered_extract, metadata_from_schema
+from ferry.operators import align_to_fields, attach_bodies, exportable_fields, field_names, filtered_extract, metadata_from_schema
 from ferry.sinks import publish_snapshot, read_crosswalk, read_outcomes, read_run, run_ids, write_csv, write_outcomes, append_crosswalk
 from ferry.sinks import publish
 from ferry.sinks.publish import publish_counted
@@ -330,6 +330,40 @@ def test_read_files_binary(spark, tmp_dir):
     assert [(r.file_name, r.length, bytes(r.content)) for r in got] == [("K1_a.pdf", 4, b"%PDF")]
 
 
+def test_listing_of_a_folder_is_that_of_spark_and_stays_off_the_driver(spark, tmp_dir):
+    d = f"{tmp_dir}/a b%20é"
+    os.makedirs(f"{d}/plain/below")
+    os.makedirs(f"{d}/.hidden/k=1")
+    for i in range(200):
+        open(f"{d}/K{i}_f {i % 3}.{'pdf' if i % 2 else 'tx=t'}", "wb").write(b"x" * (i % 5))
+    for name in ("_hidden", "_k=1", ".dot", "x._COPYING_", "_metadata", "%41_é:1.pdf", "plain/in.pdf", "plain/below/in.pdf", ".hidden/k=1/in.pdf"):
+        open(f"{d}/{name}", "wb").write(b"abc")
+    os.symlink(f"{d}/_k=1", f"{d}/link.pdf")
+    os.symlink(f"{d}/none", f"{d}/broken.pdf")
+    for glob in (None, "*.pdf", "K1?_*"):
+        reader = spark.read.format("binaryFile")
+        found = (reader.option("pathGlobFilter", glob) if glob else reader).load(d).select("path", "length", "modificationTime")
+        got = read_files(spark, d, glob=glob, with_content=False)
+        assert sorted(got.select("path", "length", "modification_time").collect()) == sorted(found.collect())
+        assert all(r.file_name == r.path[r.path.rindex("/") + 1:] for r in got.collect())
+        # Files in the scan are statuses on the driver.
+        assert len(got.inputFiles()) < found.count()
+    looked_up = read_files(spark, d, with_content=False).withColumn("status", F.lit("ready"))
+    assert {r.path: len(r.content) for r in attach_bodies(looked_up).collect()} == {r.path: r.length for r in looked_up.collect()}
+
+
+def test_listing_leaves_partitions_patterns_and_files_to_spark(spark, tmp_dir):
+    for place in ("p/sub/year=1", "q"):
+        os.makedirs(f"{tmp_dir}/{place}")
+        open(f"{tmp_dir}/{place}/x.pdf", "wb").write(b"abc")
+    for path in ("p", "q", "q*", "q/x.pdf", "q/"):
+        got = read_files(spark, f"{tmp_dir}/{path}", with_content=False)
+        assert sorted(r.path for r in got.collect()) == sorted(r.path for r in spark.read.format("binaryFile").load(f"{tmp_dir}/{path}").collect())
+    assert read_files(spark, f"{tmp_dir}/p", with_content=False).count() == 1
+    with pytest.raises(AnalysisException):
+        read_files(spark, f"{tmp_dir}/none", with_content=False)
+
+
 def test_metadata_selection(spark):
     meta = spark.createDataFrame([
         (0, "Id", "id", None), (1, "BillingAddress", "address", None), (2, "BillingCity", "string", "BillingAddress"),
